@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from scanlake.functions.ip import ip_num
 from scanlake.session import scratch_dir
 
-FIXTURE_VERSION = "3"
+FIXTURE_VERSION = "4"
 
 # The port and service lists of the fixture formula (FIXTURES.md).
 PORT_LIST = [21, 22, 25, 53, 80, 110, 139, 143, 389, 443, 445, 993, 3306, 3389, 8080, 8443]
@@ -335,3 +335,31 @@ def report_set(spark: SparkSession, sf_dir: str) -> str:
     _write_named_files(allf.repartition(8), path)
     spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(marker)
     return path
+
+
+def flat_csv_capture(spark: SparkSession, sf_dir: str) -> str:
+    """The flat table of every host, exported as CSV (script output quoted).
+
+    The header names all 11 columns, data lines carry the first 10 (one comma
+    less), and each line with a script is followed by a broken copy holding an
+    extra field, which the reader must drop.
+    """
+    from scanlake.operators.graph import flat_table
+    from scanlake.schema import FLAT_COLUMNS
+    from scanlake.sources.reports import parse_hosts, read_host_elements
+
+    path = f"{_cache_root(spark, sf_dir)}/flat_csv"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    flat = flat_table(parse_hosts(read_host_elements(spark, concatenated_xml(spark, sf_dir))))
+    def field(c):
+        v = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+        return F.concat(F.lit('"'), v, F.lit('"')) if c == "NSE Script Output" else v
+
+    fields = [field(c) for c in FLAT_COLUMNS[:-1]]
+    key = F.pmod(F.xxhash64("IP", "Port", "Proto"), F.lit(1 << 40))
+    rows = flat.select((key * 2).alias("key"), F.concat_ws(",", *fields).alias("value"))
+    broken = flat.where(F.col("`NSE Script ID`").isNotNull()).select(
+        (key * 2 + 1).alias("key"), F.concat(F.concat_ws(",", *fields), F.lit(',"extra"')).alias("value"))
+    head = spark.createDataFrame([(-(1 << 62), ",".join(FLAT_COLUMNS))], "key bigint, value string")
+    return _write_lines_once(spark, path, head.unionByName(rows).unionByName(broken), files=2)

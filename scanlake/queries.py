@@ -398,3 +398,338 @@ def t6_unmatched_domains(spark, sf):
 @q("a10_hosts_updated", w(OBS, RES) + "select count(distinct ip) as n_hosts from obs where ip in (select ip from res)")
 def a10_hosts_updated(spark, sf):
     return dom.hosts_updated(_obs(spark, sf), _resolved(spark, sf))
+
+
+# ============================================== S14, S16, S17, F8, F9, P7, P8
+from scanlake.operators import graph as gr  # noqa: E402
+from scanlake.operators import reports as rp  # noqa: E402
+from scanlake.operators import services as sv  # noqa: E402
+from scanlake.sources import reports as srp  # noqa: E402
+
+
+def _hosts(spark, sf):
+    return srp.parse_hosts(srp.read_host_elements(spark, fx.concatenated_xml(spark, sf)))
+
+
+def _services(spark, sf):
+    return sv.service_rows(_hosts(spark, sf))
+
+
+@q("s14_split_xml", w(OBS, SVC) + "select distinct ip as stem, 1 as n from svc")
+def s14_split_xml(spark, sf):
+    return srp.split_documents(spark, fx.concatenated_xml(spark, sf)).select("stem", "n")
+
+
+@q("s16_host_elements", w(OBS, SVC) + "select ip, cast(count(*) as int) as n_ports from svc group by ip")
+def s16_host_elements(spark, sf):
+    return _hosts(spark, sf).select("ip", F.size("h.ports.port").alias("n_ports"))
+
+
+@q("s17_service_rows", w(OBS, SVC) + "select ip, proto, port, state, service, has_cert from svc")
+def s17_service_rows(spark, sf):
+    return _services(spark, sf).select("ip", "proto", "port", "state", "service", "has_cert")
+
+
+@q("f8_open_tcp", w(OBS, SVC) + "select ip, port, service from svc where proto = 'tcp' and state = 'open'")
+def f8_open_tcp(spark, sf):
+    return sv.open_tcp(_services(spark, sf)).select("ip", "port", "service")
+
+
+def _url_sql(wanted: list[str], by_domain: bool = False) -> str:
+    H, S = "http" in wanted, "https" in wanted
+    lst = ", ".join(f"'{x}'" for x in wanted)
+    sb, hb = ("true" if S else "false"), ("true" if H else "false")
+    base = f"""u as (
+  select ip, port, case when service = 'http' and has_cert and {sb} then 'https' else service end as scheme
+  from svc where proto = 'tcp' and state = 'open'
+    and (service in ({lst}) or (service = 'http' and {sb}))
+    and not (service = 'http' and has_cert and not {sb} and {hb})),
+v as (select ip, port, scheme, case when (scheme = 'http' and port = 80) or (scheme = 'https' and port = 443)
+  then '' else concat(':', cast(port as varchar)) end as pt from u)"""
+    if not by_domain:
+        return w(OBS, SVC, base) + "select ip, port, scheme, concat(scheme, '://', ip, pt) as url from v"
+    return w(OBS, SVC, LATEST, base) + """select v.ip, v.port, concat(v.scheme, '://',
+  case when l.domain_csv is null or l.domain_csv = '' then v.ip else l.domain_csv end, v.pt) as url
+from v left join latest l on v.ip = l.ip"""
+
+
+@q("f9_services", _url_sql(["ssh", "http"]).replace(", concat(scheme, '://', ip, pt) as url", ""))
+def f9_services(spark, sf):
+    return sv.select_services(sv.open_tcp(_services(spark, sf)), "ssh,http").select("ip", "port", "scheme")
+
+
+def _url_query(wanted):
+    def run(spark, sf):
+        return sv.service_urls(_services(spark, sf), wanted).select("ip", "port", "scheme", "url")
+
+    return run
+
+
+q("p7_urls_http", _url_sql(["http"]))(_url_query("http"))
+q("p7_urls_https", _url_sql(["https"]))(_url_query("https"))
+q("p7_urls_http_https", _url_sql(["http", "https"]))(_url_query("http,https"))
+q("p7_urls_ssh_http", _url_sql(["ssh", "http"]))(_url_query("ssh,http"))
+
+
+@q("p8_urls_by_domain", _url_sql(["http", "https"], by_domain=True))
+def p8_urls_by_domain(spark, sf):
+    d = dom.latest_domains(_obs(spark, sf))
+    return sv.service_urls_by_domain(_services(spark, sf), "http,https", d).select("ip", "port", "url")
+
+
+# ========================================== S15, F2, F6, F7, A12, S21
+_EVEN = """even as (select * from svc where cast(split_part(ip, '.', 4) as int) % 2 = 0)"""
+_CAT = """cat as (
+  select distinct ip as stem, s.suffix, 'host' as kind, ip as report_ip, cast(null as int) as report_port
+  from even, (select unnest(['.xml', '.nmap', '.gnmap']) as suffix) s
+  union all
+  select distinct concat('port', cast(port as varchar)), s.suffix, 'port', cast(null as varchar), port
+  from svc, (select unnest(['.xml', '.nmap', '.gnmap']) as suffix) s)"""
+
+
+def _catalog(spark, sf):
+    return srp.report_catalog(spark, fx.report_set(spark, sf))
+
+
+@q("s15_report_catalog", w(OBS, SVC, _EVEN, _CAT) + "select stem, suffix, kind, report_ip, report_port from cat")
+def s15_report_catalog(spark, sf):
+    return _catalog(spark, sf).select("stem", "suffix", "kind", "report_ip", "report_port")
+
+
+@q("f2_new_hosts", w(OBS) + "select seq, ip, port from obs where cast(split_part(ip, '.', 4) as int) % 2 = 1")
+def f2_new_hosts(spark, sf):
+    return sel.select_hosts(spark, _obs(spark, sf), "new", catalog=_catalog(spark, sf)).select("seq", "ip", "port")
+
+
+@q("f6_reports_by_host", w(OBS, SVC, _EVEN, _CAT) + """
+select stem, suffix from cat where kind = 'host' and (report_ip like '10.0.%' or report_ip like '10.2.1.%')""")
+def f6_reports_by_host(spark, sf):
+    return rp.reports_by_host(spark, _catalog(spark, sf), "10.0.0.0/16,10.2.1.0/24").select("stem", "suffix")
+
+
+@q("f6_reports_all_hosts", w(OBS, SVC, _EVEN, _CAT) + "select stem, suffix from cat where kind = 'host'")
+def f6_reports_all_hosts(spark, sf):
+    return rp.reports_by_host(spark, _catalog(spark, sf), "all").select("stem", "suffix")
+
+
+@q("f7_reports_by_port", w(OBS, SVC, _EVEN, _CAT) + """
+select stem, suffix from cat where stem in ('port80', 'port443', 'port8080')""")
+def f7_reports_by_port(spark, sf):
+    return rp.reports_by_port(spark, _catalog(spark, sf), "80,443,8080").select("stem", "suffix")
+
+
+@q("f7_reports_all_ports", w(OBS, SVC, _EVEN, _CAT) + "select stem, suffix from cat where kind = 'port'")
+def f7_reports_all_ports(spark, sf):
+    return rp.reports_by_port(spark, _catalog(spark, sf), "all").select("stem", "suffix")
+
+
+@q("a12_report_count", w(OBS, SVC, _EVEN) + "select count(distinct ip) as n_reports from even")
+def a12_report_count(spark, sf):
+    return rp.report_count(rp.reports_by_host(spark, _catalog(spark, sf), "all"), ".xml")
+
+
+_PORTS_CSV = "pc as (select ip, string_agg(distinct cast(port as varchar), ',' order by cast(port as varchar)) as _x, " \
+             "array_to_string(list_sort(list_distinct(list(port))), ',') as ports_csv from svc group by ip)"
+
+
+@q("s21_report_header", w(OBS, SVC, _EVEN, _PORTS_CSV) + """
+select distinct e.ip as stem, 'nmap' as scanner, concat('nmap -sV -oA &quot;out&quot; -p', pc.ports_csv, ' ', e.ip) as args,
+  '7.94' as version, '1.05' as xmloutputversion, 'syn' as type, 'tcp' as protocol
+from even e join pc on e.ip = pc.ip
+union all
+select distinct concat('port', cast(port as varchar)), 'nmap', concat('nmap -sV -p', cast(port as varchar)),
+  '7.94', '1.05', 'syn', 'tcp' from svc""")
+def s21_report_header(spark, sf):
+    folder = fx.report_set(spark, sf)
+    h = srp.read_headers(spark, f"{folder}/*.xml")
+    return h.select(F.regexp_extract("source_file", r"([^/]+)\.xml$", 1).alias("stem"), "scanner", "args",
+                    "version", "xmloutputversion", "type", "protocol")
+
+
+# ======================================================== R1, R2, A9, T9
+def _merged(spark, sf, dns: bool):
+    sel_ = rp.reports_by_host(spark, _catalog(spark, sf), "all")
+    d = dom.latest_domains(_obs(spark, sf)) if dns else None
+    return rp.merge_xml(spark, sel_, d)
+
+
+@q("r1_add_domains", w(OBS, SVC, _EVEN, LATEST) + """
+select distinct e.ip, case when l.domain_csv is null or l.domain_csv = ''
+  then concat(replace(e.ip, '.', '-'), '.example.org')
+  else concat(replace(e.ip, '.', '-'), '.example.org', ',', l.domain_csv) end as names_text
+from even e left join latest l on e.ip = l.ip""")
+def r1_add_domains(spark, sf):
+    body = _merged(spark, sf, dns=True).where(F.col("section") == 1)
+    h = srp.parse_hosts(body.withColumnRenamed("value", "host_xml"))
+    names = F.transform("h.hostnames.hostname", lambda x: x["_name"])
+    return h.select("ip", F.array_join(names, ",").alias("names_text"))
+
+
+@q("r2_merge_xml", w(OBS, SVC, _EVEN) + """
+select 0 as section, cast(null as varchar) as ip, cast(0 as bigint) as n_ports
+union all select 1, ip, count(*) from even group by ip
+union all select 2, null, 0""")
+def r2_merge_xml(spark, sf):
+    m = _merged(spark, sf, dns=False)
+    ip = F.regexp_extract("value", r'<address\b[^>]*\saddr="([^"]*)"', 1)
+    n = F.size(F.split("value", "<port ")) - 1
+    return m.select("section", F.when(ip != "", ip).alias("ip"), n.cast("bigint").alias("n_ports"))
+
+
+@q("a9_merged_host_count", w(OBS, SVC, _EVEN) + "select count(distinct ip) as n_hosts from even")
+def a9_merged_host_count(spark, sf):
+    return rp.merged_host_count(_merged(spark, sf, dns=False))
+
+
+@q("t9_write_merged_xml", w(OBS, SVC, _EVEN) + "select ip, cast(count(*) as int) as n_ports from even group by ip")
+def t9_write_merged_xml(spark, sf):
+    out = rp.write_merged_xml(_merged(spark, sf, dns=True), new_path(spark, "merged_xml"))
+    h = srp.parse_hosts(srp.read_host_elements(spark, out))
+    return h.select("ip", F.size("h.ports.port").alias("n_ports"))
+
+
+@q("t9_merged_footer", w(OBS, SVC, _EVEN) + """
+select concat('<runstats><finished time="0" timestr="Thu Jan  1 00:00:00 1970" elapsed="0" summary="Nmap done at Thu Jan  1 00:00:00 1970; ',
+  cast(count(distinct ip) as varchar), ' IP address scanned in 0.0 seconds" exit="success"/></runstats>') as value from even""")
+def t9_merged_footer(spark, sf):
+    out = rp.write_merged_xml(_merged(spark, sf, dns=False), new_path(spark, "merged_xml"), single_file=True)
+    return spark.read.text(out).where(F.col("value").startswith("<runstats>"))
+
+
+# ============================================================ R3, R4, T7, T8
+_TEXT_LINES = """tl as (
+  select ip, 0 as n, concat('# Nmap 7.94 scan initiated: nmap -sV ', ip) as line from (select distinct ip from even) a
+  union all select ip, 1, concat('Nmap scan report for ', ip) from (select distinct ip from even) b
+  union all select ip, 2, 'PORT STATE SERVICE' from (select distinct ip from even) c
+  union all select ip, 3 + port * 2 + case when proto = 'udp' then 1 else 0 end,
+    concat(cast(port as varchar), '/', proto, ' ', state, ' ', service) from even
+  union all select ip, 1048576, '# Nmap done: 1 IP address (1 host up)' from (select distinct ip from even) d)"""
+
+
+def _text_merge(spark, sf, suffix):
+    return rp.merge_text(spark, rp.reports_by_host(spark, _catalog(spark, sf), "all"), suffix)
+
+
+@q("r3_merge_text", w(OBS, SVC, _EVEN, _TEXT_LINES) + """
+select ip as stem, row_number() over (partition by ip order by n) as line_no, line as value from tl""")
+def r3_merge_text(spark, sf):
+    return _text_merge(spark, sf, ".nmap").select("stem", "line_no", "value")
+
+
+@q("t7_write_merged_text", w(OBS, SVC, _EVEN, _TEXT_LINES) + "select line as value from tl")
+def t7_write_merged_text(spark, sf):
+    out = rp.write_merged_text(_text_merge(spark, sf, ".nmap"), new_path(spark, "merged_nmap"))
+    return spark.read.text(out)
+
+
+@q("t8_write_merged_grepable", w(OBS, SVC, _EVEN) + """
+select concat('# Nmap 7.94 scan initiated: nmap -sV ', ip) as value from (select distinct ip from even) a
+union all
+select concat('Host: ', ip, ' ()\tPorts: ', string_agg(concat(cast(port as varchar), '/', state, '/', proto, '//', service, '///'),
+  ', ' order by port, proto)) from even group by ip""")
+def t8_write_merged_grepable(spark, sf):
+    out = rp.write_merged_text(_text_merge(spark, sf, ".gnmap"), new_path(spark, "merged_gnmap"))
+    return spark.read.text(out)
+
+
+@q("r4_show_text", w(OBS, SVC, _EVEN, _TEXT_LINES) + f"""
+select 0 as sep, concat('[', cast(row_number() over (order by {ipnum_sql('ip')}) as varchar), '/',
+  cast(count(*) over () as varchar), ']') as value from (select distinct ip from even) x
+union all select 1, line from tl""")
+def r4_show_text(spark, sf):
+    s = rp.show_text(spark, rp.reports_by_host(spark, _catalog(spark, sf), "all"))
+    return s.select("sep", F.when(F.col("sep") == 0, F.regexp_replace("value", " .*$", "")).otherwise(
+        F.col("value")).alias("value"))
+
+
+# ============================================== S18, S19, A7, A8, A11, F10, G1-G3
+_FLAT = """flat as (
+  select ip as "IP", concat(replace(ip, '.', '-'), '.example.org') as "Host", concat('Linux ', split_part(ip, '.', 4)) as "OS",
+    proto as "Proto", port as "Port", service as "Service", concat('prod-', service) as "Product",
+    concat('fp-', cast(port as varchar)) as "Service FP",
+    case when has_cert then 'ssl-cert' end as "NSE Script ID",
+    case when has_cert then concat('Subject: commonName=', ip) end as "NSE Script Output",
+    cast(null as varchar) as "Notes"
+  from svc)"""
+_FLAT_COLS = '"IP", "Host", "OS", "Proto", "Port", "Service", "Product", "Service FP", "NSE Script ID", "NSE Script Output", "Notes"'
+_A11 = """a11 as (select * from (select f.*, row_number() over (partition by "IP", "Port" order by "Proto") as rn from flat f) t
+  where rn = 1)"""
+_A7 = """a7 as (select "IP",
+  string_agg(cast("Port" as varchar), ',' order by "Port") as ports_text,
+  string_agg("Service", ',' order by "Port") as services_text,
+  string_agg("Host", ',' order by "Port") as hosts_text,
+  string_agg("OS", ',' order by "Port") as os_text,
+  string_agg("Product", ',' order by "Port") as products_text,
+  arg_min("Proto", "Port") as "Proto", arg_min("Service FP", "Port") as "Service FP",
+  count(*) as n
+  from a11 group by "IP")"""
+
+
+def _flat(spark, sf):
+    return gr.flat_table(_hosts(spark, sf))
+
+
+@q("s18_flat_table", w(OBS, SVC, _FLAT) + f"select {_FLAT_COLS} from flat")
+def s18_flat_table(spark, sf):
+    return _flat(spark, sf).drop("seq")
+
+
+@q("s19_flat_csv", w(OBS, SVC, _FLAT) + f"select {_FLAT_COLS} from flat")
+def s19_flat_csv(spark, sf):
+    return gr.read_flat_csv(spark, fx.flat_csv_capture(spark, sf)).drop("seq")
+
+
+@q("a11_first_per_ip_port", w(OBS, SVC, _FLAT, _A11) + 'select "IP", "Port", "Proto", "Service" from a11')
+def a11_first_per_ip_port(spark, sf):
+    return gr.first_per_ip_port(_flat(spark, sf)).select("IP", "Port", "Proto", "Service")
+
+
+def _joined(c):
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+
+
+@q("a7_host_profile", w(OBS, SVC, _FLAT, _A11, _A7) + """
+select "IP", ports_text, services_text, hosts_text, os_text, products_text, "Proto", "Service FP" from a7""")
+def a7_host_profile(spark, sf):
+    p = gr.host_profile(gr.first_per_ip_port(_flat(spark, sf)))
+    return p.select("IP", _joined("Port").alias("ports_text"), _joined("Service").alias("services_text"),
+                    _joined("Host").alias("hosts_text"), _joined("OS").alias("os_text"),
+                    _joined("Product").alias("products_text"), "Proto", "Service FP")
+
+
+@q("a8_all_ports", w(OBS, SVC) + 'select distinct port as "Port" from svc')
+def a8_all_ports(spark, sf):
+    return gr.all_ports(_flat(spark, sf))
+
+
+@q("f10_flat_by_ports", w(OBS, SVC, _FLAT) + 'select "IP", "Port", "Proto" from flat where "Port" in (80, 443)')
+def f10_flat_by_ports(spark, sf):
+    return gr.flat_by_ports(_flat(spark, sf), [80, 443]).select("IP", "Port", "Proto")
+
+
+_SUBNET = "concat(split_part(\"IP\", '.', 1), '.', split_part(\"IP\", '.', 2), '.', split_part(\"IP\", '.', 3))"
+
+
+@q("g1_graph_edges", w(OBS, SVC, _FLAT, _A11, _A7) + f"""
+select {_SUBNET} as subnet, "IP" as ip, ports_text, services_text, "Proto" from a7""")
+def g1_graph_edges(spark, sf):
+    e = gr.graph_edges(_flat(spark, sf))
+    return e.select("subnet", "ip", _joined("Port").alias("ports_text"), _joined("Service").alias("services_text"),
+                    "Proto")
+
+
+@q("g2_graph_vertices", w(OBS, SVC, _FLAT, _A11, _A7) + f"""
+select "IP" as id, 'host' as kind, cast(n as int) as n_ports,
+  concat('[', replace(ports_text, ',', ', '), ']<br>[''', replace(services_text, ',', ''', '''), ''']') as hover from a7
+union all select distinct {_SUBNET}, 'subnet', 0, '' from a7""")
+def g2_graph_vertices(spark, sf):
+    v = gr.graph_vertices(gr.graph_edges(_flat(spark, sf)))
+    return v.select("id", "kind", "n_ports", "hover")
+
+
+@q("g3_graph_for_ports", w(OBS, SVC, "flat0 as (select * from svc where port in (80, 443))",
+                           _FLAT.replace("from svc)", "from flat0)"), _A11, _A7) + f"""
+select {_SUBNET} as subnet, "IP" as ip, ports_text from a7""")
+def g3_graph_for_ports(spark, sf):
+    e, _ = gr.graph_for_ports(_flat(spark, sf), [80, 443])
+    return e.select("subnet", "ip", _joined("Port").alias("ports_text"))
