@@ -216,8 +216,8 @@ def f4_ports(spark, sf):
 
 
 @q("f5_host_limit", w(OBS) + """
-select ip, count(distinct port) as n_ports,
-  array_to_string(list_sort(list_distinct(list(cast(port as varchar) order by port))), ',') as ports_text
+select ip, cast(count(distinct port) as int) as n_ports,
+  array_to_string(list_sort(list_distinct(list(port))), ',') as ports_text
 from obs group by ip having count(distinct port) < 4""")
 def f5_host_limit(spark, sf):
     hp = sel.limit_hosts(vw.host_ports(_obs(spark, sf)), 4)
@@ -611,7 +611,7 @@ def _text_merge(spark, sf, suffix):
 
 
 @q("r3_merge_text", w(OBS, SVC, _EVEN, _TEXT_LINES) + """
-select ip as stem, row_number() over (partition by ip order by n) as line_no, line as value from tl""")
+select ip as stem, cast(row_number() over (partition by ip order by n) as int) as line_no, line as value from tl""")
 def r3_merge_text(spark, sf):
     return _text_merge(spark, sf, ".nmap").select("stem", "line_no", "value")
 

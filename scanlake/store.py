@@ -93,7 +93,9 @@ class Inventory:
 
             return self.spark.createDataFrame([], OBSERVATION)
         df = self.spark.read.parquet(f"{self.root}/v={v}")
-        return df.where(F.col("batch_id").isin(batches)).select(*_COLUMNS, "batch_id")
+        # partition discovery types batch_id as int; keep the declared bigint
+        return (df.where(F.col("batch_id").isin(batches))
+                .select(*_COLUMNS, F.col("batch_id").cast("bigint").alias("batch_id")))
 
     def append(self, obs: DataFrame, replace: bool = False) -> int:
         """T1 (append) or T2 (``replace=True``: the new batch becomes the whole table)."""
