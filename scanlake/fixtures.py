@@ -363,3 +363,14 @@ def flat_csv_capture(spark: SparkSession, sf_dir: str) -> str:
         (key * 2 + 1).alias("key"), F.concat(F.concat_ws(",", *fields), F.lit(',"extra"')).alias("value"))
     head = spark.createDataFrame([(-(1 << 62), ",".join(FLAT_COLUMNS))], "key bigint, value string")
     return _write_lines_once(spark, path, head.unionByName(rows).unionByName(broken), files=2)
+
+
+def big_capture(spark: SparkSession, sf_dir: str, fmt: str = "masscan") -> str:
+    """The ``big`` volume fixture rendered as scanner output (bench input)."""
+    path = f"{_cache_root(spark, sf_dir)}/big_capture_{fmt}"
+    if path_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    b = big(spark, sf_dir).withColumn("service", F.lit("unknown"))
+    # l_orderkey repeats across an order's lines, so number lines by their position instead
+    b = b.withColumn("seq", F.monotonically_increasing_id())
+    return _write_lines_once(spark, path, render_scanner_lines(b, fmt), files=8)

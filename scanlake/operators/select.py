@@ -30,8 +30,9 @@ def _with_ip_num(df: DataFrame) -> DataFrame:
 
 def select_cidr(df: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
     """Rows whose address lies in any ``(prefix, lo, hi)`` range (F3); each row at most once."""
-    spark = df.sparkSession
-    n = ranges.limit(RANGE_FILTER_MAX + 1).count()
+    # one bounded job: the number of ranges and the set of prefix lengths (33 at most)
+    stats = ranges.agg(F.count("*").alias("n"), F.array_sort(F.collect_set("prefix")).alias("ps")).first()
+    n, prefixes = stats.n, list(stats.ps or [])
     num = F.col("ip_num") if ip_col == "ip" and "ip_num" in df.columns else ip_num(ip_col)
     if n == 0:
         return df.where(F.lit(False))
@@ -39,7 +40,6 @@ def select_cidr(df: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFra
         rs = ranges.select("lo", "hi").collect()  # bounded by RANGE_FILTER_MAX
         cond = reduce(lambda a, b: a | b, [num.between(r.lo, r.hi) for r in rs])
         return df.where(cond)
-    prefixes = sorted(r.prefix for r in ranges.select("prefix").distinct().collect())  # <= 33 values
     keyed_sel = ranges.select("prefix", F.expr("shiftright(lo, 32 - prefix)").alias("key")).distinct()
     ips = df.select(F.col(ip_col).alias("_ip"), num.alias("_n")).where(F.col("_n").isNotNull()).distinct()
     exploded = ips.select("_ip", F.explode(F.array(*[

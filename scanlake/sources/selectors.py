@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlake.functions.ip import cidr_broadcast, cidr_network, cidr_prefix
+from scanlake.functions.ip import ip_num
 
 
 def selector_tokens(spark: SparkSession, spec) -> DataFrame:
@@ -34,13 +34,23 @@ def keyword(tokens: DataFrame) -> str | None:
 
 
 def host_ranges(tokens: DataFrame) -> DataFrame:
-    """Address selectors → ``prefix int, lo bigint, hi bigint``; a bad token fails the job."""
-    t = F.col("token")
-    ok = cidr_network(t).isNotNull()
-    return (tokens.where(F.when(~ok, F.raise_error(F.concat(F.lit("not an IPv4 address or CIDR: "), t)))
-                         .otherwise(F.lit(True)))
-            .select(cidr_prefix(t).alias("prefix"), cidr_network(t).alias("lo"), cidr_broadcast(t).alias("hi"))
-            .distinct())
+    """Address selectors → ``prefix int, lo bigint, hi bigint``; a bad token fails the job.
+
+    Parsed in stages (text → address and prefix → bounds) so each expression
+    reads the previous stage's columns instead of repeating its parsing.
+    """
+    parts = tokens.select("token", F.split("token", "/", -1).alias("_p"))
+    t = parts.select(
+        "token", F.try_element_at("_p", F.lit(1)).alias("_addr"),
+        F.when(F.size("_p") == 1, F.lit(32))
+         .when(F.size("_p") == 2, F.try_element_at("_p", F.lit(2)).try_cast("int")).alias("prefix"))
+    n = t.select("token", "prefix", ip_num("_addr").alias("_n"))
+    ok = F.col("_n").isNotNull() & F.col("prefix").between(0, 32)
+    checked = n.where(F.when(~ok, F.raise_error(F.concat(F.lit("not an IPv4 address or CIDR: "), F.col("token"))))
+                      .otherwise(F.lit(True)))
+    block = F.expr("shiftleft(1L, 32 - prefix)")
+    lo = F.col("_n") - F.col("_n") % block
+    return checked.select("prefix", lo.alias("lo"), (lo + block - 1).alias("hi")).distinct()
 
 
 def port_list(tokens: DataFrame) -> DataFrame:
