@@ -276,24 +276,6 @@ def concatenated_xml(spark: SparkSession, sf_dir: str) -> str:
     return _write_lines_once(spark, path, lines)
 
 
-def _write_named_files(df: DataFrame, folder: str) -> None:
-    """Write ``name, content`` rows as one file per row, from the executors."""
-
-    def write(it):
-        import pandas as pd
-        from pyarrow import fs as pafs
-
-        fs, base = pafs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder)
-        fs.create_dir(base, recursive=True)
-        for pdf in it:
-            for name, content in zip(pdf["name"], pdf["content"]):
-                with fs.open_output_stream(f"{base}/{name}") as out:
-                    out.write(content.encode("utf-8"))
-            yield pd.DataFrame({"n": [len(pdf)]})
-
-    df.mapInPandas(write, "n long").agg(F.sum("n")).collect()
-
-
 def report_set(spark: SparkSession, sf_dir: str) -> str:
     """A report folder: ``<ip>.xml|nmap|gnmap`` for hosts whose last octet is even,
     ``port<p>.xml|nmap|gnmap`` for every port; the other hosts count as new."""
@@ -332,7 +314,9 @@ def report_set(spark: SparkSession, sf_dir: str) -> str:
                            F.concat(F.array_join(F.transform("hs", lambda h: F.concat(F.lit("Host: "), h["ip"], F.lit(" ()"))), "\n"),
                                     F.lit("\n")).alias("content"))
     allf = xml.unionByName(nm).unionByName(gn).unionByName(port_xml).unionByName(port_nmap).unionByName(port_gnmap)
-    _write_named_files(allf.repartition(8), path)
+    from scanlake.operators.reports import write_named_files
+
+    write_named_files(allf.repartition(8), path)
     spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(marker)
     return path
 

@@ -189,3 +189,25 @@ def write_merged_xml(merged: DataFrame, path: str, single_file: bool = False) ->
 def write_merged_text(merged: DataFrame, path: str, single_file: bool = False) -> str:
     """T7 (``.nmap``) and T8 (``.gnmap``)."""
     return write_ordered_text(merged, TEXT_ORDER, path, single_file)
+
+
+def write_named_files(df: DataFrame, folder: str) -> int:
+    """Write ``name, content`` rows as one file each under ``folder``, from the executors.
+
+    Each task writes its own rows through the Arrow file system for the
+    folder's URI (local, HDFS, S3, ...); returns the number of files written.
+    """
+
+    def write(it):
+        import pandas as pd
+        from pyarrow import fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(folder if "://" in folder else "file://" + folder)
+        fs.create_dir(base, recursive=True)
+        for pdf in it:
+            for name, content in zip(pdf["name"], pdf["content"]):
+                with fs.open_output_stream(f"{base}/{name}") as out:
+                    out.write(content.encode("utf-8"))
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return df.select("name", "content").mapInPandas(write, "n long").agg(F.sum("n")).first()[0] or 0

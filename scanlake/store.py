@@ -97,12 +97,22 @@ class Inventory:
         return (df.where(F.col("batch_id").isin(batches))
                 .select(*_COLUMNS, F.col("batch_id").cast("bigint").alias("batch_id")))
 
-    def append(self, obs: DataFrame, replace: bool = False) -> int:
-        """T1 (append) or T2 (``replace=True``: the new batch becomes the whole table)."""
+    def committed(self, op: str) -> bool:
+        """Whether a commit tagged ``op`` is in the log (idempotent replays)."""
+        log = self._log()
+        return log is not None and log.where(F.col("op") == op).limit(1).count() > 0
+
+    def append(self, obs: DataFrame, replace: bool = False, op: str | None = None) -> int:
+        """T1 (append) or T2 (``replace=True``: the new batch becomes the whole table).
+
+        ``op`` tags the commit; a later append with a tag already in the log is skipped.
+        """
+        if op is not None and self.committed(op):
+            return -1
         v, _, b = self._state()
         version = 1 if v is None else (v + 1 if replace else v)
         self._write(obs, version, b)
-        self._commit(version, b, "replace" if replace else "append")
+        self._commit(version, b, op or ("replace" if replace else "append"))
         return b
 
     def rewrite(self, df: DataFrame) -> int:
