@@ -76,7 +76,7 @@ def main():
             srp.read_host_elements(spark, xml_dir))), "http,https")),
         # R2+T9: merge XML reports into one ordered document
         "merge_xml": lambda: rp.write_merged_xml(rp.merge_xml(spark, rp.reports_by_host(
-            spark, srp.report_catalog(spark, reports), "all"), dom.latest_domains(obs)),
+            spark, srp.report_catalog(spark, reports), "all"), dom.latest_domains(obs), [reports]),
             new_path(spark, "bench_merged")),
         # S18+A11+A7+G1+G2: flat table -> graph
         "graph": lambda: run(gr.graph_vertices(gr.graph_edges(flat()))),

@@ -79,16 +79,19 @@ def _footer_text(n):
                     F.lit(' IP address scanned in 0.0 seconds" exit="success"/></runstats>\n</nmaprun>'))
 
 
-def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | None = None) -> DataFrame:
+def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | None = None,
+              folders: list[str] | None = None) -> DataFrame:
     """R2: header of one report, every host element of every selected XML report
     (duplicates kept), footer with the host count.
 
     Returns ``section, k_ip, k_path, k_block, k_row, value`` – order by all five.
     The header comes from the report with the lowest (address, path).
+    ``folders`` names the report folders; without it they are derived from the paths.
     """
     xml = selected.where(F.col("suffix") == ".xml").select(
         F.col("path").alias("source_file"), ip_num("stem").alias("k_ip"))
-    globs = _parent_globs(xml.withColumnRenamed("source_file", "path"))
+    globs = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else \
+        _parent_globs(xml.withColumnRenamed("source_file", "path"))
     hosts = read_host_elements(spark, globs).join(xml, "source_file")
     if domains is not None:
         addr = F.regexp_extract("host_xml", r'<address\b[^>]*\saddr="([^"]*)"', 1)
@@ -125,7 +128,8 @@ def merged_host_count(merged: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R3, R4
-def merge_text(spark: SparkSession, selected: DataFrame, suffix: str = ".nmap") -> DataFrame:
+def merge_text(spark: SparkSession, selected: DataFrame, suffix: str = ".nmap",
+               folders: list[str] | None = None) -> DataFrame:
     """All lines of the selected reports with ``suffix``, by address of the
     stem (by path if any stem is not IPv4).
 
@@ -136,7 +140,8 @@ def merge_text(spark: SparkSession, selected: DataFrame, suffix: str = ".nmap")
     all_v4 = files.agg(F.bool_and(F.col("k_ip").isNotNull()).alias("b")).first().b  # one value
     if not all_v4:
         files = files.withColumn("k_ip", F.lit(None).cast("bigint"))
-    globs = [g[: -len("*.xml")] + "*" + suffix for g in _parent_globs(files)]
+    parents = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else _parent_globs(files)
+    globs = [g[: -len("*.xml")] + "*" + suffix for g in parents]
     lines = spark.read.text(globs).select(
         "value", F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("k_block"), F.monotonically_increasing_id().alias("k_row"))
@@ -149,12 +154,12 @@ def merge_text(spark: SparkSession, selected: DataFrame, suffix: str = ".nmap")
 TEXT_ORDER = ["k_ip", "path", "k_block", "k_row"]
 
 
-def show_text(spark: SparkSession, selected: DataFrame) -> DataFrame:
+def show_text(spark: SparkSession, selected: DataFrame, folders: list[str] | None = None) -> DataFrame:
     """R3 over ``.nmap`` reports with a numbered separator row before each report.
 
     Returns ``k_ip, path, sep, k_block, k_row, value``; order by all but ``value``.
     """
-    body = merge_text(spark, selected, ".nmap")
+    body = merge_text(spark, selected, ".nmap", folders)
     files = body.select("path", "k_ip").distinct()
     # one row per report file: the numbering window runs over the catalog, not the lines
     w = Window.orderBy(F.coalesce("k_ip", F.lit(1 << 40)), "path")

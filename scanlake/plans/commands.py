@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanlake.functions.ip import ip_num
 from scanlake.operators import domains as dom
 from scanlake.operators import graph as gr
 from scanlake.operators import reports as rp
@@ -111,12 +112,14 @@ def report(spark: SparkSession, reports_dir: str, out_prefix: str, fmt: str = "o
     out = {}
     if fmt in ("oX", "oA"):
         d = dom.latest_domains(Inventory(spark, inventory).read()) if (dns and inventory) else None
-        out[".xml"] = rp.write_merged_xml(rp.merge_xml(spark, selected, d), f"{out_prefix}.xml", single_file)
+        merged = rp.merge_xml(spark, selected, d, [reports_dir])
+        out[".xml"] = rp.write_merged_xml(merged, f"{out_prefix}.xml", single_file)
     if fmt in ("oN", "oA"):
-        out[".nmap"] = rp.write_merged_text(rp.merge_text(spark, selected, ".nmap"), f"{out_prefix}.nmap", single_file)
+        text = rp.merge_text(spark, selected, ".nmap", [reports_dir])
+        out[".nmap"] = rp.write_merged_text(text, f"{out_prefix}.nmap", single_file)
     if fmt in ("oG", "oA"):
-        out[".gnmap"] = rp.write_merged_text(rp.merge_text(spark, selected, ".gnmap"), f"{out_prefix}.gnmap",
-                                             single_file)
+        grep = rp.merge_text(spark, selected, ".gnmap", [reports_dir])
+        out[".gnmap"] = rp.write_merged_text(grep, f"{out_prefix}.gnmap", single_file)
     return out
 
 
@@ -124,7 +127,7 @@ def report_show(spark: SparkSession, reports_dir: str, hosts=None, ports=None) -
     """``report -show``: (report count A12, text reports with separators R4, ordered)."""
     selected = _reports(spark, reports_dir, hosts, ports)
     n = rp.report_count(selected, ".nmap").first().n_reports
-    return n, rp.show_text(spark, selected).orderBy("k_ip", "path", "sep", "k_block", "k_row")
+    return n, rp.show_text(spark, selected, [reports_dir]).orderBy("k_ip", "path", "sep", "k_block", "k_row")
 
 
 # -------------------------------------------------------------------- parse
@@ -134,14 +137,12 @@ def parse_urls(spark: SparkSession, reports_dir: str, services, inventory: str |
     cat = srp.report_catalog(spark, reports_dir)
     xml = cat.where((F.col("kind") == "host") & (F.col("suffix") == ".xml")).select(
         F.col("path").alias("source_file"), "report_ip")
-    hosts = srp.parse_hosts(srp.read_host_elements(spark, f"{reports_dir}/*.xml")).join(xml, "source_file")
-    rows = sv.service_rows(hosts).join(xml, "source_file")
+    hosts = srp.parse_hosts(srp.read_host_elements(spark, f"{reports_dir}/*.xml"))
+    rows = sv.service_rows(hosts).join(xml, "source_file")  # host reports only, and their address
     if dns and inventory:
         urls = sv.service_urls_by_domain(rows, services, dom.latest_domains(Inventory(spark, inventory).read()))
     else:
         urls = sv.service_urls(rows, services)
-    from scanlake.functions.ip import ip_num
-
     return urls.withColumn("k_ip", ip_num("report_ip")).orderBy("k_ip", "source_file", "block_start", "row_id", "pos")
 
 

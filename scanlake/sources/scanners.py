@@ -78,22 +78,37 @@ def _at(arr: Column, i: int) -> Column:
 
 
 def _tokens(c: Column) -> Column:
-    """``str.split()``: whitespace split with empty ends removed."""
-    trimmed = F.regexp_replace(c, r"^\s+|\s+$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s+"))
+    """``str.split()``: split on whitespace runs, no empty tokens."""
+    return F.array_remove(F.split(c, r"\s+"), "")
 
 
-def _keep(df: DataFrame, ok: Column, ip: Column, port_raw: Column) -> DataFrame:
+def _emit(df: DataFrame, stages: list[dict[str, Column]], ok: Column, ip: Column, port_raw: Column) -> DataFrame:
+    """Keep the lines where ``ok`` holds, as ``(ip, port_raw)`` plus the input's columns.
+
+    Intermediate values (tokens, split fields) are computed once, in their own
+    projection; the result is emitted through ``inline`` of a conditional
+    one-element array – a flatMap – so the optimizer cannot push the shape test
+    below the projections and re-run the tokenizing for it.
+    """
     rest = [c for c in df.columns if c not in ("ip", "port_raw")]
-    return df.where(ok).select(*rest, ip.alias("ip"), port_raw.alias("port_raw"))
+    cur = df
+    for st in stages:
+        cur = cur.select(*cur.columns, *[v.alias(k) for k, v in st.items()])
+    rec = F.when(ok, F.array(F.struct(ip.alias("ip"), port_raw.alias("port_raw"))))
+    return cur.select(*rest, F.inline(rec))
+
+
+def _keep(df: DataFrame, ok: Column, ip: Column, port_raw: Column) -> DataFrame:
+    """Simple form of :func:`_emit` for parsers without intermediate values."""
+    return _emit(df, [], ok, ip, port_raw)
 
 
 # ------------------------------------------------------------------ S2, S3
 @register_parser("generic")
 def parse_generic(lines: DataFrame) -> DataFrame:
     """``ip:port`` – exactly two fields around ``:`` (S2; naabu S3 is the same)."""
-    p = F.split(F.col("value"), ":", -1)
-    return _keep(lines, F.size(p) == 2, _at(p, 1), _at(p, 2))
+    p = F.col("_p")
+    return _emit(lines, [{"_p": F.split("value", ":", -1)}], F.size(p) == 2, _at(p, 1), _at(p, 2))
 
 
 register_parser("naabu")(parse_generic)
@@ -103,18 +118,18 @@ register_parser("naabu")(parse_generic)
 @register_parser("sx")
 def parse_sx(lines: DataFrame) -> DataFrame:
     """``ip port`` – exactly two whitespace-separated fields."""
-    t = _tokens(F.col("value"))
-    return _keep(lines, F.size(t) == 2, _at(t, 1), _at(t, 2))
+    t = F.col("_t")
+    return _emit(lines, [{"_t": _tokens(F.col("value"))}], F.size(t) == 2, _at(t, 1), _at(t, 2))
 
 
 # ------------------------------------------------------------------- S5, S6
 def _nmap_like(lines: DataFrame, tcp_only: bool) -> DataFrame:
-    t = _tokens(F.col("value"))
-    pp = F.split(_at(t, 4), "/", -1)
+    t, pp = F.col("_t"), F.col("_pp")
     ok = (F.size(t) >= 4) & (F.size(pp) == 2)
     if tcp_only:
         ok = ok & (_at(pp, 2) == "tcp")
-    return _keep(lines, ok, _at(t, -1), _at(pp, 1))
+    stages = [{"_t": _tokens(F.col("value"))}, {"_pp": F.split(_at(t, 4), "/", -1)}]
+    return _emit(lines, stages, ok, _at(t, -1), _at(pp, 1))
 
 
 @register_parser("nmap")
@@ -133,10 +148,10 @@ def parse_masscan(lines: DataFrame) -> DataFrame:
 @register_parser("masscan_import")
 def parse_masscan_import(lines: DataFrame) -> DataFrame:
     """Masscan list output: ip is token 4, the last token is ``port/state/proto/...``."""
-    t = _tokens(F.col("value"))
-    last = F.split(_at(t, -1), "/", -1)
+    t, last = F.col("_t"), F.col("_last")
     ok = (F.size(t) >= 4) & (F.size(last) >= 3) & (_at(last, 3) == "tcp")
-    return _keep(lines, ok, _at(t, 4), _at(last, 1))
+    stages = [{"_t": _tokens(F.col("value"))}, {"_last": F.split(_at(t, -1), "/", -1)}]
+    return _emit(lines, stages, ok, _at(t, 4), _at(last, 1))
 
 
 # ------------------------------------------------------------------------ S8
@@ -144,18 +159,21 @@ def parse_masscan_import(lines: DataFrame) -> DataFrame:
 def parse_rustscan(lines: DataFrame) -> DataFrame:
     """``ip -> [p1,p2]`` – one row per listed port.
 
-    A list that does not parse keeps ``port_raw`` null with ``bad_list`` set,
-    so the strict mode fails on it as on a bad port.
+    A list that does not parse gives one row with a null ``port_raw``, so the
+    strict mode fails on it as on a bad port.
     """
-    p = F.split(F.col("value"), " -> ", -1)
-    ports = F.from_json(_at(p, 2), "array<string>")
-    shaped = lines.where(F.size(p) == 2).withColumn("_ports", ports).withColumn("_ip", _at(p, 1))
+    p, ports = F.col("_p"), F.col("_ports")
+    stages = [{"_p": F.split("value", " -> ", -1)},
+              {"_ports": F.from_json(_at(p, 2), "array<string>")}]
     rest = [c for c in lines.columns if c not in ("ip", "port_raw")]
-    bad = shaped.where(F.col("_ports").isNull()).select(
-        *rest, F.col("_ip").alias("ip"), F.lit(None).cast("string").alias("port_raw"))
-    good = shaped.select(*rest, F.col("_ip").alias("ip"),
-                         F.explode("_ports").alias("port_raw"))
-    return good.unionByName(bad)
+    cur = lines
+    for st in stages:
+        cur = cur.select(*cur.columns, *[v.alias(k) for k, v in st.items()])
+    ip = _at(p, 1)
+    rec = F.when(F.size(p) == 2, F.when(ports.isNull(), F.array(F.struct(
+        ip.alias("ip"), F.lit(None).cast("string").alias("port_raw")))).otherwise(
+        F.transform(ports, lambda x: F.struct(ip.alias("ip"), x.alias("port_raw")))))
+    return cur.select(*rest, F.inline(rec))
 
 
 # ------------------------------------------------------------------------ S9
@@ -166,14 +184,14 @@ def parse_nimscan(lines: DataFrame) -> DataFrame:
     Colour codes are removed as whole escape sequences, so the address stays
     intact (``10.0.0.10`` is not shortened).
     """
-    clean = F.regexp_replace(F.col("value"), _ANSI, "")
-    after = F.split(clean, "==>", -1)
-    t = _tokens(_at(after, 2))
-    ipp = F.split(_at(t, 1), ":", -1)
+    after, t, ipp = F.col("_after"), F.col("_t"), F.col("_ipp")
+    stages = [{"_after": F.split(F.regexp_replace("value", _ANSI, ""), "==>", -1)},
+              {"_t": _tokens(_at(after, 2))},
+              {"_ipp": F.split(_at(t, 1), ":", -1)}]
     ok = (F.size(after) >= 2) & (F.size(t) >= 1) & (F.size(ipp) == 2)
     ip = F.regexp_replace(_at(ipp, 1), r"[^0-9.]", "")
     port = F.regexp_replace(F.substring_index(_at(ipp, 2), "[", 1), r"[^0-9]", "")
-    return _keep(lines, ok, ip, port)
+    return _emit(lines, stages, ok, ip, port)
 
 
 # ------------------------------------------------------------- S10 + modes
