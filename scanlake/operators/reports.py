@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from scanlake.functions.ip import ip_num
 from scanlake.functions.xmltext import escape_attr
 from scanlake.operators.select import select_cidr
-from scanlake.sources.reports import read_headers, read_host_elements
+from scanlake.sources.reports import header_struct, host_fragment, read_records
 from scanlake.sources.selectors import host_ranges, keyword, selector_tokens
 
 
@@ -92,24 +92,25 @@ def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | Non
         F.col("path").alias("source_file"), ip_num("stem").alias("k_ip"))
     globs = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else \
         _parent_globs(xml.withColumnRenamed("source_file", "path"))
-    hosts = read_host_elements(spark, globs).join(xml, "source_file")
+    # one scan: each record yields its host element and, for a file's first record, the header
+    recs = read_records(spark, globs).join(xml, "source_file").select(
+        "k_ip", "source_file", "block_start", "row_id",
+        host_fragment("value").alias("host_xml"), header_struct("value").alias("h"))
+    hosts = recs.where(F.col("host_xml").isNotNull())
     if domains is not None:
         addr = F.regexp_extract("host_xml", r'<address\b[^>]*\saddr="([^"]*)"', 1)
         hosts = add_domains_to_hosts(hosts.withColumn("ip", addr), domains).drop("ip")
     body = hosts.select(F.lit(1).alias("section"), "k_ip", F.col("source_file").alias("k_path"),
                         F.col("block_start").alias("k_block"), F.col("row_id").alias("k_row"),
                         F.col("host_xml").alias("value"))
-    heads = read_headers(spark, globs).join(xml, "source_file")
-    head = heads.agg(F.min_by(F.struct("scanner", "args", "version", "xmloutputversion", "type", "protocol"),
-                              F.struct(F.coalesce("k_ip", F.lit(1 << 40)), "source_file")).alias("h"))
-    header = head.where(F.col("h").isNotNull()).select(
-        F.lit(0).alias("section"), F.lit(None).cast("bigint").alias("k_ip"), F.lit(None).cast("string").alias("k_path"),
-        F.lit(None).cast("bigint").alias("k_block"), F.lit(None).cast("bigint").alias("k_row"),
-        _header_text(F.col("h")).alias("value"))
-    footer = body.agg(F.count("*").alias("n")).select(
-        F.lit(2).alias("section"), F.lit(None).cast("bigint").alias("k_ip"), F.lit(None).cast("string").alias("k_path"),
-        F.lit(None).cast("bigint").alias("k_block"), F.lit(None).cast("bigint").alias("k_row"),
-        _footer_text(F.col("n")).alias("value"))
+    # header and host count from one aggregate; both rows below reuse its exchange
+    key = F.when(F.col("h").isNotNull(), F.struct(F.coalesce("k_ip", F.lit(1 << 40)), "source_file"))
+    stats = recs.agg(F.count("host_xml").alias("n"), F.min_by("h", key).alias("h"))
+    nulls = [F.lit(None).cast("bigint").alias("k_ip"), F.lit(None).cast("string").alias("k_path"),
+             F.lit(None).cast("bigint").alias("k_block"), F.lit(None).cast("bigint").alias("k_row")]
+    header = stats.where(F.col("h").isNotNull()).select(F.lit(0).alias("section"), *nulls,
+                                                        _header_text(F.col("h")).alias("value"))
+    footer = stats.select(F.lit(2).alias("section"), *nulls, _footer_text(F.col("n")).alias("value"))
     return header.unionByName(body).unionByName(footer)
 
 

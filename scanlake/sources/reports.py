@@ -8,7 +8,7 @@ schema gives the columns.  Order within a file is ``(block_start, row_id)``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scanlake.functions.ip import ip_num
@@ -41,16 +41,9 @@ def report_catalog(spark: SparkSession, folder: str) -> DataFrame:
 # --------------------------------------------------------------------- S16
 def read_host_elements(spark: SparkSession, paths) -> DataFrame:
     """One row per ``<host>`` element: ``source_file, block_start, row_id, host_xml``."""
-    if isinstance(paths, str):
-        paths = [paths]
-    raw = spark.read.option("lineSep", "</host>").text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("row_id"))
-    frag = F.regexp_extract("value", r"(?s)(<host[\s>].*)$", 1)
-    return (raw.select("source_file", "block_start", "row_id", frag.alias("f"))
-            .where(F.col("f") != "")
-            .select("source_file", "block_start", "row_id", F.concat("f", F.lit("</host>")).alias("host_xml")))
+    recs = read_records(spark, paths)
+    return (recs.select("source_file", "block_start", "row_id", host_fragment("value").alias("host_xml"))
+            .where(F.col("host_xml").isNotNull()))
 
 
 def parse_hosts(hosts: DataFrame, schema: str = HOST_XML) -> DataFrame:
@@ -80,8 +73,6 @@ def split_documents(spark: SparkSession, paths) -> DataFrame:
     docs = raw.where(F.col("doc") != "")
     stem = F.regexp_extract("doc", _IPV4_ANY, 1)
     docs = docs.withColumn("stem", F.when(stem != "", stem))
-    from pyspark.sql import Window
-
     w = Window.partitionBy("stem").orderBy("source_file", "block_start", "row_id")
     return docs.withColumn("n", F.row_number().over(w)).select("stem", "n", "source_file", "doc")
 
@@ -97,26 +88,47 @@ def _unescape(c):
     return c
 
 
-def read_headers(spark: SparkSession, paths) -> DataFrame:
-    """Header of each XML report: ``source_file`` plus the root and ``scaninfo`` attributes
-    ``scanner, args, version, xmloutputversion, type, protocol`` (``scaninfo`` wins a clash),
-    with ``"`` re-escaped as ``&quot;``."""
-    if isinstance(paths, str):
-        paths = [paths]
-    raw = spark.read.option("lineSep", "</host>").text(list(paths)).select(
-        "value", F.col("_metadata.file_path").alias("source_file"))
-    head = raw.where(F.col("value").contains("<nmaprun"))
-    root = F.regexp_extract("value", r"(?s)(<nmaprun\b[^>]*>)", 1)
-    info = F.regexp_extract("value", r"(?s)(<scaninfo\b[^>]*>)", 1)
+HEADER_FIELDS = ("scanner", "args", "version", "xmloutputversion", "type", "protocol")
+
+
+def header_struct(value) -> "F.Column":
+    """Header attributes of a record holding ``<nmaprun ...>`` (null for other records):
+    root and ``scaninfo`` attributes, ``scaninfo`` winning a clash, ``"`` re-escaped."""
+    v = F.col(value) if isinstance(value, str) else value
+    root = F.regexp_extract(v, r"(?s)(<nmaprun\b[^>]*>)", 1)
+    info = F.regexp_extract(v, r"(?s)(<scaninfo\b[^>]*>)", 1)
 
     def attr(el, name):
         return F.regexp_extract(el, rf'\s{name}="([^"]*)"', 1)
 
     def pick(name):
         v_info, v_root = attr(info, name), attr(root, name)
-        v = F.when(F.regexp_extract(info, rf'\s({name})="', 1) != "", v_info).otherwise(
+        val = F.when(F.regexp_extract(info, rf'\s({name})="', 1) != "", v_info).otherwise(
             F.when(F.regexp_extract(root, rf'\s({name})="', 1) != "", v_root))
-        return escape_quotes(_unescape(v)).alias(name)
+        return escape_quotes(_unescape(val)).alias(name)
+
+    return F.when(v.contains("<nmaprun"), F.struct(*[pick(n) for n in HEADER_FIELDS]))
 
-    return head.select("source_file", *[pick(n) for n in
-                                        ("scanner", "args", "version", "xmloutputversion", "type", "protocol")])
+
+def read_records(spark: SparkSession, paths) -> DataFrame:
+    """XML files split at ``</host>``: ``value, source_file, block_start, row_id``."""
+    if isinstance(paths, str):
+        paths = [paths]
+    return spark.read.option("lineSep", "</host>").text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_id"))
+
+
+def host_fragment(value) -> "F.Column":
+    """The ``<host>`` element a record ends with (null when it holds none)."""
+    v = F.col(value) if isinstance(value, str) else value
+    frag = F.regexp_extract(v, r"(?s)(<host[\s>].*)$", 1)
+    return F.when(frag != "", F.concat(frag, F.lit("</host>")))
+
+
+def read_headers(spark: SparkSession, paths) -> DataFrame:
+    """Header of each XML report: ``source_file`` plus ``scanner, args, version,
+    xmloutputversion, type, protocol``."""
+    recs = read_records(spark, paths).where(F.col("value").contains("<nmaprun"))
+    return recs.select("source_file", header_struct("value").alias("h")).select("source_file", "h.*")
