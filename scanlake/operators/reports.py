@@ -15,6 +15,7 @@ from scanlake.functions.ip import ip_num
 from scanlake.functions.xmltext import escape_attr
 from scanlake.operators.select import select_cidr
 from scanlake.sources.reports import header_struct, host_fragment, read_records
+from scanlake.sources.scanners import line_numbers
 from scanlake.sources.selectors import host_ranges, keyword, selector_tokens
 
 
@@ -146,10 +147,8 @@ def merge_text(spark: SparkSession, selected: DataFrame, suffix: str = ".nmap",
     lines = spark.read.text(globs).select(
         "value", F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("k_block"), F.monotonically_increasing_id().alias("k_row"))
-    j = lines.join(files, "path")
-    w = Window.partitionBy("path").orderBy("k_block", "k_row")
-    return j.withColumn("line_no", F.row_number().over(w)).select(
-        "stem", "path", "k_ip", "k_block", "k_row", "line_no", "value")
+    j = line_numbers(lines.join(files, "path"), "path", "k_block", "k_row")
+    return j.select("stem", "path", "k_ip", "k_block", "k_row", "line_no", "value")
 
 
 TEXT_ORDER = ["k_ip", "path", "k_block", "k_row"]

@@ -73,8 +73,15 @@ def split_documents(spark: SparkSession, paths) -> DataFrame:
     docs = raw.where(F.col("doc") != "")
     stem = F.regexp_extract("doc", _IPV4_ANY, 1)
     docs = docs.withColumn("stem", F.when(stem != "", stem))
-    w = Window.partitionBy("stem").orderBy("source_file", "block_start", "row_id")
-    return docs.withColumn("n", F.row_number().over(w)).select("stem", "n", "source_file", "doc")
+    # Number repeats of a name without sorting all of them in one task: rank within
+    # (name, file split), then add the counts of the name in earlier splits.
+    part = ["stem", "source_file", "block_start"]
+    local = docs.withColumn("_i", F.row_number().over(Window.partitionBy(*part).orderBy("row_id")))
+    splits = docs.groupBy(*part).agg(F.count("*").alias("_c"))
+    w = Window.partitionBy("stem").orderBy("source_file", "block_start").rowsBetween(Window.unboundedPreceding, -1)
+    offs = splits.withColumn("_off", F.coalesce(F.sum("_c").over(w), F.lit(0))).drop("_c")
+    out = local.join(offs, part, "left").withColumn("n", (F.col("_off") + F.col("_i")).cast("int"))
+    return out.select("stem", "n", "source_file", "doc")
 
 
 def documents_without_address(docs: DataFrame) -> DataFrame:

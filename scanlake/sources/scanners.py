@@ -71,6 +71,24 @@ def read_scan_lines(spark: SparkSession, paths, line_sep: str | None = None) ->
     )
 
 
+def line_numbers(lines: DataFrame, file_col: str = "file_name", block_col: str = "block_start",
+                 row_col: str = "row_id", out: str = "line_no") -> DataFrame:
+    """Number lines within each file (1, 2, ...) from their read position.
+
+    Ids are consecutive within one file split, so a line's number is its
+    offset in the split plus the lines of the file's earlier splits.  Only a
+    small table with one row per split is aggregated and windowed; a file of
+    any size is numbered by many tasks.
+    """
+    splits = lines.groupBy(file_col, block_col).agg(F.count("*").alias("_n"), F.min(row_col).alias("_first"))
+    from pyspark.sql import Window
+
+    w = Window.partitionBy(file_col).orderBy(block_col).rowsBetween(Window.unboundedPreceding, -1)
+    offs = splits.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
+    j = lines.join(offs.select(file_col, block_col, "_off", "_first"), [file_col, block_col])
+    return j.withColumn(out, F.col("_off") + F.col(row_col) - F.col("_first") + 1).drop("_off", "_first")
+
+
 # ------------------------------------------------------------------- helpers
 def _at(arr: Column, i: int) -> Column:
     """1-based element (negative from the end), null when out of range."""

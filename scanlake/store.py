@@ -6,7 +6,7 @@ Layout under ``root``::
     _log/part-*.parquet                 commit log: (version, batch_id, op)
 
 A batch is visible once its row is in the log, so a failed write leaves no
-trace.  Appending (T1) adds one ``batch_id`` partition to the current version;
+visible trace, and a retried write replaces what the failed one left.  Appending (T1) adds one ``batch_id`` partition to the current version;
 replacing (T2) and rewriting (T4/T5) write version N+1 and commit it, which
 also lets a job rewrite the table it reads.  Files are sorted by ``ip_num`` so
 Parquet min/max statistics prune address-range selections.
@@ -77,9 +77,13 @@ class Inventory:
                      .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         else:
             out = out.withColumn("batch_id", F.col("seq.batch_id"))
+        # Overwrite only what this write owns: a fresh version folder, or (dynamic
+        # partition overwrite) this batch's partition.  Files left by an attempt
+        # that died before its commit are replaced, never exposed.
         (out.select(*_COLUMNS, "batch_id")
          .sortWithinPartitions("ip_num")
-         .write.mode("append").partitionBy("batch_id").parquet(f"{self.root}/v={version}"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(f"{self.root}/v={version}"))
 
     # ------------------------------------------------------------ api
     def version(self) -> int | None:

@@ -82,3 +82,20 @@ def test_read_scan_lines_order(spark, write_text):
     df = read_scan_lines(spark, p)
     got = [r.value for r in df.orderBy("file_name", "block_start", "row_id").collect()]
     assert got == [f"10.0.0.{i}:{i}" for i in range(1, 50)]
+
+
+def test_line_numbers_across_splits(spark, write_text):
+    from scanlake.sources.scanners import line_numbers
+
+    text = "".join(f"line {i:05d}\n" for i in range(1, 3001))
+    a = write_text("big/a.txt", text)
+    write_text("big/b.txt", "x\ny\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        lines = read_scan_lines(spark, a.rsplit("/", 1)[0])
+        assert lines.select("block_start").distinct().count() > 5
+        got = {(r.file_name.rsplit("/", 1)[1], r.line_no, r.value) for r in line_numbers(lines).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {("a.txt", i, f"line {i:05d}") for i in range(1, 3001)} | {("b.txt", 1, "x"), ("b.txt", 2, "y")}

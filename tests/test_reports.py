@@ -148,3 +148,20 @@ def test_merge_text_path_order_when_stem_not_ip(spark, tmp_path):
     m = rp.merge_text(spark, cat, ".nmap")
     got = [r.value for r in m.orderBy(*rp.TEXT_ORDER).collect()]
     assert got == ["A", "B"]  # path order: '.../10.0.0.1.nmap' < '.../b.nmap'
+
+
+def test_split_numbering_across_splits(spark, write_text):
+    docs = "".join(host_doc("10.0.0.1", [p]) for p in range(1, 200)) + host_doc("10.0.0.2", [1])
+    p = write_text("many/m.xml", docs)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        d = srp.split_documents(spark, p)
+        got = sorted((r.stem, r.n, r.doc.count("portid")) for r in d.collect())
+        order = [r.n for r in d.where(F.col("stem") == "10.0.0.1").orderBy("n").collect()]
+        ports = [int(r.doc.split('portid="')[1].split('"')[0])
+                 for r in d.where(F.col("stem") == "10.0.0.1").orderBy("n").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert order == list(range(1, 200)) and ports == list(range(1, 200))
+    assert ("10.0.0.2", 1, 1) in got
