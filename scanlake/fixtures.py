@@ -358,3 +358,13 @@ def big_capture(spark: SparkSession, sf_dir: str, fmt: str = "masscan") -> str:
     # l_orderkey repeats across an order's lines, so number lines by their position instead
     b = b.withColumn("seq", F.monotonically_increasing_id())
     return _write_lines_once(spark, path, render_scanner_lines(b, fmt), files=8)
+
+
+def selector_file(spark: SparkSession, sf_dir: str) -> str:
+    """A selector file: every resolved address, one per line, plus its /30 block
+    after a comma on every line (S20's file form)."""
+    path = f"{_cache_root(spark, sf_dir)}/selectors"
+    r = res(spark, sf_dir).select("ip").distinct()
+    lines = r.select(F.xxhash64("ip").alias("key"),
+                     F.concat(F.lit(" "), F.col("ip"), F.lit(" ,"), F.col("ip"), F.lit("/30")).alias("value"))
+    return _write_lines_once(spark, path, lines, files=1)

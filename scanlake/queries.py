@@ -210,6 +210,14 @@ def f3_cidr_many(spark, sf):
     return sel.select_cidr(_obs(spark, sf), host_ranges(toks)).select("seq", "ip", "port")
 
 
+@q("s20_selector_file", w(OBS, RES) + f"""
+select o.seq, o.ip, o.port from obs o
+where exists (select 1 from res r where {ipnum_sql('r.ip')} // 4 = {ipnum_sql('o.ip')} // 4)""")
+def s20_selector_file(spark, sf):
+    """Selectors read from a file (one or more per line, comma separated)."""
+    return sel.select_hosts(spark, _obs(spark, sf), fx.selector_file(spark, sf)).select("seq", "ip", "port")
+
+
 @q("f4_ports", w(OBS) + "select seq, ip, port from obs where port in (22, 443, 8080)")
 def f4_ports(spark, sf):
     return sel.select_by_ports(spark, _obs(spark, sf), "22,443,8080").select("seq", "ip", "port")
