@@ -19,10 +19,6 @@ from scanlake.operators.domains import latest_domains
 from scanlake.operators.select import limit_hosts
 
 
-def _ipn(df: DataFrame) -> DataFrame:
-    return df if "ip_num" in df.columns else df.withColumn("ip_num", ip_num("ip"))
-
-
 def _ports_text(c):
     return F.array_join(F.transform(c, lambda p: p.cast("string")), ",")
 
@@ -48,8 +44,10 @@ def port_host_blocks(df: DataFrame, block_prefix: int = 16) -> DataFrame:
     blocks = ph.groupBy("port", blk.alias("block")).agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("ip_num", F.lit(1 << 40)).alias("k"), "ip"))).alias("s"),
         F.count("*").alias("n_block"))
-    totals = ph.groupBy("port").agg(F.count("*").alias("n_hosts"))
-    return (blocks.join(totals, "port")
+    # one row per port: at most 65,536 rows whatever the data size, so broadcasting
+    # it is bounded; a hot port's blocks are never gathered into one task
+    totals = blocks.groupBy("port").agg(F.sum("n_block").alias("n_hosts"))
+    return (blocks.join(F.broadcast(totals), "port")
             .select("port", "block", F.transform("s", lambda x: x["ip"]).alias("ips"), "n_block", "n_hosts"))
 
 

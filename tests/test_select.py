@@ -68,3 +68,10 @@ def test_limit_is_exclusive(spark, obs):
     assert sorted(r.ip for r in sel.limit_hosts(hp, 2).collect()) == ["10.0.0.2", "10.0.0.255", "10.1.2.3",
                                                                         "192.168.0.9"]
     assert sel.limit_hosts(hp, None).count() == 5
+
+
+def test_new_and_reported_cover_all(spark, obs):
+    cat = spark.createDataFrame([("10.0.0.1",), ("10.1.2.3",), ("port80",)], "stem string")
+    new = set(seqs(sel.new_hosts(obs, cat)))
+    reported = set(seqs(obs.join(cat.withColumnRenamed("stem", "ip"), "ip", "left_semi")))
+    assert new | reported == set(seqs(obs)) and not (new & reported)
