@@ -148,11 +148,6 @@ def render_resolution_lines(r: DataFrame) -> DataFrame:
     return r.select(F.concat("domain", F.lit(" ["), "ip", F.lit("]")).alias("value"))
 
 
-def _xml_attr(c):
-    from scanlake.functions.xmltext import escape_attr
-    return escape_attr(c)
-
-
 def host_fragment(s: DataFrame) -> DataFrame:
     """``svc`` rows → one ``<host>`` element per IP (``ip, ports_csv, host_xml``)."""
     port_xml = F.concat(

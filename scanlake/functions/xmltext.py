@@ -21,7 +21,3 @@ def escape_quotes(c) -> Column:
     """Escape only ``"`` – how report header values are re-quoted."""
     return F.replace(as_col(c), F.lit('"'), F.lit("&quot;"))
 
-
-def attr(fragment, tag: str, name: str) -> Column:
-    """First value of attribute ``name`` on the first ``<tag ...>`` in a fragment."""
-    return F.regexp_extract(as_col(fragment), rf'<{tag}\b[^>]*?\s{name}="([^"]*)"', 1)

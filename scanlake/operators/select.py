@@ -24,10 +24,6 @@ RANGE_FILTER_MAX = 64
 PORT_ISIN_MAX = 4096
 
 
-def _with_ip_num(df: DataFrame) -> DataFrame:
-    return df if "ip_num" in df.columns else df.withColumn("ip_num", ip_num("ip"))
-
-
 def select_cidr(df: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
     """Rows whose address lies in any ``(prefix, lo, hi)`` range (F3); each row at most once."""
     # one bounded job: the number of ranges and the set of prefix lengths (33 at most)

@@ -116,11 +116,6 @@ def _emit(df: DataFrame, stages: list[dict[str, Column]], ok: Column, ip: Column
     return cur.select(*rest, F.inline(rec))
 
 
-def _keep(df: DataFrame, ok: Column, ip: Column, port_raw: Column) -> DataFrame:
-    """Simple form of :func:`_emit` for parsers without intermediate values."""
-    return _emit(df, [], ok, ip, port_raw)
-
-
 # ------------------------------------------------------------------ S2, S3
 @register_parser("generic")
 def parse_generic(lines: DataFrame) -> DataFrame:

@@ -63,3 +63,12 @@ def test_stream_ingest_is_idempotent(spark, tmp_path):
     assert [r.value for r in spark.read.parquet(str(tmp_path / "bad")).collect()] == ["foo:bar"]
     # a replayed micro-batch (same tag) is skipped
     assert Inventory(spark, inv).append(Inventory(spark, inv).read().drop("batch_id"), op="stream:ingest:0") == -1
+
+
+def test_db_create(spark, tmp_path, write_text):
+    inv = str(tmp_path / "inv")
+    scan = write_text("s.txt", "10.0.0.1:80\n10.0.0.2:22\n")
+    res = write_text("r.txt", "a.example [10.0.0.2]\n")
+    assert cmd.db_create(spark, inv, scan, res) == 2
+    got = sorted((r.ip, tuple(r.domains)) for r in Inventory(spark, inv).read().collect())
+    assert got == [("10.0.0.1", ()), ("10.0.0.2", ("a.example",))]
