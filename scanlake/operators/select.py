@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanlake.functions import pin
 from scanlake.functions.ip import ip_num
 from scanlake.sources.selectors import host_ranges, keyword, port_list, selector_tokens
 
@@ -29,15 +30,22 @@ def select_cidr(df: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFra
     # one bounded job: the number of ranges and the set of prefix lengths (33 at most)
     stats = ranges.agg(F.count("*").alias("n"), F.array_sort(F.collect_set("prefix")).alias("ps")).first()
     n, prefixes = stats.n, list(stats.ps or [])
-    num = F.col("ip_num") if ip_col == "ip" and "ip_num" in df.columns else ip_num(ip_col)
     if n == 0:
         return df.where(F.lit(False))
+    stored = ip_col == "ip" and "ip_num" in df.columns
     if n <= RANGE_FILTER_MAX:
         rs = ranges.select("lo", "hi").collect()  # bounded by RANGE_FILTER_MAX
-        cond = reduce(lambda a, b: a | b, [num.between(r.lo, r.hi) for r in rs])
-        return df.where(cond)
+        if stored:  # a stored key: the disjunction reaches the Parquet scan
+            return df.where(reduce(lambda a, b: a | b, [F.col("ip_num").between(r.lo, r.hi) for r in rs]))
+        keyed = pin(df, _sel_n=ip_num(ip_col))
+        cond = reduce(lambda a, b: a | b, [F.col("_sel_n").between(r.lo, r.hi) for r in rs])
+        return keyed.where(cond).drop("_sel_n")
     keyed_sel = ranges.select("prefix", F.expr("shiftright(lo, 32 - prefix)").alias("key")).distinct()
-    ips = df.select(F.col(ip_col).alias("_ip"), num.alias("_n")).where(F.col("_n").isNotNull()).distinct()
+    if stored:
+        ips = df.select(F.col("ip").alias("_ip"), F.col("ip_num").alias("_n"))
+    else:
+        ips = pin(df.select(F.col(ip_col).alias("_ip")), _n=ip_num(F.col("_ip")))
+    ips = ips.where(F.col("_n").isNotNull()).distinct()
     exploded = ips.select("_ip", F.explode(F.array(*[
         F.struct(F.lit(p).alias("prefix"), F.shiftright("_n", 32 - p).alias("key")) for p in prefixes
     ])).alias("k")).select("_ip", "k.prefix", "k.key")
