@@ -33,6 +33,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+# Settings for a large cluster (100 TB of captures and reports).  They are
+# advice for the cluster's own session, never forced by the library.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",   # shuffle output per task
+    "spark.sql.adaptive.skewJoin.enabled": "true",                # split a hot address's partition
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "8000",                       # upper bound; AQE coalesces
+    "spark.sql.files.maxPartitionBytes": "256m",                  # capture splits per task
+    "spark.sql.files.openCostInBytes": "1m",                      # many small report files per task
+    "spark.sql.autoBroadcastJoinThreshold": "64m",                # the only size gate for broadcasts
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables.
 
