@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -232,10 +233,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return os.path.exists(path)
 
 
+_LOCK = threading.RLock()  # queries of one session may run on several threads
+
+
 def _write_lines_once(spark: SparkSession, path: str, lines: DataFrame, files: int = 4) -> str:
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        (lines.repartitionByRange(files, "key").sortWithinPartitions("key")
-         .select("value").write.mode("overwrite").text(path))
+    with _LOCK:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            (lines.repartitionByRange(files, "key").sortWithinPartitions("key")
+             .select("value").write.mode("overwrite").text(path))
     return path
 
 
@@ -276,8 +281,14 @@ def report_set(spark: SparkSession, sf_dir: str) -> str:
     ``port<p>.xml|nmap|gnmap`` for every port; the other hosts count as new."""
     path = f"{_cache_root(spark, sf_dir)}/reports"
     marker = f"{path}_done"
-    if path_exists(spark, f"{marker}/_SUCCESS"):
-        return path
+    with _LOCK:
+        if path_exists(spark, f"{marker}/_SUCCESS"):
+            return path
+        _write_report_set(spark, sf_dir, path, marker)
+    return path
+
+
+def _write_report_set(spark: SparkSession, sf_dir: str, path: str, marker: str) -> None:
     s = svc(spark, sf_dir)
     reported = s.where(F.substring_index("ip", ".", -1).cast("int") % 2 == 0)
     frags = host_fragment(reported)
@@ -313,7 +324,6 @@ def report_set(spark: SparkSession, sf_dir: str) -> str:
 
     write_named_files(allf.repartition(8), path)
     spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(marker)
-    return path
 
 
 def flat_csv_capture(spark: SparkSession, sf_dir: str) -> str:

@@ -167,8 +167,8 @@ def show_text(spark: SparkSession, selected: DataFrame, folders: list[str] | Non
                 .withColumn("total", F.count("*").over(Window.partitionBy())))
     seps = numbered.select("k_ip", "path", F.lit(0).alias("sep"), F.lit(None).cast("bigint").alias("k_block"),
                            F.lit(None).cast("bigint").alias("k_row"),
-                           F.concat(F.lit("["), F.col("i").cast("string"), F.lit("/"), F.col("total").cast("string"),
-                                    F.lit("] "), F.col("path")).alias("value"))
+                           F.concat(F.lit("("), F.col("i").cast("string"), F.lit("/"), F.col("total").cast("string"),
+                                    F.lit(") "), F.col("path")).alias("value"))
     lines = body.select("k_ip", "path", F.lit(1).alias("sep"), "k_block", "k_row", "value")
     return seps.unionByName(lines)
 

@@ -641,8 +641,8 @@ def t8_write_merged_grepable(spark, sf):
 
 
 @q("r4_show_text", w(OBS, SVC, _EVEN, _TEXT_LINES) + f"""
-select 0 as sep, concat('[', cast(row_number() over (order by {ipnum_sql('ip')}) as varchar), '/',
-  cast(count(*) over () as varchar), ']') as value from (select distinct ip from even) x
+select 0 as sep, concat('(', cast(row_number() over (order by {ipnum_sql('ip')}) as varchar), '/',
+  cast(count(*) over () as varchar), ')') as value from (select distinct ip from even) x
 union all select 1, line from tl""")
 def r4_show_text(spark, sf):
     s = rp.show_text(spark, rp.reports_by_host(spark, _catalog(spark, sf), "all"))

@@ -136,7 +136,7 @@ def test_merge_text_order(spark, report_dir, tmp_path):
     assert got == ["Nmap scan report for 10.0.0.9", "80/tcp open", "Nmap scan report for 10.0.0.10", "443/tcp open",
                    "8080/tcp open", "Nmap scan report for 10.1.0.1", "22/tcp open"]
     show = rp.show_text(spark, sel).orderBy(*["k_ip", "path", "sep", "k_block", "k_row"]).collect()
-    assert show[0].value.startswith("[1/3] ") and show[0].value.endswith("10.0.0.9.nmap")
+    assert show[0].value.startswith("(1/3) ") and show[0].value.endswith("10.0.0.9.nmap")
 
 
 def test_merge_text_path_order_when_stem_not_ip(spark, tmp_path):
