@@ -57,11 +57,17 @@ def scratch_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
+        try:
+            d = spark.sparkContext.getCheckpointDir()
+        except Exception:  # Spark Connect: no SparkContext on the client
+            d = None
     if not d:
         d = tempfile.mkdtemp(prefix="scanlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:  # Spark Connect
+            pass
     return d.rstrip("/")
 
 
