@@ -91,10 +91,10 @@ def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | Non
     """
     xml = selected.where(F.col("suffix") == ".xml").select(
         F.col("path").alias("source_file"), ip_num("stem").alias("k_ip"))
-    globs = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else \
-        _parent_globs(xml.withColumnRenamed("source_file", "path"))
+    inputs = selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", folders)
+    raw = read_records(spark, inputs) if inputs else _no_records(spark)
     # one scan: each record yields its host element and, for a file's first record, the header
-    recs = read_records(spark, globs).join(xml, "source_file").select(
+    recs = raw.join(xml, "source_file").select(
         "k_ip", "source_file", "block_start", "row_id",
         host_fragment("value").alias("host_xml"), header_struct("value").alias("h"))
     hosts = recs.where(F.col("host_xml").isNotNull())
@@ -115,6 +115,29 @@ def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | Non
     return header.unionByName(body).unionByName(footer)
 
 
+PATH_LIST_MAX = 100_000
+
+
+def selected_inputs(files: DataFrame, suffix: str, folders: list[str] | None = None) -> list[str] | None:
+    """Input paths for the selected report files (``path`` column).
+
+    Up to ``PATH_LIST_MAX`` files are read by their exact paths, so a narrow
+    selection reads only its own files; beyond that, the folders are globbed
+    and a join keeps the selection.  ``None`` when nothing is selected.
+    """
+    n = files.limit(PATH_LIST_MAX + 1).count()
+    if n == 0:
+        return None
+    if n <= PATH_LIST_MAX:
+        return [r.path for r in files.select("path").collect()]  # bounded by PATH_LIST_MAX
+    parents = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else _parent_globs(files)
+    return [g[: -len("*.xml")] + "*" + suffix for g in parents]
+
+
+def _no_records(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "value string, source_file string, block_start bigint, row_id bigint")
+
+
 def _parent_globs(files: DataFrame) -> list[str]:
     """Folders holding the selected files (a handful of distinct parents)."""
     parents = files.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("d")).distinct()
@@ -142,11 +165,13 @@ def merge_text(spark: SparkSession, selected: DataFrame, suffix: str = ".nmap",
     all_v4 = files.agg(F.bool_and(F.col("k_ip").isNotNull()).alias("b")).first().b  # one value
     if not all_v4:
         files = files.withColumn("k_ip", F.lit(None).cast("bigint"))
-    parents = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else _parent_globs(files)
-    globs = [g[: -len("*.xml")] + "*" + suffix for g in parents]
-    lines = spark.read.text(globs).select(
-        "value", F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("k_block"), F.monotonically_increasing_id().alias("k_row"))
+    inputs = selected_inputs(files, suffix, folders)
+    if inputs:
+        lines = spark.read.text(inputs).select(
+            "value", F.col("_metadata.file_path").alias("path"),
+            F.col("_metadata.file_block_start").alias("k_block"), F.monotonically_increasing_id().alias("k_row"))
+    else:
+        lines = spark.createDataFrame([], "value string, path string, k_block bigint, k_row bigint")
     j = line_numbers(lines.join(files, "path"), "path", "k_block", "k_row")
     return j.select("stem", "path", "k_ip", "k_block", "k_row", "line_no", "value")
 

@@ -137,7 +137,8 @@ def parse_urls(spark: SparkSession, reports_dir: str, services, inventory: str |
     cat = srp.report_catalog(spark, reports_dir)
     xml = cat.where((F.col("kind") == "host") & (F.col("suffix") == ".xml")).select(
         F.col("path").alias("source_file"), "report_ip")
-    hosts = srp.parse_hosts(srp.read_host_elements(spark, f"{reports_dir}/*.xml"))
+    inputs = rp.selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", [reports_dir])
+    hosts = srp.parse_hosts(srp.read_host_elements(spark, inputs or f"{reports_dir}/*.xml"))
     rows = sv.service_rows(hosts).join(xml, "source_file")  # host reports only, and their address
     if dns and inventory:
         urls = sv.service_urls_by_domain(rows, services, dom.latest_domains(Inventory(spark, inventory).read()))
@@ -153,9 +154,10 @@ def draw(spark: SparkSession, reports_dir: str | None = None, csv_paths=None, po
     if csv_paths is not None:
         flat = gr.read_flat_csv(spark, csv_paths)
     else:
-        hosts = srp.parse_hosts(srp.read_host_elements(spark, f"{reports_dir}/*.xml"))
-        cat = srp.report_catalog(spark, reports_dir).where(F.col("kind") == "host").select(
-            F.col("path").alias("source_file"))
+        cat = srp.report_catalog(spark, reports_dir).where(
+            (F.col("kind") == "host") & (F.col("suffix") == ".xml")).select(F.col("path").alias("source_file"))
+        inputs = rp.selected_inputs(cat.withColumnRenamed("source_file", "path"), ".xml", [reports_dir])
+        hosts = srp.parse_hosts(srp.read_host_elements(spark, inputs or f"{reports_dir}/*.xml"))
         flat = gr.flat_table(hosts.join(cat, "source_file", "left_semi"))
     edges, vertices = gr.graph_for_ports(flat, ports)
     return edges, vertices, gr.all_ports(flat)
