@@ -8,6 +8,8 @@ files in name order are the merged report, written by many tasks at once;
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -56,28 +58,54 @@ def add_domains_to_hosts(hosts: DataFrame, domains: DataFrame) -> DataFrame:
     d = F.coalesce("_d", F.array().cast("array<string>"))
     has = F.col("host_xml").rlike(r"<hostnames[\s/>]")
     expanded = F.regexp_replace("host_xml", r"<hostnames\s*/>", "<hostnames></hostnames>")
-    ins = F.array_join(F.transform(d, lambda x: F.concat(F.lit('<hostname name="'), escape_attr(x),
-                                                         F.lit('" type="A"/>'))), "")
+    ins = F.array_join(F.transform(d, lambda x: _fill(ADDED_HOSTNAME, {"name": escape_attr(x)})), "")
     new = F.replace(expanded, F.lit("</hostnames>"), F.concat(ins, F.lit("</hostnames>")))
     return j.withColumn("host_xml", F.when(has & (F.size(d) > 0), new).otherwise(F.col("host_xml"))).drop("_d")
 
 
 # ---------------------------------------------------------------------- R2
+# The merged report's header and footer, the element added per
+# domain (R1) and the separator before each shown report (R4).  The braces are
+# filled from the chosen report's header, the host count and the report path.
+MERGED_HEADER = (
+    '<?xml version="1.0" encoding="UTF-8"?>\n'
+    '<!DOCTYPE nmaprun>\n'
+    '<?xml-stylesheet href="file:///usr/share/nmap/nmap.xsl" type="text/xsl"?>\n'
+    '<!-- merged report -->\n'
+    '<nmaprun scanner="{scanner}" args="{args}" start="0" startstr="Thu Jan  1 00:00:00 1970" '
+    'version="{version}" xmloutputversion="{xmloutputversion}">\n'
+    '<scaninfo type="{type}" protocol="{protocol}" numservices="0" services="0"/>\n'
+    '<verbose level="0"/>\n'
+    '<debugging level="0"/>'
+)
+MERGED_FOOTER = (
+    '<runstats><finished time="0" timestr="Thu Jan  1 00:00:00 1970" elapsed="0" '
+    'summary="Nmap done at Thu Jan  1 00:00:00 1970; {n} IP address scanned in 0.0 seconds" '
+    'exit="success"/></runstats>\n'
+    '</nmaprun>'
+)
+ADDED_HOSTNAME = '<hostname name="{name}" type="A"/>'
+SHOW_SEPARATOR = "({i}/{total}) {path}"
+
+
+def _fill(template: str, values: dict) -> "F.Column":
+    """The template as a ``concat`` of its literal parts and the given columns."""
+    parts = []
+    for lit_part, name in re.findall(r"([^{]*)(?:\{(\w+)\})?", template):
+        if lit_part:
+            parts.append(F.lit(lit_part))
+        if name:
+            parts.append(values[name].cast("string"))
+    return F.concat(*parts)
+
+
 def _header_text(h):
-    return F.concat(
-        F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<!DOCTYPE nmaprun>\n'
-              '<?xml-stylesheet href="file:///usr/share/nmap/nmap.xsl" type="text/xsl"?>\n'
-              '<!-- merged report -->\n<nmaprun scanner="'), h["scanner"], F.lit('" args="'), h["args"],
-        F.lit('" start="0" startstr="Thu Jan  1 00:00:00 1970" version="'), h["version"],
-        F.lit('" xmloutputversion="'), h["xmloutputversion"], F.lit('">\n<scaninfo type="'), h["type"],
-        F.lit('" protocol="'), h["protocol"], F.lit('" numservices="0" services="0"/>\n'
-                                                    '<verbose level="0"/>\n<debugging level="0"/>'))
+    return _fill(MERGED_HEADER, {k: h[k] for k in ("scanner", "args", "version", "xmloutputversion", "type",
+                                                   "protocol")})
 
 
 def _footer_text(n):
-    return F.concat(F.lit('<runstats><finished time="0" timestr="Thu Jan  1 00:00:00 1970" elapsed="0" '
-                          'summary="Nmap done at Thu Jan  1 00:00:00 1970; '), n.cast("string"),
-                    F.lit(' IP address scanned in 0.0 seconds" exit="success"/></runstats>\n</nmaprun>'))
+    return _fill(MERGED_FOOTER, {"n": n})
 
 
 def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | None = None,
@@ -192,8 +220,8 @@ def show_text(spark: SparkSession, selected: DataFrame, folders: list[str] | Non
                 .withColumn("total", F.count("*").over(Window.partitionBy())))
     seps = numbered.select("k_ip", "path", F.lit(0).alias("sep"), F.lit(None).cast("bigint").alias("k_block"),
                            F.lit(None).cast("bigint").alias("k_row"),
-                           F.concat(F.lit("("), F.col("i").cast("string"), F.lit("/"), F.col("total").cast("string"),
-                                    F.lit(") "), F.col("path")).alias("value"))
+                           _fill(SHOW_SEPARATOR, {"i": F.col("i"), "total": F.col("total"),
+                                                  "path": F.col("path")}).alias("value"))
     lines = body.select("k_ip", "path", F.lit(1).alias("sep"), "k_block", "k_row", "value")
     return seps.unionByName(lines)
 

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The script that marks a TLS port, and the ports a URL leaves out.
+CERT_SCRIPT = "ssl-cert"
+DEFAULT_PORTS = {"http": 80, "https": 443}
+
 
 def service_rows(hosts: DataFrame) -> DataFrame:
     """One row per port of each parsed host (``parse_hosts`` output).
@@ -18,7 +22,7 @@ def service_rows(hosts: DataFrame) -> DataFrame:
     return p.select(
         "ip", F.col("p._protocol").alias("proto"), F.col("p._portid").alias("port"),
         F.col("p.state._state").alias("state"), F.col("p.service._name").alias("service"),
-        F.exists(scripts, lambda s: s["_id"] == "ssl-cert").alias("has_cert"),
+        F.exists(scripts, lambda s: s["_id"] == CERT_SCRIPT).alias("has_cert"),
         F.col("p.service._product").alias("product"), F.col("p.service._servicefp").alias("servicefp"),
         scripts.alias("scripts"), "source_file", "block_start", "row_id", "pos")
 
@@ -46,7 +50,9 @@ def select_services(services: DataFrame, wanted) -> DataFrame:
 
 
 def _port_text():
-    plain = ((F.col("scheme") == "http") & (F.col("port") == 80)) | ((F.col("scheme") == "https") & (F.col("port") == 443))
+    plain = F.lit(False)
+    for scheme, port in DEFAULT_PORTS.items():
+        plain = plain | ((F.col("scheme") == scheme) & (F.col("port") == port))
     return F.when(plain, F.lit("")).otherwise(F.concat(F.lit(":"), F.col("port").cast("string")))
 
 

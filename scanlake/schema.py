@@ -49,7 +49,7 @@ HEADER = ("scanner string, args string, version string, xmloutputversion string,
 
 SERVICE = "ip string, proto string, port int, state string, service string, has_cert boolean"
 
-# Column names of the flat port table
+# Column names of the flat port table (fixed values: the exported CSV's header)
 FLAT_COLUMNS = ["IP", "Host", "OS", "Proto", "Port", "Service", "Product", "Service FP",
                 "NSE Script ID", "NSE Script Output", "Notes"]
 FLAT = T.StructType([T.StructField(c, T.IntegerType() if c == "Port" else T.StringType())

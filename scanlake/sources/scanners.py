@@ -26,6 +26,7 @@ ParserFn = Callable[[DataFrame], DataFrame]
 
 _PARSERS: dict[str, ParserFn] = {}
 
+# A terminal colour/style escape sequence (ESC [ params letter).
 _ANSI = "\u001b\\[[0-9;]*[A-Za-z]"
 
 
