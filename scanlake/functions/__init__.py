@@ -20,3 +20,9 @@ def pin(df, **cols):
     """
     keep = [F.col(f"`{c}`") for c in df.columns]
     return df.select(F.inline(F.array(F.struct(*keep, *[e.alias(k) for k, e in cols.items()]))))
+
+
+def order(*cols):
+    """Ascending sort keys with nulls last: addresses that are not IPv4 (a null
+    key) come after every IPv4 address, in the text order of the next key."""
+    return [as_col(c).asc_nulls_last() for c in cols]

@@ -13,6 +13,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scanlake.functions import order as sort_order
 from scanlake.functions.ip import ip_num
 from scanlake.functions.xmltext import escape_attr
 from scanlake.operators.select import select_cidr
@@ -232,7 +233,8 @@ def write_ordered_text(df: DataFrame, order: list[str], path: str, single_file:
     """Write ``value`` rows in ``order`` as text: range-partitioned, sorted within partitions."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    out = df.repartitionByRange(n, *order).sortWithinPartitions(*order).select("value")
+    keys = sort_order(*order)
+    out = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).select("value")
     if single_file:
         out = out.coalesce(1)
     out.write.mode("overwrite").text(path)

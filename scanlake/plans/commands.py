@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanlake.functions import order
 from scanlake.functions.ip import ip_num
 from scanlake.operators import domains as dom
 from scanlake.operators import graph as gr
@@ -75,12 +76,12 @@ def scan_show(spark: SparkSession, inventory: str, hosts=None, ports=None, dns:
     if hosts is not None:
         total = vw.total_targets(df).first().total
         if raw:
-            out = vw.host_listing_raw(df, dns, max_ports_exclusive).orderBy("ip_num", "ip", "port", "k")
+            out = vw.host_listing_raw(df, dns, max_ports_exclusive).orderBy(*order("ip_num", "ip", "port", "k"))
         else:
-            out = vw.host_listing(df, dns, max_ports_exclusive).orderBy("ip_num", "ip")
+            out = vw.host_listing(df, dns, max_ports_exclusive).orderBy(*order("ip_num", "ip"))
         return total, out
     total = vw.total_targets(df, by="port").first().total
-    out = vw.port_listing_raw(df).orderBy("port", "ip_num") if raw else \
+    out = vw.port_listing_raw(df).orderBy(*order("port", "ip_num", "line")) if raw else \
         vw.port_listing(df).orderBy("port", "block")
     return total, out
 
@@ -90,7 +91,7 @@ def scan_worklist(spark: SparkSession, inventory: str, hosts=None, ports=None,
     """The scans a ``scan`` run would launch, as a table (P5 by host, P6 by port)."""
     df = _selected(spark, inventory, hosts, ports, reports_dir)
     if hosts is not None:
-        return vw.host_worklist(df, max_ports_exclusive).orderBy("ip_num", "stem")
+        return vw.host_worklist(df, max_ports_exclusive).orderBy(*order("ip_num", "stem"))
     return vw.port_worklist(df).orderBy("port", "block")
 
 
@@ -127,7 +128,7 @@ def report_show(spark: SparkSession, reports_dir: str, hosts=None, ports=None) -
     """``report -show``: (report count A12, text reports with separators R4, ordered)."""
     selected = _reports(spark, reports_dir, hosts, ports)
     n = rp.report_count(selected, ".nmap").first().n_reports
-    return n, rp.show_text(spark, selected, [reports_dir]).orderBy("k_ip", "path", "sep", "k_block", "k_row")
+    return n, rp.show_text(spark, selected, [reports_dir]).orderBy(*order("k_ip", "path", "sep", "k_block", "k_row"))
 
 
 # -------------------------------------------------------------------- parse
@@ -144,7 +145,8 @@ def parse_urls(spark: SparkSession, reports_dir: str, services, inventory: str |
         urls = sv.service_urls_by_domain(rows, services, dom.latest_domains(Inventory(spark, inventory).read()))
     else:
         urls = sv.service_urls(rows, services)
-    return urls.withColumn("k_ip", ip_num("report_ip")).orderBy("k_ip", "source_file", "block_start", "row_id", "pos")
+    return urls.withColumn("k_ip", ip_num("report_ip")).orderBy(
+        *order("k_ip", "source_file", "block_start", "row_id", "pos"))
 
 
 # --------------------------------------------------------------------- draw

@@ -72,3 +72,11 @@ def test_db_create(spark, tmp_path, write_text):
     assert cmd.db_create(spark, inv, scan, res) == 2
     got = sorted((r.ip, tuple(r.domains)) for r in Inventory(spark, inv).read().collect())
     assert got == [("10.0.0.1", ()), ("10.0.0.2", ("a.example",))]
+
+
+def test_non_ipv4_hosts_listed_last(spark, tmp_path, write_text):
+    inv = str(tmp_path / "inv")
+    cap = write_text("c.txt", "10.0.0.10 80\nfe80::1 22\n10.0.0.9 443\nhost.local 25\n")
+    cmd.add(spark, inv, "sx", cap)
+    _, listing = cmd.scan_show(spark, inv, hosts="all")
+    assert [r.ip for r in listing.collect()] == ["10.0.0.9", "10.0.0.10", "fe80::1", "host.local"]
