@@ -168,9 +168,13 @@ def _no_records(spark: SparkSession) -> DataFrame:
 
 
 def _parent_globs(files: DataFrame) -> list[str]:
-    """Folders holding the selected files (a handful of distinct parents)."""
+    """Folders holding the selected files.
+
+    File-system metadata, like the path list Spark's own file index keeps on
+    the driver; every folder is kept (report sets live in a few folders).
+    """
     parents = files.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("d")).distinct()
-    return [f"{r.d}/*.xml" for r in parents.limit(10001).collect()]
+    return [f"{r.d}/*.xml" for r in parents.collect()]
 
 
 ORDER = ["section", "k_ip", "k_path", "k_block", "k_row"]

@@ -120,13 +120,15 @@ class Inventory:
         return b
 
     def rewrite(self, df: DataFrame) -> int:
-        """Write ``df`` (observation rows with batch ids) as the next version."""
+        """Write ``df`` – rows of the current version, transformed (T4, T5) – as the next version.
+
+        Rows keep their batch ids, so the new version commits the current
+        version's batch list, read from the log; ``df`` is evaluated once.
+        """
         v, batches, b = self._state()
         version = 1 if v is None else v + 1
         self._write(df.select(*_COLUMNS), version, None)
-        # commit every batch id present in the new version, in one log write
-        present = [r.batch_id for r in df.select(F.col("seq.batch_id").alias("batch_id")).distinct().collect()]
-        rows = [(version, int(x), "rewrite") for x in present if x is not None] or [(version, b, "rewrite")]
+        rows = [(version, int(x), "rewrite") for x in batches] or [(version, b, "rewrite")]
         (self.spark.createDataFrame(rows, "version int, batch_id long, op string")
          .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
         return version
