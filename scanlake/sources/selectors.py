@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scanlake.functions import pin
 from scanlake.functions.ip import ip_num
 
 
@@ -44,7 +45,7 @@ def host_ranges(tokens: DataFrame) -> DataFrame:
         "token", F.try_element_at("_p", F.lit(1)).alias("_addr"),
         F.when(F.size("_p") == 1, F.lit(32))
          .when(F.size("_p") == 2, F.try_element_at("_p", F.lit(2)).try_cast("int")).alias("prefix"))
-    n = t.select("token", "prefix", ip_num("_addr").alias("_n"))
+    n = pin(t.select("token", "prefix", "_addr"), _n=ip_num("_addr")).drop("_addr")
     ok = F.col("_n").isNotNull() & F.col("prefix").between(0, 32)
     checked = n.where(F.when(~ok, F.raise_error(F.concat(F.lit("not an IPv4 address or CIDR: "), F.col("token"))))
                       .otherwise(F.lit(True)))
