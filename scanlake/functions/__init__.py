@@ -10,7 +10,7 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def pin(df, **cols):
+def pin(df, keep=None, **cols):
     """Add computed columns that later filters read as values.
 
     Catalyst pushes a filter below the projection that computes a column and
@@ -18,8 +18,8 @@ def pin(df, **cols):
     times (an OR of address ranges) re-evaluates it each time.  Emitting the
     row through ``inline`` of a one-element array computes it once.
     """
-    keep = [F.col(f"`{c}`") for c in df.columns]
-    return df.select(F.inline(F.array(F.struct(*keep, *[e.alias(k) for k, e in cols.items()]))))
+    carried = [F.col(f"`{c}`") for c in (df.columns if keep is None else keep)]
+    return df.select(F.inline(F.array(F.struct(*carried, *[e.alias(k) for k, e in cols.items()]))))
 
 
 def order(*cols):

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scanlake.functions import order as sort_order
+from scanlake.functions import pin
 from scanlake.functions.ip import ip_num
 from scanlake.functions.xmltext import escape_attr
 from scanlake.operators.select import select_cidr
@@ -123,9 +124,8 @@ def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | Non
     inputs = selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", folders)
     raw = read_records(spark, inputs) if inputs else _no_records(spark)
     # one scan: each record yields its host element and, for a file's first record, the header
-    recs = raw.join(xml, "source_file").select(
-        "k_ip", "source_file", "block_start", "row_id",
-        host_fragment("value").alias("host_xml"), header_struct("value").alias("h"))
+    recs = pin(raw.join(xml, "source_file"), keep=["k_ip", "source_file", "block_start", "row_id"],
+               host_xml=host_fragment("value"), h=header_struct("value"))
     hosts = recs.where(F.col("host_xml").isNotNull())
     if domains is not None:
         addr = F.regexp_extract("host_xml", r'<address\b[^>]*\saddr="([^"]*)"', 1)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scanlake.functions import pin
+
 
 @F.pandas_udf(T.StringType())
 def _to_ascii(s: pd.Series) -> pd.Series:
@@ -49,10 +51,11 @@ def resolver_input(domains: DataFrame) -> DataFrame:
 
 def parse_resolutions(lines: DataFrame) -> DataFrame:
     """S13 over lines: ``domain [ip]`` → ``domain, ip``; a line not of two fields fails the job."""
-    t = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
+    tok = pin(lines, keep=["value"], _t=F.array_remove(F.split("value", r"\s+"), ""))
+    t = F.col("_t")
     ok = F.size(t) == 2
-    parsed = (lines.where(F.when(~ok, F.raise_error(F.concat(F.lit("not 'domain [ip]': "), F.col("value"))))
-                          .otherwise(F.lit(True)))
+    parsed = (tok.where(F.when(~ok, F.raise_error(F.concat(F.lit("not 'domain [ip]': "), F.col("value"))))
+                        .otherwise(F.lit(True)))
               .select(F.try_element_at(t, F.lit(1)).alias("domain"),
                       F.translate(F.try_element_at(t, F.lit(2)), "[]", "").alias("ip")))
     return to_unicode(parsed)

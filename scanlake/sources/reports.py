@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scanlake.functions import pin
 from scanlake.functions.ip import ip_num
 from scanlake.functions.xmltext import escape_quotes
 from scanlake.schema import HOST_XML
@@ -42,8 +43,8 @@ def report_catalog(spark: SparkSession, folder: str) -> DataFrame:
 def read_host_elements(spark: SparkSession, paths) -> DataFrame:
     """One row per ``<host>`` element: ``source_file, block_start, row_id, host_xml``."""
     recs = read_records(spark, paths)
-    return (recs.select("source_file", "block_start", "row_id", host_fragment("value").alias("host_xml"))
-            .where(F.col("host_xml").isNotNull()))
+    keyed = pin(recs, keep=["source_file", "block_start", "row_id"], host_xml=host_fragment("value"))
+    return keyed.where(F.col("host_xml").isNotNull())
 
 
 def parse_hosts(hosts: DataFrame, schema: str = HOST_XML) -> DataFrame:
