@@ -64,20 +64,22 @@ def total_targets(df: DataFrame, by: str = "ip") -> DataFrame:
 
 
 # ------------------------------------------------------------------- P1, P2
-def _hosts_with_domains(df: DataFrame, dns: bool, max_ports_exclusive):
+def _hosts_with_domains(df: DataFrame, dns: bool, max_ports_exclusive, domains_mode: str = "latest"):
     hp = limit_hosts(host_ports(df), max_ports_exclusive)
     if dns:
-        hp = hp.join(latest_domains(df), "ip", "left").withColumn(
+        hp = hp.join(latest_domains(df, domains_mode), "ip", "left").withColumn(
             "domains", F.coalesce("domains", F.array().cast("array<string>")))
     return hp
 
 
-def host_listing_raw(df: DataFrame, dns: bool = False, max_ports_exclusive: int | None = None) -> DataFrame:
+def host_listing_raw(df: DataFrame, dns: bool = False, max_ports_exclusive: int | None = None,
+                     domains_mode: str = "latest") -> DataFrame:
     """``ip:port`` per port, and with ``dns`` a ``domain:port`` line after each.
 
     Columns ``ip_num, port, k, line``; order by them for the printed listing.
+    ``domains_mode`` is ``latest`` (the host's last row) or ``union`` (all its rows).
     """
-    hp = _hosts_with_domains(df, dns, max_ports_exclusive)
+    hp = _hosts_with_domains(df, dns, max_ports_exclusive, domains_mode)
     names = F.concat(F.array("ip"), F.col("domains")) if dns else F.array("ip")
     x = hp.select("ip", "ip_num", F.explode("ports").alias("port"), names.alias("names"))
     x = x.select("ip", "ip_num", "port", F.posexplode("names").alias("k", "name"))
@@ -85,9 +87,10 @@ def host_listing_raw(df: DataFrame, dns: bool = False, max_ports_exclusive: int
                     F.concat("name", F.lit(":"), F.col("port").cast("string")).alias("line"))
 
 
-def host_listing(df: DataFrame, dns: bool = False, max_ports_exclusive: int | None = None) -> DataFrame:
+def host_listing(df: DataFrame, dns: bool = False, max_ports_exclusive: int | None = None,
+                 domains_mode: str = "latest") -> DataFrame:
     """``IP {ip} ({n}) -> [{ports}]``; with ``dns``, ``IP {ip}, Domains [{d}] ({n}) -> [..]``."""
-    hp = _hosts_with_domains(df, dns, max_ports_exclusive)
+    hp = _hosts_with_domains(df, dns, max_ports_exclusive, domains_mode)
     n = F.col("n_ports").cast("string")
     if dns:
         line = F.concat(F.lit("IP "), F.col("ip"), F.lit(", Domains ["), F.array_join("domains", ","),

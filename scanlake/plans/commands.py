@@ -70,15 +70,15 @@ def _selected(spark, inventory: str, hosts=None, ports=None, reports_dir: str |
 
 def scan_show(spark: SparkSession, inventory: str, hosts=None, ports=None, dns: bool = False,
               raw: bool = False, max_ports_exclusive: int | None = None,
-              reports_dir: str | None = None) -> tuple[int, DataFrame]:
+              reports_dir: str | None = None, domains_mode: str = "latest") -> tuple[int, DataFrame]:
     """``scan -show``: (total targets A6, ordered listing P1/P2 by host or P3/P4 by port)."""
     df = _selected(spark, inventory, hosts, ports, reports_dir)
     if hosts is not None:
         total = vw.total_targets(df).first().total
         if raw:
-            out = vw.host_listing_raw(df, dns, max_ports_exclusive).orderBy(*order("ip_num", "ip", "port", "k"))
+            out = vw.host_listing_raw(df, dns, max_ports_exclusive, domains_mode).orderBy(*order("ip_num", "ip", "port", "k"))
         else:
-            out = vw.host_listing(df, dns, max_ports_exclusive).orderBy(*order("ip_num", "ip"))
+            out = vw.host_listing(df, dns, max_ports_exclusive, domains_mode).orderBy(*order("ip_num", "ip"))
         return total, out
     total = vw.total_targets(df, by="port").first().total
     out = vw.port_listing_raw(df).orderBy(*order("port", "ip_num", "line")) if raw else \

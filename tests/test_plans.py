@@ -80,3 +80,17 @@ def test_non_ipv4_hosts_listed_last(spark, tmp_path, write_text):
     cmd.add(spark, inv, "sx", cap)
     _, listing = cmd.scan_show(spark, inv, hosts="all")
     assert [r.ip for r in listing.collect()] == ["10.0.0.9", "10.0.0.10", "fe80::1", "host.local"]
+
+
+def test_stream_two_arrivals(spark, tmp_path):
+    land = tmp_path / "land2"
+    land.mkdir()
+    inv = str(tmp_path / "inv2")
+    (land / "a.txt").write_text("10.0.0.1:80\n")
+    q = start_ingest(spark, str(land), "generic", inv, str(tmp_path / "ck2"), available_now=True)
+    q.awaitTermination(120)
+    (land / "b.txt").write_text("10.0.0.2:22\n")  # arrives while no run is active
+    q = start_ingest(spark, str(land), "generic", inv, str(tmp_path / "ck2"), available_now=True)
+    q.awaitTermination(120)
+    rows = sorted((r.ip, r.port, r.batch_id) for r in Inventory(spark, inv).read().collect())
+    assert rows == [("10.0.0.1", 80, 1), ("10.0.0.2", 22, 2)]

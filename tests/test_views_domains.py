@@ -96,3 +96,10 @@ def test_punycode_both_ways(spark, write_text):
     assert got == [("café.example.com", "10.0.0.1"), ("plain.example.com", "10.0.0.2")]
     a4 = {x.ip: x.domains for x in dom.domains_by_ip(sdom.read_resolutions(spark, r)).collect()}
     assert a4["10.0.0.1"] == ["café.example.com"]
+
+
+def test_listing_domains_mode(obs):
+    latest = {r.ip: r.line for r in vw.host_listing(obs, dns=True).collect()}
+    union = {r.ip: r.line for r in vw.host_listing(obs, dns=True, domains_mode="union").collect()}
+    assert latest["10.0.0.10"] == "IP 10.0.0.10, Domains [] (2) -> [80,443]"
+    assert union["10.0.0.10"] == "IP 10.0.0.10, Domains [a.example,b.example] (2) -> [80,443]"
