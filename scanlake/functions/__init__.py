@@ -26,3 +26,20 @@ def order(*cols):
     """Ascending sort keys with nulls last: addresses that are not IPv4 (a null
     key) come after every IPv4 address, in the text order of the next key."""
     return [as_col(c).asc_nulls_last() for c in cols]
+
+
+def number_rows(df, keys, out: str = "i"):
+    """Number rows 1, 2, ... in the order of ``keys`` (nulls last), without a
+    single-partition window.
+
+    The range-sorted rows are indexed with ``zipWithIndex``: one job counts
+    each partition, then every partition numbers its own rows from its offset.
+    Global consecutive numbering is the one per-partition step the DataFrame
+    API has no operator for.
+    """
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    ordered = df.orderBy(*order(*keys))
+    schema = StructType(ordered.schema.fields + [StructField(out, LongType(), False)])
+    rdd = ordered.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1] + 1))
+    return ordered.sparkSession.createDataFrame(rdd, schema)

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.functions import order as sort_order
-from scanlake.functions import pin
+from scanlake.functions import number_rows, pin
 from scanlake.functions.ip import ip_num
 from scanlake.functions.xmltext import escape_attr
 from scanlake.operators.select import select_cidr
@@ -219,10 +219,9 @@ def show_text(spark: SparkSession, selected: DataFrame, folders: list[str] | Non
     """
     body = merge_text(spark, selected, ".nmap", folders)
     files = body.select("path", "k_ip").distinct()
-    # one row per report file: the numbering window runs over the catalog, not the lines
-    w = Window.orderBy(F.coalesce("k_ip", F.lit(1 << 40)), "path")
-    numbered = (files.withColumn("i", F.row_number().over(w))
-                .withColumn("total", F.count("*").over(Window.partitionBy())))
+    # number the report files (one row per file), never the lines
+    total = files.count()
+    numbered = number_rows(files, ["k_ip", "path"], "i").withColumn("total", F.lit(total))
     seps = numbered.select("k_ip", "path", F.lit(0).alias("sep"), F.lit(None).cast("bigint").alias("k_block"),
                            F.lit(None).cast("bigint").alias("k_row"),
                            _fill(SHOW_SEPARATOR, {"i": F.col("i"), "total": F.col("total"),

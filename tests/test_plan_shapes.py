@@ -33,8 +33,7 @@ def unpartitioned_window(p: str) -> bool:
     return False
 
 
-# Report numbering (R4) windows over the catalog of report files, one row per file.
-SINGLE_PARTITION_OK = {"r4_show_text"}
+SINGLE_PARTITION_OK: set[str] = set()
 
 
 def test_no_cross_or_nested_loop_joins(spark):
@@ -59,7 +58,11 @@ def stored(spark, tmp_path):
 
 
 def test_guard_sees_unpartitioned_window(spark):
-    assert unpartitioned_window(plan(E.queries()["r4_show_text"](spark, SF)))
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    df = spark.range(10).withColumn("r", F.row_number().over(Window.orderBy("id")))
+    assert unpartitioned_window(plan(df))
     assert not unpartitioned_window(plan(E.queries()["r3_merge_text"](spark, SF)))
 
 
