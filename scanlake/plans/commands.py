@@ -150,11 +150,15 @@ def parse_urls(spark: SparkSession, reports_dir: str, services, inventory: str |
 
 
 # --------------------------------------------------------------------- draw
-def draw(spark: SparkSession, reports_dir: str | None = None, csv_paths=None, ports=None):
-    """``draw``: the graph's data – (edges G1, vertices G2, all ports A8) – from XML
-    reports (S18) or an exported CSV (S19), optionally for chosen ports (F10/G3)."""
+def draw(spark: SparkSession, reports_dir: str | None = None, csv_paths=None, ports=None, xml_reports=None):
+    """``draw``: the graph's data – (edges G1, vertices G2, all ports A8) – from the
+    given XML reports (paths or globs), the host reports of a folder (S18), or an
+    exported CSV (S19), optionally for chosen ports (F10/G3)."""
     if csv_paths is not None:
         flat = gr.read_flat_csv(spark, csv_paths)
+    elif xml_reports is not None:
+        paths = [xml_reports] if isinstance(xml_reports, str) else list(xml_reports)
+        flat = gr.flat_table(srp.parse_hosts(srp.read_host_elements(spark, paths)))
     else:
         cat = srp.report_catalog(spark, reports_dir).where(
             (F.col("kind") == "host") & (F.col("suffix") == ".xml")).select(F.col("path").alias("source_file"))

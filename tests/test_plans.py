@@ -40,6 +40,8 @@ def test_add_scan_report_parse_draw(spark, tmp_path, write_text):
     assert urls == ["http://a.example", "http://a.example:443"]
     edges, vertices, ports = cmd.draw(spark, reports_dir=str(rep))
     assert edges.count() == 1 and vertices.count() == 2 and [r.Port for r in ports.collect()] == [80, 443]
+    e2, _, _ = cmd.draw(spark, xml_reports=[str(rep / "10.0.0.10.xml")], ports=[443])
+    assert [r.Port for r in e2.collect()] == [[443]]
 
 
 def test_split_xml(spark, tmp_path, write_text):
