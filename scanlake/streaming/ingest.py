@@ -4,7 +4,7 @@ The same parse plan as the batch ``add`` runs on each micro-batch of new
 files.  The stream's checkpoint records which files were taken; each
 micro-batch commits to the inventory with the tag ``stream:<id>:<epoch>``, so
 a micro-batch replayed after a failure (lost executor, restarted driver) is
-not appended twice.  Lines that fail the port conversion go to a quarantine
+not appended twice, and its quarantine partition is rewritten, not duplicated.  Lines that fail the port conversion go to a quarantine
 table instead of stopping the stream.
 """
 
@@ -39,8 +39,10 @@ def start_ingest(spark: SparkSession, landing_dir: str, scanner: str, inventory:
         inv.append(observations(parse_lines(lines, scanner, mode="quarantine")),
                    op=f"stream:{stream_id}:{epoch}")
         if quarantine_path:
-            quarantine(lines, scanner).withColumn("epoch", F.lit(epoch)) \
-                .write.mode("append").parquet(quarantine_path)
+            # one partition per micro-batch, replaced (not appended) when a batch is replayed
+            (quarantine(lines, scanner).withColumn("epoch", F.lit(epoch))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("epoch").parquet(quarantine_path))
 
     w = capture_stream(spark, landing_dir, max_files_per_trigger).writeStream.foreachBatch(each) \
         .option("checkpointLocation", checkpoint)
