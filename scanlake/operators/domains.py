@@ -64,3 +64,15 @@ def hosts_updated(df: DataFrame, resolutions: DataFrame) -> DataFrame:
     """A10: distinct inventory addresses that have a resolution (changed or not)."""
     res_ips = resolutions.select("ip").distinct()
     return df.select("ip").join(res_ips, "ip", "left_semi").agg(F.countDistinct("ip").alias("n_hosts"))
+
+
+def host_domain_pairs(df: DataFrame, resolutions: DataFrame | None = None) -> DataFrame:
+    """T5 in long form: distinct ``ip, domain`` pairs from the stored names, plus the
+    resolved names of addresses in the inventory.  No row holds a list, so an address
+    with millions of names spreads over many tasks."""
+    stored = df.select("ip", F.explode("domains").alias("domain"))
+    if resolutions is None:
+        return stored.distinct()
+    hosts = df.select("ip").distinct()
+    resolved = resolutions.select("ip", "domain").join(hosts, "ip", "left_semi")
+    return stored.unionByName(resolved).distinct()

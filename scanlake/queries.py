@@ -396,6 +396,15 @@ def t5_update_domains(spark, sf):
         "seq", "ip", "port", F.array_join("domains", ",").alias("domains_text"))
 
 
+@q("t5_domain_pairs", w(OBS, RES) + """
+select distinct ip, domain_csv as domain from obs where domain_csv <> ''
+union
+select distinct r.ip, r.domain from res r where r.ip in (select ip from obs)""")
+def t5_domain_pairs(spark, sf):
+    o = _obs(spark, sf).select("seq", "ip", "port", "domains")
+    return dom.host_domain_pairs(o, _resolved(spark, sf))
+
+
 @q("t6_unmatched_domains", w(OBS, RES) + """
 select distinct domain from res r1
 where not exists (select 1 from res r2 join (select distinct ip from obs) h on r2.ip = h.ip where r2.domain = r1.domain)""")

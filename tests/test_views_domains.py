@@ -103,3 +103,11 @@ def test_listing_domains_mode(obs):
     union = {r.ip: r.line for r in vw.host_listing(obs, dns=True, domains_mode="union").collect()}
     assert latest["10.0.0.10"] == "IP 10.0.0.10, Domains [] (2) -> [80,443]"
     assert union["10.0.0.10"] == "IP 10.0.0.10, Domains [a.example,b.example] (2) -> [80,443]"
+
+
+def test_domain_pairs_match_update(spark, obs):
+    res = spark.createDataFrame([("c.example", "10.0.0.10"), ("z.example", "10.9.9.9")], "domain string, ip string")
+    pairs = {(r.ip, r.domain) for r in dom.host_domain_pairs(obs, res).collect()}
+    upd = {(r.ip, d) for r in dom.update_domains(obs, res).collect() for d in r.domains}
+    assert pairs == upd | {(r.ip, d) for r in obs.collect() for d in r.domains}
+    assert ("10.9.9.9", "z.example") not in pairs
