@@ -121,10 +121,13 @@ def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | Non
     """
     xml = selected.where(F.col("suffix") == ".xml").select(
         F.col("path").alias("source_file"), ip_num("stem").alias("k_ip"))
-    inputs = selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", folders)
+    inputs, exact = selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", folders)
     raw = read_records(spark, inputs) if inputs else _no_records(spark)
+    # exact paths: every record is selected and its key comes from its file name (no
+    # join, so a huge report is never gathered by one join key); globs: join to select
+    src = raw.withColumn("k_ip", ip_num(stem_of("source_file"))) if exact else raw.join(xml, "source_file")
     # one scan: each record yields its host element and, for a file's first record, the header
-    recs = pin(raw.join(xml, "source_file"), keep=["k_ip", "source_file", "block_start", "row_id"],
+    recs = pin(src, keep=["k_ip", "source_file", "block_start", "row_id"],
                host_xml=host_fragment("value"), h=header_struct("value"))
     hosts = recs.where(F.col("host_xml").isNotNull())
     if domains is not None:
@@ -147,20 +150,26 @@ def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | Non
 PATH_LIST_MAX = 100_000
 
 
-def selected_inputs(files: DataFrame, suffix: str, folders: list[str] | None = None) -> list[str] | None:
-    """Input paths for the selected report files (``path`` column).
+def selected_inputs(files: DataFrame, suffix: str, folders: list[str] | None = None):
+    """Input paths for the selected report files (``path`` column): ``(paths, exact)``.
 
-    Up to ``PATH_LIST_MAX`` files are read by their exact paths, so a narrow
-    selection reads only its own files; beyond that, the folders are globbed
-    and a join keeps the selection.  ``None`` when nothing is selected.
+    Up to ``PATH_LIST_MAX`` files are read by their exact paths (``exact=True``):
+    a narrow selection reads only its own files and needs no join afterwards.
+    Beyond that, the folders are globbed (``exact=False``) and the caller joins
+    with the selection.  ``paths`` is ``None`` when nothing is selected.
     """
     n = files.limit(PATH_LIST_MAX + 1).count()
     if n == 0:
-        return None
+        return None, True
     if n <= PATH_LIST_MAX:
-        return [r.path for r in files.select("path").collect()]  # bounded by PATH_LIST_MAX
+        return [r.path for r in files.select("path").collect()], True  # bounded by PATH_LIST_MAX
     parents = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else _parent_globs(files)
-    return [g[: -len("*.xml")] + "*" + suffix for g in parents]
+    return [g[: -len("*.xml")] + "*" + suffix for g in parents], False
+
+
+def stem_of(path_col) -> "F.Column":
+    """File name without its last suffix."""
+    return F.regexp_extract(path_col, r"([^/]+)\.[^./]*$", 1)
 
 
 def _no_records(spark: SparkSession) -> DataFrame:
@@ -198,14 +207,19 @@ def merge_text(spark: SparkSession, selected: DataFrame, suffix: str = ".nmap",
     all_v4 = files.agg(F.bool_and(F.col("k_ip").isNotNull()).alias("b")).first().b  # one value
     if not all_v4:
         files = files.withColumn("k_ip", F.lit(None).cast("bigint"))
-    inputs = selected_inputs(files, suffix, folders)
+    inputs, exact = selected_inputs(files, suffix, folders)
     if inputs:
         lines = spark.read.text(inputs).select(
             "value", F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("k_block"), F.monotonically_increasing_id().alias("k_row"))
     else:
         lines = spark.createDataFrame([], "value string, path string, k_block bigint, k_row bigint")
-    j = line_numbers(lines.join(files, "path"), "path", "k_block", "k_row")
+    if exact:
+        key = ip_num(stem_of("path")) if all_v4 else F.lit(None).cast("bigint")
+        src = lines.withColumn("stem", stem_of("path")).withColumn("k_ip", key)
+    else:
+        src = lines.join(files, "path")
+    j = line_numbers(src, "path", "k_block", "k_row")
     return j.select("stem", "path", "k_ip", "k_block", "k_row", "line_no", "value")
 
 

@@ -138,9 +138,13 @@ def parse_urls(spark: SparkSession, reports_dir: str, services, inventory: str |
     cat = srp.report_catalog(spark, reports_dir)
     xml = cat.where((F.col("kind") == "host") & (F.col("suffix") == ".xml")).select(
         F.col("path").alias("source_file"), "report_ip")
-    inputs = rp.selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", [reports_dir])
+    inputs, exact = rp.selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", [reports_dir])
     hosts = srp.parse_hosts(srp.read_host_elements(spark, inputs or f"{reports_dir}/*.xml"))
-    rows = sv.service_rows(hosts).join(xml, "source_file")  # host reports only, and their address
+    rows = sv.service_rows(hosts)
+    if exact:  # only host reports were read; the address is the file name
+        rows = rows.withColumn("report_ip", rp.stem_of("source_file"))
+    else:
+        rows = rows.join(xml, "source_file")
     if dns and inventory:
         urls = sv.service_urls_by_domain(rows, services, dom.latest_domains(Inventory(spark, inventory).read()))
     else:
@@ -162,9 +166,9 @@ def draw(spark: SparkSession, reports_dir: str | None = None, csv_paths=None, po
     else:
         cat = srp.report_catalog(spark, reports_dir).where(
             (F.col("kind") == "host") & (F.col("suffix") == ".xml")).select(F.col("path").alias("source_file"))
-        inputs = rp.selected_inputs(cat.withColumnRenamed("source_file", "path"), ".xml", [reports_dir])
+        inputs, exact = rp.selected_inputs(cat.withColumnRenamed("source_file", "path"), ".xml", [reports_dir])
         hosts = srp.parse_hosts(srp.read_host_elements(spark, inputs or f"{reports_dir}/*.xml"))
-        flat = gr.flat_table(hosts.join(cat, "source_file", "left_semi"))
+        flat = gr.flat_table(hosts if exact else hosts.join(cat, "source_file", "left_semi"))
     edges, vertices = gr.graph_for_ports(flat, ports)
     return edges, vertices, gr.all_ports(flat)
 

@@ -165,3 +165,18 @@ def test_split_numbering_across_splits(spark, write_text):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert order == list(range(1, 200)) and ports == list(range(1, 200))
     assert ("10.0.0.2", 1, 1) in got
+
+
+def test_merge_same_with_globbed_folders(spark, report_dir, monkeypatch):
+    cat = srp.report_catalog(spark, report_dir)
+    sel = rp.reports_by_host(spark, cat, "10.0.0.0/24")
+
+    def merged():
+        x = [r.value for r in rp.merge_xml(spark, sel).orderBy(*rp.ORDER).collect()]
+        t = [r.value for r in rp.merge_text(spark, sel, ".nmap").orderBy(*rp.TEXT_ORDER).collect()]
+        return x, t
+
+    exact = merged()
+    monkeypatch.setattr(rp, "PATH_LIST_MAX", 0)  # force the folder glob and the join
+    globbed = merged()
+    assert exact == globbed and len(exact[0]) == 4 and len(exact[1]) == 5
