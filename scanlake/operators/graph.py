@@ -111,16 +111,25 @@ def _py_list(arr, quote: bool):
 
 def graph_vertices(edges: DataFrame) -> DataFrame:
     """Host vertices with their port and service lists, port count and hover
-    text; subnet vertices with no lists and count 0."""
-    hosts = edges.select(F.col("ip").alias("id"), F.lit("host").alias("kind"), F.col("Port").alias("ports"),
-                         F.col("Service").alias("services"), F.size("Port").alias("n_ports"),
-                         F.concat(_py_list(F.col("Port"), False), F.lit("<br>"),
-                                  _py_list(F.col("Service"), True)).alias("hover"))
-    subnets = edges.select(F.col("subnet").alias("id")).distinct().join(
-        edges.select(F.col("ip").alias("id")), "id", "left_anti").select(
-        "id", F.lit("subnet").alias("kind"), F.lit(None).cast("array<int>").alias("ports"),
-        F.lit(None).cast("array<string>").alias("services"), F.lit(0).alias("n_ports"), F.lit("").alias("hover"))
-    return hosts.unionByName(subnets)
+    text; subnet vertices with no lists and count 0.
+
+    One pass over the edges: each edge emits its host vertex and its subnet
+    vertex, and one partial aggregate per id keeps the host vertex when an id
+    is both (as merging graph nodes does).  A subnet id repeats at most 256
+    times, once per host of the /24.
+    """
+    fields = ["kind", "ports", "services", "n_ports", "hover"]
+    host = F.struct(F.col("ip").alias("id"), F.lit(1).alias("_rank"), F.lit("host").alias("kind"),
+                    F.col("Port").alias("ports"), F.col("Service").alias("services"),
+                    F.size("Port").alias("n_ports"),
+                    F.concat(_py_list(F.col("Port"), False), F.lit("<br>"),
+                             _py_list(F.col("Service"), True)).alias("hover"))
+    sub = F.struct(F.col("subnet").alias("id"), F.lit(0).alias("_rank"), F.lit("subnet").alias("kind"),
+                   F.lit(None).cast("array<int>").alias("ports"), F.lit(None).cast("array<string>").alias("services"),
+                   F.lit(0).alias("n_ports"), F.lit("").alias("hover"))
+    rows = edges.select(F.inline(F.array(host, sub)))
+    best = rows.groupBy("id").agg(F.max_by(F.struct(*fields), "_rank").alias("v"))
+    return best.select("id", *[F.col("v").getField(f).alias(f) for f in fields])
 
 
 def graph_for_ports(flat: DataFrame, ports) -> tuple[DataFrame, DataFrame]:

@@ -49,7 +49,8 @@ def read_host_elements(spark: SparkSession, paths) -> DataFrame:
 
 def parse_hosts(hosts: DataFrame, schema: str = HOST_XML) -> DataFrame:
     """Add the parsed element ``h`` (D5) and its address ``ip`` (first IPv4, else first)."""
-    h = hosts.withColumn("h", F.from_xml("host_xml", schema))
+    # pinned: the filters Spark infers for later explodes must not re-run the XML parser
+    h = pin(hosts, h=F.from_xml("host_xml", schema))
     v4 = F.filter("h.address", lambda a: a["_addrtype"] == "ipv4")
     ip = F.coalesce(F.try_element_at(v4, F.lit(1))["_addr"],
                     F.try_element_at(F.col("h.address"), F.lit(1))["_addr"])
