@@ -20,26 +20,24 @@ from scanlake.functions.xmltext import escape_attr
 from scanlake.operators.select import select_cidr
 from scanlake.sources.reports import header_struct, host_fragment, read_records
 from scanlake.sources.scanners import line_numbers
-from scanlake.sources.selectors import host_ranges, keyword, selector_tokens
+from scanlake.sources.selectors import host_ranges, selector_keyword, selector_tokens
 
 
 # ------------------------------------------------------------------ F6, F7
 def reports_by_host(spark: SparkSession, catalog: DataFrame, hosts) -> DataFrame:
     """``all`` → every report whose stem does not start with ``port``;
     otherwise reports whose stem is an address in the selected ranges."""
-    toks = selector_tokens(spark, hosts)
-    if keyword(toks) == "all":
+    if selector_keyword(spark, hosts) == "all":
         return catalog.where(~F.col("stem").startswith("port"))
     hostcat = catalog.where(F.col("report_ip").isNotNull())
-    return select_cidr(hostcat, host_ranges(toks), ip_col="report_ip")
+    return select_cidr(hostcat, host_ranges(selector_tokens(spark, hosts)), ip_col="report_ip")
 
 
 def reports_by_port(spark: SparkSession, catalog: DataFrame, ports) -> DataFrame:
     """``all`` → stems starting with ``port``; otherwise stem equals ``port<p>`` as text."""
-    toks = selector_tokens(spark, ports)
-    if keyword(toks) == "all":
+    if selector_keyword(spark, ports) == "all":
         return catalog.where(F.col("stem").startswith("port"))
-    stems = toks.select(F.concat(F.lit("port"), F.col("token")).alias("stem")).distinct()
+    stems = selector_tokens(spark, ports).select(F.concat(F.lit("port"), F.col("token")).alias("stem")).distinct()
     return catalog.join(stems, "stem", "left_semi")
 
 
@@ -158,11 +156,11 @@ def selected_inputs(files: DataFrame, suffix: str, folders: list[str] | None = N
     Beyond that, the folders are globbed (``exact=False``) and the caller joins
     with the selection.  ``paths`` is ``None`` when nothing is selected.
     """
-    n = files.limit(PATH_LIST_MAX + 1).count()
-    if n == 0:
+    paths = [r.path for r in files.select("path").limit(PATH_LIST_MAX + 1).collect()]  # one bounded job
+    if not paths:
         return None, True
-    if n <= PATH_LIST_MAX:
-        return [r.path for r in files.select("path").collect()], True  # bounded by PATH_LIST_MAX
+    if len(paths) <= PATH_LIST_MAX:
+        return paths, True
     parents = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else _parent_globs(files)
     return [g[: -len("*.xml")] + "*" + suffix for g in parents], False
 

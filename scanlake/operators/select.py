@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from scanlake.functions import pin
 from scanlake.functions.ip import ip_num
-from scanlake.sources.selectors import host_ranges, keyword, port_list, selector_tokens
+from scanlake.sources.selectors import host_ranges, port_list, selector_keyword, selector_tokens
 
 RANGE_FILTER_MAX = 64
 PORT_ISIN_MAX = 4096
@@ -70,23 +70,21 @@ def new_hosts(df: DataFrame, catalog: DataFrame, ip_col: str = "ip") -> DataFram
 
 def select_hosts(spark: SparkSession, df: DataFrame, hosts, catalog: DataFrame | None = None) -> DataFrame:
     """``-hosts``: F1 (``all``), F2 (``new``, needs the report catalog) or F3."""
-    toks = selector_tokens(spark, hosts)
-    kw = keyword(toks)
+    kw = selector_keyword(spark, hosts)
     if kw == "all":
         return df
     if kw == "new":
         if catalog is None:
             raise ValueError("'new' needs the report catalog")
         return new_hosts(df, catalog)
-    return select_cidr(df, host_ranges(toks))
+    return select_cidr(df, host_ranges(selector_tokens(spark, hosts)))
 
 
 def select_by_ports(spark: SparkSession, df: DataFrame, ports) -> DataFrame:
     """``-ports``: F1 (``all``) or F4."""
-    toks = selector_tokens(spark, ports)
-    if keyword(toks) == "all":
+    if selector_keyword(spark, ports) == "all":
         return df
-    return select_ports(df, port_list(toks))
+    return select_ports(df, port_list(selector_tokens(spark, ports)))
 
 
 def limit_hosts(host_ports: DataFrame, max_ports_exclusive: int | None) -> DataFrame:

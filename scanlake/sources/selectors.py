@@ -34,6 +34,21 @@ def keyword(tokens: DataFrame) -> str | None:
     return None
 
 
+def selector_keyword(spark: SparkSession, spec) -> str | None:
+    """:func:`keyword` for a selector spec: a string or list is decided on the driver,
+    without a job; only a selector file is read (two tokens at most)."""
+    from scanlake.fixtures import path_exists
+
+    if isinstance(spec, (list, tuple)):
+        words = [str(t).strip() for t in spec]
+    elif spec in ("all", "new") or not path_exists(spark, spec):
+        words = [t.strip() for t in str(spec).split(",")]
+    else:
+        return keyword(selector_tokens(spark, spec))
+    words = [w for w in words if w]
+    return words[0] if len(words) == 1 and words[0] in ("all", "new") else None
+
+
 def host_ranges(tokens: DataFrame) -> DataFrame:
     """Address selectors → ``prefix int, lo bigint, hi bigint``; a bad token fails the job.
 
