@@ -545,8 +545,8 @@ def a12_report_count(spark, sf):
     return rp.report_count(rp.reports_by_host(spark, _catalog(spark, sf), "all"), ".xml")
 
 
-_PORTS_CSV = "pc as (select ip, string_agg(distinct cast(port as varchar), ',' order by cast(port as varchar)) as _x, " \
-             "array_to_string(list_sort(list_distinct(list(port))), ',') as ports_csv from svc group by ip)"
+_PORTS_CSV = "pc as (select ip, array_to_string(list_sort(list_distinct(list(port))), ',') as ports_csv " \
+             "from svc group by ip)"
 
 
 @q("s21_report_header", w(OBS, SVC, _EVEN, _PORTS_CSV) + """
