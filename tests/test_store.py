@@ -3,7 +3,6 @@
 import pytest
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import functions as F
 
 from scanlake.operators.domains import update_domains
 from scanlake.store import Inventory, add_scan, create_generic

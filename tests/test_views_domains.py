@@ -1,7 +1,6 @@
 """A1-A6, P1-P6, domains."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from scanlake.operators import domains as dom
 from scanlake.operators import views as vw
