@@ -62,9 +62,13 @@ class Inventory:
         log = self._log()
         if log is None:
             return None, [], 1
-        top = log.agg(F.max("version").alias("v"), F.max("batch_id").alias("b")).first()
-        batches = [r.batch_id for r in log.where(F.col("version") == top.v).select("batch_id").distinct().collect()]
-        return top.v, batches, top.b + 1
+        # one small read: the log holds one row per commit
+        rows = [(r.version, r.batch_id) for r in log.select("version", "batch_id").collect()]
+        if not rows:
+            return None, [], 1
+        v = max(x for x, _ in rows)
+        batches = sorted({b for x, b in rows if x == v})
+        return v, batches, max(b for _, b in rows) + 1
 
     def _commit(self, version: int, batch_id: int, op: str) -> None:
         (self.spark.createDataFrame([(version, batch_id, op)], "version int, batch_id long, op string")
