@@ -79,3 +79,8 @@ def test_partial_aggregation(spark, stored):
 def test_projection_pruned(spark, stored):
     p = plan(vw.host_ports(stored), "formatted")
     assert "ReadSchema: struct<ip:string,port:int>" in p
+
+
+def test_port_list_reaches_scan(spark, stored):
+    p = plan(sel.select_by_ports(spark, stored, "22,443"), "formatted")
+    assert "PushedFilters: [IsNotNull(port), In(port, [22,443]" in p
