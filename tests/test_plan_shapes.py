@@ -1,6 +1,7 @@
 """Plan guards: the physical plans keep the scale properties the README claims."""
 
 import contextlib
+import re
 import io
 
 import pytest
@@ -83,4 +84,4 @@ def test_projection_pruned(spark, stored):
 
 def test_port_list_reaches_scan(spark, stored):
     p = plan(sel.select_by_ports(spark, stored, "22,443"), "formatted")
-    assert "PushedFilters: [IsNotNull(port), In(port, [22,443]" in p
+    assert re.search(r"PushedFilters: \[.*In\(port, \[22,443\]\)", p)
