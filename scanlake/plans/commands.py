@@ -76,7 +76,8 @@ def scan_show(spark: SparkSession, inventory: str, hosts=None, ports=None, dns:
     if hosts is not None:
         total = vw.total_targets(df).first().total
         if raw:
-            out = vw.host_listing_raw(df, dns, max_ports_exclusive, domains_mode).orderBy(*order("ip_num", "ip", "port", "k"))
+            out = vw.host_listing_raw(df, dns, max_ports_exclusive, domains_mode).orderBy(
+                *order("ip_num", "ip", "port", "k"))
         else:
             out = vw.host_listing(df, dns, max_ports_exclusive, domains_mode).orderBy(*order("ip_num", "ip"))
         return total, out
@@ -128,7 +129,8 @@ def report_show(spark: SparkSession, reports_dir: str, hosts=None, ports=None) -
     """``report -show``: (report count A12, text reports with separators R4, ordered)."""
     selected = _reports(spark, reports_dir, hosts, ports)
     n = rp.report_count(selected, ".nmap").first().n_reports
-    return n, rp.show_text(spark, selected, [reports_dir]).orderBy(*order("k_ip", "path", "sep", "k_block", "k_row"))
+    shown = rp.show_text(spark, selected, [reports_dir])
+    return n, shown.orderBy(*order("k_ip", "path", "sep", "k_block", "k_row"))
 
 
 # -------------------------------------------------------------------- parse
