@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 8 << 20       # text of one block
-CHUNK_BYTES = 1 << 20       # text whose arrays are held at one time
+BLOCK_BYTES = 4 << 20       # text of one block; raise it where Python workers have more than 400 MB each
+CHUNK_BYTES = 1 << 18       # text whose arrays are held at one time
 
 U = np.uint64
 _MULT = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
