@@ -150,6 +150,25 @@ def unpack_counts(blob: bytes, n: int) -> np.ndarray:
     return c
 
 
+def pack_ints(a: np.ndarray) -> bytes:
+    """Integers in any order, each in the fewest bytes that hold them all above their least."""
+    if not len(a):
+        return b""
+    low = a.min()
+    d = (a.astype(U) - low.astype(U))
+    w = max(1, (int(d.max()).bit_length() + 7) // 8)
+    return bytes([w]) + low.astype(np.int64).tobytes() + d.view(np.uint8).reshape(-1, 8)[:, :w].tobytes()
+
+
+def unpack_ints(blob: bytes) -> np.ndarray:
+    if not blob:
+        return np.zeros(0, np.int64)
+    a = np.frombuffer(blob, np.uint8, offset=9).reshape(-1, blob[0])
+    out = np.zeros((len(a), 8), np.uint8)
+    out[:, : blob[0]] = a
+    return (out.view(U).ravel() + np.frombuffer(blob, np.int64, count=1, offset=1).astype(U)).astype(np.int64)
+
+
 # ---- blocks in Spark -----------------------------------------------------
 
 def parts(spark: SparkSession, n_bytes: int) -> int:

@@ -39,6 +39,7 @@ QGRAM = 20
 HOT_PIECES = 64
 SORT_SYMBOLS = 1 << 20          # symbols sorted at one time
 LAST_ID = np.iinfo(np.int64).max
+CUT = np.uint64(24)             # low bits of an anchor's hash that aren't sent; a piece's own hash has all 64
 U = np.uint64
 
 RESULT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
@@ -93,7 +94,7 @@ def anchors(dat: np.ndarray, off: np.ndarray, length: int, q: int):
     cut = np.flatnonzero((np.diff(anchor, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
     a = start[cut]
     b = start[np.append(cut[1:], len(start)) - 1]
-    return h[anchor[cut]], B.span_hash(cum, a, b + length), doc[cut], a, b
+    return (h[anchor[cut]] >> CUT) << CUT, B.span_hash(cum, a, b + length), doc[cut], a, b
 
 
 def _distinct(h, p, ids):
@@ -107,6 +108,17 @@ def _distinct(h, p, ids):
     return h[f], p[f], ids[f], place
 
 
+def merged(spans: np.ndarray) -> np.ndarray:
+    """(document, start, end) rows with those that meet made one."""
+    if not len(spans):
+        return spans.reshape(0, 3)
+    spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+    far = spans[:, 0] * (1 << 40)
+    reach = np.maximum.accumulate(far + spans[:, 2])
+    cut = np.flatnonzero(np.append(True, (far + spans[:, 1])[1:] > reach[:-1]))
+    return np.stack([spans[cut, 0], spans[cut, 1], reach[np.append(cut[1:], len(spans)) - 1] - far[cut]], 1)
+
+
 def _ask(nb: int, length: int, q: int):
     edges = B.bounds(nb)
 
@@ -123,8 +135,8 @@ def _ask(nb: int, length: int, q: int):
             cut = np.append(np.searchsorted(h, edges), len(h))
             for k in np.flatnonzero(np.diff(cut)):
                 s = slice(cut[k], cut[k + 1])
-                for name, v in zip(out, (k, table["blk"][0].as_py(), B.pack_keys(h[s], edges[k]), p[s].tobytes(),
-                                         d[s].tobytes())):
+                for name, v in zip(out, (k, table["blk"][0].as_py(), B.pack_keys(h[s] >> CUT, edges[k] >> CUT),
+                                         p[s].tobytes(), B.pack_ints(d[s]))):
                     out[name].append(v)
         return B.rows_table(_ASK, out)
 
@@ -137,10 +149,10 @@ def _tell(nb: int):
     def tell(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         base = edges[rows[0]["bucket"]]
-        hs = [B.unpack_keys(r["keys"], base) for r in rows]
+        hs = [B.unpack_keys(r["keys"], base >> CUT) << CUT for r in rows]
         h = np.concatenate(hs)
         p = np.concatenate([np.frombuffer(r["pieces"], U) for r in rows])
-        d = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in rows])
+        d = np.concatenate([B.unpack_ints(r["ids"]) for r in rows])
         uh, _, least, place = _distinct(h, p, d)
         new = np.ones(len(uh), bool)
         new[1:] = uh[1:] != uh[:-1]
@@ -199,26 +211,27 @@ def _send(nb: int, length: int, q: int):
             sent = np.zeros((0, 3), np.int64)
             if keys:
                 key, sid, size, byte, row, at = (np.concatenate(x) for x in (keys, sent_ids, lens, data, doc, pos))
-                # one of each (key, bytes): equal rows of a block share the answer of the least id
+                # one of each (key, bytes); what else has these bytes shares the answer
                 begin = np.cumsum(size) - size
                 cum = B.prefix_hash(byte, B.RAW)
                 kk, pp, dd, place = _distinct(key, B.span_hash(cum, begin, begin + size), sid)
                 pick = np.empty(len(kk), np.int64)
                 pick[place[::-1]] = np.arange(len(place))[::-1]
-                sent = np.stack([place, row, at], 1)[sid == dd[place]]
-                later = sid > dd[place]
-                known.append(np.stack([row, at, at + size], 1)[later])
+                own = sid == dd[place]
+                sent = np.stack([place, row, at], 1)[own]
+                known.append(np.stack([row, at, at + size], 1)[~own])     # single windows of a hot anchor
                 cut = np.append(np.searchsorted(kk, edges), len(kk))
                 for k in np.flatnonzero(np.diff(cut)):
                     s = slice(cut[k], cut[k + 1])
                     z, g = size[pick[s]], begin[pick[s]]
                     ends = np.cumsum(z)
                     body = byte[np.repeat(g - (ends - z), z) + np.arange(ends[-1])]
-                    for name, v in zip(out, (k, blk, kk[s].tobytes(), dd[s].tobytes(), z.astype(np.uint8).tobytes(),
+                    for name, v in zip(out, (k, blk, kk[s].tobytes(), B.pack_ints(dd[s]), z.astype(np.uint8).tobytes(),
                                              body.tobytes(), None, None)):
                         out[name].append(v)
             for name, v in zip(out, (blk % nb, blk, None, None, None, None,
-                                     np.concatenate(known).astype(np.int64).tobytes(), sent.tobytes())):
+                                     B.pack_ints(merged(np.concatenate(known)).ravel()),
+                                     B.pack_ints(sent.ravel()))):
                 out[name].append(v)
         return B.rows_table(_SEND, out)
 
@@ -281,7 +294,9 @@ def _sort(length: int):
                     out[name].append(v)
         if sent:
             key = np.concatenate([np.frombuffer(r["keys"], U) for r in sent])
-            ids = np.concatenate([np.frombuffer(r["ids"], np.int64) for r in sent])
+            ids = [B.unpack_ints(r["ids"]) for r in sent]
+            cut = np.cumsum([len(x) for x in ids])
+            ids = np.concatenate(ids)
             size = np.concatenate([np.frombuffer(r["lens"], np.uint8) for r in sent]).astype(np.int64)
             data = np.concatenate([np.frombuffer(r["bytes"], np.uint8) for r in sent])
             begin = np.cumsum(size) - size
@@ -294,7 +309,6 @@ def _sort(length: int):
             masks = least_in_windows(body, z, uk, least, length)[place]
             whole = (U(1) << (size - length + 1).astype(U)) - U(1)
             masks = np.where(least[place] < ids, whole, masks)
-            cut = np.cumsum([len(r["ids"]) // 8 for r in sent])
             for r, m in zip(sent, np.split(masks, cut[:-1])):
                 for name, v in zip(out, (r["blk"], r["bucket"], m.tobytes(), None, None)):
                     out[name].append(v)
@@ -307,8 +321,8 @@ def _remove(length: int):
     def remove(table: pa.Table, back: pa.Table) -> pa.Table:
         table = in_order(table)
         rows = sorted(back.to_pylist(), key=lambda r: r["bucket"])
-        gone = [np.frombuffer(r["known"], np.int64).reshape(-1, 3) for r in rows if r["bucket"] < 0]
-        used = [np.frombuffer(r["used"], np.int64).reshape(-1, 3) for r in rows if r["bucket"] < 0]
+        gone = [B.unpack_ints(r["known"]).reshape(-1, 3) for r in rows if r["bucket"] < 0]
+        used = [B.unpack_ints(r["used"]).reshape(-1, 3) for r in rows if r["bucket"] < 0]
         masks = [np.frombuffer(r["masks"], U) for r in rows if r["bucket"] >= 0]
         if used and masks:
             used, masks = np.concatenate(used), np.concatenate(masks)
