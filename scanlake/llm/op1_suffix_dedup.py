@@ -37,7 +37,7 @@ from scanlake.llm.grouping import suffix_arrays
 LENGTH = 50
 QGRAM = 20
 HOT_PIECES = 64
-SORT_SYMBOLS = 1 << 20          # symbols sorted at one time
+SORT_SYMBOLS = 1 << 18          # symbols sorted at one time
 LAST_ID = np.iinfo(np.int64).max
 CUT = np.uint64(24)             # low bits of an anchor's hash that aren't sent; a piece's own hash has all 64
 U = np.uint64
