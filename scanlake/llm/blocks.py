@@ -69,6 +69,20 @@ def span_hash(cum, start, end):
     return mix((cum[end] - cum[start]) * inverse[start] + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
 
 
+def take_spans(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The spans' elements, one span after the other; index arrays are held for a part of them at a time."""
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, data.dtype)
+    i = 0
+    while i < len(size):
+        base = ends[i - 1] if i else 0
+        j = max(i + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+        n = size[i:j]
+        out[base: ends[j - 1]] = data[np.repeat(begin[i:j] - (ends[i:j] - n - base), n) + np.arange(ends[j - 1] - base)]
+        i = j
+    return out
+
+
 def words(data: np.ndarray, offs: np.ndarray):
     """Start, end and document index of each word ``[^\\x20\\x09-\\x0D]+``; ``offs`` bounds the documents."""
     n = len(data)

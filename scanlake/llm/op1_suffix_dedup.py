@@ -123,6 +123,7 @@ def _ask(nb: int, length: int, q: int):
     edges = B.bounds(nb)
 
     def ask(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         table = in_order(table)
         ids = ids_of(table)
         hs, ps, ds = [], [], []
@@ -147,6 +148,7 @@ def _tell(nb: int):
     edges = B.bounds(nb)
 
     def tell(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         rows = table.to_pylist()
         base = edges[rows[0]["bucket"]]
         hs = [B.unpack_keys(r["keys"], base >> CUT) << CUT for r in rows]
@@ -171,6 +173,7 @@ def _send(nb: int, length: int, q: int):
     edges = B.bounds(nb)
 
     def send(table: pa.Table, told: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         table = in_order(table)
         out = {f.name: [] for f in _SEND}
         if not table.num_rows:
@@ -183,9 +186,9 @@ def _send(nb: int, length: int, q: int):
             flags = np.zeros(0, np.uint8)
             for r in sorted(told.to_pylist(), key=lambda r: r["bucket"]):
                 flags = np.concatenate([flags, np.frombuffer(r["flags"], np.uint8)])
-            known, keys, sent_ids, lens, data, doc, pos = [], [], [], [], [], [], []
+            known, keys, hashes, sent_ids, lens, data, doc, pos = [], [], [], [], [], [], [], []
             i = 0
-            for first, dat, off, rh, _, d, a, b in runs:
+            for first, dat, off, rh, rp, d, a, b in runs:
                 u = place[i: i + len(rh)]
                 i += len(rh)
                 row = first + d
@@ -201,20 +204,20 @@ def _send(nb: int, length: int, q: int):
                         s = np.repeat(s, n)
                         at = a[s] + np.arange(len(s)) - np.repeat(np.cumsum(n) - n, n)
                         size = np.full(len(s), length)
-                        key = B.span_hash(B.prefix_hash(dat, B.RAW), at, at + length)
+                        key = piece = B.span_hash(B.prefix_hash(dat, B.RAW), at, at + length)
                     else:
-                        at, size, key = a[s], (b - a)[s] + length, rh[s]
-                    ends = np.cumsum(size)
-                    byte = dat[np.repeat(at - (ends - size), size) + np.arange(ends[-1])]
-                    keys.append(key), sent_ids.append(ids[row[s]]), lens.append(size), data.append(byte)
+                        at, size, key, piece = a[s], (b - a)[s] + length, rh[s], rp[s]
+                    byte = B.take_spans(dat, at, size)
+                    keys.append(key), hashes.append(piece), sent_ids.append(ids[row[s]]), lens.append(size), data.append(byte)
                     doc.append(row[s]), pos.append(at - local[s])
             sent = np.zeros((0, 3), np.int64)
             if keys:
-                key, sid, size, byte, row, at = (np.concatenate(x) for x in (keys, sent_ids, lens, data, doc, pos))
+                key, piece, sid, size, byte, row, at = (
+                    np.concatenate(x) for x in (keys, hashes, sent_ids, lens, data, doc, pos))
+                del data
                 # one of each (key, bytes); what else has these bytes shares the answer
                 begin = np.cumsum(size) - size
-                cum = B.prefix_hash(byte, B.RAW)
-                kk, pp, dd, place = _distinct(key, B.span_hash(cum, begin, begin + size), sid)
+                kk, _, dd, place = _distinct(key, piece, sid)
                 pick = np.empty(len(kk), np.int64)
                 pick[place[::-1]] = np.arange(len(place))[::-1]
                 own = sid == dd[place]
@@ -223,9 +226,8 @@ def _send(nb: int, length: int, q: int):
                 cut = np.append(np.searchsorted(kk, edges), len(kk))
                 for k in np.flatnonzero(np.diff(cut)):
                     s = slice(cut[k], cut[k + 1])
-                    z, g = size[pick[s]], begin[pick[s]]
-                    ends = np.cumsum(z)
-                    body = byte[np.repeat(g - (ends - z), z) + np.arange(ends[-1])]
+                    z = size[pick[s]]
+                    body = B.take_spans(byte, begin[pick[s]], z)
                     for name, v in zip(out, (k, blk, kk[s].tobytes(), B.pack_ints(dd[s]), z.astype(np.uint8).tobytes(),
                                              body.tobytes(), None, None)):
                         out[name].append(v)
@@ -285,6 +287,7 @@ def least_in_windows(data: np.ndarray, size: np.ndarray, key: np.ndarray, ids: n
 
 def _sort(length: int):
     def sort(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         rows = table.to_pylist()
         sent = [r for r in rows if r["keys"] is not None]
         out = {"blk": [], "bucket": [], "masks": [], "known": [], "used": []}
@@ -298,14 +301,18 @@ def _sort(length: int):
             cut = np.cumsum([len(x) for x in ids])
             ids = np.concatenate(ids)
             size = np.concatenate([np.frombuffer(r["lens"], np.uint8) for r in sent]).astype(np.int64)
-            data = np.concatenate([np.frombuffer(r["bytes"], np.uint8) for r in sent])
+            piece = []
+            for r in sent:
+                z = np.frombuffer(r["lens"], np.uint8).astype(np.int64)
+                end = np.cumsum(z)
+                piece.append(B.span_hash(B.prefix_hash(np.frombuffer(r["bytes"], np.uint8), B.RAW), end - z, end))
+            data = np.concatenate([np.frombuffer(r.pop("bytes"), np.uint8) for r in sent])
             begin = np.cumsum(size) - size
-            uk, up, least, place = _distinct(key, B.span_hash(B.prefix_hash(data, B.RAW), begin, begin + size), ids)
+            uk, _, least, place = _distinct(key, np.concatenate(piece), ids)
             pick = np.empty(len(uk), np.int64)
             pick[place[::-1]] = np.arange(len(place))[::-1]
             z = size[pick]
-            ends = np.cumsum(z)
-            body = data[np.repeat(begin[pick] - (ends - z), z) + np.arange(ends[-1])]
+            body = B.take_spans(data, begin[pick], z)
             masks = least_in_windows(body, z, uk, least, length)[place]
             whole = (U(1) << (size - length + 1).astype(U)) - U(1)
             masks = np.where(least[place] < ids, whole, masks)
@@ -319,6 +326,7 @@ def _sort(length: int):
 
 def _remove(length: int):
     def remove(table: pa.Table, back: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         table = in_order(table)
         rows = sorted(back.to_pylist(), key=lambda r: r["bucket"])
         gone = [B.unpack_ints(r["known"]).reshape(-1, 3) for r in rows if r["bucket"] < 0]
