@@ -83,13 +83,13 @@ def take_spans(data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndar
     return out
 
 
-def words(data: np.ndarray, offs: np.ndarray):
-    """Start, end and document index of each word ``[^\\x20\\x09-\\x0D]+``; ``offs`` bounds the documents."""
+def words(data: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE):
+    """Start, end and document index of each word, by default ``[^\\x20\\x09-\\x0D]+``; ``offs`` bounds the documents."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    ink = ~SPACE[data]
+    ink = ~space[data]
     before = np.empty(n, bool)
     before[0] = False
     before[1:] = ink[:-1]
