@@ -36,9 +36,9 @@ SAMPLE = 2500
 SAMPLE_CHARS = 20_000
 FOLD = "crc32(coalesce(cast({}doc_id as string), '')) % 5"
 TEST_FOLD = 0
-MIN_CONTEXTS = 4                # a toxic word stands in so many different contexts
-MIN_ODDS = 8.0                  # is so many times as frequent in toxic documents
-MIN_SHARE = 0.06                # and is in so large a share of them: rarer ones are topics of a few documents
+MIN_CONTEXTS = 4                # a toxic word stands in so many different contexts at least,
+CONTEXT_SHARE = 1 / 300         # and in one for so many toxic documents,
+MIN_ODDS = 8.0                  # and is so many times as frequent in toxic documents
 VOCABULARY = 4000
 SEGMENT = 32
 ROUNDS = 60
@@ -190,8 +190,7 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     odds = (docs_with[1] + 0.1) / n_lab[1] / ((docs_with[0] + 1) / n_lab[0])
     toxic_rows = np.unique(np.stack([word, left, right], 1)[labels[doc] == 1], axis=0)
     contexts = np.minimum(*(np.bincount(np.unique(toxic_rows[:, [0, c]], axis=0)[:, 0], minlength=len(words)) for c in (1, 2)))
-    toxic = (odds >= MIN_ODDS) & (contexts >= MIN_CONTEXTS) & (contexts >= 0.5 * docs_with[1]) & (
-        docs_with[1] >= MIN_SHARE * n_lab[1])
+    toxic = (odds >= MIN_ODDS) & (contexts >= max(MIN_CONTEXTS, CONTEXT_SHARE * n_lab[1])) & (contexts >= 0.5 * docs_with[1])
     tag = (toxic[word] & (labels[doc] == 1)).astype(np.int64)
 
     # vocabulary: toxic words, then the words that tell most, then the most frequent
