@@ -104,8 +104,8 @@ def words(data: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE):
     return start, end, np.searchsorted(offs, start, side="right") - 1
 
 
-def chunks(column: pa.Array):
-    """(first row, bytes, offsets) of runs of rows of a string column, about ``CHUNK_BYTES`` each; null is empty."""
+def chunks(column: pa.Array, size: int = CHUNK_BYTES):
+    """(first row, bytes, offsets) of runs of rows of a string column, about ``size`` bytes each; null is empty."""
     for part in column.chunks if isinstance(column, pa.ChunkedArray) else [column]:
         part = part.cast(pa.large_binary()).fill_null(b"")
         if not len(part):
@@ -115,7 +115,7 @@ def chunks(column: pa.Array):
         dat = np.frombuffer(dat, np.uint8) if dat is not None else np.zeros(0, np.uint8)
         i = 0
         while i < len(part):
-            j = max(i + 1, int(np.searchsorted(off, off[i] + CHUNK_BYTES, side="right")) - 1)
+            j = max(i + 1, int(np.searchsorted(off, off[i] + size, side="right")) - 1)
             yield i, dat[off[i]: off[j]], off[i: j + 1] - off[i]
             i = j
 

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from bisect import bisect_left, insort
 
 import numpy as np
@@ -32,7 +33,8 @@ END = 1
 ITEMS = 20_000                  # items of one task
 FAN_IN = 8                      # partitions merged into one by a round
 SLACK = (16, 64, 256, 1024)     # tokens that a nearly full bin may lack, by round; the last round emits all
-WORD_CACHE = 200_000            # words whose ids a Python worker keeps
+WORDS_OF = 2 << 20              # bytes of text whose distinct words are looked up together
+WORD_CACHE = 400_000            # words in each of a Python worker's two tables
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -46,29 +48,65 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+#: Signs at a word's end that the tokenizer takes as a run of their own after an ASCII letter.
+_TAIL = np.zeros(256, bool)
+_TAIL[[ord(c) for c in ".,!?;:%&*$#"]] = True
+
+
+def units(dat: np.ndarray, off: np.ndarray):
+    """Start, end and document of what can be tokenised alone: words, and signs at the end of a word."""
+    start, end, doc = B.words(dat, off)
+    stem = end.copy()
+    open_ = np.arange(len(end))
+    while len(open_):
+        open_ = open_[_TAIL[dat[stem[open_] - 1]] & (stem[open_] - 1 > start[open_])]
+        stem[open_] -= 1
+    stem = np.where(_LETTER[dat[stem - 1]], stem, end) if len(stem) else stem
+    edge = np.stack([start, stem, end], 1)
+    s, e, d = edge[:, :2].ravel(), edge[:, 1:].ravel(), np.repeat(doc, 2)
+    keep = e > s
+    return s[keep], e[keep], d[keep]
+
+
 class WordTokenizer:
-    """Ids of whole texts, word by word: the tokenizer drops white space, so words are independent of each other."""
+    """Ids of whole texts, word by word: the tokenizer drops white space, so words are independent of each other.
+
+    Ids are kept per word; ASCII letters alone are looked up in lower case, as the tokenizer has it.  Of the two
+    tables of kept words the older goes when the newer is full, so frequent words stay.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.seen: dict[bytes, bytes] = {}
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def ids(self, words: list[bytes]) -> list[bytes]:
+        found = [self.new.get(w) or self.old.get(w) for w in words]
+        todo = [k for k, f in enumerate(found) if f is None]
+        if len(self.new) + len(words) > WORD_CACHE:
+            self.old, self.new = self.new, {}
+        for k, enc in zip(todo, self.tok.encode_batch_fast([words[k].decode() for k in todo], add_special_tokens=False)):
+            found[k] = array("I", enc.ids).tobytes()
+        self.new.update(zip(words, found))
+        return found
 
     def documents(self, dat: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
-        start, end, doc = B.words(dat, off)
+        start, end, doc = units(dat, off)
         n_docs = len(off) - 1
-        h = B.span_hash(B.prefix_hash(dat, B.RAW), start, end)
+        other = np.append(0, np.cumsum(~_LETTER[dat]))
+        plain = other[end] == other[start]                       # letters only: folding is safe
+        h = np.where(plain, B.span_hash(B.prefix_hash(dat, B.FOLD), start, end),
+                     B.span_hash(B.prefix_hash(dat, B.RAW), start, end))
         _, pick, place = np.unique(h, return_index=True, return_inverse=True)
         raw = dat.tobytes()
-        words = [raw[s:e] for s, e in zip(start[pick].tolist(), end[pick].tolist())]
-        new = [w for w in words if w not in self.seen]
-        if len(self.seen) + len(new) > WORD_CACHE:
-            self.seen, new = {}, words
-        for w, enc in zip(new, self.tok.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            self.seen[w] = np.array(enc.ids, "<u4").tobytes()
-        blobs = [self.seen[w] for w in words]
+        words = [raw[s:e].lower() if p else raw[s:e]
+                 for s, e, p in zip(start[pick].tolist(), end[pick].tolist(), plain[pick].tolist())]
+        blobs = self.ids(words)
         n = np.array([len(b) // 4 for b in blobs], np.int64)
         flat = np.frombuffer(b"".join(blobs), "<u4")
         first = np.cumsum(n) - n
@@ -84,7 +122,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False)
         tok = WordTokenizer(path)
         for batch in batches:
             ids = batch["doc_id"].to_pylist()
-            for first, dat, off in B.chunks(batch["text"]):
+            for first, dat, off in B.chunks(batch["text"], WORDS_OF):
                 out = {f.name: [] for f in _PIECES}
                 for k, doc in enumerate(tok.documents(dat, off)):
                     doc = np.append(doc, np.array([END], "<u4"))
