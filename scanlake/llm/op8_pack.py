@@ -18,6 +18,7 @@ import os
 import zlib
 from array import array
 from bisect import bisect_left, insort
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -115,11 +116,17 @@ class WordTokenizer:
         return np.split(ids, np.cumsum(per_doc)[:-1])
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per Python worker, so that tasks share the words it keeps."""
+    return WordTokenizer(path)
+
+
 def pieces(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 and, if wanted, ids of each piece."""
 
     def cut(batches):
-        tok = WordTokenizer(path)
+        tok = word_tokenizer(path)
         for batch in batches:
             ids = batch["doc_id"].to_pylist()
             for first, dat, off in B.chunks(batch["text"], WORDS_OF):
