@@ -195,10 +195,42 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 
 
 def blocked(docs: DataFrame, n: int, *extra) -> DataFrame:
-    """(blk, doc_id, text, extra...) dealt into ``n`` blocks; null text is empty."""
+    """(blk, rows): documents (doc_id, text, extra...) dealt into ``n`` blocks; null text is empty.
+
+    What a task sends to a block travels as one compressed Arrow stream, which ``block_rows`` reads: much smaller
+    than single rows, and a block is shuffled once however many passes read it.
+    """
+    schema = "blk int, rows binary"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
         .select(F.expr(f"cast(pmod(xxhash64(doc_id, text), {n}) as int)").alias("blk"), "doc_id", "text", *extra) \
-        .repartition(n, "blk")
+        .mapInArrow(_to_blocks, schema).repartition(n, "blk")
+
+
+def _to_blocks(batches):
+    option = pa.ipc.IpcWriteOptions(compression="zstd")
+    for batch in batches:
+        blk = batch["blk"].to_numpy()
+        order = np.argsort(blk, kind="stable")
+        rows = batch.select(batch.schema.names[1:]).take(pa.array(order))
+        cut = np.flatnonzero(np.diff(blk[order], prepend=-1))
+        out = []
+        for i, j in zip(cut, np.append(cut[1:], len(blk))):
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema, options=option) as w:
+                w.write_batch(rows.slice(i, j - i))
+            out.append(sink.getvalue().to_pybytes())
+        if out:
+            yield pa.record_batch({"blk": pa.array(blk[order][cut], pa.int32()), "rows": pa.array(out, pa.binary())})
+
+
+def block_rows(table: pa.Table) -> pa.Table:
+    """The documents of a block's streams, with blk; the streams' order varies, so sort where order matters."""
+    pa.default_memory_pool().release_unused()
+    if not table.num_rows:
+        return pa.table({"blk": pa.array([], pa.int32()), "doc_id": pa.array([], pa.int64()),
+                         "text": pa.array([], pa.string()), "fold": pa.array([], pa.int32())})
+    rows = pa.concat_tables([pa.ipc.open_stream(b.as_buffer()).read_all() for b in table["rows"]])
+    return rows.append_column("blk", pa.array(np.full(rows.num_rows, table["blk"][0].as_py(), np.int32)))
 
 
 def rows_table(schema: pa.Schema, cols: dict) -> pa.Table:

@@ -61,6 +61,7 @@ def ddl(schema: pa.Schema) -> str:
 
 def in_order(table: pa.Table) -> pa.Table:
     """The block's documents in an order that is the same in every pass."""
+    table = B.block_rows(table)
     return table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")]))
 
 
