@@ -11,10 +11,10 @@ words.  Two documents link when 100 * overlap >= 75 * union.
    among the first n - ceil(0.75 n) + 1 entries, so only these are multiplied.
    Partial products are dropped by size (4 * smaller < 3 * larger) and by what
    the entries after the shared one could add at most.
-4. Overlaps of the surviving pairs are counted on whole rows.  A column's rows
-   first meet one of them only (two rounds, another each time), which joins the
-   bulk of a large group in as many products as it has rows; then rows of
-   different components meet.  So no link between components is missed and a
+4. Overlaps of the surviving pairs are counted on whole rows.  Each row first
+   meets one other, which joins the bulk of a large group in as many products
+   as it has rows; then a column's rows meet one of another component, and at
+   last all rows of a column that are in different components.  So no link between components is missed and a
    group of copies isn't expanded into all its pairs.
 
 Defined cases: no text, no words: empty set, linked with nothing, its own
@@ -83,7 +83,7 @@ def _ask(nb: int):
     edges = B.bounds(nb)
 
     def ask(table: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
+        table = B.block_rows(table)
         _, keys, counts = _block(table)
         cut = np.append(np.searchsorted(keys, edges >> CUT), len(keys))
         out = {f.name: [] for f in _ASK}
@@ -118,7 +118,7 @@ def _tell(nb: int):
 
 def _rows(table: pa.Table, told: pa.Table) -> pa.Table:
     """One row per document; feats and shingles only where enough shingles occur elsewhere."""
-    pa.default_memory_pool().release_unused()
+    table = B.block_rows(table)
     out = {f.name: [] for f in _ROWS}
     if table.num_rows:
         sets, keys, _ = _block(table)
@@ -184,22 +184,27 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
                               (F.col("pos") + F.col("unshared")).alias("pos")), "entries")
 
     one = F.struct("n", "pos", "cid")
-    links = None
-    label = None
-    for salt in (1, 2):
-        own = entries if label is None else entries.join(label, "cid", "left").withColumn(
-            "component", F.coalesce("component", "cid"))
-        met = entries.groupBy("f").agg(F.min_by(one, F.xxhash64("cid", F.lit(salt))).alias("p"), F.count("*").alias("k")) \
+
+    def met(salt):
+        """A row of each column that has several, the same for all columns of a group as far as they share it."""
+        return entries.groupBy("f").agg(F.min_by(one, F.xxhash64("cid", F.lit(salt))).alias("p"), F.count("*").alias("k")) \
             .filter("k > 1").select("f", F.col("p.cid").alias("b"), F.col("p.n").alias("n_b"), F.col("p.pos").alias("pos_b"))
-        pairs = own.select("f", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a"),
-                           *(["component"] if label is not None else [])).join(met, "f").filter("a <> b").filter(_CLOSE)
-        if label is not None:
-            pairs = pairs.join(label.select(F.col("cid").alias("b"), F.col("component").alias("component_b")), "b", "left") \
-                .filter(F.col("component") != F.coalesce("component_b", "b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = written(_linked(pairs, classes), "links")
-        links = found if links is None else links.union(found)
-        label = written(components(links).withColumnRenamed("node", "cid"), "labels")
+
+    side_a = [F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a")]
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+
+    # first, each row meets one other, of its last such column: as many products as rows
+    pairs = entries.select("f", *side_a).join(met(1), "f").filter("a <> b").filter(_CLOSE) \
+        .groupBy("a").agg(F.max_by("b", F.struct("pos_a", "b")).alias("b"))
+    links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
+    label = written(components(links).withColumnRenamed("node", "cid"), "labels")
+
+    # then, each column's rows meet one of them that is still in another component
+    own = entries.join(label, "cid", "left").select("f", *side_a, F.coalesce("component", "cid").alias("c_a"))
+    pairs = own.join(met(2), "f").filter("a <> b").filter(_CLOSE).join(
+        label.select(F.col("cid").alias("b"), "component"), "b", "left").filter("c_a <> coalesce(component, b)")
+    links = links.union(written(_linked(pairs.select(*ordered).distinct(), classes), "links"))
+    label = written(components(links).withColumnRenamed("node", "cid"), "labels")
 
     own = entries.join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     split = own.groupBy("f").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("f")
