@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from scanlake.session import new_path
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
+def written(df: DataFrame, kind: str, *partition: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and no lineage to lose with an executor."""
     path = new_path(df.sparkSession, f"llm_{kind}")
-    df.write.parquet(path)
+    df.write.partitionBy(*partition).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

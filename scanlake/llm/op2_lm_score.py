@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from scanlake.llm import blocks as B
 from scanlake.llm.components import written
 
-ITERATIONS = 10
+ITERATIONS = 8
 BUCKETS = 20                    # 0: unseen context, b: 2**(b-1) <= c(v) < 2**b, the last has all above
 HELD_OUT, DELETED = 1, 4        # remainders of crc32(doc_id) mod 5
 REMAINDER = "cast(crc32(coalesce(cast(doc_id as string), '')) % 5 as int) as fold"
@@ -37,8 +37,8 @@ U = np.uint64
 START, END = U(0x243F6A8885A308D3), U(0x13198A2E03707345)
 
 _ASK = pa.schema([("bucket", pa.int32()), ("blk", pa.int32()), ("keys", pa.binary()), ("all", pa.binary()),
-                  ("kept", pa.binary())])
-_TELL = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("all", pa.binary()), ("kept", pa.binary()),
+                  ("gone", pa.binary())])
+_TELL = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("all", pa.binary()), ("gone", pa.binary()),
                    ("v_all", pa.int64()), ("v_kept", pa.int64())])
 _STATS = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("fold", pa.int32()), ("n_tokens", pa.int64()),
                     ("n_known", pa.int64()), ("logs", pa.float64()), ("counts", pa.binary()), ("v_all", pa.int64()),
@@ -77,7 +77,7 @@ def _ask(nb: int):
     edges = B.bounds(nb) >> CUT
 
     def ask(table: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
+        table = B.block_rows(table)
         fold = table["fold"].to_numpy()
         out = {f.name: [] for f in _ASK}
         found, i = [], 0
@@ -87,15 +87,15 @@ def _ask(nb: int):
             for x in (tok, pair):
                 keys, place = np.unique(x, return_inverse=True)
                 found.append((keys, np.bincount(place, weights=f != HELD_OUT),
-                              np.bincount(place, weights=(f != HELD_OUT) & (f != DELETED))))
+                              np.bincount(place, weights=f == DELETED)))
         keys, place = np.unique(np.concatenate([k for k, _, _ in found]), return_inverse=True)
         total = np.bincount(place, weights=np.concatenate([a for _, a, _ in found])).astype(np.int64)
-        kept = np.bincount(place, weights=np.concatenate([k for _, _, k in found])).astype(np.int64)
+        gone = np.bincount(place, weights=np.concatenate([k for _, _, k in found])).astype(np.int64)
         cut = np.append(np.searchsorted(keys, edges), len(keys))
         for k in np.flatnonzero(np.diff(cut)):
             s = slice(cut[k], cut[k + 1])
             for name, v in zip(out, (k, table["blk"][0].as_py(), B.pack_keys(keys[s], edges[k]),
-                                     B.pack_counts(total[s]), B.pack_counts(kept[s]))):
+                                     B.pack_counts(total[s]), B.pack_counts(gone[s]))):
                 out[name].append(v)
         return B.rows_table(_ASK, out)
 
@@ -112,11 +112,14 @@ def _tell(nb: int):
         u, place = np.unique(np.concatenate(keys), return_inverse=True)
         cut = np.cumsum([len(k) for k in keys])[:-1]
         out = {"blk": [r["blk"] for r in rows] + [-1], "bucket": [r["bucket"] for r in rows] + [rows[0]["bucket"]]}
-        for name in ("all", "kept"):
+        sums = []
+        for name in ("all", "gone"):
             c = np.concatenate([B.unpack_counts(r[name], len(k)) for r, k in zip(rows, keys)])
-            c = np.bincount(place, weights=c).astype(np.int64)
-            out[name] = [B.pack_counts(x) for x in np.split(c[place], cut)] + [None]
-            out[f"v_{name}"] = [None] * len(rows) + [int(np.count_nonzero(c[(u & U(1)) > 0]))]
+            sums.append(np.bincount(place, weights=c).astype(np.int64))
+            out[name] = [B.pack_counts(x) for x in np.split(sums[-1][place], cut)] + [None]
+        word = (u & U(1)) > 0
+        for name, c in (("v_all", sums[0]), ("v_kept", sums[0] - sums[1])):
+            out[name] = [None] * len(rows) + [int(np.count_nonzero(c[word]))]
         return B.rows_table(_TELL, out)
 
     return tell
@@ -127,7 +130,7 @@ def _stats(nb: int):
 
     def stats(table: pa.Table, told: pa.Table) -> pa.Table:
         """kind doc: a document's sums and its tokens' counts; held: counts of deleted tokens; size: vocabularies."""
-        pa.default_memory_pool().release_unused()
+        table = B.block_rows(table)
         rows = told.to_pylist()
         out = {f.name: [] for f in _STATS}
 
@@ -143,7 +146,8 @@ def _stats(nb: int):
         runs = _runs(table)
         keys = np.unique(np.concatenate([np.unique(np.concatenate(r[:2])) for r in runs]))
         n = np.diff(np.append(np.searchsorted(keys, edges), len(keys)))
-        total, kept = (np.concatenate([B.unpack_counts(r[c], n[r["bucket"]]) for r in rows]) for c in ("all", "kept"))
+        total, gone = (np.concatenate([B.unpack_counts(r[c], n[r["bucket"]]) for r in rows]) for c in ("all", "gone"))
+        kept = total - gone
         ids, fold = table["doc_id"].to_pylist(), table["fold"].to_pylist()
         start = np.searchsorted(keys, (END >> CUT) | U(1))
         held = []
@@ -160,8 +164,10 @@ def _stats(nb: int):
                     held.append(np.stack([kept[pair[s]], np.append(kept[start], k[:-1]), k], 1))
                 i += 1
         if held:
-            cells, n = np.unique(np.concatenate(held), axis=0, return_counts=True)
-            put(kind="held", counts=np.column_stack([cells, n]).astype(np.int64).tobytes())
+            cells = np.concatenate(held)
+            _, pick, n = np.unique(B.mix(B.mix(B.mix(cells[:, 0].astype(U)) + cells[:, 1].astype(U)) + cells[:, 2].astype(U)),
+                                   return_index=True, return_counts=True)
+            put(kind="held", counts=np.column_stack([cells[pick], n]).astype(np.int64).tobytes())
         return B.rows_table(_STATS, out)
 
     return stats
@@ -228,7 +234,7 @@ def lm_scores(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     t = B.blocked(docs, nb, F.expr(REMAINDER))
     told = t.groupBy("blk").applyInArrow(_ask(nb), ddl(_ASK)) \
         .repartition(nb, "bucket").groupBy("bucket").applyInArrow(_tell(nb), ddl(_TELL))
-    stats = written(t.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(_stats(nb), ddl(_STATS)), "lm")
+    stats = written(t.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(_stats(nb), ddl(_STATS)), "lm", "kind")
     doc = stats.filter("kind = 'doc'")
     size = stats.filter("kind = 'size'").agg(F.sum("v_all"), F.sum("v_kept")).first()
     v_all, v_kept = (x or 0 for x in size)
