@@ -1,16 +1,70 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next."""
+"""The corpus pipeline: stages over ``documents``, each written as Parquet and read again by the next.
+
+Every stage but the last returns the columns of its input and sees all rows its
+predecessor kept:
+
+toxicity     documents scored 1/2 or more go
+near_copies  of each group of linked documents the one with the least id stays
+benchmark    documents that hold a benchmark item go
+pii          found spans are replaced by ``[kind]``; n_chars follows the text
+packing      what is left, tokenised and packed into sequences
+
+Rows without a doc_id can't be named, so near_copies keeps them all.  Rows that
+repeat an id and its text count as one document there; with different texts they
+stay together.  Empty tables pass through.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from scanlake.llm import op3_toxicity, op5_pii, op7_decontaminate, op8_pack, op10_jaccard_join
+from scanlake.llm.components import written
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = op3_toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    column = _unused(docs, "toxicity")
+    scored = op3_toxicity.score(docs, model, column)
+    return scored.filter(F.col(column)["score"] < 0.5).select(docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    groups = op10_jaccard_join.jaccard_components(docs)
+    stay = written(groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "stay")
+    one = docs.join(stay.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
+    several = docs.join(stay.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return one.unionByName(several).unionByName(docs.filter("doc_id is null")).select(docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    column = _unused(docs, "matches")
+    found = op7_decontaminate.search(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), column)
+    return found.filter(F.size(column) == 0).select(docs.columns)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op5_pii.redacted(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return op8_pack.pack_documents(docs)
+
 
-STAGES: list = []
+STAGES = [("toxicity", toxicity), ("near_copies", near_copies), ("benchmark", benchmark), ("pii", pii), ("packing", packing)]
 
-ORACLE_SQL = None
+ORACLE_SQL = None       # no SQL for a learned field, a latent space or a tokenizer; tests compare each stage with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_dir), f"stage_{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
