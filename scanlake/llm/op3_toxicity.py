@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from scanlake.llm import blocks as B
 
-SAMPLE = 2500
+SAMPLE = 1500
 SAMPLE_CHARS = 20_000
 FOLD = "crc32(coalesce(cast({}doc_id as string), '')) % 5"
 TEST_FOLD = 0
@@ -41,7 +41,7 @@ CONTEXT_SHARE = 1 / 300         # and in one for so many toxic documents,
 MIN_ODDS = 8.0                  # and is so many times as frequent in toxic documents
 VOCABULARY = 4000
 SEGMENT = 32
-ROUNDS = 60
+ROUNDS = 40
 
 #: Bytes that part words: ASCII but letters, digits and apostrophe; all of a letter in UTF-8 stays together.
 GAP = np.ones(256, bool)
@@ -207,7 +207,7 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     full = np.diff(np.append(seg_start, len(word))) == SEGMENT
     hot = np.flatnonzero((np.bincount(seg_id, weights=tag) > 0) & full)
     cold = np.flatnonzero((np.bincount(seg_id, weights=tag) == 0) & full)
-    cold = cold[:: max(1, len(cold) // (2 * len(hot) + 1000))]
+    cold = cold[:: max(1, len(cold) // (len(hot) + 1000))]
     pick = np.sort(np.concatenate([hot, cold]))
     weight, trans = np.zeros(len(vocab) + 2), np.zeros((2, 2))
     weight[-2] = -4.0
