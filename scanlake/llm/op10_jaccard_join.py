@@ -35,6 +35,7 @@ from scanlake.llm.components import components, written
 WORDS = 5
 SHARE = (75, 100)
 CUT = np.uint64(24)             # low bits of a shingle's hash that aren't sent to count its rows
+ROUNDS = 6                      # in which a column's rows meet one of another component, before all of them do
 U = np.uint64
 
 _ASK = pa.schema([("bucket", pa.int32()), ("blk", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -161,10 +162,26 @@ def _linked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 #: What is left of both rows after the shared entry must allow the overlap that a link needs, and sizes must be close.
-_CLOSE = (f"least(n_a, n_b) * {SHARE[1]} >= greatest(n_a, n_b) * {SHARE[0]} and "
+_SIZES = f"least(n_a, n_b) * {SHARE[1]} >= greatest(n_a, n_b) * {SHARE[0]}"
+_BEHIND = f"(ceil(n_{{}} * {SHARE[0]} / {SHARE[1]}) - 1)"
+_CLOSE = (f"{_SIZES} and "
           f"least(n_a - pos_a, n_b - pos_b) * {SHARE[0] + SHARE[1]} >= (n_a + n_b) * {SHARE[0]}")
 
 
+def _joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(cid, component) after more links; only links between components found so far go round."""
+    if label is None:
+        return written(components(links).withColumnRenamed("node", "cid"), "labels")
+    now = {x: label.select(F.col("cid").alias(x), F.col("component").alias(f"c_{x}")) for x in "ab"}
+    between = links.join(now["a"], "a", "left").join(now["b"], "b", "left") \
+        .select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")).filter("a <> b").distinct()
+    moved = written(components(between), "moved")
+    alone = moved.select(F.col("node").alias("cid")).join(label, "cid", "left_anti").withColumn("component", F.col("cid"))
+    return written(label.unionByName(alone).join(
+        moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
+        .select("cid", F.coalesce("to", "component").alias("component")), "labels")
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document."""
     nb = B.parts(docs.sparkSession, B.text_bytes(docs))
@@ -197,25 +214,32 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     pairs = entries.select("f", *side_a).join(met(1), "f").filter("a <> b").filter(_CLOSE) \
         .groupBy("a").agg(F.max_by("b", F.struct("pos_a", "b")).alias("b"))
     links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
-    label = written(components(links).withColumnRenamed("node", "cid"), "labels")
-
-    # then, each column's rows meet one of them that is still in another component
-    own = entries.join(label, "cid", "left").select("f", *side_a, F.coalesce("component", "cid").alias("c_a"))
-    pairs = own.join(met(2), "f").filter("a <> b").filter(_CLOSE).join(
-        label.select(F.col("cid").alias("b"), "component"), "b", "left").filter("c_a <> coalesce(component, b)")
-    links = links.union(written(_linked(pairs.select(*ordered).distinct(), classes), "links"))
-    label = written(components(links).withColumnRenamed("node", "cid"), "labels")
+    label = _joined(None, links)
+
+    # then, each column's rows meet one of them that is still in another component, another row in each round
+    for salt in range(2, 2 + ROUNDS):
+        own = entries.join(label, "cid", "left").select("f", *side_a, F.coalesce("component", "cid").alias("c_a"))
+        pairs = own.join(met(salt), "f").filter("a <> b").filter(_CLOSE).join(
+            label.select(F.col("cid").alias("b"), "component"), "b", "left").filter("c_a <> coalesce(component, b)")
+        links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
+        if links.isEmpty():
+            break
+        label = _joined(label, links)
 
     own = entries.join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     split = own.groupBy("f").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("f")
     own = own.join(split, "f", "left_semi")
     side = {x: own.select("f", F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("pos").alias(f"pos_{x}"),
                           F.col("component").alias(f"c_{x}")) for x in "ab"}
-    rest = side["a"].join(side["b"], "f").filter("c_a < c_b").filter(_CLOSE) \
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # up to where the shorter prefix ends, shared entries are counted; behind it that row has ceil(0.75 n) - 1 entries
+    rest = side["a"].join(side["b"], "f").filter("c_a < c_b and " + _SIZES).groupBy("a", "b").agg(
+        F.count("*").alias("k"), F.max("pos_a").alias("pos_a"), F.max("pos_b").alias("pos_b"),
+        F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")).filter(
+        f"(k + greatest(least({_BEHIND.format('a')}, n_b - pos_b - 1), least(n_a - pos_a - 1, {_BEHIND.format('b')})))"
+        f" * {SHARE[0] + SHARE[1]} >= (n_a + n_b) * {SHARE[0]}").select(*ordered)
     found = written(_linked(rest, classes), "links")
     if not found.isEmpty():
-        label = written(components(links.union(found)).withColumnRenamed("node", "cid"), "labels")
+        label = _joined(label, found)
 
     of_class = classes.select("cid", "rep").join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     least = of_class.groupBy("component").agg(F.min("rep").alias("component_id"))
