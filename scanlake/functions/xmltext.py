@@ -15,9 +15,3 @@ def escape_attr(c) -> Column:
     x = F.replace(x, F.lit("<"), F.lit("&lt;"))
     x = F.replace(x, F.lit(">"), F.lit("&gt;"))
     return F.replace(x, F.lit('"'), F.lit("&quot;"))
-
-
-def escape_quotes(c) -> Column:
-    """Escape only ``"`` – how report header values are re-quoted."""
-    return F.replace(as_col(c), F.lit('"'), F.lit("&quot;"))
-

@@ -104,7 +104,7 @@ def graph_edges(flat: DataFrame) -> DataFrame:
 
 def _py_list(arr, quote: bool):
     """Text of a Python list literal: ``[80, 443]`` or ``['http', 'https']``."""
-    item = (lambda x: F.concat(F.lit("'"), F.coalesce(x, F.lit("nan")), F.lit("'"))) if quote else \
+    item = (lambda x: F.coalesce(F.concat(F.lit("'"), x, F.lit("'")), F.lit("nan"))) if quote else \
         (lambda x: x.cast("string"))
     return F.concat(F.lit("["), F.array_join(F.transform(arr, item), ", "), F.lit("]"))
 

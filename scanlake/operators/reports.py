@@ -118,12 +118,10 @@ def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | Non
     ``folders`` names the report folders; without it they are derived from the paths.
     """
     xml = selected.where(F.col("suffix") == ".xml").select(
-        F.col("path").alias("source_file"), ip_num("stem").alias("k_ip"))
-    inputs, exact = selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", folders)
-    raw = read_records(spark, inputs) if inputs else _no_records(spark)
-    # exact paths: every record is selected and its key comes from its file name (no
-    # join, so a huge report is never gathered by one join key); globs: join to select
-    src = raw.withColumn("k_ip", ip_num(stem_of("source_file"))) if exact else raw.join(xml, "source_file")
+        "path")
+    inputs = report_folders(xml, folders)
+    raw = read_records(spark, inputs, "*.xml") if inputs else _no_records(spark)
+    src = of_selected(raw, xml, "source_file").withColumn("k_ip", ip_num(stem_of("source_file")))
     # one scan: each record yields its host element and, for a file's first record, the header
     recs = pin(src, keep=["k_ip", "source_file", "block_start", "row_id"],
                host_xml=host_fragment("value"), h=header_struct("value"))
@@ -145,45 +143,39 @@ def merge_xml(spark: SparkSession, selected: DataFrame, domains: DataFrame | Non
     return header.unionByName(body).unionByName(footer)
 
 
-PATH_LIST_MAX = 100_000
+def file_key(path, encoded: bool) -> "F.Column":
+    """A file's place without scheme or repeated slashes; a path from ``_metadata`` is URL-encoded."""
+    c = F.col(path)
+    if encoded:
+        c = F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(F.regexp_replace(c, "^[A-Za-z][A-Za-z0-9+.-]*:", ""), "^/+", "/")
 
 
-def selected_inputs(files: DataFrame, suffix: str, folders: list[str] | None = None):
-    """Input paths for the selected report files (``path`` column): ``(paths, exact)``.
+def report_folders(files: DataFrame, folders: list[str] | None = None) -> list[str]:
+    """Folders to read: those given, else the ones that hold the files (file-system metadata: a few folders)."""
+    if folders:
+        return list(folders)
+    return [r.d for r in files.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("d")).distinct().collect()]
 
-    Up to ``PATH_LIST_MAX`` files are read by their exact paths (``exact=True``):
-    a narrow selection reads only its own files and needs no join afterwards.
-    Beyond that, the folders are globbed (``exact=False``) and the caller joins
-    with the selection.  ``paths`` is ``None`` when nothing is selected.
+
+def of_selected(rows: DataFrame, files: DataFrame, path: str) -> DataFrame:
+    """Rows read from a folder that belong to the selected files (``path``): one plan for any number of files.
+
+    The selection is the small side; Spark broadcasts it below its size threshold and joins by shuffle beyond.
     """
-    paths = [r.path for r in files.select("path").limit(PATH_LIST_MAX + 1).collect()]  # one bounded job
-    if not paths:
-        return None, True
-    if len(paths) <= PATH_LIST_MAX:
-        return paths, True
-    parents = [f"{f.rstrip('/')}/*.xml" for f in folders] if folders else _parent_globs(files)
-    return [g[: -len("*.xml")] + "*" + suffix for g in parents], False
+    keys = files.select(file_key("path", encoded=False).alias("_key")).distinct()
+    return rows.withColumn("_key", file_key(path, encoded=True)).join(keys, "_key", "left_semi").drop("_key")
 
 
 def stem_of(path_col) -> "F.Column":
-    """File name without its last suffix."""
-    return F.regexp_extract(path_col, r"([^/]+)\.[^./]*$", 1)
+    """File name of an encoded path without its last suffix."""
+    return F.regexp_extract(F.url_decode(F.replace(F.col(path_col), F.lit("+"), F.lit("%2B"))), r"([^/]+)\.[^./]*$", 1)
 
 
 def _no_records(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], "value string, source_file string, block_start bigint, row_id bigint")
 
 
-def _parent_globs(files: DataFrame) -> list[str]:
-    """Folders holding the selected files.
-
-    File-system metadata, like the path list Spark's own file index keeps on
-    the driver; every folder is kept (report sets live in a few folders).
-    """
-    parents = files.select(F.regexp_extract("path", r"^(.*)/[^/]*$", 1).alias("d")).distinct()
-    return [f"{r.d}/*.xml" for r in parents.collect()]
-
-
 ORDER = ["section", "k_ip", "k_path", "k_block", "k_row"]
 
 
@@ -205,18 +197,15 @@ def merge_text(spark: SparkSession, selected: DataFrame, suffix: str = ".nmap",
     all_v4 = files.agg(F.bool_and(F.col("k_ip").isNotNull()).alias("b")).first().b  # one value
     if not all_v4:
         files = files.withColumn("k_ip", F.lit(None).cast("bigint"))
-    inputs, exact = selected_inputs(files, suffix, folders)
+    inputs = report_folders(files, folders)
     if inputs:
-        lines = spark.read.text(inputs).select(
+        lines = spark.read.option("pathGlobFilter", f"*{suffix}").text(inputs).select(
             "value", F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_block_start").alias("k_block"), F.monotonically_increasing_id().alias("k_row"))
     else:
         lines = spark.createDataFrame([], "value string, path string, k_block bigint, k_row bigint")
-    if exact:
-        key = ip_num(stem_of("path")) if all_v4 else F.lit(None).cast("bigint")
-        src = lines.withColumn("stem", stem_of("path")).withColumn("k_ip", key)
-    else:
-        src = lines.join(files, "path")
+    key = ip_num(stem_of("path")) if all_v4 else F.lit(None).cast("bigint")
+    src = of_selected(lines, files, "path").withColumn("stem", stem_of("path")).withColumn("k_ip", key)
     j = line_numbers(src, "path", "k_block", "k_row")
     return j.select("stem", "path", "k_ip", "k_block", "k_row", "line_no", "value")
 
@@ -230,9 +219,13 @@ def show_text(spark: SparkSession, selected: DataFrame, folders: list[str] | Non
     Returns ``k_ip, path, sep, k_block, k_row, value``; order by all but ``value``.
     """
     body = merge_text(spark, selected, ".nmap", folders)
-    files = body.select("path", "k_ip").distinct()
-    # number the report files (one row per file), never the lines
-    total = files.count()
+    # number the selected reports themselves (one row per file), so a report without lines is shown too
+    files = selected.where(F.col("suffix") == ".nmap").select(F.col("path").alias("shown"), "stem", ip_num("stem").alias("k_ip"))
+    numeric, total = files.agg(F.bool_and(F.col("k_ip").isNotNull()), F.count("*")).first()
+    if not numeric:
+        files = files.withColumn("k_ip", F.lit(None).cast("bigint"))
+    files = files.withColumn("path", file_key("shown", encoded=False))
+    body = body.withColumn("path", file_key("path", encoded=True))
     numbered = number_rows(files, ["k_ip", "path"], "i").withColumn("total", F.lit(total))
     seps = numbered.select("k_ip", "path", F.lit(0).alias("sep"), F.lit(None).cast("bigint").alias("k_block"),
                            F.lit(None).cast("bigint").alias("k_row"),

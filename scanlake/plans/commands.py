@@ -138,15 +138,10 @@ def parse_urls(spark: SparkSession, reports_dir: str, services, inventory: str |
                dns: bool = False) -> DataFrame:
     """``parse``: service URLs from the host XML reports (P7, or P8 with ``dns``), by report address."""
     cat = srp.report_catalog(spark, reports_dir)
-    xml = cat.where((F.col("kind") == "host") & (F.col("suffix") == ".xml")).select(
-        F.col("path").alias("source_file"), "report_ip")
-    inputs, exact = rp.selected_inputs(xml.withColumnRenamed("source_file", "path"), ".xml", [reports_dir])
-    hosts = srp.parse_hosts(srp.read_host_elements(spark, inputs or f"{reports_dir}/*.xml"))
-    rows = sv.service_rows(hosts)
-    if exact:  # only host reports were read; the address is the file name
-        rows = rows.withColumn("report_ip", rp.stem_of("source_file"))
-    else:
-        rows = rows.join(xml, "source_file")
+    xml = cat.where((F.col("kind") == "host") & (F.col("suffix") == ".xml")).select("path")
+    records = srp.read_host_elements(spark, reports_dir, "*.xml")
+    hosts = srp.parse_hosts(rp.of_selected(records, xml, "source_file"))
+    rows = sv.service_rows(hosts).withColumn("report_ip", rp.stem_of("source_file"))     # a host report's name is its address
     if dns and inventory:
         urls = sv.service_urls_by_domain(rows, services, dom.latest_domains(Inventory(spark, inventory).read()))
     else:
@@ -167,10 +162,9 @@ def draw(spark: SparkSession, reports_dir: str | None = None, csv_paths=None, po
         flat = gr.flat_table(srp.parse_hosts(srp.read_host_elements(spark, paths)))
     else:
         cat = srp.report_catalog(spark, reports_dir).where(
-            (F.col("kind") == "host") & (F.col("suffix") == ".xml")).select(F.col("path").alias("source_file"))
-        inputs, exact = rp.selected_inputs(cat.withColumnRenamed("source_file", "path"), ".xml", [reports_dir])
-        hosts = srp.parse_hosts(srp.read_host_elements(spark, inputs or f"{reports_dir}/*.xml"))
-        flat = gr.flat_table(hosts if exact else hosts.join(cat, "source_file", "left_semi"))
+            (F.col("kind") == "host") & (F.col("suffix") == ".xml")).select("path")
+        records = srp.read_host_elements(spark, reports_dir, "*.xml")
+        flat = gr.flat_table(srp.parse_hosts(rp.of_selected(records, cat, "source_file")))
     edges, vertices = gr.graph_for_ports(flat, ports)
     return edges, vertices, gr.all_ports(flat)
 

@@ -62,6 +62,9 @@ def scratch_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect: no SparkContext on the client
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="scanlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         try:

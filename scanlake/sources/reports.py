@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from scanlake.functions import pin
 from scanlake.functions.ip import ip_num
-from scanlake.functions.xmltext import escape_quotes
+from scanlake.functions.xmltext import escape_attr
 from scanlake.schema import HOST_XML
 
 XML_DECL = '<?xml version="1.0" encoding="UTF-8"?>'
@@ -40,9 +40,9 @@ def report_catalog(spark: SparkSession, folder: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- S16
-def read_host_elements(spark: SparkSession, paths) -> DataFrame:
+def read_host_elements(spark: SparkSession, paths, names: str | None = None) -> DataFrame:
     """One row per ``<host>`` element: ``source_file, block_start, row_id, host_xml``."""
-    recs = read_records(spark, paths)
+    recs = read_records(spark, paths, names)
     keyed = pin(recs, keep=["source_file", "block_start", "row_id"], host_xml=host_fragment("value"))
     return keyed.where(F.col("host_xml").isNotNull())
 
@@ -102,7 +102,8 @@ HEADER_FIELDS = ("scanner", "args", "version", "xmloutputversion", "type", "prot
 
 def header_struct(value) -> "F.Column":
     """Header attributes of a record holding ``<nmaprun ...>`` (null for other records):
-    root and ``scaninfo`` attributes, ``scaninfo`` winning a clash, ``"`` re-escaped."""
+    root and ``scaninfo`` attributes, ``scaninfo`` winning a clash, escaped
+    again for an attribute; a missing attribute is empty."""
     v = F.col(value) if isinstance(value, str) else value
     root = F.regexp_extract(v, r"(?s)(<nmaprun\b[^>]*>)", 1)
     info = F.regexp_extract(v, r"(?s)(<scaninfo\b[^>]*>)", 1)
@@ -114,16 +115,19 @@ def header_struct(value) -> "F.Column":
         v_info, v_root = attr(info, name), attr(root, name)
         val = F.when(F.regexp_extract(info, rf'\s({name})="', 1) != "", v_info).otherwise(
             F.when(F.regexp_extract(root, rf'\s({name})="', 1) != "", v_root))
-        return escape_quotes(_unescape(val)).alias(name)
+        return escape_attr(_unescape(F.coalesce(val, F.lit("")))).alias(name)
 
     return F.when(v.contains("<nmaprun"), F.struct(*[pick(n) for n in HEADER_FIELDS]))
 
 
-def read_records(spark: SparkSession, paths) -> DataFrame:
-    """XML files split at ``</host>``: ``value, source_file, block_start, row_id``."""
+def read_records(spark: SparkSession, paths, names: str | None = None) -> DataFrame:
+    """XML files split at ``</host>``: ``value, source_file, block_start, row_id``; ``names`` picks a folder's files."""
     if isinstance(paths, str):
         paths = [paths]
-    return spark.read.option("lineSep", "</host>").text(list(paths)).select(
+    reader = spark.read.option("lineSep", "</host>")
+    if names:
+        reader = reader.option("pathGlobFilter", names)
+    return reader.text(list(paths)).select(
         "value", F.col("_metadata.file_path").alias("source_file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("row_id"))

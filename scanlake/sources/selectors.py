@@ -59,9 +59,14 @@ def host_ranges(tokens: DataFrame) -> DataFrame:
     t = parts.select(
         "token", F.try_element_at("_p", F.lit(1)).alias("_addr"),
         F.when(F.size("_p") == 1, F.lit(32))
-         .when(F.size("_p") == 2, F.try_element_at("_p", F.lit(2)).try_cast("int")).alias("prefix"))
-    n = pin(t.select("token", "prefix", "_addr"), _n=ip_num("_addr")).drop("_addr")
-    ok = F.col("_n").isNotNull() & F.col("prefix").between(0, 32)
+         .when(F.size("_p") == 2, F.try_element_at("_p", F.lit(2)).try_cast("int")).alias("prefix"),
+        F.when(F.size("_p") == 2, F.try_element_at("_p", F.lit(2))).alias("_mask"))
+    n = pin(t.select("token", "prefix", "_addr", "_mask"), _n=ip_num("_addr"), _m=ip_num("_mask")).drop("_addr", "_mask")
+    # a netmask is a run of ones: its complement plus one is a power of two
+    wild = F.lit((1 << 32) - 1) - F.col("_m")
+    n = n.withColumn("prefix", F.when(F.col("_m").isNotNull() & (wild.bitwiseAND(wild + 1) == 0), 32 - F.bit_count(wild))
+                     .otherwise(F.col("prefix"))).drop("_m")
+    ok = F.coalesce(F.col("_n").isNotNull() & F.col("prefix").between(0, 32), F.lit(False))
     checked = n.where(F.when(~ok, F.raise_error(F.concat(F.lit("not an IPv4 address or CIDR: "), F.col("token"))))
                       .otherwise(F.lit(True)))
     block = F.expr("shiftleft(1L, 32 - prefix)")

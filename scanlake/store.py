@@ -100,8 +100,10 @@ class Inventory:
             from scanlake.schema import OBSERVATION
 
             return self.spark.createDataFrame([], OBSERVATION)
-        df = self.spark.read.parquet(f"{self.root}/v={v}")
-        # partition discovery types batch_id as int; keep the declared bigint
+        from scanlake.schema import OBSERVATION
+
+        # the declared schema, so a capture without a matching line (no file) reads as no rows
+        df = self.spark.read.schema(OBSERVATION).parquet(f"{self.root}/v={v}")
         return (df.where(F.col("batch_id").isin(batches))
                 .select(*_COLUMNS, F.col("batch_id").cast("bigint").alias("batch_id")))
 

@@ -41,3 +41,10 @@ def test_dedup_profile_graph(spark, write_text):
     e3, v3 = gr.graph_for_ports(flat, [443])
     assert [r.ip for r in e3.collect()] == ["10.0.1.5"] and v3.count() == 2
     assert gr.flat_by_ports(flat, []).count() == 5
+
+
+def test_missing_service_is_nan_without_quotes(spark):
+    df = spark.createDataFrame([("10.0.0.0/24", "10.0.0.1", [80, 81], ["http", None])],
+                               "subnet string, ip string, Port array<int>, Service array<string>")
+    host = gr.graph_vertices(df).where("kind = 'host'").first()
+    assert host.hover == "[80, 81]<br>['http', nan]"

@@ -72,7 +72,7 @@ def test_urls_by_domain(spark):
 def test_header(spark, small):
     h = srp.read_headers(spark, small).first()
     assert (h.scanner, h.version, h.type, h.protocol) == ("nmap", "7.9", "syn", "tcp")
-    assert h.args == "nmap -sV &quot;x&quot; & y"
+    assert h.args == "nmap -sV &quot;x&quot; &amp; y"
 
 
 def test_split_documents(spark, write_text):
@@ -167,16 +167,34 @@ def test_split_numbering_across_splits(spark, write_text):
     assert ("10.0.0.2", 1, 1) in got
 
 
-def test_merge_same_with_globbed_folders(spark, report_dir, monkeypatch):
-    cat = srp.report_catalog(spark, report_dir)
-    sel = rp.reports_by_host(spark, cat, "10.0.0.0/24")
-
-    def merged():
-        x = [r.value for r in rp.merge_xml(spark, sel).orderBy(*rp.ORDER).collect()]
-        t = [r.value for r in rp.merge_text(spark, sel, ".nmap").orderBy(*rp.TEXT_ORDER).collect()]
-        return x, t
-
-    exact = merged()
-    monkeypatch.setattr(rp, "PATH_LIST_MAX", 0)  # force the folder glob and the join
-    globbed = merged()
-    assert exact == globbed and len(exact[0]) == 4 and len(exact[1]) == 5
+def test_odd_folder_names(spark, write_text, tmp_path):
+    folder = tmp_path / "my reports #1+2"
+    for ip in ("10.0.0.1", "10.0.0.2"):
+        write_text(f"{folder.name}/{ip}.xml", host_doc(ip, [80]))
+        write_text(f"{folder.name}/{ip}.nmap", f"Report for {ip}\n")
+    write_text(f"{folder.name}/port80.xml", host_doc("10.0.0.9", [80]))
+    sel = rp.reports_by_host(spark, srp.report_catalog(spark, str(folder)), "all")
+    for folders in (None, [str(folder)]):
+        assert sum(r.section == 1 for r in rp.merge_xml(spark, sel, folders=folders).collect()) == 2
+        assert sorted(r.value for r in rp.merge_text(spark, sel, ".nmap", folders).collect()) == [
+            "Report for 10.0.0.1", "Report for 10.0.0.2"]
+        shown = [r.value for r in rp.show_text(spark, sel, folders).orderBy("k_ip", "path", "sep", "k_block", "k_row").collect()]
+        assert sum("(1/2)" in v for v in shown) == sum("(2/2)" in v for v in shown) == 1
+
+
+def test_port_reports_alone_give_no_host_rows(spark, write_text):
+    from scanlake.plans import commands as cmd
+
+    p = write_text("ports/port80.xml", host_doc("10.0.0.9", [80]))
+    folder = p.rsplit("/", 1)[0]
+    assert cmd.parse_urls(spark, folder, "http,https").count() == 0
+    edges, vertices, _ = cmd.draw(spark, reports_dir=folder)
+    assert edges.count() == vertices.count() == 0
+
+
+def test_header_without_scaninfo_is_not_lost(spark, write_text):
+    write_text("h/10.0.0.1.xml", '<nmaprun scanner="nmap" args="a &lt;b&gt; &amp; c">' + "<host><address addr=\"10.0.0.1\" addrtype=\"ipv4\"/></host></nmaprun>")
+    p = write_text("h/10.0.0.2.nmap", "x")
+    sel = rp.reports_by_host(spark, srp.report_catalog(spark, p.rsplit("/", 1)[0]), "all")
+    head = [r.value for r in rp.merge_xml(spark, sel).collect() if r.section == 0]
+    assert len(head) == 1 and "a &lt;b&gt; &amp; c" in head[0]

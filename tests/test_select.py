@@ -1,6 +1,8 @@
 """F1-F5 and the two CIDR strategies."""
 
 import pytest
+
+from scanlake.sources import selectors as sel_src
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
@@ -75,3 +77,12 @@ def test_new_and_reported_cover_all(spark, obs):
     new = set(seqs(sel.new_hosts(obs, cat)))
     reported = set(seqs(obs.join(cat.withColumnRenamed("stem", "ip"), "ip", "left_semi")))
     assert new | reported == set(seqs(obs)) and not (new & reported)
+
+
+def test_netmask_selectors_and_bad_prefixes(spark):
+    got = sorted(tuple(r) for r in sel_src.host_ranges(sel_src.selector_tokens(
+        spark, "10.0.0.0/255.255.255.0,10.0.1.7/255.255.255.255,0.0.0.0/0.0.0.0")).collect())
+    assert got == [(0, 0, 2 ** 32 - 1), (24, 167772160, 167772415), (32, 167772423, 167772423)]
+    for bad in ("10.0.0.0/24,10.0.1.0/x", "10.0.0.0/255.0.255.0", "10.0.0.0/33", "10.0.0.0/"):
+        with pytest.raises(Exception, match="not an IPv4 address"):
+            sel_src.host_ranges(sel_src.selector_tokens(spark, bad)).collect()

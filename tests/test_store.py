@@ -44,3 +44,11 @@ def test_create_generic(spark, tmp_path, write_text):
     bad = write_text("bad.txt", "10.0.0.1:80\n\n")
     with pytest.raises((PySparkException, Py4JJavaError)):
         create_generic(spark, Inventory(spark, str(tmp_path / "inv2")), bad)
+
+
+def test_first_capture_without_a_match(spark, tmp_path):
+    from scanlake.store import Inventory
+
+    inv = Inventory(spark, str(tmp_path / "none"))
+    inv.append(inv.read())
+    assert inv.read().count() == 0
