@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 
 from scanlake.llm import blocks as B
 
-SAMPLE = 1500
-SAMPLE_CHARS = 20_000
+SAMPLE = 1000
+SAMPLE_CHARS = 10_000
 FOLD = "crc32(coalesce(cast({}doc_id as string), '')) % 5"
 TEST_FOLD = 0
 MIN_CONTEXTS = 4                # a toxic word stands in so many different contexts at least,
-CONTEXT_SHARE = 1 / 300         # and in one for so many toxic documents,
+CONTEXT_SHARE = 1 / 150         # and in one for so many toxic documents,
 MIN_ODDS = 8.0                  # and is so many times as frequent in toxic documents
 VOCABULARY = 4000
 SEGMENT = 32
@@ -185,13 +185,18 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     left = np.where(first, -1, np.roll(word, 1))
     right = np.where(np.append(first[1:], True), -1, np.roll(word, -1))
     n_lab = np.bincount(labels, minlength=2)
-    docs_with = [np.bincount(np.unique(np.stack([word, doc], 1)[labels[doc] == y], axis=0)[:, 0], minlength=len(words))
-                 for y in (0, 1)]
+    y = labels[doc] == 1
+
+    def different(other, rows):
+        """Number of different values of ``other`` beside each word, in these rows."""
+        span = int(other.max()) + 2
+        return np.bincount(np.unique(word[rows] * span + other[rows] + 1) // span, minlength=len(words))
+
+    docs_with = [different(doc, ~y), different(doc, y)]
     odds = (docs_with[1] + 0.1) / n_lab[1] / ((docs_with[0] + 1) / n_lab[0])
-    toxic_rows = np.unique(np.stack([word, left, right], 1)[labels[doc] == 1], axis=0)
-    contexts = np.minimum(*(np.bincount(np.unique(toxic_rows[:, [0, c]], axis=0)[:, 0], minlength=len(words)) for c in (1, 2)))
+    contexts = np.minimum(different(left, y), different(right, y))
     toxic = (odds >= MIN_ODDS) & (contexts >= max(MIN_CONTEXTS, CONTEXT_SHARE * n_lab[1])) & (contexts >= 0.5 * docs_with[1])
-    tag = (toxic[word] & (labels[doc] == 1)).astype(np.int64)
+    tag = (toxic[word] & y).astype(np.int8)
 
     # vocabulary: toxic words, then the words that tell most, then the most frequent
     n_with = docs_with[0] + docs_with[1]
@@ -213,7 +218,7 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     weight[-2] = -4.0
     if len(pick):
         at = seg_start[pick][:, None] + np.arange(SEGMENT)
-        tags, cap = tag[at], caps[at]
+        tags, cap = tag[at].astype(np.int64), caps[at]
         _, f = emissions(vocab, weight, h, caps)
         f = f[at]
         moment, scale = [np.zeros(len(weight) + 4) for _ in range(2)]
@@ -227,18 +232,29 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
             scale = 0.99 * scale + 0.01 * g * g
             go = 0.3 * (moment / (1 - 0.9 ** r)) / (np.sqrt(scale / (1 - 0.99 ** r)) + 1e-8)
             weight, trans = weight + go[:-4], trans + go[-4:].reshape(2, 2)
-    e, _ = emissions(vocab, weight, h, caps)
-    m = marginals(e, np.bincount(doc, minlength=n_docs), trans)
-    return Model(vocab, weight, trans, _logistic(_document_features(m, doc, n_docs), labels.astype(float)))
+    model = Model(vocab, weight, trans, np.zeros(3))
+    features = []
+    for i in range(0, n_docs, 100):                           # a few texts at a time
+        part = off[i: i + 101]
+        features.append(_features(model, dat[part[0]: part[-1]], part - part[0])[0])
+    model.doc = _logistic(np.concatenate(features), labels.astype(float))
+    return model
 
 
-def score_texts(model: Model, dat: np.ndarray, off: np.ndarray):
-    """Score of each document, and its offending spans (code points) with their marginals."""
+def _features(model: Model, dat: np.ndarray, off: np.ndarray):
+    """Features of each document, and the words' spans, documents and marginals."""
     n_docs = len(off) - 1
     start, end, doc, h, caps = word_spans(dat, off)
     e, _ = emissions(model.words, model.weight, h, caps)
     m = marginals(e, np.bincount(doc, minlength=n_docs), model.trans)
-    score = 1 / (1 + np.exp(-_document_features(m, doc, n_docs) @ model.doc))
+    return _document_features(m, doc, n_docs), start, end, doc, m
+
+
+def score_texts(model: Model, dat: np.ndarray, off: np.ndarray):
+    """Score of each document, and its offending spans (code points) with their marginals."""
+    n_docs = len(off) - 1
+    features, start, end, doc, m = _features(model, dat, off)
+    score = 1 / (1 + np.exp(-features @ model.doc))
     spans: list[list] = [[] for _ in range(n_docs)]
     hit = np.flatnonzero(m >= 0.5)
     if len(hit):
