@@ -129,6 +129,33 @@ def chunked(column: pa.ChunkedArray):
         base += len(part)
 
 
+# ---- sorted keys -----------------------------------------------------------
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; for large arrays much cheaper than a hash table."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
+
+
+def merged(runs: list[np.ndarray]):
+    """Distinct keys of sorted runs, and the place of each entry of the runs among them."""
+    x = np.concatenate(runs)
+    order = np.argsort(x, kind="stable")        # merges what is already sorted
+    x = x[order]
+    new = np.append(True, x[1:] != x[:-1])[: len(x)]
+    place = np.empty(len(x), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return x[new], place
+
+
+def places(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The place of each value among the sorted keys; in sorted order, so neighbours read the same memory."""
+    order = np.argsort(x)
+    out = np.empty(len(x), np.int64)
+    out[order] = np.searchsorted(keys, x[order])
+    return out
+
+
 # ---- packing -------------------------------------------------------------
 
 def bounds(n: int) -> np.ndarray:

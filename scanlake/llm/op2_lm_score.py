@@ -88,7 +88,7 @@ def _ask(nb: int):
                 keys, place = np.unique(x, return_inverse=True)
                 found.append((keys, np.bincount(place, weights=f != HELD_OUT),
                               np.bincount(place, weights=f == DELETED)))
-        keys, place = np.unique(np.concatenate([k for k, _, _ in found]), return_inverse=True)
+        keys, place = B.merged([k for k, _, _ in found])
         total = np.bincount(place, weights=np.concatenate([a for _, a, _ in found])).astype(np.int64)
         gone = np.bincount(place, weights=np.concatenate([k for _, _, k in found])).astype(np.int64)
         cut = np.append(np.searchsorted(keys, edges), len(keys))
@@ -109,14 +109,16 @@ def _tell(nb: int):
         pa.default_memory_pool().release_unused()
         rows = table.to_pylist()
         keys = [B.unpack_keys(r["keys"], edges[r["bucket"]]) for r in rows]
-        u, place = np.unique(np.concatenate(keys), return_inverse=True)
+        u, place = B.merged(keys)
         cut = np.cumsum([len(k) for k in keys])[:-1]
         out = {"blk": [r["blk"] for r in rows] + [-1], "bucket": [r["bucket"] for r in rows] + [rows[0]["bucket"]]}
         sums = []
         for name in ("all", "gone"):
-            c = np.concatenate([B.unpack_counts(r[name], len(k)) for r, k in zip(rows, keys)])
-            sums.append(np.bincount(place, weights=c).astype(np.int64))
-            out[name] = [B.pack_counts(x) for x in np.split(sums[-1][place], cut)] + [None]
+            own = np.concatenate([B.unpack_counts(r[name], len(k)) for r, k in zip(rows, keys)])
+            sums.append(np.bincount(place, weights=own).astype(np.int64))
+            parts = zip(np.split(sums[-1][place], cut), np.split(own, cut))
+            # deleted tokens are explained with kept counts, so a block needs deleted counts of its own deleted keys only
+            out[name] = [B.pack_counts(x if name == "all" else x[o > 0]) for x, o in parts] + [None]
         word = (u & U(1)) > 0
         for name, c in (("v_all", sums[0]), ("v_kept", sums[0] - sums[1])):
             out[name] = [None] * len(rows) + [int(np.count_nonzero(c[word]))]
@@ -144,16 +146,25 @@ def _stats(nb: int):
             return B.rows_table(_STATS, out)
         rows.sort(key=lambda r: r["bucket"])
         runs = _runs(table)
-        keys = np.unique(np.concatenate([np.unique(np.concatenate(r[:2])) for r in runs]))
-        n = np.diff(np.append(np.searchsorted(keys, edges), len(keys)))
-        total, gone = (np.concatenate([B.unpack_counts(r[c], n[r["bucket"]]) for r in rows]) for c in ("all", "gone"))
-        kept = total - gone
+        keys = B.distinct(np.concatenate([B.distinct(np.concatenate(r[:2])) for r in runs]))
+        runs = [(B.places(keys, tok), B.places(keys, pair), first, size) for tok, pair, first, size in runs]
         ids, fold = table["doc_id"].to_pylist(), table["fold"].to_pylist()
+        deleted = np.zeros(len(keys), bool)
+        i = 0
+        for tok, pair, _, size in runs:
+            out_of = np.repeat(np.array(fold[i: i + len(size)]) == DELETED, size)
+            deleted[tok[out_of]] = deleted[pair[out_of]] = True
+            i += len(size)
+        cut = np.append(np.searchsorted(keys, edges), len(keys))
+        n = np.diff(cut)
+        total = np.concatenate([B.unpack_counts(r["all"], n[r["bucket"]]) for r in rows])
+        n = np.diff(np.searchsorted(np.flatnonzero(deleted), cut))
+        kept = total.copy()                     # right for the keys of deleted tokens
+        kept[deleted] -= np.concatenate([B.unpack_counts(r["gone"], n[r["bucket"]]) for r in rows])
         start = np.searchsorted(keys, (END >> CUT) | U(1))
         held = []
         i = 0
         for tok, pair, first, size in runs:
-            tok, pair = np.searchsorted(keys, tok), np.searchsorted(keys, pair)
             c1, c2 = total[tok], total[pair]
             for a, z in zip(first, size):
                 s = slice(a, a + z)
@@ -167,21 +178,21 @@ def _stats(nb: int):
             cells = np.concatenate(held)
             _, pick, n = np.unique(B.mix(B.mix(B.mix(cells[:, 0].astype(U)) + cells[:, 1].astype(U)) + cells[:, 2].astype(U)),
                                    return_index=True, return_counts=True)
-            put(kind="held", counts=np.column_stack([cells[pick], n]).astype(np.int64).tobytes())
+            put(kind="held", n_tokens=len(pick), counts=pack_tokens(*cells[pick].T, n))
         return B.rows_table(_STATS, out)
 
     return stats
 
 
-def pack_tokens(c1: np.ndarray, c2: np.ndarray) -> bytes:
-    """A document's word and pair counts, byte by byte of equal weight, compressed."""
-    raw = c1.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() + c2.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def pack_tokens(*counts: np.ndarray) -> bytes:
+    """Counts of one length, byte by byte of equal weight, compressed."""
+    raw = b"".join(c.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in counts)
     return pa.compress(raw, codec="zstd", asbytes=True)
 
 
-def unpack_tokens(blob: bytes, n: int):
-    raw = np.frombuffer(pa.decompress(blob, decompressed_size=16 * n, codec="zstd", asbytes=True), np.uint8)
-    return (np.ascontiguousarray(x.reshape(8, -1).T).view("<u8").ravel().astype(np.int64) for x in np.split(raw, 2))
+def unpack_tokens(blob: bytes, n: int, columns: int = 2):
+    raw = np.frombuffer(pa.decompress(blob, decompressed_size=8 * columns * n, codec="zstd", asbytes=True), np.uint8)
+    return (np.ascontiguousarray(x.reshape(8, -1).T).view("<u8").ravel().astype(np.int64) for x in np.split(raw, columns))
 
 
 def bucket_of(c: np.ndarray) -> np.ndarray:
@@ -211,8 +222,8 @@ def learn(held: DataFrame, n: int, v: int, iterations: int = ITERATIONS) -> np.n
 
         def expect(batches):
             for batch in batches:
-                for blob in batch["counts"]:
-                    c2, cv, c1, k = np.frombuffer(blob.as_buffer(), np.int64).reshape(-1, 4).T
+                for blob, size in zip(batch["counts"], batch["n_tokens"].to_pylist()):
+                    c2, cv, c1, k = unpack_tokens(blob.as_py(), size, 4)
                     b, p = parts_of(c2, cv, c1, n, v, now)
                     p = p / p.sum(0) * k
                     s = np.stack([np.bincount(b, x, BUCKETS) for x in p], 1)
@@ -242,7 +253,7 @@ def lm_scores(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
                     F.sum(F.when(~F.col("fold").isin(HELD_OUT, DELETED), F.col("n_tokens"))),
                     F.count(F.when(F.col("fold") != HELD_OUT, 1))).first()
     n_all, n_kept, n_docs = (x or 0 for x in total)
-    weights = learn(stats.filter("kind = 'held'").select("counts"), n_kept, v_kept, iterations)
+    weights = learn(stats.filter("kind = 'held'").select("n_tokens", "counts"), n_kept, v_kept, iterations)
 
     def score(batches):
         for batch in batches:
