@@ -59,7 +59,7 @@ def shingle_sets(dat: np.ndarray, off: np.ndarray, width: int = WORDS) -> list[n
     out = []
     for i, n in zip(first, n_words):
         if n >= width:
-            out.append(np.unique(sums[i: i + n - width + 1]))
+            out.append(B.distinct(sums[i: i + n - width + 1]))
         elif n:
             out.append(B.mix(np.array([sum(int(h[i + k]) * int(mult[k]) for k in range(n)) + int(n) & (1 << 64) - 1], U)))
         else:
@@ -107,7 +107,7 @@ def _tell(nb: int):
         base = edges[rows[0]["bucket"]] >> CUT
         keys = [B.unpack_keys(r["keys"], base) for r in rows]
         counts = np.concatenate([B.unpack_counts(r["counts"], len(k)) for r, k in zip(rows, keys)])
-        _, place = np.unique(np.concatenate(keys), return_inverse=True)
+        _, place = B.merged(keys)
         total = np.bincount(place, weights=counts)
         code = np.minimum(255, np.floor(8 * np.log2(np.maximum(total, 1)))).astype(np.uint8)   # 0: one row only
         cut = np.cumsum([len(k) for k in keys])[:-1]
