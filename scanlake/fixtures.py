@@ -223,12 +223,6 @@ def _cache_root(spark: SparkSession, sf_dir: str) -> str:
     return f"{scratch_dir(spark)}/scanlake/fixtures/{key}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system the session uses; its errors are not taken for absence."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 _LOCK = threading.RLock()  # queries of one session may run on several threads
 
 

@@ -1,65 +1,77 @@
 """Selections over observations.
 
-Address selection (F3) never expands a CIDR into addresses:
-
-* up to ``RANGE_FILTER_MAX`` selectors become one ``ip_num BETWEEN lo AND hi``
-  disjunction, which Catalyst pushes into the Parquet scan (row-group pruning,
-  no shuffle);
-* beyond that, selectors and addresses are keyed by ``(prefix, ip_num >> (32-prefix))``
-  for each prefix length in use (33 at most) and equi semi-joined, on the
-  distinct addresses only, before one semi join back to the rows.
+Address and port selection (F3, F4) have one plan for any number of selectors,
+and never expand a CIDR into addresses:
+
+* at most ``COVER_RANGES`` ranges that cover all selectors become a disjunction
+  that Catalyst pushes into the Parquet scan (row-group pruning, no shuffle);
+* what passes is semi-joined with the selectors, in the same scan: addresses by
+  ``(prefix, ip_num >> (32 - prefix))`` for each prefix length in use (33 at
+  most), ports by value.  Blocks inside another block are left out first, so a
+  row meets one block at most.  Spark broadcasts the selectors below its size
+  threshold and shuffles beyond.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.functions import pin
 from scanlake.functions.ip import ip_num
 from scanlake.sources.selectors import host_ranges, port_list, selector_keyword, selector_tokens
 
-RANGE_FILTER_MAX = 64
-PORT_ISIN_MAX = 4096
+COVER_RANGES = 64
+
+
+def _cover(ranges: DataFrame, column: str) -> Column | None:
+    """A filter on ``column`` that all ``lo``..``hi`` ranges pass: one range for each of ``COVER_RANGES``
+    equal cells of the span that has any; None when there is no range."""
+    low, high = ranges.agg(F.min("lo"), F.max("lo")).first()
+    if low is None:
+        return None
+    width = (high - low) // COVER_RANGES + 1
+    cells = ranges.groupBy(F.floor((F.col("lo") - low) / width).alias("cell")) \
+        .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("cell").collect()
+    single = [r.lo for r in cells if r.lo == r.hi]
+    wide = [F.col(column).between(r.lo, r.hi) for r in cells if r.lo < r.hi]
+    return reduce(lambda a, b: a | b, ([F.col(column).isin(single)] if single else []) + wide)
+
+
+def _outermost(ranges: DataFrame, prefixes: list[int]) -> DataFrame:
+    """``_prefix, _key`` of the CIDR blocks that lie in no other: blocks are nested or apart."""
+    blocks = ranges.select("lo", F.col("prefix").alias("_prefix"),
+                           F.expr("shiftright(lo, 32 - prefix)").alias("_key")).distinct()
+    around = blocks.select(F.col("_prefix").alias("_p"), F.col("_key").alias("_k"), F.inline(F.array(*[
+        F.struct(F.lit(p).alias("_prefix"), F.shiftright("lo", 32 - p).alias("_key")) for p in prefixes])))
+    inner = around.where("_prefix < _p").join(blocks, ["_prefix", "_key"], "left_semi") \
+        .select(F.col("_p").alias("_prefix"), F.col("_k").alias("_key"))
+    return blocks.select("_prefix", "_key").join(inner, ["_prefix", "_key"], "left_anti")
 
 
 def select_cidr(df: DataFrame, ranges: DataFrame, ip_col: str = "ip") -> DataFrame:
     """Rows whose address lies in any ``(prefix, lo, hi)`` range (F3); each row at most once."""
-    # one bounded job: the number of ranges and the set of prefix lengths (33 at most)
-    stats = ranges.agg(F.count("*").alias("n"), F.array_sort(F.collect_set("prefix")).alias("ps")).first()
-    n, prefixes = stats.n, list(stats.ps or [])
-    if n == 0:
+    stored = ip_col == "ip" and "ip_num" in df.columns      # a stored key: the cover reaches the Parquet scan
+    number = "ip_num" if stored else "_sel_n"
+    cover = _cover(ranges, number)
+    if cover is None:
         return df.where(F.lit(False))
-    stored = ip_col == "ip" and "ip_num" in df.columns
-    if n <= RANGE_FILTER_MAX:
-        rs = ranges.select("lo", "hi").collect()  # bounded by RANGE_FILTER_MAX
-        if stored:  # a stored key: the disjunction reaches the Parquet scan
-            return df.where(reduce(lambda a, b: a | b, [F.col("ip_num").between(r.lo, r.hi) for r in rs]))
-        keyed = pin(df, _sel_n=ip_num(ip_col))
-        cond = reduce(lambda a, b: a | b, [F.col("_sel_n").between(r.lo, r.hi) for r in rs])
-        return keyed.where(cond).drop("_sel_n")
-    keyed_sel = ranges.select("prefix", F.expr("shiftright(lo, 32 - prefix)").alias("key")).distinct()
-    if stored:
-        ips = df.select(F.col("ip").alias("_ip"), F.col("ip_num").alias("_n"))
-    else:
-        ips = pin(df.select(F.col(ip_col).alias("_ip")), _n=ip_num(F.col("_ip")))
-    ips = ips.where(F.col("_n").isNotNull()).distinct()
-    exploded = ips.select("_ip", F.explode(F.array(*[
-        F.struct(F.lit(p).alias("prefix"), F.shiftright("_n", 32 - p).alias("key")) for p in prefixes
-    ])).alias("k")).select("_ip", "k.prefix", "k.key")
-    hit = exploded.join(keyed_sel, ["prefix", "key"], "left_semi").select("_ip").distinct()
-    return df.join(hit, df[ip_col] == hit["_ip"], "left_semi")
+    prefixes = sorted(r.prefix for r in ranges.select("prefix").distinct().collect())   # 33 at most
+    keyed = df if stored else pin(df, _sel_n=ip_num(ip_col))
+    rows = keyed.where(cover).select("*", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("_prefix"), F.shiftright(number, 32 - p).alias("_key")) for p in prefixes])))
+    return rows.join(_outermost(ranges, prefixes), ["_prefix", "_key"], "left_semi").select(df.columns)
 
 
 def select_ports(df: DataFrame, ports: DataFrame, port_col: str = "port") -> DataFrame:
-    """Rows whose port is listed (F4): ``isin`` for a bounded list, else a semi join."""
-    n = ports.limit(PORT_ISIN_MAX + 1).count()
-    if n <= PORT_ISIN_MAX:
-        lst = [r.port for r in ports.collect()]  # bounded by PORT_ISIN_MAX
-        return df.where(F.col(port_col).isin(lst))
-    return df.join(ports.withColumnRenamed("port", "_p"), F.col(port_col) == F.col("_p"), "left_semi")
+    """Rows whose port is listed."""
+    cover = _cover(ports.select(F.col("port").alias("lo"), F.col("port").alias("hi")), port_col)
+    if cover is None:
+        return df.where(F.lit(False))
+    listed = ports.select(F.col("port").alias("_p")).distinct()
+    return df.where(cover).join(listed, F.col(port_col) == F.col("_p"), "left_semi")
 
 
 def new_hosts(df: DataFrame, catalog: DataFrame, ip_col: str = "ip") -> DataFrame:

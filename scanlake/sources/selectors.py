@@ -15,7 +15,7 @@ from scanlake.functions.ip import ip_num
 
 def selector_tokens(spark: SparkSession, spec) -> DataFrame:
     """``token string`` rows from a comma string, a list, or a path to a selector file."""
-    from scanlake.fixtures import path_exists
+    from scanlake.session import path_exists
 
     if isinstance(spec, (list, tuple)):
         df = spark.createDataFrame([(str(t),) for t in spec], "token string")
@@ -37,7 +37,7 @@ def keyword(tokens: DataFrame) -> str | None:
 def selector_keyword(spark: SparkSession, spec) -> str | None:
     """:func:`keyword` for a selector spec: a string or list is decided on the driver,
     without a job; only a selector file is read (two tokens at most)."""
-    from scanlake.fixtures import path_exists
+    from scanlake.session import path_exists
 
     if isinstance(spec, (list, tuple)):
         words = [str(t).strip() for t in spec]

@@ -2,25 +2,33 @@
 
 Layout under ``root``::
 
-    v=<N>/batch_id=<B>/part-*.parquet   observations of version N
-    _log/part-*.parquet                 commit log: (version, batch_id, op)
-
-A batch is visible once its row is in the log, so a failed write leaves no
-visible trace, and a retried write replaces what the failed one left.  Appending (T1) adds one ``batch_id`` partition to the current version;
-replacing (T2) and rewriting (T4/T5) write version N+1 and commit it, which
-also lets a job rewrite the table it reads.  Files are sorted by ``ip_num`` so
-Parquet min/max statistics prune address-range selections.
+    v=<N>/batch_id=<B>/writer=<W>/part-*.parquet   observations of version N
+    _log/part-*.parquet                            commit log: (version, batch_id, op, writer)
+
+Each write has a ``writer`` folder of its own and is visible once its row is in
+the log, so a failed write leaves no visible trace, and appends that run at the
+same time are all kept (they may share a batch id).  Appending (T1) adds to the
+current version; replacing (T2) and rewriting (T4/T5) write version N+1 and
+commit it, which also lets a job rewrite the table it reads: for these, let
+nobody else write meanwhile.  Files are sorted by ``ip_num`` so Parquet min/max
+statistics prune address-range selections.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from scanlake.functions.ip import ip_num
+from scanlake.schema import OBSERVATION
+from scanlake.session import path_exists
 from scanlake.sources.scanners import parse_lines, read_scan_lines
 
 _COLUMNS = ["seq", "ip", "ip_num", "port", "domains", "source_file"]
+_LOG = "version int, batch_id long, op string, writer string"
 
 
 def observations(lines_parsed: DataFrame) -> DataFrame:
@@ -51,43 +59,34 @@ class Inventory:
 
     # ------------------------------------------------------------ log
     def _log(self) -> DataFrame | None:
-        from scanlake.fixtures import path_exists
-
         if not path_exists(self.spark, f"{self.root}/_log"):
             return None
-        return self.spark.read.parquet(f"{self.root}/_log")
+        return self.spark.read.schema(_LOG).parquet(f"{self.root}/_log")
 
     def _state(self):
-        """(current version, committed batch ids of it, next batch id) – a bounded read."""
+        """(current version, next batch id): one aggregate over the log."""
         log = self._log()
-        if log is None:
-            return None, [], 1
-        # one small read: the log holds one row per commit
-        rows = [(r.version, r.batch_id) for r in log.select("version", "batch_id").collect()]
-        if not rows:
-            return None, [], 1
-        v = max(x for x, _ in rows)
-        batches = sorted({b for x, b in rows if x == v})
-        return v, batches, max(b for _, b in rows) + 1
-
-    def _commit(self, version: int, batch_id: int, op: str) -> None:
-        (self.spark.createDataFrame([(version, batch_id, op)], "version int, batch_id long, op string")
+        v, b = (None, None) if log is None else log.agg(F.max("version"), F.max("batch_id")).first()
+        return v, (b or 0) + 1
+
+    def _commit(self, version: int, batch_id: int, op: str, writer: str) -> None:
+        (self.spark.createDataFrame([(version, batch_id, op, writer)], _LOG)
          .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
 
-    def _write(self, df: DataFrame, version: int, batch_id: int | None) -> None:
+    def _write(self, df: DataFrame, version: int, batch_id: int | None) -> str:
         out = df
         if batch_id is not None:
             out = out.withColumn("seq", F.col("seq").withField("batch_id", F.lit(batch_id).cast("bigint"))) \
                      .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         else:
             out = out.withColumn("batch_id", F.col("seq.batch_id"))
-        # Overwrite only what this write owns: a fresh version folder, or (dynamic
-        # partition overwrite) this batch's partition.  Files left by an attempt
-        # that died before its commit are replaced, never exposed.
-        (out.select(*_COLUMNS, "batch_id")
+        # every write has folders of its own, so writers that meet lose nothing; files of
+        # an attempt that died before its commit are never read
+        writer = f"w{uuid.uuid4().hex}"
+        (out.select(*_COLUMNS, "batch_id").withColumn("writer", F.lit(writer))
          .sortWithinPartitions("ip_num")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(f"{self.root}/v={version}"))
+         .write.mode("append").partitionBy("batch_id", "writer").parquet(f"{self.root}/v={version}"))
+        return writer
 
     # ------------------------------------------------------------ api
     def version(self) -> int | None:
@@ -95,16 +94,14 @@ class Inventory:
 
     def read(self) -> DataFrame:
         """Committed observations of the current version (empty when none)."""
-        v, batches, _ = self._state()
+        v, _ = self._state()
         if v is None:
-            from scanlake.schema import OBSERVATION
-
             return self.spark.createDataFrame([], OBSERVATION)
-        from scanlake.schema import OBSERVATION
-
         # the declared schema, so a capture without a matching line (no file) reads as no rows
-        df = self.spark.read.schema(OBSERVATION).parquet(f"{self.root}/v={v}")
-        return (df.where(F.col("batch_id").isin(batches))
+        df = self.spark.read.schema(StructType([*OBSERVATION.fields, StructField("writer", StringType())])) \
+            .parquet(f"{self.root}/v={v}")
+        committed = self._log().where(F.col("version") == v).select("writer").distinct()
+        return (df.join(committed, "writer", "left_semi")
                 .select(*_COLUMNS, F.col("batch_id").cast("bigint").alias("batch_id")))
 
     def committed(self, op: str) -> bool:
@@ -119,24 +116,21 @@ class Inventory:
         """
         if op is not None and self.committed(op):
             return -1
-        v, _, b = self._state()
+        v, b = self._state()
         version = 1 if v is None else (v + 1 if replace else v)
-        self._write(obs, version, b)
-        self._commit(version, b, op or ("replace" if replace else "append"))
+        writer = self._write(obs, version, b)
+        self._commit(version, b, op or ("replace" if replace else "append"), writer)
         return b
 
     def rewrite(self, df: DataFrame) -> int:
         """Write ``df`` – rows of the current version, transformed (T4, T5) – as the next version.
 
-        Rows keep their batch ids, so the new version commits the current
-        version's batch list, read from the log; ``df`` is evaluated once.
+        Rows keep their batch ids; the commit repeats the last one given.
         """
-        v, batches, b = self._state()
+        v, b = self._state()
         version = 1 if v is None else v + 1
-        self._write(df.select(*_COLUMNS), version, None)
-        rows = [(version, int(x), "rewrite") for x in batches] or [(version, b, "rewrite")]
-        (self.spark.createDataFrame(rows, "version int, batch_id long, op string")
-         .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
+        writer = self._write(df.select(*_COLUMNS), version, None)
+        self._commit(version, b - 1, "rewrite", writer)
         return version
 
 

@@ -46,6 +46,22 @@ def test_create_generic(spark, tmp_path, write_text):
         create_generic(spark, Inventory(spark, str(tmp_path / "inv2")), bad)
 
 
+def test_appends_that_saw_the_same_state_are_both_kept(spark, tmp_path, monkeypatch, write_text):
+    inv = Inventory(spark, str(tmp_path / "two"))
+    add_scan(spark, inv, write_text("a.txt", "10.0.0.1:1\n"), "generic")
+    monkeypatch.setattr(Inventory, "_state", lambda self: (1, 2))
+    add_scan(spark, inv, write_text("b.txt", "10.0.0.2:2\n"), "generic")
+    add_scan(spark, inv, write_text("c.txt", "10.0.0.3:3\n"), "generic")
+    assert sorted(r.ip for r in inv.read().collect()) == ["10.0.0.1", "10.0.0.2", "10.0.0.3"]
+
+
+def test_uncommitted_files_are_not_read(spark, tmp_path, write_text):
+    inv = Inventory(spark, str(tmp_path / "died"))
+    add_scan(spark, inv, write_text("a.txt", "10.0.0.1:1\n"), "generic")
+    inv._write(inv.read(), 1, 2)
+    assert inv.read().count() == 1
+
+
 def test_first_capture_without_a_match(spark, tmp_path):
     from scanlake.store import Inventory
 
