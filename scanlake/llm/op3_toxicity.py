@@ -273,8 +273,23 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     ids = use.select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"))
     chosen = ids.filter("toxic = 0").orderBy("h").limit(sample).union(ids.filter("toxic = 1").orderBy("h").limit(sample)) \
         .select("doc_id").distinct()
-    rows = use.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").limit(2 * sample).collect()
-    return fit([r.text for r in rows], np.array([r.toxic for r in rows], np.int64))
+    rows = use.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").limit(2 * sample)
+
+    def learn(batches):
+        texts, toxic = [], []
+        for batch in batches:
+            texts += batch["text"].to_pylist()
+            toxic += batch["toxic"].to_pylist()
+        m = fit(texts, np.array(toxic, np.int64))
+        yield pa.record_batch({"words": pa.array([m.words.view(np.int64)]), "weight": pa.array([m.weight]),
+                               "trans": pa.array([m.trans.ravel()]), "doc": pa.array([m.doc])})
+
+    # the bounded sample is one task's work; the driver sees the weights only
+    got = rows.select("text", F.col("toxic").cast("long").alias("toxic")).coalesce(1).mapInArrow(
+        learn, "words array<long>, weight array<double>, trans array<double>, doc array<double>").first()
+    if got is None:
+        return fit([], np.zeros(0, np.int64))
+    return Model(np.array(got.words, np.int64).view(U), np.array(got.weight), np.array(got.trans).reshape(2, 2), np.array(got.doc))
 
 
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("p", pa.float64())]))
