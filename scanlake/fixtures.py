@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.functions.ip import ip_num
-from scanlake.session import scratch_dir
+from scanlake.session import path_exists, scratch_dir
 
 FIXTURE_VERSION = "4"
 
