@@ -224,6 +224,24 @@ def test_op6_wrapper_finds_the_container(spark):
     assert w["h.example.com"].main.endswith("div.cell") and w["h.example.com"].n_pages == 9
 
 
+def test_op6_constant_text_of_the_main_container_is_template(spark):
+    def page(i, extra=""):
+        return (f"<body><article id='slug-{'abcdefghij'[i % 10]}'><p>Read our terms before you go on.</p><p>Story {i} "
+                f"{'word ' * (i + 5)}</p>{extra}<p class=note>Ask the desk.</p></article><div>Same {i} here</div></body>")
+
+    rows = [(i, f"http://a.example.com/{i}", page(i, "<p>Told by nobody.</p>" * (i % 2))) for i in range(10)]
+    rows += [(20 + i, f"http://a.example.com/copy{i}", page(3)) for i in range(30)]
+    rows += [(60, "http://two.example.com/1", page(1)), (61, "http://two.example.com/2", page(2))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in op6.main_text(pages).collect()}
+    story = lambda i: " ".join(["Story", str(i)] + ["word"] * (i + 5))
+    assert got[4] == story(4) and got[5] == story(5) + " Told by nobody." and got[25] == story(3)
+    assert got[60] == "Read our terms before you go on. " + story(1) + " Ask the desk."     # too few pages to tell
+    w = {r.host: r for r in op6.wrappers(pages).collect()}
+    assert w["a.example.com"].main == "/body/article.slug" and w["a.example.com"].n_pages == 40
+    assert w["a.example.com"].wrapper == "(/body/article.slug/p=#)+ /body/article.slug/p.note= /body/div#"
+
+
 def test_op7(spark):
     r = random.Random(9)
     vocab = ["w" + "".join(r.choice("abcdefghij") for _ in range(3)) for _ in range(400)]
