@@ -2,7 +2,10 @@
 
 1. Base spans: addresses, numbers and phones by four patterns, each checked
    (parts of an IP, Luhn sum, digits of a phone).  They are the seeds.
-2. Candidates: other words with at least ``MIN_DIGITS`` digits, or with an ``@``.
+2. Candidates: other phrases.  Runs of digit groups and signs over spaces, or
+   words, with at least ``MIN_DIGITS`` digits; words with an ``@``; and, beside
+   patterns of addresses only, words with a sign inside and words joined by
+   an "at" in brackets, or by a plain one before a name with a dot.
 3. A lexical pattern is the word left, or the word right, of an identifier.
    Patterns and instances form a graph.  Spark scores it in rounds: a pattern's
    confidence is the mean score of its instances (seeds have 1, candidates
@@ -38,7 +41,14 @@ PATTERNS = {
 #: What a text must hold for a pattern to be tried.
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
-CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*?[0-9@][^\x20\x09-\x0D]*+"
+_S, _SIGN, _AT = r"[^\x20\x09-\x0D]", r"[^\p{L}\p{N}\x20\x09-\x0D]", r"[\[({<]\x20*+(?i:at)\x20*+[\])}>]"
+_GROUP = rf"[+(]*+[0-9][0-9()./+-]*+(?={_SIGN}*+(?:[\x20\x09-\x0D]|$))"      # a word of digits and signs
+_DOT = r"(?:\x20++(?i:dot)\x20++|\x20*+[\[({<]\x20*+(?i:dot)\x20*+[\])}>]\x20*+)"
+_JOINED = rf"{_S}++\x20++(?:{_AT}\x20*+{_S}++|(?i:at)\x20++[\p{{L}}\p{{N}}-]++(?:\.(?=[\p{{L}}\p{{N}}])|{_DOT}){_S}++)(?:{_DOT}{_S}++)*+"
+#: A run of groups, words joined by an "at", a word with a digit or an @, or with a sign inside.
+CANDIDATE = (rf"(?<!{_S})(?:{_GROUP}(?:\x20++{_GROUP})*+|{_JOINED}|{_S}*?[0-9@]{_S}*+|"
+             rf"{_SIGN}*+[\p{{L}}]++(?:['’-][\p{{L}}]++)*+{_SIGN}++[\p{{L}}]{_S}*+)")
+AT = "at"                       # kind of candidates that only patterns of addresses speak for; '' of others
 MIN_DIGITS = 6
 MIN_SEEDS = 5                   # different seed values that make a pattern
 CONFIDENCE = 0.8
@@ -100,43 +110,68 @@ def base_spans(text: Column) -> Column:
 
 def _word(text: Column, side: str) -> Column:
     """The nearest word on a side, without signs, in lower case."""
-    return F.lower(F.regexp_replace(F.regexp_extract(text, r"(\S+)\s+$" if side == "left" else r"^\s+(\S+)", 1), r"^\W+|\W+$", ""))
+    word = F.regexp_extract(text, r"(?<!\S)(\S++)\s++$" if side == "left" else r"^\s++(\S++)", 1)
+    return F.lower(F.regexp_replace(word, r"^\W++|(?<!\W)\W++$", ""))
+
+
+def _beside(text: Column, span: Column, side: str) -> Column:
+    """The nearest word on a side; the whole side is searched only where 80 characters don't hold the word and what bounds it."""
+    if side == "left":
+        near = F.substring(text, F.greatest(span["start"] - 79, F.lit(1)), F.least(F.lit(80), span["start"]))
+        whole, bounded, cut = F.substring(text, F.lit(1), span["start"]), near.rlike(r"\s\S++\s++$|\S$"), span["start"] > 80
+    else:
+        near = F.substring(text, span["end"] + 1, F.lit(80))
+        whole, bounded, cut = F.substring(text, span["end"] + 1, F.length(text)), near.rlike(r"^\s++\S++\s|^\S"), F.length(near) == 80
+    return F.when(cut & ~bounded, _word(whole, side)).otherwise(_word(near, side))
 
 
 def _contexts(text: Column, spans: Column) -> Column:
-    """Spans with the words around them; 80 characters on each side are looked at, as words are short."""
+    """Spans with the words around them."""
     return F.transform(spans, lambda s: F.struct(
         s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"),
-        _word(F.substring(text, F.greatest(s["start"] - 79, F.lit(1)), F.least(F.lit(80), s["start"])), "left").alias("left"),
-        _word(F.substring(text, s["end"] + 1, F.lit(80)), "right").alias("right")))
+        _beside(text, s, "left").alias("left"), _beside(text, s, "right").alias("right")))
+
+
+def _masked(text: Column, base: Column) -> Column:
+    """The text with base spans as one letter each sign, so that no run of groups goes over them."""
+    put = F.aggregate(
+        in_order(base), F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda a, s: F.when(s["end"] > a["at"], F.struct(s["end"].alias("at"), F.concat(
+            a["out"], F.substring(text, a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0))),
+            F.repeat(F.lit("x"), s["end"] - F.greatest(s["start"], a["at"]))).alias("out"))).otherwise(a),
+        lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, put).otherwise(text)
 
 
 def candidates(text: Column, base: Column) -> Column:
-    """Words that look like identifiers and meet no base span, without signs around them."""
-    core = r"^[^\p{L}\p{N}]*"
+    """Phrases that look like identifiers and meet no base span, without signs around them."""
+    # a bracket stays before digits that one closes
+    core = r"^[^\p{L}\p{N}]*?(?=\+?\([0-9]++\).*[\p{L}\p{N}]|\+?[\p{L}\p{N}])"
 
     def trim(s):
         lead = F.length(F.regexp_extract(s["value"], core, 0))
-        value = F.regexp_replace(s["value"], core + r"|[^\p{L}\p{N}]+$", "")
+        value = F.regexp_replace(s["value"], core + r"|(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
         start = s["start"] + lead
-        return F.struct(F.lit("").alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
+        sure = F.contains(value, F.lit("@")) | (F.length(_digits(value)) >= MIN_DIGITS)
+        return F.struct(F.when(sure, "").otherwise(AT).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"),
+                        value.alias("value"))
 
-    found = F.filter(F.transform(matches(text, CANDIDATE, ""), trim), lambda s: (
-        F.contains(s["value"], F.lit("@")) | (F.length(_digits(s["value"])) >= MIN_DIGITS)) & ~F.exists(
+    return F.filter(F.transform(matches(_masked(text, base), CANDIDATE, ""), trim), lambda s: (
+        (s["kind"] == "") | s["value"].rlike(r"\p{L}[^\p{L}].*\p{L}")) & ~F.exists(
         base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return F.when(text.rlike(r"[0-9@]"), found).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
 def learned_patterns(identifiers: DataFrame) -> DataFrame:
-    """(pattern, kind) of high confidence, from identifiers (kind, empty for a candidate; value; left; right)."""
+    """(pattern, kind) of high confidence, from identifiers (kind, empty or ``AT`` for a candidate; value; left; right)."""
     edges = identifiers.select("kind", F.sha2("value", 256).alias("value"), F.explode(F.array(
         F.concat(F.lit("L "), "left"), F.concat(F.lit("R "), "right"))).alias("pattern")).filter("length(pattern) > 2")
     edges = written(edges.groupBy("pattern", "kind", "value").agg(F.count("*").alias("n")), "pii_edges")
     # Candidates only matter where a pattern has seeds
-    seeds = edges.filter("kind <> ''").groupBy("pattern", "kind").agg(F.count("*").alias("k"))
+    seeds = edges.filter(F.col("kind").isin(*KINDS)).groupBy("pattern", "kind").agg(F.count("*").alias("k"))
     seeds = seeds.groupBy("pattern").agg(F.sum("k").alias("seeds"), F.max_by("kind", F.struct("k", "kind")).alias("of")) \
         .filter(F.col("seeds") >= MIN_SEEDS)
-    graph = written(edges.join(seeds, "pattern").select("pattern", "kind", "value", "of"), "pii_graph")
+    graph = written(edges.join(seeds, "pattern").filter((F.col("kind") != AT) | (F.col("of") == "email"))
+                    .select("pattern", "kind", "value", "of"), "pii_graph").withColumn("kind", F.when(F.col("kind") == AT, "").otherwise(F.col("kind")))
     score = graph.filter("kind = ''").select("value").distinct().withColumn("score", F.lit(0.0))
     patterns = None
     for _ in range(ROUNDS):
@@ -158,9 +193,9 @@ def found_spans(docs: DataFrame) -> DataFrame:
         .withColumn("row", F.monotonically_increasing_id())     # of a written table: the same in every pass
     one = d.select("row", F.explode(F.concat("base", "more")).alias("s")).select("row", "s.*")
     patterns = learned_patterns(one.select("kind", "value", "left", "right"))
-    hits = one.filter("kind = ''").select("row", "start", "end", "value", F.explode(F.array(
+    hits = one.filter(~F.col("kind").isin(*KINDS)).select("row", "start", "end", "value", F.col("kind").alias("form"), F.explode(F.array(
         F.concat(F.lit("L "), "left"), F.concat(F.lit("R "), "right"))).alias("pattern")).join(patterns, "pattern") \
-        .groupBy("row", "start", "end", "value").agg(F.min("kind").alias("kind")) \
+        .filter((F.col("form") != AT) | (F.col("kind") == "email")).groupBy("row", "start", "end", "value").agg(F.min("kind").alias("kind")) \
         .groupBy("row").agg(F.collect_list(F.struct("kind", "start", "end", "value")).alias("new"))
     plain = F.transform("base", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"),
                                                    s["value"].alias("value")))

@@ -199,6 +199,20 @@ def test_op5_base_and_learned(spark):
     assert (53, None) in red and op5.redacted(frame(spark, rows)).columns == frame(spark, rows).columns
 
 
+def test_op5_learns_phrases(spark):
+    rows = [(i, f"write to mail user{i}@host.example.com now, call +1 (555) 000-{1000 + i} please.") for i in range(40)]
+    rows += [(50, "you may call 0171 234 5678, or not"), (51, "you may call (555) 000-1000 today"), (52, "so mail jane [at] host.org today"),
+             (53, "so mail jane(at)host.org today"), (54, "so mail me or call 3 times"), (55, "they saw 0171 234 5678 and well.known things"),
+             (56, "you may call 1.2.3.4 0171 234 5678 then"), (57, "call" + " " * 100 + "0171 234 5678"),
+             (58, "call 0171 234 5678 " + "z" * 300), (59, "recall" + "l" * 90 + "call 0171 234 5678")]
+    red = {r.doc_id: r.text for r in op5.redacted(frame(spark, rows)).collect()}
+    assert red[50] == "you may call [phone], or not" and red[51] == "you may call [phone] today"
+    assert red[52] == red[53] == "so mail [email] today"
+    assert [red[i] for i in (54, 55, 59)] == [dict(rows)[i] for i in (54, 55, 59)]
+    assert red[56] == "you may call [ip] 0171 234 5678 then"
+    assert red[57] == "call" + " " * 100 + "[phone]" and red[58] == "call [phone] " + "z" * 300
+
+
 def test_op6():
     page = ("<html><head><title>t</title></head><body class='x'><nav><a href='a>b'>menu</a></nav><!-- <p>no</p> -->"
             "<div class='cookie-notice'>Cookies</div><article><h1>Head &amp; more</h1><p><b>Bo</b>ld<br>next"
