@@ -276,6 +276,53 @@ def test_op7(spark):
     assert op7.search(frame(spark, rows).limit(0), bench).count() == 0
 
 
+def test_op7_recall(spark):
+    r = random.Random(5)
+    vocab = ["w" + "".join(r.choice("abcdefghij") for _ in range(3)) for _ in range(500)]
+    prose = lambda k: [r.choice(vocab) for _ in range(k)]
+    items = [prose(k) for k in (16, 24, 30, 40, 50, 60) for _ in range(2)]
+    rows = []
+    for i in range(240):
+        w = []
+        for x in items[i % 12]:                 # a paraphrase: words left out, put in and replaced
+            u, thin = r.random(), 0.1 + 0.3 * (i // 12) / 20
+            w += [] if u < thin / 2 else prose(1) if u < thin else [x] + (prose(1) if u > 0.9 else [])
+        rows.append((i, " ".join(prose(r.randint(0, 60)) + w + prose(r.randint(0, 60)))))
+    bench = spark.createDataFrame([(k, " ".join(it)) for k, it in enumerate(items)], "item_id long, text string")
+    got = {g.doc_id: {m.item_id for m in g.matches} for g in op7.search(frame(spark, rows), bench).select("doc_id", "matches").collect()}
+    # all positions are compared, without the latent space
+    want = set()
+    for i, text in rows:
+        w = text.split()
+        for k, it in enumerate(items):
+            if len(set(w) & set(it)) < min(op7.LCS, op7.LCS_ANSWER) * len(set(it)):
+                continue
+            below = 16
+            while below < len(it):
+                below = below * 3 // 2
+            n = below + below // 8
+            for p in range(len(w)):
+                share, answer = op7.same_passage(it, w[max(0, p - n // 2): p + n])
+                if share >= op7.LCS or (share >= op7.LCS_ANSWER and answer):
+                    want.add((i, k))
+                    break
+    found = {(i, k) for i, ks in got.items() for k in ks}
+    print("recall", len(found & want), len(want), len(found - want))
+    assert found <= want and len(found) >= 0.9 * len(want) and len(want) > 100
+
+
+def test_op7_the_best_window_of_a_bin_is_compared():
+    item = [f"item{k}" for k in range(16)]
+    text = ["other"] * 80
+    for at, w in zip((30, 31, 32, 33, 36, 37, 38, 39, 40, 41, 44, 46, 48, 50, 54, 55), item):
+        text[at] = w
+    h = op7.of_texts([" ".join(item)])[0]
+    index = op7.Index([1], [h], op7.Terms(np.unique(h)), np.ones(16), np.eye(16))
+    dat = np.frombuffer(" ".join(text).encode(), np.uint8)
+    # the words around the first window of each half window (18 // 2 words) leave out an end of the item
+    assert index.search(dat, np.array([0, len(dat)]))[0][0][1:] == (1.0, True)
+
+
 def test_op7_common_subsequence():
     r = random.Random(1)
     for _ in range(50):
