@@ -4,14 +4,14 @@ Every stage but the last returns the columns of its input and sees all rows its
 predecessor kept:
 
 toxicity     documents scored 1/2 or more go
-near_copies  of each group of linked documents the one with the least id stays
+near_copies  of each group of linked documents the row with the least id (nulls last) stays
 benchmark    documents that hold a benchmark item go
 pii          found spans are replaced by ``[kind]``; n_chars follows the text
 packing      what is left, tokenised and packed into sequences
 
-Rows without a doc_id can't be named, so near_copies keeps them all.  Rows that
-repeat an id and its text count as one document there; with different texts they
-stay together.  Empty tables pass through.
+near_copies decides by row: copies without a doc_id or under one id go too.  Rows
+without words are linked with none; those that repeat an id and its text count
+as one document.  Empty tables pass through.
 """
 
 from __future__ import annotations
@@ -37,11 +37,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = op10_jaccard_join.jaccard_components(docs)
-    stay = written(groups.filter("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")), "stay")
-    one = docs.join(stay.filter("n = 1").select("doc_id"), "doc_id", "left_semi")
-    several = docs.join(stay.filter("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return one.unionByName(several).unionByName(docs.filter("doc_id is null")).select(docs.columns)
+    column = _unused(docs, "row")
+    numbered = docs.withColumn(column, F.monotonically_increasing_id())     # of a written table: the same in every pass
+    groups = op10_jaccard_join.jaccard_components(numbered.select("doc_id", "text", F.col(column).alias("row")), row=True)
+    # no words: linked with nothing, but what repeats an id and its text is one document
+    blank = numbered.filter("doc_id is not null").filter(F.coalesce("text", F.lit("")).rlike(r"^[\x20\x09-\x0D]*+$")) \
+        .select(F.col(column).alias("row"), F.struct("doc_id", "text").alias("same"))
+    first = blank.groupBy("same").agg(F.min("row").alias("first"))
+    again = blank.join(first, blank["same"].eqNullSafe(first["same"])).filter("row > first").select("row")
+    stay = written(groups.filter("stays").select("row").join(again, "row", "left_anti").withColumnRenamed("row", column), "stay")
+    return numbered.join(stay, column, "left_semi").select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

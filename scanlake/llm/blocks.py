@@ -221,15 +221,15 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
     return docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
 
 
-def blocked(docs: DataFrame, n: int, *extra) -> DataFrame:
-    """(blk, rows): documents (doc_id, text, extra...) dealt into ``n`` blocks; null text is empty.
+def blocked(docs: DataFrame, n: int, *extra, keep=()) -> DataFrame:
+    """(blk, rows): documents (doc_id, text, columns to keep..., extra...) dealt into ``n`` blocks; null text is empty.
 
     What a task sends to a block travels as one compressed Arrow stream, which ``block_rows`` reads: much smaller
     than single rows, and a block is shuffled once however many passes read it.
     """
     schema = "blk int, rows binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
-        .select(F.expr(f"cast(pmod(xxhash64(doc_id, text), {n}) as int)").alias("blk"), "doc_id", "text", *extra) \
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), *keep) \
+        .select(F.expr(f"cast(pmod(xxhash64(doc_id, text), {n}) as int)").alias("blk"), "doc_id", "text", *keep, *extra) \
         .mapInArrow(_to_blocks, schema).repartition(n, "blk")
 
 

@@ -41,8 +41,8 @@ U = np.uint64
 _ASK = pa.schema([("bucket", pa.int32()), ("blk", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 _TELL = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("codes", pa.binary())])
 _ROWS = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cid", pa.string()),
-                   ("feats", pa.list_(pa.int64())), ("shingles", pa.binary())])
-ROWS = "doc_id long, n_shingles long, cid string, feats array<long>, shingles binary"
+                   ("feats", pa.list_(pa.int64())), ("shingles", pa.binary()), ("row", pa.int64())])
+ROWS = "doc_id long, n_shingles long, cid string, feats array<long>, shingles binary, row long"
 
 
 def shingle_sets(dat: np.ndarray, off: np.ndarray, width: int = WORDS) -> list[np.ndarray]:
@@ -125,7 +125,8 @@ def _rows(table: pa.Table, told: pa.Table) -> pa.Table:
         sets, keys, _ = _block(table)
         code = np.concatenate([np.zeros(0, np.uint8)] + [
             np.frombuffer(r["codes"], np.uint8) for r in sorted(told.to_pylist(), key=lambda r: r["bucket"])])
-        for doc_id, s in zip(table["doc_id"].to_pylist(), sets):
+        rows = table["row"].to_pylist() if "row" in table.column_names else [None] * len(sets)
+        for doc_id, row, s in zip(table["doc_id"].to_pylist(), rows, sets):
             n = len(s)
             c = code[np.searchsorted(keys, s >> CUT)]
             live = n > 0 and np.count_nonzero(c) * SHARE[1] >= n * SHARE[0]
@@ -137,7 +138,7 @@ def _rows(table: pa.Table, told: pa.Table) -> pa.Table:
                 unshared = int(np.count_nonzero(c[order] == 0))
                 feats = np.append(np.int64(unshared), feats)       # their count comes first, see ``_entries``
             cid = "%016x%016x%x" % (int(s.sum()), int(B.mix(s ^ U(0xA0761D6478BD642F)).sum()), n)
-            for name, v in zip(out, (doc_id, n, cid if live else None, feats, s.tobytes() if live else None)):
+            for name, v in zip(out, (doc_id, n, cid if live else None, feats, s.tobytes() if live else None, row)):
                 out[name].append(v)
     return B.rows_table(_ROWS, out)
 
@@ -182,17 +183,21 @@ def _joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
         .select("cid", F.coalesce("to", "component").alias("component")), "labels")
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per document."""
+def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per document.
+
+    With ``row``, docs number their rows there: row, stays (it is its component's first by doc_id, nulls last, and row).
+    """
     nb = B.parts(docs.sparkSession, B.text_bytes(docs))
-    t = B.blocked(docs, nb)
+    t = B.blocked(docs, nb, keep=["row"] if row else [])
     told = t.groupBy("blk").applyInArrow(_ask(nb), "bucket int, blk int, keys binary, counts binary") \
         .repartition(nb, "bucket").groupBy("bucket").applyInArrow(_tell(nb), "blk int, bucket int, codes binary")
     rows = written(t.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(_rows, ROWS), "rows")
 
     live = rows.filter("cid is not null")
     classes = written(live.groupBy("cid").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("feats").alias("feats"),
+        F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"),
+        F.first("n_shingles").alias("n_shingles"), F.first("feats").alias("feats"),
         F.first("shingles").alias("shingles")), "classes")
     # position of an entry in its whole row: entries of columns with one row stand before all others
     entries = written(classes.select("cid", "n_shingles", F.col("feats")[0].alias("unshared"),
@@ -241,7 +246,12 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     if not found.isEmpty():
         label = _joined(label, found)
 
-    of_class = classes.select("cid", "rep").join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    of_class = classes.select("cid", "rep", "least").join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    if row:
+        one = of_class.groupBy("component").agg(F.min("least").alias("least")).select("component", F.col("least.row").alias("first"))
+        firsts = of_class.join(one, "component").select("cid", "first")
+        return rows.select("row", "cid").join(firsts, "cid", "left") \
+            .select("row", F.coalesce(F.col("row") == F.col("first"), F.lit(True)).alias("stays"))
     least = of_class.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = of_class.join(least, "component").select("cid", "component_id")
     return rows.select("doc_id", "n_shingles", "cid").join(of_class, "cid", "left") \

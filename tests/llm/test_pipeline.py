@@ -41,3 +41,16 @@ def test_stages(spark, tmp_path):
     assert masked[301] == ("mail me at [email] today", 24) and masked[302][0] is None
     assert set(ids[5]) == set(ids[4])
     assert P.run(spark, sf).count() == held[5].count()
+
+
+def test_near_copies_decides_by_row(spark, tmp_path):
+    r = random.Random(6)
+    prose = lambda: " ".join("".join(r.choice("abcdefg") for _ in range(4)) for _ in range(60))
+    a, b, c, d = (prose() for _ in range(4))
+    rows = [(3, b), (5, a), (5, b + " end"), (None, c), (None, c), (None, c + " end"), (7, d), (7, d + " end"), (None, a),
+            (8, ""), (8, ""), (9, None), (9, None), (None, ""), (None, "")]
+    docs = P.written(spark.createDataFrame(rows, "doc_id long, text string"), "test_rows")
+    got = sorted(((x.doc_id, x.text) for x in P.near_copies(spark, docs, str(tmp_path)).collect()), key=str)
+    kept = {i: [t for j, t in got if i == j] for i in (3, 5, 7, 8, 9)}
+    assert kept[3] == [b] and kept[5] == [a] and len(kept[7]) == 1 and kept[8] == [""] and kept[9] == [None]
+    assert sum(i is None and t in (c, c + " end") for i, t in got) == 1 and got.count((None, a)) == 0 and got.count((None, "")) == 2
