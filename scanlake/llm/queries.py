@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from scanlake.llm import (op1_suffix_dedup, op2_lm_score, op3_toxicity, op4_fingerprint, op5_pii, op6_html,
-                          op7_decontaminate, op8_pack, op9_chat, op10_jaccard_join)
+                          op7_decontaminate, op8_pack, op9_chat, op10_jaccard_join, op11_warc, op12_negatives, op13_runs)
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup.query,
@@ -16,6 +16,9 @@ QUERIES = {
     "op8_pack": op8_pack.query,
     "op9_chat": op9_chat.query,
     "op10_jaccard_join": op10_jaccard_join.query,
+    "op11_warc": op11_warc.query,
+    "op12_negatives": op12_negatives.query,
+    "op13_runs": op13_runs.query,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_warc": op11_warc.ORACLE, "op12_negatives": op12_negatives.ORACLE}
