@@ -10,6 +10,11 @@ def as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def pin(df, keep=None, **cols):
     """Add computed columns that later filters read as values.
 

@@ -1,14 +1,13 @@
-"""IPv4 column expressions: numeric order key (P9), subnet (P10), CIDR bounds."""
+"""Address column expressions: order keys of IPv4 and IPv6 (P9), subnet (P10)."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from scanlake.functions import as_col
+from scanlake.functions import as_col, let
 
 _IPV4 = r"^[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}$"
-_CIDR = r"^\s*([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})(/([0-9]{1,2}))?\s*$"
 
 
 def ip_num(ip) -> Column:
@@ -23,12 +22,6 @@ def ip_num(ip) -> Column:
     return F.when(ok, num)
 
 
-def ip_text(num) -> Column:
-    """Inverse of :func:`ip_num`."""
-    n = as_col(num)
-    return F.concat_ws(".", *[(F.shiftright(n, s) % 256).cast("string") for s in (24, 16, 8, 0)])
-
-
 def subnet(ip) -> Column:
     """Text before the last dot (P10); without a dot, the text minus its last char."""
     c = as_col(ip)
@@ -36,24 +29,33 @@ def subnet(ip) -> Column:
         F.regexp_replace(c, r"(?s).$", ""))
 
 
-def cidr_prefix(token) -> Column:
-    """Prefix length of an ``a.b.c.d[/p]`` selector token (32 without ``/p``)."""
-    t = as_col(token)
-    p = F.regexp_extract(t, _CIDR, 3)
-    return F.when(t.rlike(_CIDR), F.when(p == "", F.lit(32)).otherwise(p.cast("int")))
-
-
-def cidr_network(token) -> Column:
-    """Network address (``bigint``) of a selector token, host bits cleared."""
-    t = as_col(token)
-    addr = ip_num(F.regexp_extract(t, _CIDR, 1))
-    p = cidr_prefix(t)
-    size = F.pow(F.lit(2), 32 - p).cast("bigint")
-    return F.when(p.between(0, 32), addr - (addr % size))
+def ip6_key(ip) -> Column:
+    """IPv6 text to its 16 bytes as 32 hex digits, which sort like the address; null if not IPv6.
 
+    Groups left out by ``::``, a dotted IPv4 tail and a zone (``%eth0``) are understood.
+    """
+    c = as_col(ip)
 
-def cidr_broadcast(token) -> Column:
-    """Last address (``bigint``) of the block a selector token names."""
-    t = as_col(token)
-    p = cidr_prefix(t)
-    return cidr_network(t) + F.pow(F.lit(2), 32 - p).cast("bigint") - 1
+    def hextets(text):
+        """The eight groups, from text without a dotted tail; too few or too many where it is no address."""
+        return let(F.split(text, "::", -1), lambda halves: let(
+            F.transform(halves, lambda half: F.when(half == "", F.array().cast("array<string>")).otherwise(F.split(half, ":", -1))),
+            lambda parts: F.when(F.size(parts) == 1, F.get(parts, F.lit(0))).when(
+                (F.size(parts) == 2) & (F.size(F.flatten(parts)) < 8),
+                F.concat(F.get(parts, F.lit(0)), F.array_repeat(F.lit("0"), 8 - F.size(F.flatten(parts))), F.get(parts, F.lit(1))))))
+
+    def without_tail(text):
+        quad = let(F.regexp_extract(text, r"([0-9.]+)$", 1), lambda q: F.lpad(F.lower(F.hex(ip_num(q))), 8, "0"))
+        return F.when(text.contains("."), let(quad, lambda q: F.concat(
+            F.regexp_extract(text, r"^(.*:)[0-9.]+$", 1), F.substring(q, 1, 4), F.lit(":"), F.substring(q, 5, 4)))).otherwise(text)
+
+    key = let(F.regexp_replace(F.lower(c), "%.*$", ""), lambda raw: let(without_tail(raw), lambda text: let(
+        hextets(text), lambda g: F.when(
+            (F.size(g) == 8) & F.forall(g, lambda x: x.rlike("^[0-9a-f]{1,4}$")),
+            F.array_join(F.transform(g, lambda x: F.lpad(x, 4, "0")), "")))))
+    return F.when(c.contains(":"), key)
+
+
+def address_order(ip="ip", num="ip_num") -> list[Column]:
+    """Sort keys of an address: IPv4 by number, then IPv6 by its bytes, then other names as text."""
+    return [as_col(num).asc_nulls_last(), ip6_key(ip).asc_nulls_last(), as_col(ip).asc_nulls_last()]

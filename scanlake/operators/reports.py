@@ -17,10 +17,10 @@ from scanlake.functions import order as sort_order
 from scanlake.functions import number_rows, pin
 from scanlake.functions.ip import ip_num
 from scanlake.functions.xmltext import escape_attr
-from scanlake.operators.select import select_cidr
+from scanlake.operators.select import select_spec
 from scanlake.sources.reports import header_struct, host_fragment, read_records
 from scanlake.sources.scanners import line_numbers
-from scanlake.sources.selectors import host_ranges, selector_keyword, selector_tokens
+from scanlake.sources.selectors import selector_keyword, selector_tokens
 
 
 # ------------------------------------------------------------------ F6, F7
@@ -30,7 +30,7 @@ def reports_by_host(spark: SparkSession, catalog: DataFrame, hosts) -> DataFrame
     if selector_keyword(spark, hosts) == "all":
         return catalog.where(~F.col("stem").startswith("port"))
     hostcat = catalog.where(F.col("report_ip").isNotNull())
-    return select_cidr(hostcat, host_ranges(selector_tokens(spark, hosts)), ip_col="report_ip")
+    return select_spec(spark, hostcat, hosts, ip_col="report_ip")
 
 
 def reports_by_port(spark: SparkSession, catalog: DataFrame, ports) -> DataFrame:

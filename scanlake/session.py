@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
@@ -83,3 +83,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def new_path(spark: SparkSession, kind: str) -> str:
     """A fresh, never reused location below the scratch folder."""
     return f"{scratch_dir(spark)}/scanlake/{kind}/{uuid.uuid4().hex}"
+
+
+def materialized(df: DataFrame, kind: str) -> DataFrame:
+    """``df`` as a Parquet table below the scratch folder: computed once, the same in every later pass."""
+    path = new_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

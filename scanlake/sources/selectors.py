@@ -6,20 +6,29 @@ holding only ``all`` means all.  Tokens are trimmed and blank ones dropped.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.functions import pin
-from scanlake.functions.ip import ip_num
+from scanlake.functions.ip import ip6_key, ip_num
 
+_ADDRESS6 = re.compile(r"[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*:[0-9A-Fa-f:.]*(/.*)?")
 
-def selector_tokens(spark: SparkSession, spec) -> DataFrame:
-    """``token string`` rows from a comma string, a list, or a path to a selector file."""
+
+def is_path(spark: SparkSession, spec) -> bool:
+    """Whether the selector names a file; an IPv6 selector is no path, though a URI parser takes its colons for one."""
     from scanlake.session import path_exists
 
+    return isinstance(spec, str) and spec not in ("all", "new") and not _ADDRESS6.fullmatch(spec.split(",")[0].strip()) and path_exists(spark, spec)
+
+
+def selector_tokens(spark: SparkSession, spec) -> DataFrame:
+    """``token string`` rows from a comma string, a list, or a path to a selector file."""
     if isinstance(spec, (list, tuple)):
         df = spark.createDataFrame([(str(t),) for t in spec], "token string")
-    elif spec not in ("all", "new") and path_exists(spark, spec):
+    elif is_path(spark, spec):
         df = spark.read.text(spec).select(F.explode(F.split("value", ",")).alias("token"))
     else:
         df = spark.createDataFrame([(t,) for t in str(spec).split(",")], "token string")
@@ -37,11 +46,9 @@ def keyword(tokens: DataFrame) -> str | None:
 def selector_keyword(spark: SparkSession, spec) -> str | None:
     """:func:`keyword` for a selector spec: a string or list is decided on the driver,
     without a job; only a selector file is read (two tokens at most)."""
-    from scanlake.session import path_exists
-
     if isinstance(spec, (list, tuple)):
         words = [str(t).strip() for t in spec]
-    elif spec in ("all", "new") or not path_exists(spark, spec):
+    elif not is_path(spark, spec):
         words = [t.strip() for t in str(spec).split(",")]
     else:
         return keyword(selector_tokens(spark, spec))
@@ -74,6 +81,17 @@ def host_ranges(tokens: DataFrame) -> DataFrame:
     return checked.select("prefix", lo.alias("lo"), (lo + block - 1).alias("hi")).distinct()
 
 
+def host_ranges6(tokens: DataFrame) -> DataFrame:
+    """IPv6 selectors (``addr`` or ``addr/p``) → ``prefix int, key string`` (32 hex digits, host bits still set);
+    a bad token fails the job."""
+    parts = F.split("token", "/", -1)
+    p = F.when(F.size(parts) == 1, F.lit(128)).when(F.size(parts) == 2, F.get(parts, F.lit(1)).try_cast("int"))
+    n = pin(tokens.select("token"), prefix=p, key=ip6_key(F.get(parts, F.lit(0))))
+    ok = F.coalesce(F.col("key").isNotNull() & F.col("prefix").between(0, 128), F.lit(False))
+    return n.where(F.when(~ok, F.raise_error(F.concat(F.lit("not an IPv6 address or CIDR: "), F.col("token"))))
+                   .otherwise(F.lit(True))).select("prefix", "key").distinct()
+
+
 def port_list(tokens: DataFrame) -> DataFrame:
     """Port selectors → ``port int``; a non-integer fails the job."""
     p = F.col("token").try_cast("int")

@@ -6,6 +6,7 @@ from scanlake.sources import selectors as sel_src
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
+from scanlake.functions.ip import ip_num
 from scanlake.operators import select as sel
 from scanlake.operators.views import host_ports
 from scanlake.sources.selectors import host_ranges, selector_tokens
@@ -90,3 +91,39 @@ def test_netmask_selectors_and_bad_prefixes(spark):
     for bad in ("10.0.0.0/24,10.0.1.0/x", "10.0.0.0/255.0.255.0", "10.0.0.0/33", "10.0.0.0/"):
         with pytest.raises(Exception, match="not an IPv4 address"):
             sel_src.host_ranges(sel_src.selector_tokens(spark, bad)).collect()
+
+
+def test_a_thousand_mixed_prefixes_agree_with_brute_force(spark):
+    import ipaddress
+    import random
+
+    r = random.Random(9)
+    address = lambda: ipaddress.ip_address((10 << 24) + r.randrange(1 << 20) * r.choice([1, 16]))
+    nets = [ipaddress.ip_network((str(address()), r.choice([32, 32, 31, 30, 29, 28, 27, 26, 25])), strict=False) for _ in range(995)]
+    nets += [ipaddress.ip_network(x) for x in ("10.9.0.0/16", "10.12.0.0/14", "10.9.3.0/24", "11.0.0.0/8", "10.64.0.0/17")]
+    ips = [str(address()) for _ in range(4000)] + [str(n[0]) for n in nets[::3]] + [str(n[-1]) for n in nets[::3]] + ["11.2.3.4", "x", None]
+    df = spark.createDataFrame(list(enumerate(ips)), "seq long, ip string")
+    want = [i for i, ip in enumerate(ips) if ip and ip != "x" and any(ipaddress.ip_address(ip) in n for n in nets)]
+    got = sel.select_hosts(spark, df, ",".join(map(str, nets)))
+    assert seqs(got) == want and len(want) > 300
+    stored = df.withColumn("ip_num", ip_num("ip"))
+    plan = sel.select_hosts(spark, stored, ",".join(map(str, nets)))._jdf.queryExecution().optimizedPlan().toString()
+    rows = [line for line in plan.splitlines() if "seq#" in line]
+    assert rows and not any("Generate" in line for line in rows)             # no row is multiplied: Generate stands on selectors only
+
+
+def test_ipv6_selectors(spark):
+    import ipaddress
+
+    ips = ["2001:db8::1", "2001:db8:0:1::7", "2001:db9::1", "fe80::1", "::1", "2001:db8:ffff::", "3000::", "10.0.0.1", "10.0.0.2", "host", None,
+           "2001:db8::1:0"]
+    df = spark.createDataFrame(list(enumerate(ips)), "seq long, ip string")
+    for spec in ("2001:db8::/32", "2001:db8::/48,fe80::1", "::/0", "2000::/3,10.0.0.0/30", "::1,::1/128,10.0.0.2", "2001:db8::/112",
+                 "2001:db8:0:1::/64,2001:db8::/33", "2001:db8::1:0/127"):
+        nets = [ipaddress.ip_network(t, strict=False) for t in spec.split(",")]
+        ok = [i for i, ip in enumerate(ips) if ip and ip != "host" and any(
+            ipaddress.ip_address(ip).version == n.version and ipaddress.ip_address(ip) in n for n in nets)]
+        assert seqs(sel.select_hosts(spark, df, spec)) == ok, spec
+    for bad in ("2001:db8::/129", "2001:::1", "fe80::1/x"):
+        with pytest.raises(Exception, match="not an IPv6 address"):
+            sel.select_hosts(spark, df, bad).collect()
