@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from scanlake.functions.ip import ip_num
 from scanlake.session import path_exists, scratch_dir
+from scanlake.sources.reports import write_named_files
 
-FIXTURE_VERSION = "4"
+FIXTURE_VERSION = "5"
 
 # The port and service lists of the fixture formula (FIXTURES.md).
 PORT_LIST = [21, 22, 25, 53, 80, 110, 139, 143, 389, 443, 445, 993, 3306, 3389, 8080, 8443]
@@ -46,8 +47,10 @@ def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx = (F.floor("value").cast("bigint") % (1 + u % 16)).cast("int")
     ip = F.concat(F.lit("10."), (u % 3).cast("string"), F.lit("."), (u % 8).cast("string"),
                   F.lit("."), (u % 256).cast("string"))
+    # some hosts have two names, the second of which may also be among the resolved ones
+    second = F.when(u % 2 == 1, F.concat(F.lit(",srv"), (u % 97).cast("string"), F.lit(".building.example.net"))).otherwise(F.lit(""))
     dcsv = F.when(F.col("event_type") == "purchase",
-                  F.concat(F.lit("old"), (u % 5).cast("string"), F.lit(".example.com"))).otherwise(F.lit(""))
+                  F.concat(F.lit("old"), (u % 5).cast("string"), F.lit(".example.com"), second)).otherwise(F.lit(""))
     return e.select(
         F.col("event_id").alias("seq"),
         ip.alias("ip"),
@@ -94,8 +97,9 @@ def big(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # --------------------------------------------------------------- rendering
-def render_scanner_lines(o: DataFrame, fmt: str) -> DataFrame:
-    """Observation rows as lines a scanner of format ``fmt`` prints (``key, value``).
+def render_scanner_lines(o: DataFrame, fmt: str, bad_ports: bool = False) -> DataFrame:
+    """Observation rows as lines a scanner of format ``fmt`` prints (``key, value``); with ``bad_ports``, each 13th line of
+    a masscan capture has no port number.
 
     Each capture starts with a ``# command`` header and a blank line and holds
     junk lines the parsers must skip; ``key`` orders the lines.
@@ -122,6 +126,8 @@ def render_scanner_lines(o: DataFrame, fmt: str) -> DataFrame:
         line, junk = F.concat(ip, F.lit(";"), port), F.lit("nothing here")
     else:
         raise ValueError(fmt)
+    if bad_ports:
+        line = F.when(F.col("seq") % 13 == 4, F.regexp_replace(line, r" [0-9]+/", " x/")).otherwise(line)
     rows = o.select(F.col("seq").cast("bigint").alias("key"), line.alias("value"))
     junk_rows = o.where(F.col("seq") % 7 == 3).select((F.col("seq").cast("bigint")).alias("key"),
                                                       junk.alias("value"))
@@ -234,13 +240,13 @@ def _write_lines_once(spark: SparkSession, path: str, lines: DataFrame, files: i
     return path
 
 
-def scanner_capture(spark: SparkSession, sf_dir: str, fmt: str) -> str:
+def scanner_capture(spark: SparkSession, sf_dir: str, fmt: str, bad_ports: bool = False) -> str:
     """Folder holding ``obs`` rendered as the output of scanner ``fmt``."""
-    path = f"{_cache_root(spark, sf_dir)}/capture_{fmt}"
+    path = f"{_cache_root(spark, sf_dir)}/capture_{fmt}{'_bad' if bad_ports else ''}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return path
     o = obs(spark, sf_dir)
-    lines = render_rustscan_lines(o) if fmt == "rustscan" else render_scanner_lines(o, fmt)
+    lines = render_rustscan_lines(o) if fmt == "rustscan" else render_scanner_lines(o, fmt, bad_ports)
     return _write_lines_once(spark, path, lines)
 
 
@@ -256,19 +262,27 @@ def domain_list_capture(spark: SparkSession, sf_dir: str) -> str:
     return _write_lines_once(spark, path, lines, files=2)
 
 
-def concatenated_xml(spark: SparkSession, sf_dir: str) -> str:
-    """Every host's XML report, concatenated into a few files (S14's input)."""
-    path = f"{_cache_root(spark, sf_dir)}/concat_xml"
+def concatenated_xml(spark: SparkSession, sf_dir: str, form: str = "plain") -> str:
+    """Every host's XML report, concatenated into a few files (S14's input).
+
+    In form ``repeated``, hosts whose last octet is 1 modulo 4 have three; in form ``broken``, each such host is followed by a
+    copy whose last element isn't closed.
+    """
+    path = f"{_cache_root(spark, sf_dir)}/concat_xml_{form}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return path
-    docs = xml_document(host_fragment(svc(spark, sf_dir)))
-    lines = docs.select(ip_num("ip").alias("key"), F.col("doc").alias("value"))
+    frags = host_fragment(svc(spark, sf_dir))
+    some = frags.where(F.substring_index("ip", ".", -1).cast("int") % 4 == 1)
+    if form == "repeated":
+        frags = frags.unionByName(some).unionByName(some)
+    elif form == "broken":
+        frags = frags.unionByName(some.withColumn("host_xml", F.replace(F.col("host_xml"), F.lit("</os>"), F.lit(""))))
+    lines = xml_document(frags).select(ip_num("ip").alias("key"), F.col("doc").alias("value"))
     return _write_lines_once(spark, path, lines)
 
 
 def report_set(spark: SparkSession, sf_dir: str) -> str:
-    """A report folder: ``<ip>.xml|nmap|gnmap`` for hosts whose last octet is even,
-    ``port<p>.xml|nmap|gnmap`` for every port; the other hosts count as new."""
+    """A report folder: ``<ip>.xml|nmap|gnmap`` for every host, ``port<p>.xml|nmap|gnmap`` for every port."""
     path = f"{_cache_root(spark, sf_dir)}/reports"
     marker = f"{path}_done"
     with _LOCK:
@@ -278,10 +292,21 @@ def report_set(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
+def partial_report_set(spark: SparkSession, sf_dir: str) -> str:
+    """A folder with reports of the hosts whose last octet is even; the others count as new (F2)."""
+    path = f"{_cache_root(spark, sf_dir)}/partial_reports"
+    marker = f"{path}_done"
+    with _LOCK:
+        if not path_exists(spark, f"{marker}/_SUCCESS"):
+            hosts = obs(spark, sf_dir).select("ip").distinct().where(F.substring_index("ip", ".", -1).cast("int") % 2 == 0)
+            write_named_files(hosts.select(F.concat("ip", F.lit(".nmap")).alias("name"), F.col("ip").alias("content")), path)
+            spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(marker)
+    return path
+
+
 def _write_report_set(spark: SparkSession, sf_dir: str, path: str, marker: str) -> None:
     s = svc(spark, sf_dir)
-    reported = s.where(F.substring_index("ip", ".", -1).cast("int") % 2 == 0)
-    frags = host_fragment(reported)
+    frags = host_fragment(s)
     xml = xml_document(frags).select(F.concat("ip", F.lit(".xml")).alias("name"), F.col("doc").alias("content"))
 
     def text_files(lines, suffix):
@@ -289,8 +314,8 @@ def _write_report_set(spark: SparkSession, sf_dir: str, path: str, marker: str)
         return g.select(F.concat("ip", F.lit(suffix)).alias("name"),
                         F.concat(F.array_join(F.transform("ls", lambda x: x["line"]), "\n"), F.lit("\n")).alias("content"))
 
-    nm = text_files(text_report_lines(reported), ".nmap")
-    gn = text_files(grepable_report_lines(reported), ".gnmap")
+    nm = text_files(text_report_lines(s), ".nmap")
+    gn = text_files(grepable_report_lines(s), ".gnmap")
     # port reports: every host seen on the port, one document per port
     by_port = host_fragment(s).select("ip", "host_xml").join(s.select("ip", "port").distinct(), "ip")
     pg = by_port.groupBy("port").agg(F.array_sort(F.collect_list(F.struct(ip_num("ip").alias("k"), "host_xml"))).alias("hs"))
@@ -310,15 +335,16 @@ def _write_report_set(spark: SparkSession, sf_dir: str, path: str, marker: str)
                            F.concat(F.array_join(F.transform("hs", lambda h: F.concat(F.lit("Host: "), h["ip"], F.lit(" ()"))), "\n"),
                                     F.lit("\n")).alias("content"))
     allf = xml.unionByName(nm).unionByName(gn).unionByName(port_xml).unionByName(port_nmap).unionByName(port_gnmap)
-    from scanlake.operators.reports import write_named_files
-
     write_named_files(allf.repartition(8), path)
     spark.createDataFrame([(1,)], "ok int").write.mode("overwrite").parquet(marker)
 
 
-def flat_csv_capture(spark: SparkSession, sf_dir: str) -> str:
+def flat_csv_capture(spark: SparkSession, sf_dir: str, form: str = "plain") -> str:
     """The flat table of every host, exported as CSV (script output quoted).
 
+    In form ``reordered`` the header and the lines have the columns the other way round, but for the empty last one;
+    in form ``bad`` each line of a port above 1000 is followed by a copy without a port number.
+
     The header names all 11 columns, data lines carry the first 10 (one comma
     less), and each line with a script is followed by a broken copy holding an
     extra field, which the reader must drop.
@@ -327,7 +353,7 @@ def flat_csv_capture(spark: SparkSession, sf_dir: str) -> str:
     from scanlake.schema import FLAT_COLUMNS
     from scanlake.sources.reports import parse_hosts, read_host_elements
 
-    path = f"{_cache_root(spark, sf_dir)}/flat_csv"
+    path = f"{_cache_root(spark, sf_dir)}/flat_csv_{form}"
     if path_exists(spark, f"{path}/_SUCCESS"):
         return path
     flat = flat_table(parse_hosts(read_host_elements(spark, concatenated_xml(spark, sf_dir))))
@@ -335,13 +361,17 @@ def flat_csv_capture(spark: SparkSession, sf_dir: str) -> str:
         v = F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
         return F.concat(F.lit('"'), v, F.lit('"')) if c == "NSE Script Output" else v
 
-    fields = [field(c) for c in FLAT_COLUMNS[:-1]]
+    names = FLAT_COLUMNS[:-1][::-1] if form == "reordered" else FLAT_COLUMNS[:-1]
+    fields = [field(c) for c in names]
     key = F.pmod(F.xxhash64("IP", "Port", "Proto"), F.lit(1 << 40))
     rows = flat.select((key * 2).alias("key"), F.concat_ws(",", *fields).alias("value"))
     broken = flat.where(F.col("`NSE Script ID`").isNotNull()).select(
         (key * 2 + 1).alias("key"), F.concat(F.concat_ws(",", *fields), F.lit(',"extra"')).alias("value"))
-    head = spark.createDataFrame([(-(1 << 62), ",".join(FLAT_COLUMNS))], "key bigint, value string")
-    return _write_lines_once(spark, path, head.unionByName(rows).unionByName(broken), files=2)
+    if form == "bad":
+        odd = [F.lit("http") if c == "Port" else f for c, f in zip(names, fields)]
+        rows = rows.unionByName(flat.where("Port > 1000").select((key * 2).alias("key"), F.concat_ws(",", *odd).alias("value")))
+    head = spark.createDataFrame([(-(1 << 62), ",".join([*names, FLAT_COLUMNS[-1]]))], "key bigint, value string")
+    return _write_lines_once(spark, path, head.unionByName(rows).unionByName(broken), files=1)
 
 
 def big_capture(spark: SparkSession, sf_dir: str, fmt: str = "masscan") -> str:
@@ -355,11 +385,19 @@ def big_capture(spark: SparkSession, sf_dir: str, fmt: str = "masscan") -> str:
     return _write_lines_once(spark, path, render_scanner_lines(b, fmt), files=8)
 
 
+def selectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``token`` rows that select about a third of the hosts: a /28 by nation, an address by supplier."""
+
+    def ip(k):
+        return F.concat(F.lit("10."), (k % 3).cast("string"), F.lit("."), (k % 8).cast("string"), F.lit("."), (k % 256).cast("string"))
+
+    nets = table(spark, sf_dir, "nation").select(F.concat(ip(F.col("n_nationkey")), F.lit("/28")).alias("token"))
+    return nets.unionByName(table(spark, sf_dir, "supplier").select(ip(F.col("s_suppkey") * 4).alias("token")))
+
+
 def selector_file(spark: SparkSession, sf_dir: str) -> str:
-    """A selector file: every resolved address, one per line, plus its /30 block
-    after a comma on every line (S20's file form)."""
+    """``selectors`` as a selector file, with a second selector after a comma on every line (S20's file form)."""
     path = f"{_cache_root(spark, sf_dir)}/selectors"
-    r = res(spark, sf_dir).select("ip").distinct()
-    lines = r.select(F.xxhash64("ip").alias("key"),
-                     F.concat(F.lit(" "), F.col("ip"), F.lit(" ,"), F.col("ip"), F.lit("/30")).alias("value"))
+    lines = selectors(spark, sf_dir).select(F.xxhash64("token").alias("key"),
+                                            F.concat(F.lit(" "), F.col("token"), F.lit(" ,"), F.col("token")).alias("value"))
     return _write_lines_once(spark, path, lines, files=1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,17 @@ def pin(df, keep=None, **cols):
     return df.select(F.inline(F.array(F.struct(*carried, *[e.alias(k) for k, e in cols.items()]))))
 
 
+def fill(template: str, values: dict) -> Column:
+    """The template as a ``concat`` of its literal parts and, for its ``{names}``, the given columns."""
+    parts = []
+    for literal, name in re.findall(r"([^{]*)(?:\{(\w+)\})?", template):
+        if literal:
+            parts.append(F.lit(literal))
+        if name:
+            parts.append(values[name].cast("string"))
+    return F.concat(*parts)
+
+
 def order(*cols):
     """Ascending sort keys with nulls last: addresses that are not IPv4 (a null
     key) come after every IPv4 address, in the text order of the next key."""
@@ -34,17 +47,23 @@ def order(*cols):
 
 
 def number_rows(df, keys, out: str = "i"):
-    """Number rows 1, 2, ... in the order of ``keys`` (nulls last), without a
-    single-partition window.
+    """Number rows 1, 2, ... in the order of ``keys`` (nulls last), without a single-partition window.
 
-    The range-sorted rows are indexed with ``zipWithIndex``: one job counts
-    each partition, then every partition numbers its own rows from its offset.
-    Global consecutive numbering is the one per-partition step the DataFrame
-    API has no operator for.
+    The range-sorted rows are written once with their place in their partition; the partitions' counts (one row
+    each) give every partition its offset.
     """
-    from pyspark.sql.types import LongType, StructField, StructType
+    from scanlake.session import materialized
 
-    ordered = df.orderBy(*order(*keys))
-    schema = StructType(ordered.schema.fields + [StructField(out, LongType(), False)])
-    rdd = ordered.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1] + 1))
-    return ordered.sparkSession.createDataFrame(rdd, schema)
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialized(df.repartitionByRange(n, *order(*keys)).sortWithinPartitions(*order(*keys))
+                          .withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    part, within = F.shiftright("_place", 33), F.col("_place").bitwiseAND((1 << 33) - 1)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).orderBy("_part").collect()   # n rows at most
+    offsets, total = [], 0
+    for r in counts:
+        offsets.append((r._part, total))
+        total += r.n
+    first = spark.createDataFrame(offsets, "_part long, _first long")
+    return placed.withColumn("_part", part).join(F.broadcast(first), "_part") \
+        .select(*df.columns, (F.col("_first") + within + 1).alias(out))

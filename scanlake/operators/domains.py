@@ -1,8 +1,12 @@
 """Domains of hosts.
 
-All joins are equi joins on ``ip``; the resolution side is aggregated per
-address first (partial ``collect_set`` on the map side), so each observation
-row meets at most one row.  Lists are sorted so results are deterministic.
+Names are kept and joined in long form, one row per (address, domain): nothing here
+gathers an address's names before a join, so an address with millions of names spreads
+over many tasks.  Arrays are made last, where a listing prints them.
+
+Adding names (T4, T5) to the stored inventory writes what is new alone: a *delta* of
+``ip, domain, upto`` rows says that an address's observations up to batch ``upto`` also
+have that name.  ``host_names`` merges it on reading, so a rescan after it hides it again.
 """
 
 from __future__ import annotations
@@ -10,49 +14,85 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+ADDED = 1 << 30             # place of a name that no row holds, behind all that one holds
+
+
 def _empty():
     return F.array().cast("array<string>")
 
 
-def latest_domains(df: DataFrame, mode: str = "latest") -> DataFrame:
-    """A3: per ``ip``, the domains of its last inserted row (``mode='latest'``),
-    or the sorted union over all its rows (``mode='union'``)."""
-    if mode == "latest":
-        return df.groupBy("ip").agg(F.max_by("domains", "seq").alias("domains"))
+# ---------------------------------------------------------------------- A3
+def host_names(df: DataFrame, delta: DataFrame | None = None, mode: str = "latest") -> DataFrame:
+    """A3 in long form: ``ip, domain, k``, the names of each host's last inserted row (``mode="latest"``) or of all its
+    rows (``"union"``), and those of ``delta``; ``k`` is a name's place in that row, order by ``k, domain``."""
+    if mode not in ("latest", "union"):
+        raise ValueError(mode)
     if mode == "union":
-        x = df.select("ip", F.explode_outer("domains").alias("d"))
-        return x.groupBy("ip").agg(F.array_sort(F.collect_set("d")).alias("domains"))
-    raise ValueError(mode)
+        own = df.select("ip", F.explode("domains").alias("domain"), F.lit(ADDED).alias("k"))
+        last = df.groupBy("ip").agg(F.min("batch_id").alias("batch")) if delta is not None else None
+    else:
+        kept = F.struct("domains", "batch_id") if delta is not None else F.struct("domains")
+        row = df.groupBy("ip").agg(F.max_by(kept, "seq").alias("r"))
+        own = row.select("ip", F.posexplode("r.domains").alias("p", "domain")).select("ip", "domain", (F.col("p") + 1).alias("k"))
+        last = row.select("ip", F.col("r.batch_id").alias("batch")) if delta is not None else None
+    if delta is not None:
+        added = delta.join(last, "ip").where("upto >= batch").select("ip", "domain", F.lit(ADDED).alias("k"))
+        own = own.unionByName(added)
+    return own.groupBy("ip", "domain").agg(F.min("k").alias("k"))
+
+
+def listed_names(names: DataFrame) -> DataFrame:
+    """``ip, domains`` for a listing: the names of ``host_names`` in their order."""
+    rows = names.groupBy("ip").agg(F.array_sort(F.collect_list(F.struct("k", "domain"))).alias("s"))
+    return rows.select("ip", F.transform("s", lambda x: x["domain"]).alias("domains"))
+
+
+def latest_domains(df: DataFrame, mode: str = "latest", delta: DataFrame | None = None) -> DataFrame:
+    """A3 as a listing: per ``ip``, the array of its names (see ``host_names``); empty for a host without any."""
+    if mode == "latest" and delta is None:
+        return df.groupBy("ip").agg(F.max_by("domains", "seq").alias("domains"))
+    return df.select("ip").distinct().join(listed_names(host_names(df, delta, mode)), "ip", "left") \
+        .select("ip", F.coalesce("domains", _empty()).alias("domains"))
+
+
+# ---------------------------------------------------------------------- A4
+def resolved_names(resolutions: DataFrame) -> DataFrame:
+    """A4 in long form: distinct ``ip, domain``."""
+    return resolutions.select("ip", "domain").distinct()
 
 
 def domains_by_ip(resolutions: DataFrame) -> DataFrame:
-    """A4: ``ip, domains`` – the sorted set of domains resolved to each address."""
-    return resolutions.groupBy("ip").agg(F.array_sort(F.collect_set("domain")).alias("new_domains")) \
-        .withColumnRenamed("new_domains", "domains")
+    """A4 as a listing: ``ip, domains`` – the sorted set of domains resolved to each address."""
+    return resolutions.groupBy("ip").agg(F.array_sort(F.collect_set("domain")).alias("domains"))
+
+
+# ------------------------------------------------------------------ T4, T5
+def gained_names(df: DataFrame, resolutions: DataFrame) -> DataFrame:
+    """``seq, ip, domain``: the resolved names that a row's address has and the row lacks."""
+    return df.select("seq", "ip", "domains").join(resolved_names(resolutions), "ip") \
+        .where(~F.array_contains(F.coalesce("domains", _empty()), F.col("domain"))).select("seq", "ip", "domain")
 
 
-def _join_resolved(df: DataFrame, resolutions: DataFrame) -> DataFrame:
-    a4 = domains_by_ip(resolutions).withColumnRenamed("domains", "_new")
-    return df.join(a4, "ip", "left")
+def _with_gained(df: DataFrame, resolutions: DataFrame, merged) -> DataFrame:
+    gained = gained_names(df, resolutions).groupBy("seq").agg(F.array_sort(F.collect_list("domain")).alias("_new"))
+    out = merged(F.coalesce("domains", _empty()), F.coalesce("_new", _empty()))
+    return df.join(gained, "seq", "left").withColumn("domains", out).select(*df.columns)
 
 
 def add_domains(df: DataFrame, resolutions: DataFrame) -> DataFrame:
-    """T4: append each resolved name a row of that address lacks (existing order kept)."""
-    j = _join_resolved(df, resolutions)
-    cur = F.coalesce("domains", _empty())
-    out = F.when(F.col("_new").isNull(), F.col("domains")).otherwise(
-        F.concat(cur, F.array_except("_new", cur)))
-    return j.withColumn("domains", out).drop("_new").select(*df.columns)
+    """T4 as a listing of rows: each row's names and, behind them, the resolved names it lacks.  ``seq`` tells rows apart."""
+    return _with_gained(df, resolutions, lambda own, new: F.concat(own, new))
 
 
 def update_domains(df: DataFrame, resolutions: DataFrame) -> DataFrame:
-    """T5: rows of a resolved address get the sorted union of their and the resolved names."""
-    j = _join_resolved(df, resolutions)
-    out = F.when(F.col("_new").isNull(), F.col("domains")).otherwise(
-        F.array_sort(F.array_union(F.coalesce("domains", _empty()), "_new")))
-    return j.withColumn("domains", out).drop("_new").select(*df.columns)
+    """T5 as a listing of rows: rows of a resolved address get the sorted union of their and the resolved names."""
+    hosts = resolutions.select("ip").distinct().withColumn("_resolved", F.lit(True))
+    out = _with_gained(df.join(hosts, "ip", "left"), resolutions, lambda own, new: F.when(
+        F.col("_resolved"), F.array_sort(F.array_union(own, new))).otherwise(F.col("domains")))
+    return out.select(*df.columns)
 
 
+# ---------------------------------------------------------------------- T6
 def unmatched_domains(df: DataFrame, resolutions: DataFrame) -> DataFrame:
     """Resolved domains none of whose addresses is in the inventory."""
     hosts = df.select("ip").distinct()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from scanlake.functions.ip import subnet
 from scanlake.schema import FLAT_COLUMNS
 
+# The columns a host's row takes from its first port, and those it lists.
 _REST = ["Proto", "Service FP", "NSE Script ID", "NSE Script Output", "Notes"]
 _LISTS = ["Port", "Service", "Host", "OS", "Product"]
 
@@ -37,25 +38,51 @@ def flat_table(hosts: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- S19
-def read_flat_csv(spark: SparkSession, paths, header: list[str] | None = None) -> DataFrame:
-    """Read an exported flat CSV, keeping only clean data lines.
-
-    A line is kept when it has one comma less than the header and holds
-    ``tcp,`` or ``udp,``; quotes are removed and ``Port`` is an integer.
-    Fields missing at the end are null.  Adds ``seq`` (file order).
-    """
-    header = header or FLAT_COLUMNS
-    want = len(header) - 2  # header commas minus one
+def _csv_lines(spark: SparkSession, paths, header: list[str] | None) -> DataFrame:
+    """Lines with their place, their file's column names (``cols``), and ``ok``: whether the line is data."""
     lines = spark.read.text(paths).select(
         "value", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"),
         F.monotonically_increasing_id().alias("r"))
+    names = F.transform(F.split(F.replace(F.col("head"), F.lit('"'), F.lit("")), ",", -1), lambda c: F.trim(c))
+    if header is None:      # each file's first line
+        heads = lines.where("b = 0").groupBy("f").agg(F.min_by("value", "r").alias("head"))
+        lines = lines.join(heads.select("f", names.alias("cols")), "f")
+    else:
+        lines = lines.withColumn("cols", F.array(*[F.lit(c) for c in header]))
     commas = F.length("value") - F.length(F.replace(F.col("value"), F.lit(","), F.lit("")))
-    ok = (commas == want) & (F.col("value").contains("tcp,") | F.col("value").contains("udp,"))
-    schema = ", ".join(f"`{c}` {'int' if c == 'Port' else 'string'}" for c in header)
-    clean = lines.where(ok).select(F.struct("f", "b", "r").alias("seq"),
-                                   F.from_csv(F.replace(F.col("value"), F.lit('"'), F.lit("")), schema,
-                                              {"mode": "PERMISSIVE"}).alias("c"))
-    return clean.select("seq", *[F.col("c").getField(c).alias(c) for c in header])
+    data = (commas == F.size("cols") - 2) & (F.col("value").contains("tcp,") | F.col("value").contains("udp,"))
+    return lines.where(data).select(F.struct("f", "b", "r").alias("seq"), "value", "cols",
+                                    F.split(F.replace(F.col("value"), F.lit('"'), F.lit("")), ",", -1).alias("fields"))
+
+
+def _csv_field(name: str):
+    """The field under the file's column of that name; null where it is empty, or the file has no such column."""
+    at = F.array_position("cols", name)
+    return F.when(at > 0, F.nullif(F.get("fields", (at - 1).cast("int")), F.lit("")))
+
+
+def read_flat_csv(spark: SparkSession, paths, header: list[str] | None = None, mode: str = "strict") -> DataFrame:
+    """Read exported flat CSVs, keeping only data lines, with columns by each file's own header.
+
+    A line is data when it has one comma less than its file's header and holds
+    ``tcp,`` or ``udp,``; quotes are removed and ``Port`` is an integer: a line with another port fails
+    the job (``strict``) or goes to ``bad_flat_lines`` (``quarantine``).  Fields missing at the end are
+    null.  ``header`` names the columns of files without a header.  Adds ``seq`` (file order).
+    """
+    if mode not in ("strict", "quarantine"):
+        raise ValueError(mode)
+    lines = _csv_lines(spark, paths, header)
+    port = _csv_field("Port").try_cast("int")
+    bad = port.isNull()
+    ok = ~bad if mode == "quarantine" else F.when(bad, F.raise_error(F.concat(F.lit("no port number: "), F.col("value")))) \
+        .otherwise(F.lit(True))
+    return lines.where(ok).select("seq", *[(port if c == "Port" else _csv_field(c)).alias(c) for c in FLAT_COLUMNS])
+
+
+def bad_flat_lines(spark: SparkSession, paths, header: list[str] | None = None) -> DataFrame:
+    """The side table of ``read_flat_csv(mode="quarantine")``: ``source_file, value, reason``."""
+    return _csv_lines(spark, paths, header).where(_csv_field("Port").try_cast("int").isNull()).select(
+        F.col("seq.f").alias("source_file"), "value", F.lit("no port number").alias("reason"))
 
 
 # -------------------------------------------------------------- A11, A8, F10

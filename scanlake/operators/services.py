@@ -62,13 +62,13 @@ def service_urls(services: DataFrame, wanted) -> DataFrame:
     return s.withColumn("url", F.concat("scheme", F.lit("://"), "ip", _port_text()))
 
 
-def service_urls_by_domain(services: DataFrame, wanted, domains: DataFrame) -> DataFrame:
-    """One URL per known domain of the host, or by address when it has none.
+def service_urls_by_name(services: DataFrame, wanted, names: DataFrame) -> DataFrame:
+    """One URL per known name of the host (``ip, domain``, as ``host_names`` gives them), or by address when it has none."""
+    s = select_services(open_tcp(services), wanted)
+    x = s.join(names.select("ip", F.col("domain").alias("name")), "ip", "left").withColumn("name", F.coalesce("name", "ip"))
+    return x.withColumn("url", F.concat("scheme", F.lit("://"), "name", _port_text()))
 
-    ``domains`` is ``ip, domains`` (A3).  A host missing from it counts as having none.
-    """
-    s = select_services(open_tcp(services), wanted).join(domains, "ip", "left")
-    d = F.coalesce("domains", F.array().cast("array<string>"))
-    names = F.when(F.size(d) > 0, d).otherwise(F.array("ip"))
-    x = s.withColumn("name", F.explode(names))
-    return x.withColumn("url", F.concat("scheme", F.lit("://"), "name", _port_text())).drop("domains")
+
+def service_urls_by_domain(services: DataFrame, wanted, domains: DataFrame) -> DataFrame:
+    """P8 for names in array form, ``ip, domains`` (A3).  A host missing from it counts as having none."""
+    return service_urls_by_name(services, wanted, domains.select("ip", F.explode("domains").alias("domain")))

@@ -9,11 +9,13 @@ counts and the small bounded lists the operators document.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.functions import order
-from scanlake.functions.ip import ip_num
+from scanlake.functions.ip import address_order, ip_num
 from scanlake.operators import domains as dom
 from scanlake.operators import graph as gr
 from scanlake.operators import reports as rp
@@ -21,7 +23,7 @@ from scanlake.operators import select as sel
 from scanlake.operators import services as sv
 from scanlake.operators import views as vw
 from scanlake.sources import reports as srp
-from scanlake.sources.domains import read_resolutions
+from scanlake.sources.domains import read_domain_list, read_resolutions, resolver_input
 from scanlake.store import Inventory, add_scan, create_generic
 
 
@@ -38,23 +40,26 @@ def db_create(spark: SparkSession, inventory: str, scan_paths, resolution_paths=
 
 
 # ---------------------------------------------------------------------- dns
+def dns_input(spark: SparkSession, domain_paths, out: str) -> str:
+    """What a resolver is given for a domain list (S11): distinct names in ASCII form, one per line."""
+    resolver_input(read_domain_list(spark, domain_paths)).write.mode("overwrite").text(out)
+    return out
+
+
 def dns_add(spark: SparkSession, inventory: str, resolution_paths) -> DataFrame:
-    """T4 on the stored inventory (written as a new version); returns the unmatched domains."""
+    """T4 on the stored inventory; returns the unmatched domains."""
     inv = Inventory(spark, inventory)
     res = read_resolutions(spark, resolution_paths)
-    current = inv.read()
-    inv.rewrite(dom.add_domains(current.drop("batch_id"), res))
+    inv.add_names(dom.resolved_names(res))
     return dom.unmatched_domains(inv.read(), res)
 
 
 def dns_update(spark: SparkSession, inventory: str, resolution_paths) -> int:
-    """T5 on the stored inventory (written as a new version); returns the hosts updated (A10)."""
+    """T5 on the stored inventory; returns the hosts updated (A10)."""
     inv = Inventory(spark, inventory)
     res = read_resolutions(spark, resolution_paths)
-    current = inv.read()
-    n = dom.hosts_updated(current, res).first().n_hosts
-    inv.rewrite(dom.update_domains(current.drop("batch_id"), res))
-    return n
+    inv.add_names(dom.resolved_names(res))
+    return dom.hosts_updated(inv.read(), res).first().n_hosts
 
 
 # --------------------------------------------------------------------- scan
@@ -75,14 +80,15 @@ def scan_show(spark: SparkSession, inventory: str, hosts=None, ports=None, dns:
     df = _selected(spark, inventory, hosts, ports, reports_dir)
     if hosts is not None:
         total = vw.total_targets(df).first().total
+        delta = Inventory(spark, inventory).names() if dns else None
         if raw:
-            out = vw.host_listing_raw(df, dns, max_ports_exclusive, domains_mode).orderBy(
-                *order("ip_num", "ip", "port", "k"))
+            out = vw.host_listing_raw(df, dns, max_ports_exclusive, domains_mode, delta).orderBy(
+                *address_order(), *order("port", "k", "line"))
         else:
-            out = vw.host_listing(df, dns, max_ports_exclusive, domains_mode).orderBy(*order("ip_num", "ip"))
+            out = vw.host_listing(df, dns, max_ports_exclusive, domains_mode, delta).orderBy(*address_order())
         return total, out
     total = vw.total_targets(df, by="port").first().total
-    out = vw.port_listing_raw(df).orderBy(*order("port", "ip_num", "line")) if raw else \
+    out = vw.port_listing_raw(df).orderBy(*order("port"), *address_order("line")) if raw else \
         vw.port_listing(df).orderBy("port", "block")
     return total, out
 
@@ -92,7 +98,7 @@ def scan_worklist(spark: SparkSession, inventory: str, hosts=None, ports=None,
     """The scans a ``scan`` run would launch, as a table (P5 by host, P6 by port)."""
     df = _selected(spark, inventory, hosts, ports, reports_dir)
     if hosts is not None:
-        return vw.host_worklist(df, max_ports_exclusive).orderBy(*order("ip_num", "stem"))
+        return vw.host_worklist(df, max_ports_exclusive).orderBy(*address_order())
     return vw.port_worklist(df).orderBy("port", "block")
 
 
@@ -109,19 +115,23 @@ def _reports(spark, reports_dir: str, hosts=None, ports=None) -> DataFrame:
 def report(spark: SparkSession, reports_dir: str, out_prefix: str, fmt: str = "oA", hosts=None, ports=None,
            inventory: str | None = None, dns: bool = False, single_file: bool = False) -> dict[str, str]:
     """Merge the selected reports: ``oX`` XML (R2/T9, with R1 when ``dns``), ``oN`` text (R3/T7),
-    ``oG`` grepable (T8), ``oA`` all three.  Returns the written folders by suffix."""
+    ``oG`` grepable (T8), ``oA`` all three.  Returns the written folders by suffix.
+
+    Where no text report meets the selection, there is a warning and no output of that form; the XML
+    form then has a footer alone.  ``single_file`` makes one file of a text report.
+    """
     selected = _reports(spark, reports_dir, hosts, ports)
     out = {}
     if fmt in ("oX", "oA"):
-        d = dom.latest_domains(Inventory(spark, inventory).read()) if (dns and inventory) else None
-        merged = rp.merge_xml(spark, selected, d, [reports_dir])
-        out[".xml"] = rp.write_merged_xml(merged, f"{out_prefix}.xml", single_file)
-    if fmt in ("oN", "oA"):
-        text = rp.merge_text(spark, selected, ".nmap", [reports_dir])
-        out[".nmap"] = rp.write_merged_text(text, f"{out_prefix}.nmap", single_file)
-    if fmt in ("oG", "oA"):
-        grep = rp.merge_text(spark, selected, ".gnmap", [reports_dir])
-        out[".gnmap"] = rp.write_merged_text(grep, f"{out_prefix}.gnmap", single_file)
+        inv = Inventory(spark, inventory) if dns and inventory else None
+        d = dom.latest_domains(inv.read(), delta=inv.names()) if inv else None
+        out[".xml"] = rp.write_merged_xml(spark, selected, f"{out_prefix}.xml", d, [reports_dir])
+    for suffix in ((".nmap",) if fmt == "oN" else (".gnmap",) if fmt == "oG" else (".nmap", ".gnmap") if fmt == "oA" else ()):
+        if selected.where(F.col("suffix") == suffix).isEmpty():
+            warnings.warn(f"no {suffix} reports that meet the search criteria", stacklevel=2)
+            continue
+        text = rp.merge_text(spark, selected, suffix, [reports_dir])
+        out[suffix] = rp.write_merged_text(text, f"{out_prefix}{suffix}", single_file)
     return out
 
 
@@ -135,19 +145,26 @@ def report_show(spark: SparkSession, reports_dir: str, hosts=None, ports=None) -
 
 # -------------------------------------------------------------------- parse
 def parse_urls(spark: SparkSession, reports_dir: str, services, inventory: str | None = None,
-               dns: bool = False) -> DataFrame:
-    """``parse``: service URLs from the host XML reports (P7, or P8 with ``dns``), by report address."""
+               dns: bool = False, raw: bool = True) -> DataFrame:
+    """``parse``: service URLs from the host XML reports (P7, or P8 with ``dns``), by report address.
+
+    ``line`` is what is printed: the URL alone if ``raw``, and else, where a domain stands for its host,
+    ``IP {ip} -> {url}``.
+    """
     cat = srp.report_catalog(spark, reports_dir)
-    xml = cat.where((F.col("kind") == "host") & (F.col("suffix") == ".xml")).select("path")
-    records = srp.read_host_elements(spark, reports_dir, "*.xml")
-    hosts = srp.parse_hosts(rp.of_selected(records, xml, "source_file"))
+    files, inputs, near = rp.selected_files(cat.where(F.col("kind") == "host"), ".xml", [reports_dir])
+    records = srp.read_host_elements(spark, inputs or reports_dir, "*.xml", near)
+    hosts = srp.parse_hosts(rp.of_selected(records, files, "source_file"))
     rows = sv.service_rows(hosts).withColumn("report_ip", rp.stem_of("source_file"))     # a host report's name is its address
     if dns and inventory:
-        urls = sv.service_urls_by_domain(rows, services, dom.latest_domains(Inventory(spark, inventory).read()))
+        inv = Inventory(spark, inventory)
+        urls = sv.service_urls_by_name(rows, services, dom.host_names(inv.read(), inv.names()))
+        listed = F.when(F.col("name") == F.col("ip"), F.col("url")).otherwise(F.concat(F.lit("IP "), "ip", F.lit(" -> "), "url"))
     else:
         urls = sv.service_urls(rows, services)
-    return urls.withColumn("k_ip", ip_num("report_ip")).orderBy(
-        *order("k_ip", "source_file", "block_start", "row_id", "pos"))
+        listed = F.col("url")
+    return urls.withColumn("line", F.col("url") if raw else listed).withColumn("k_ip", ip_num("report_ip")).orderBy(
+        *order("k_ip", "source_file", "block_start", "row_id", "pos", "url"))
 
 
 # --------------------------------------------------------------------- draw
@@ -161,10 +178,10 @@ def draw(spark: SparkSession, reports_dir: str | None = None, csv_paths=None, po
         paths = [xml_reports] if isinstance(xml_reports, str) else list(xml_reports)
         flat = gr.flat_table(srp.parse_hosts(srp.read_host_elements(spark, paths)))
     else:
-        cat = srp.report_catalog(spark, reports_dir).where(
-            (F.col("kind") == "host") & (F.col("suffix") == ".xml")).select("path")
-        records = srp.read_host_elements(spark, reports_dir, "*.xml")
-        flat = gr.flat_table(srp.parse_hosts(rp.of_selected(records, cat, "source_file")))
+        cat = srp.report_catalog(spark, reports_dir).where(F.col("kind") == "host")
+        files, inputs, near = rp.selected_files(cat, ".xml", [reports_dir])
+        records = srp.read_host_elements(spark, inputs or reports_dir, "*.xml", near)
+        flat = gr.flat_table(srp.parse_hosts(rp.of_selected(records, files, "source_file")))
     edges, vertices = gr.graph_for_ports(flat, ports)
     return edges, vertices, gr.all_ports(flat)
 
@@ -173,10 +190,4 @@ def draw(spark: SparkSession, reports_dir: str | None = None, csv_paths=None, po
 def split_xml(spark: SparkSession, paths, out_dir: str) -> DataFrame:
     """Write each document of concatenated XML files as ``<ip>.xml`` (repeats as
     ``<ip>_<n>.xml``); returns the documents without an address (quarantine)."""
-    docs = srp.split_documents(spark, paths)
-    named = docs.where(F.col("stem").isNotNull()).select(
-        F.when(F.col("n") == 1, F.concat("stem", F.lit(".xml")))
-         .otherwise(F.concat("stem", F.lit("_"), F.col("n").cast("string"), F.lit(".xml"))).alias("name"),
-        F.concat(F.lit(srp.XML_DECL), F.lit("\n"), F.col("doc"), F.lit("\n")).alias("content"))
-    rp.write_named_files(named, out_dir)
-    return srp.documents_without_address(docs)
+    return srp.write_split_documents(spark, paths, out_dir)

@@ -1,8 +1,8 @@
 """Domain lists and recorded resolutions.
 
 Punycode conversion is the one piece of per-row Python: an Arrow-batched
-``pandas_udf`` applied only to the rows that need it (non-ASCII names going
-out, ``xn--`` labels coming back); every other row stays in the JVM.
+``pandas_udf`` in the same pass as all else, which gets a name only where one needs it
+(non-ASCII names going out, ``xn--`` labels coming back) and null otherwise.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from scanlake.functions import pin
 
 @F.pandas_udf(T.StringType())
 def _to_ascii(s: pd.Series) -> pd.Series:
-    return s.map(lambda d: d.encode("idna").decode("ascii"))
+    return s.map(lambda d: d.encode("idna").decode("ascii"), na_action="ignore")
 
 
 @F.pandas_udf(T.StringType())
 def _to_unicode(s: pd.Series) -> pd.Series:
-    return s.map(lambda d: d.encode("ascii").decode("idna"))
+    return s.map(lambda d: d.encode("ascii").decode("idna"), na_action="ignore")
 
 
 def read_domain_list(spark: SparkSession, paths) -> DataFrame:
@@ -30,18 +30,20 @@ def read_domain_list(spark: SparkSession, paths) -> DataFrame:
     return spark.read.text(paths).select(F.col("value").alias("domain")).where(F.col("domain") != "").distinct()
 
 
+def _where(df: DataFrame, col: str, needed, convert) -> DataFrame:
+    """``col`` converted where ``needed``; the function sees null elsewhere."""
+    c = F.col(col)
+    return df.withColumn(col, F.coalesce(convert(F.when(needed, c)), c))
+
+
 def to_ascii(df: DataFrame, col: str = "domain") -> DataFrame:
     """Punycode ``col`` where it holds non-ASCII characters."""
-    non_ascii = F.col(col).rlike("[^\\x00-\\x7F]")
-    plain = df.where(~non_ascii)
-    conv = df.where(non_ascii).withColumn(col, _to_ascii(F.col(col)))
-    return plain.unionByName(conv)
+    return _where(df, col, F.col(col).rlike("[^\\x00-\\x7F]"), _to_ascii)
 
 
 def to_unicode(df: DataFrame, col: str = "domain") -> DataFrame:
     """Decode punycode labels of ``col`` where it holds an ``xn--`` label."""
-    puny = F.lower(F.col(col)).contains("xn--")
-    return df.where(~puny).unionByName(df.where(puny).withColumn(col, _to_unicode(F.col(col))))
+    return _where(df, col, F.lower(F.col(col)).contains("xn--"), _to_unicode)
 
 
 def resolver_input(domains: DataFrame) -> DataFrame:

@@ -1,26 +1,24 @@
-"""The observation inventory: a versioned Parquet table.
+"""The observation inventory: folders of plain Parquet.
 
 Layout under ``root``::
 
-    v=<N>/batch_id=<B>/writer=<W>/part-*.parquet   observations of version N
-    _log/part-*.parquet                            commit log: (version, batch_id, op, writer)
+    v=<N>/batch_id=<B>/part=<name>/*.parquet     observations of version N
+    names/v=<N>/part=<name>/*.parquet            names added later: ip, domain, upto (a batch id)
 
-Each write has a ``writer`` folder of its own and is visible once its row is in
-the log, so a failed write leaves no visible trace, and appends that run at the
-same time are all kept (they may share a batch id).  Appending (T1) adds to the
-current version; replacing (T2) and rewriting (T4/T5) write version N+1 and
-commit it, which also lets a job rewrite the table it reads: for these, let
-nobody else write meanwhile.  Files are sorted by ``ip_num`` so Parquet min/max
-statistics prune address-range selections.
+Appending (T1) writes one more part to the greatest version, replacing (T2) the first part of the
+next.  A part is one Spark write into a folder of its own: Spark's committer makes it visible as a whole, a
+failed write leaves nothing to read, and appends that run at the same time are all kept (they
+may share a batch id).  Adding names (T4, T5) writes those names alone, never the
+observations.  Files are sorted by ``ip_num`` so that Parquet's statistics prune address ranges.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from scanlake.functions.ip import ip_num
 from scanlake.schema import OBSERVATION
@@ -28,7 +26,7 @@ from scanlake.session import path_exists
 from scanlake.sources.scanners import parse_lines, read_scan_lines
 
 _COLUMNS = ["seq", "ip", "ip_num", "port", "domains", "source_file"]
-_LOG = "version int, batch_id long, op string, writer string"
+_NAMES = "ip string, domain string, upto long"
 
 
 def observations(lines_parsed: DataFrame) -> DataFrame:
@@ -51,87 +49,63 @@ def ingest(spark: SparkSession, paths, scanner: str, mode: str = "strict") -> Da
 
 
 class Inventory:
-    """One named inventory (D2) stored as versioned Parquet."""
+    """One named inventory."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # ------------------------------------------------------------ log
-    def _log(self) -> DataFrame | None:
-        if not path_exists(self.spark, f"{self.root}/_log"):
-            return None
-        return self.spark.read.schema(_LOG).parquet(f"{self.root}/_log")
+    def _parts(self) -> list[tuple[int, int, str]]:
+        """(version, batch id, name) of the parts written to their end: a listing of folders, no job."""
+        jvm = self.spark.sparkContext._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.root}/v=*/batch_id=*/part=*/_SUCCESS")
+        fs = pattern.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        listed = " ".join(f.getPath().toString() for f in fs.globStatus(pattern) or [])
+        return [(int(v), int(b), name) for v, b, name in re.findall(r"/v=(\d+)/batch_id=(\d+)/part=([^/]*)/_SUCCESS", listed)]
 
     def _state(self):
-        """(current version, next batch id): one aggregate over the log."""
-        log = self._log()
-        v, b = (None, None) if log is None else log.agg(F.max("version"), F.max("batch_id")).first()
-        return v, (b or 0) + 1
-
-    def _commit(self, version: int, batch_id: int, op: str, writer: str) -> None:
-        (self.spark.createDataFrame([(version, batch_id, op, writer)], _LOG)
-         .coalesce(1).write.mode("append").parquet(f"{self.root}/_log"))
-
-    def _write(self, df: DataFrame, version: int, batch_id: int | None) -> str:
-        out = df
-        if batch_id is not None:
-            out = out.withColumn("seq", F.col("seq").withField("batch_id", F.lit(batch_id).cast("bigint"))) \
-                     .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        else:
-            out = out.withColumn("batch_id", F.col("seq.batch_id"))
-        # every write has folders of its own, so writers that meet lose nothing; files of
-        # an attempt that died before its commit are never read
-        writer = f"w{uuid.uuid4().hex}"
-        (out.select(*_COLUMNS, "batch_id").withColumn("writer", F.lit(writer))
-         .sortWithinPartitions("ip_num")
-         .write.mode("append").partitionBy("batch_id", "writer").parquet(f"{self.root}/v={version}"))
-        return writer
-
-    # ------------------------------------------------------------ api
+        """(current version, next batch id)."""
+        parts = self._parts()
+        return max((v for v, _, _ in parts), default=None), max((b for _, b, _ in parts), default=0) + 1
+
     def version(self) -> int | None:
         return self._state()[0]
 
     def read(self) -> DataFrame:
-        """Committed observations of the current version (empty when none)."""
+        """Observations of the current version (empty when none)."""
         v, _ = self._state()
         if v is None:
-            return self.spark.createDataFrame([], OBSERVATION)
-        # the declared schema, so a capture without a matching line (no file) reads as no rows
-        df = self.spark.read.schema(StructType([*OBSERVATION.fields, StructField("writer", StringType())])) \
-            .parquet(f"{self.root}/v={v}")
-        committed = self._log().where(F.col("version") == v).select("writer").distinct()
-        return (df.join(committed, "writer", "left_semi")
-                .select(*_COLUMNS, F.col("batch_id").cast("bigint").alias("batch_id")))
-
-    def committed(self, op: str) -> bool:
-        """Whether a commit tagged ``op`` is in the log (idempotent replays)."""
-        log = self._log()
-        return log is not None and log.where(F.col("op") == op).limit(1).count() > 0
+            return self.spark.createDataFrame([], OBSERVATION).select(*_COLUMNS, "batch_id")
+        # the declared schema, so a capture without a matching line reads as no rows
+        return self.spark.read.schema(OBSERVATION).parquet(f"{self.root}/v={v}").select(*_COLUMNS, "batch_id")
+
+    def names(self) -> DataFrame:
+        """Names added later: ``ip, domain, upto``."""
+        folder = f"{self.root}/names/v={self._state()[0]}"
+        if not path_exists(self.spark, folder):
+            return self.spark.createDataFrame([], _NAMES)
+        return self.spark.read.schema(_NAMES).parquet(folder).select("ip", "domain", "upto")
 
     def append(self, obs: DataFrame, replace: bool = False, op: str | None = None) -> int:
-        """T1 (append) or T2 (``replace=True``: the new batch becomes the whole table).
+        """T1 (append) or T2 (``replace=True``: the new batch becomes the whole table); returns the batch id.
 
-        ``op`` tags the commit; a later append with a tag already in the log is skipped.
+        ``op`` names the part: an append whose name is there already is skipped and returns -1, and one that did not
+        come to its end is written anew.
         """
-        if op is not None and self.committed(op):
+        name = re.sub("[^A-Za-z0-9]+", "-", op) if op else uuid.uuid4().hex
+        if op and name in {p for _, _, p in self._parts()}:
             return -1
         v, b = self._state()
-        version = 1 if v is None else (v + 1 if replace else v)
-        writer = self._write(obs, version, b)
-        self._commit(version, b, op or ("replace" if replace else "append"), writer)
+        version = 1 if v is None else v + bool(replace)
+        (obs.withColumn("seq", F.col("seq").withField("batch_id", F.lit(b).cast("bigint"))).select(*_COLUMNS)
+         .sortWithinPartitions("ip_num").write.mode("overwrite").parquet(f"{self.root}/v={version}/batch_id={b}/part={name}"))
         return b
 
-    def rewrite(self, df: DataFrame) -> int:
-        """Write ``df`` – rows of the current version, transformed (T4, T5) – as the next version.
-
-        Rows keep their batch ids; the commit repeats the last one given.
-        """
+    def add_names(self, names: DataFrame) -> None:
+        """T4, T5: the addresses of ``names`` (distinct ``ip, domain``) have these names too, in all batches so far."""
         v, b = self._state()
-        version = 1 if v is None else v + 1
-        writer = self._write(df.select(*_COLUMNS), version, None)
-        self._commit(version, b - 1, "rewrite", writer)
-        return version
+        (names.select("ip", "domain").withColumn("upto", F.lit(b - 1).cast("bigint"))
+         .write.parquet(f"{self.root}/names/v={v}/part={uuid.uuid4().hex}"))
 
 
 def add_scan(spark: SparkSession, inv: Inventory, paths, scanner: str, rm: bool = False,
@@ -139,17 +113,20 @@ def add_scan(spark: SparkSession, inv: Inventory, paths, scanner: str, rm: bool
     """``add``: parse a capture into the inventory; returns (batch id, hosts added) (T1/T2 + A5)."""
     obs = ingest(spark, paths, scanner, mode)
     batch = inv.append(obs, replace=rm)
-    n = inv.read().where(F.col("batch_id") == batch).agg(F.countDistinct("ip")).first()[0]
-    return batch, n
+    return batch, _hosts(inv, batch)
+
+
+def _hosts(inv: Inventory, batch: int) -> int:
+    return inv.read().where(F.col("batch_id") == batch).agg(F.countDistinct("ip")).first()[0]
 
 
 def create_generic(spark: SparkSession, inv: Inventory, scan_paths, resolution_paths=None) -> int:
-    """Strict ``ip:port`` capture joined with resolved domains replaces the inventory.
+    """A strict ``ip:port`` capture replaces the inventory, and resolved domains become its names.
 
     Every line must be ``ip:port``; any other line fails the job.  Returns the
     number of distinct hosts (A5).
     """
-    from scanlake.operators.domains import domains_by_ip
+    from scanlake.operators.domains import resolved_names
     from scanlake.sources.domains import read_resolutions
 
     lines = read_scan_lines(spark, scan_paths)
@@ -160,11 +137,7 @@ def create_generic(spark: SparkSession, inv: Inventory, scan_paths, resolution_p
     parsed = (lines.where(F.when(bad, F.raise_error(F.concat(F.lit("not ip:port: "), F.col("value"))))
                           .otherwise(F.lit(True)))
               .select("*", F.try_element_at(p, F.lit(1)).alias("ip"), port.alias("port")))
-    obs = observations(parsed)
+    batch = inv.append(observations(parsed), replace=True)
     if resolution_paths is not None:
-        a4 = domains_by_ip(read_resolutions(spark, resolution_paths))
-        obs = (obs.drop("domains").join(a4, "ip", "left")
-               .withColumn("domains", F.coalesce("domains", F.array().cast("array<string>")))
-               .select(*_COLUMNS))
-    batch = inv.append(obs, replace=True)
-    return inv.read().where(F.col("batch_id") == batch).agg(F.countDistinct("ip")).first()[0]
+        inv.add_names(resolved_names(read_resolutions(spark, resolution_paths)))
+    return _hosts(inv, batch)

@@ -48,3 +48,30 @@ def test_missing_service_is_nan_without_quotes(spark):
                                "subnet string, ip string, Port array<int>, Service array<string>")
     host = gr.graph_vertices(df).where("kind = 'host'").first()
     assert host.hover == "[80, 81]<br>['http', nan]"
+
+
+def test_flat_csv_takes_columns_from_each_header(spark, write_text):
+    import pytest
+
+    a = "IP,Host,OS,Proto,Port,Service,Product,Service FP,NSE Script ID,NSE Script Output,Notes\n10.0.0.1,h,Linux,tcp,80,http,nginx,fp,,\n"
+    b = '"Port","Proto","IP","OS","Notes"\n443,tcp,10.0.0.2,BSD\n53,udp,10.0.0.3,\n'
+    write_text("csv/a.csv", a)
+    folder = write_text("csv/b.csv", b).rsplit("/", 1)[0]
+    got = sorted((r.IP, r.OS, r.Proto, r.Port, r.Host) for r in gr.read_flat_csv(spark, folder).collect())
+    assert got == [("10.0.0.1", "Linux", "tcp", 80, "h"), ("10.0.0.2", "BSD", "tcp", 443, None), ("10.0.0.3", None, "udp", 53, None)]
+    bad = write_text("bad/c.csv", b + "http,tcp,10.0.0.4,x\n")
+    with pytest.raises(Exception, match="no port number: http,tcp,10.0.0.4,x"):
+        gr.read_flat_csv(spark, bad).collect()
+    assert sorted(r.IP for r in gr.read_flat_csv(spark, bad, mode="quarantine").collect()) == ["10.0.0.2", "10.0.0.3"]
+    assert [r.value for r in gr.bad_flat_lines(spark, bad).collect()] == ["http,tcp,10.0.0.4,x"]
+    named = gr.read_flat_csv(spark, write_text("n/d.csv", "80,tcp,10.0.0.9,\n"), header=["Port", "Proto", "IP", "OS", "Notes"])
+    assert [(r.IP, r.Port) for r in named.collect()] == [("10.0.0.9", 80)]
+
+
+def test_numbering_without_gaps(spark):
+    from scanlake.functions import number_rows
+
+    df = spark.range(5000).selectExpr("id * 7919 % 5000 as k", "if(id % 50 = 0, null, id) as z")
+    got = number_rows(df, ["k"]).collect()
+    assert sorted(r.i for r in got) == list(range(1, 5001)) and all(r.k == r.i - 1 for r in got)
+    assert number_rows(df.limit(0), ["k"]).collect() == []

@@ -1,5 +1,7 @@
 """End-to-end flows and the streaming ingest."""
 
+import pytest
+
 from scanlake.plans import commands as cmd
 from scanlake.streaming.ingest import start_ingest
 from scanlake.store import Inventory
@@ -32,12 +34,20 @@ def test_add_scan_report_parse_draw(spark, tmp_path, write_text):
     out = cmd.report(spark, str(rep), str(tmp_path / "merged"), hosts="all", inventory=inv, dns=True,
                      single_file=True)
     assert set(out) == {".xml", ".nmap", ".gnmap"}
-    xml = "\n".join(r.value for r in spark.read.text(out[".xml"]).collect())
+    xml = "\n".join(r.value for r in spark.read.text(out[".xml"]).orderBy("section").collect())
     assert '<hostname name="a.example" type="A"/>' in xml
     n, show = cmd.report_show(spark, str(rep), hosts="all")
     assert n == 1 and show.count() == 2
     urls = [r.url for r in cmd.parse_urls(spark, str(rep), "http", inventory=inv, dns=True).collect()]
     assert urls == ["http://a.example", "http://a.example:443"]
+    lines = [r.line for r in cmd.parse_urls(spark, str(rep), "http", inventory=inv, dns=True, raw=False).collect()]
+    assert lines == ["IP 10.0.0.10 -> http://a.example", "IP 10.0.0.10 -> http://a.example:443"]
+    assert [r.line for r in cmd.parse_urls(spark, str(rep), "http", raw=False).collect()] == ["http://10.0.0.10", "http://10.0.0.10:443"]
+    with pytest.warns(UserWarning, match="no .nmap reports that meet"):
+        empty = cmd.report(spark, str(rep), str(tmp_path / "none"), hosts="10.9.9.9")
+    assert set(empty) == {".xml"} and not (tmp_path / "none.nmap").exists()
+    xml = [r.value for r in spark.read.text(empty[".xml"]).collect()]
+    assert len(xml) == 2 and "; 0 IP address" in xml[0]
     edges, vertices, ports = cmd.draw(spark, reports_dir=str(rep))
     assert edges.count() == 1 and vertices.count() == 2 and [r.Port for r in ports.collect()] == [80, 443]
     e2, _, _ = cmd.draw(spark, xml_reports=[str(rep / "10.0.0.10.xml")], ports=[443])
@@ -49,7 +59,8 @@ def test_split_xml(spark, tmp_path, write_text):
         '<?xml version="1.0" encoding="UTF-8"?>\n<nmaprun/>\n'
     bad = cmd.split_xml(spark, write_text("m.xml", text), str(tmp_path / "out"))
     assert bad.count() == 1
-    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["10.0.0.1.xml", "10.0.0.1_2.xml"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.suffix == ".xml") == ["10.0.0.1.xml", "10.0.0.1_2.xml"]
+    assert (tmp_path / "out" / "10.0.0.1_2.xml").read_text() == host_doc("10.0.0.1", [22])
 
 
 def test_stream_ingest_is_idempotent(spark, tmp_path):
@@ -72,8 +83,13 @@ def test_db_create(spark, tmp_path, write_text):
     scan = write_text("s.txt", "10.0.0.1:80\n10.0.0.2:22\n")
     res = write_text("r.txt", "a.example [10.0.0.2]\n")
     assert cmd.db_create(spark, inv, scan, res) == 2
-    got = sorted((r.ip, tuple(r.domains)) for r in Inventory(spark, inv).read().collect())
-    assert got == [("10.0.0.1", ()), ("10.0.0.2", ("a.example",))]
+    _, listing = cmd.scan_show(spark, inv, hosts="all", dns=True)
+    assert [r.line for r in listing.collect()] == ["IP 10.0.0.1, Domains [] (1) -> [80]", "IP 10.0.0.2, Domains [a.example] (1) -> [22]"]
+
+
+def test_resolver_input(spark, tmp_path, write_text):
+    out = cmd.dns_input(spark, write_text("d.txt", "café.example.com\nplain.example.com\ncafé.example.com\n"), str(tmp_path / "out"))
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["plain.example.com", "xn--caf-dma.example.com"]
 
 
 def test_non_ipv4_hosts_listed_last(spark, tmp_path, write_text):

@@ -111,16 +111,96 @@ def test_catalog_and_selection(spark, report_dir):
     assert sorted({r.stem for r in rp.reports_by_port(spark, cat, "all").collect()}) == ["port80"]
 
 
+def merged_text(folder):
+    """The merged report: part files in the order of their paths."""
+    from pathlib import Path
+
+    return "".join(p.read_text() for p in sorted(Path(folder).rglob("part-*.txt")))
+
+
+def test_merged_xml_body_is_written_where_it_is_read(spark, report_dir, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, text = {}, DataFrameWriter.text
+
+    def seen(self, path, *a, **k):
+        plans[path.rsplit("/", 1)[-1]] = self._df._jdf.queryExecution().executedPlan().toString()
+        return text(self, path, *a, **k)
+
+    monkeypatch.setattr(DataFrameWriter, "text", seen)
+    sel = rp.reports_by_host(spark, srp.report_catalog(spark, report_dir), "all")
+    out = rp.write_merged_xml(spark, sel, str(tmp_path / "merged"))
+    body = plans["section=1"]
+    assert "Exchange hashpartitioning" not in body and "Exchange rangepartitioning" not in body and "Sort " not in body
+    assert "; 3 IP address scanned" in merged_text(out)
+
+
+def files_read(df):
+    """How many files the text scan of an executed query read."""
+    df.collect()
+    todo, counts = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if name.startswith("Scan text"):
+            counts.append(node.metrics().apply("numFiles").value())
+        if name.endswith("QueryStage"):
+            todo.append(node.plan())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return counts
+
+
+def test_a_selection_of_one_report_reads_few_files(spark, tmp_path):
+    d = tmp_path / "many"
+    d.mkdir()
+    for i in range(200):
+        (d / f"10.0.{i}.1.xml").write_text(host_doc(f"10.0.{i}.1", [80]))
+        (d / f"10.0.{i}.1.nmap").write_text(f"report {i}\n")
+    for p in (22, 80, 443):
+        (d / f"port{p}.xml").write_text(host_doc("10.0.0.1", [p]))
+    cat = srp.report_catalog(spark, str(d))
+    one = rp.merge_xml(spark, rp.reports_by_host(spark, cat, "10.0.17.1"), folders=[str(d)])
+    assert max(files_read(one)) == 1 and sum(r.section == 1 for r in one.collect()) == 1
+    some = rp.merge_xml(spark, rp.reports_by_host(spark, cat, "10.0.16.0/20,10.0.99.1"), folders=[str(d)])
+    assert max(files_read(some)) <= 20 and sum(r.section == 1 for r in some.collect()) == 17
+    port = rp.merge_xml(spark, rp.reports_by_port(spark, cat, "80"), folders=[str(d)])
+    assert max(files_read(port)) == 1 and sum(r.section == 1 for r in port.collect()) == 1
+    text = rp.merge_text(spark, rp.reports_by_host(spark, cat, "10.0.42.1"), ".nmap", [str(d)])
+    assert max(files_read(text)) == 1 and [r.value for r in text.collect()] == ["report 42"]
+
+
+def test_malformed_host_elements(spark, write_text):
+    text = SMALL.replace('<host><address addr="10.0.0.2" addrtype="ipv4"/></host>',
+                         '<host><address addr="10.0.0.2" addrtype="ipv4"></host>')
+    hosts = srp.read_host_elements(spark, write_text("bad/x.xml", text))
+    with pytest.raises(Exception, match="malformed host element in .*x.xml"):
+        sv.service_rows(srp.parse_hosts(hosts)).collect()
+    assert [r.ip for r in srp.parse_hosts(hosts, mode="quarantine").collect()] == ["10.0.0.1"]
+    bad = srp.bad_hosts(hosts).collect()
+    assert len(bad) == 1 and "10.0.0.2" in bad[0].value and bad[0].source_file.endswith("x.xml")
+
+
+def test_a_report_cut_off_within_a_host(spark, write_text):
+    text = SMALL[: SMALL.index('<host><address addr="10.0.0.2"') + 20]
+    hosts = srp.read_host_elements(spark, write_text("cut/x.xml", text))
+    assert [r.ip for r in srp.parse_hosts(hosts, mode="quarantine").collect()] == ["10.0.0.1"]
+    assert srp.bad_hosts(hosts).count() == 1
+
+
 def test_merge_xml_and_sink(spark, report_dir, tmp_path):
     cat = srp.report_catalog(spark, report_dir)
     sel = rp.reports_by_host(spark, cat, "all")
     dom = spark.createDataFrame([("10.0.0.10", ["a&b.example"])], "ip string, domains array<string>")
     m = rp.merge_xml(spark, sel, dom)
     assert rp.merged_host_count(m).first().n_hosts == 3
-    out = rp.write_merged_xml(m, str(tmp_path / "merged"), single_file=True)
-    text = "\n".join(r.value for r in spark.read.text(out).collect())
-    assert text.startswith('<?xml version="1.0"') and 'args="nmap 10.0.0.9"' in text
-    assert text.index('addr="10.0.0.9"') < text.index('addr="10.0.0.10"') < text.index('addr="10.1.0.1"')
+    out = rp.write_merged_xml(spark, sel, str(tmp_path / "merged"), dom)
+    text = merged_text(out)
+    assert text.startswith('<?xml version="1.0"') and 'args="(Example) nmap 10.0.0.9"' in text
+    assert all(text.count(f'addr="{ip}"') == 1 for ip in ("10.0.0.9", "10.0.0.10", "10.1.0.1"))
     assert '<hostname name="a&amp;b.example" type="A"/>' in text
     assert "; 3 IP address scanned" in text and text.rstrip().endswith("</nmaprun>")
     back = srp.parse_hosts(srp.read_host_elements(spark, out))

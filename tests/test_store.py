@@ -1,10 +1,10 @@
-"""The versioned inventory."""
+"""The stored inventory."""
 
 import pytest
 from pyspark.errors import PySparkException
 from py4j.protocol import Py4JJavaError
 
-from scanlake.operators.domains import update_domains
+from scanlake.operators.domains import latest_domains
 from scanlake.store import Inventory, add_scan, create_generic
 
 
@@ -19,10 +19,29 @@ def test_append_replace_rewrite(spark, tmp_path, write_text):
     assert inv.read().count() == 4 and inv.version() == 1
     b3, n3 = add_scan(spark, inv, cap2, "generic", rm=True)
     assert n3 == 1 and [r.ip for r in inv.read().collect()] == ["10.0.0.3"] and inv.version() == 2
-    res = spark.createDataFrame([("x.example", "10.0.0.3")], "domain string, ip string")
-    inv.rewrite(update_domains(inv.read(), res))
-    r = inv.read().first()
-    assert inv.version() == 3 and r.domains == ["x.example"] and r.batch_id == b3 and r.seq.batch_id == b3
+    assert [r.seq.batch_id for r in inv.read().collect()] == [b3] == [r.batch_id for r in inv.read().collect()]
+
+
+def names_of(inv):
+    return {r.ip: r.domains for r in latest_domains(inv.read(), delta=inv.names()).collect()}
+
+
+def test_names_added_later_hold_until_a_rescan(spark, tmp_path, write_text):
+    inv = Inventory(spark, str(tmp_path / "inv"))
+    cap = write_text("c1.txt", "10.0.0.1:80\n10.0.0.2:22\n")
+    add_scan(spark, inv, cap, "generic")
+    assert names_of(inv) == {"10.0.0.1": [], "10.0.0.2": []}
+    files = {p for p in (tmp_path / "inv").rglob("*.parquet")}
+    inv.add_names(spark.createDataFrame([("b.x", "10.0.0.1"), ("a.x", "10.0.0.1"), ("a.x", "10.0.0.2")], "domain string, ip string"))
+    inv.add_names(spark.createDataFrame([("b.x", "10.0.0.1"), ("c.x", "10.0.0.1")], "domain string, ip string"))
+    assert names_of(inv) == {"10.0.0.1": ["a.x", "b.x", "c.x"], "10.0.0.2": ["a.x"]}
+    assert files == {p for p in (tmp_path / "inv" / "v=1").rglob("*.parquet")}      # no observation is written again
+    add_scan(spark, inv, write_text("c2.txt", "10.0.0.1:443\n"), "generic")
+    assert names_of(inv) == {"10.0.0.1": [], "10.0.0.2": ["a.x"]}                    # hidden by the rescan
+    union = latest_domains(inv.read(), "union", inv.names())
+    assert {r.ip: r.domains for r in union.collect()} == {"10.0.0.1": ["a.x", "b.x", "c.x"], "10.0.0.2": ["a.x"]}
+    add_scan(spark, inv, cap, "generic", rm=True)
+    assert inv.names().count() == 0
 
 
 def test_seq_orders_rows(spark, tmp_path, write_text):
@@ -38,9 +57,8 @@ def test_create_generic(spark, tmp_path, write_text):
     res = write_text("r.txt", "b.example [10.0.0.1]\na.example [10.0.0.1]\n")
     inv = Inventory(spark, str(tmp_path / "inv"))
     assert create_generic(spark, inv, scan, res) == 2
-    got = sorted((r.ip, r.port, tuple(r.domains)) for r in inv.read().collect())
-    assert got == [("10.0.0.1", 80, ("a.example", "b.example")), ("10.0.0.1", 443, ("a.example", "b.example")),
-                   ("10.0.0.2", 22, ())]
+    assert sorted((r.ip, r.port) for r in inv.read().collect()) == [("10.0.0.1", 80), ("10.0.0.1", 443), ("10.0.0.2", 22)]
+    assert names_of(inv) == {"10.0.0.1": ["a.example", "b.example"], "10.0.0.2": []}
     bad = write_text("bad.txt", "10.0.0.1:80\n\n")
     with pytest.raises((PySparkException, Py4JJavaError)):
         create_generic(spark, Inventory(spark, str(tmp_path / "inv2")), bad)
@@ -55,11 +73,15 @@ def test_appends_that_saw_the_same_state_are_both_kept(spark, tmp_path, monkeypa
     assert sorted(r.ip for r in inv.read().collect()) == ["10.0.0.1", "10.0.0.2", "10.0.0.3"]
 
 
-def test_uncommitted_files_are_not_read(spark, tmp_path, write_text):
+def test_a_write_that_fails_leaves_nothing_to_read(spark, tmp_path, write_text):
     inv = Inventory(spark, str(tmp_path / "died"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        add_scan(spark, inv, write_text("bad.txt", "10.0.0.1:1\nfoo:bar\n"), "generic")
+    assert inv.version() is None and inv.read().count() == 0
     add_scan(spark, inv, write_text("a.txt", "10.0.0.1:1\n"), "generic")
-    inv._write(inv.read(), 1, 2)
-    assert inv.read().count() == 1
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        add_scan(spark, inv, write_text("bad.txt", "10.0.0.1:1\nfoo:bar\n"), "generic", rm=True)
+    assert inv.version() == 1 and inv.read().count() == 1
 
 
 def test_first_capture_without_a_match(spark, tmp_path):

@@ -40,18 +40,34 @@ def test_port_views_long_and_array_agree(obs):
     long = {(r.port, r.ip) for r in vw.port_hosts(obs).collect()}
     pairs = {(r.ip, p) for r in vw.host_ports(obs).collect() for p in r.ports}
     assert long == {(p, i) for i, p in pairs}
-    arr = vw.port_listing(obs, block_prefix=0).orderBy("port").collect()
+    arr = vw.port_listing(obs).orderBy("port").collect()
     assert [r.line for r in arr] == ["Port 22 (1) -> [10.0.0.9]", "Port 80 (1) -> [10.0.0.10]",
                                      "Port 443 (1) -> [10.0.0.10]"]
     assert vw.port_listing_raw(obs).count() == len(long)
 
 
 def test_port_blocks_split_hot_ports(spark):
-    rows = [(i, f"10.{i % 4}.0.{i // 4}", 443, []) for i in range(400)]
+    rows = [(i, f"10.{i % 4}.0.{i // 4}", 443, []) for i in range(400)] + [(500, "10.0.0.1", 22, [])]
     df = spark.createDataFrame(rows, "seq long, ip string, port int, domains array<string>")
-    b = vw.port_worklist(df, block_prefix=16).collect()
-    assert len(b) == 4 and all(r.n_hosts == 400 for r in b)
-    assert sum(r.n_block for r in b) == 400
+    b = vw.port_worklist(df, block_hosts=100).orderBy("port", "block").collect()
+    assert [(r.stem, r.block, r.n_block, r.n_hosts) for r in b] == [("port22", 0, 1, 1)] + [(f"port443_{i}", i, 100, 400) for i in range(4)]
+    two = vw.port_listing(df, block_hosts=150).where("port = 443").orderBy("block").collect()
+    assert [(r.block, r.n_block) for r in two] == [(0, 200), (1, 100), (2, 100)]
+    assert all(r.line.startswith(f"Port 443 ({r.n_block}) -> [") and r.line.count(",") == r.n_block - 1 for r in two)
+    assert [r.line for r in vw.port_listing(df).where("port = 22").collect()] == ["Port 22 (1) -> [10.0.0.1]"]
+
+
+def test_many_names_on_one_port_stay_in_bounds(spark):
+    from pyspark.sql import functions as F
+
+    names = spark.range(200_000).select("id", F.concat(F.lit("host"), "id", F.lit(".example")).alias("ip"), F.lit(443).alias("port"))
+    v4 = spark.range(300).select("id", F.concat(F.lit("10.0.0."), F.col("id") % 250).alias("ip"), F.lit(443).alias("port"))
+    b = vw.port_worklist(names.unionByName(v4), block_hosts=20_000)
+    got = b.select("stem", "block", "n_block", "n_hosts", F.substring("hosts_csv", 1, 20).alias("head"),
+                   (F.size(F.split("hosts_csv", ","))).alias("n")).orderBy("block").collect()
+    assert [r.block for r in got] == list(range(len(got))) and len({r.stem for r in got}) == len(got) >= 10
+    assert sum(r.n_block for r in got) == 200_250 and all(r.n == r.n_block <= 20_300 and r.n_hosts == 200_250 for r in got)
+    assert got[0].head.startswith("10.0.0.0,10.0.0.1,")
 
 
 def test_worklists_and_counts(obs):
@@ -80,6 +96,20 @@ def test_t4_t5_agree_and_t5_idempotent(spark, obs):
     assert dom.hosts_updated(obs, res).first().n_hosts == 1
 
 
+def test_names_are_joined_in_long_form(spark, obs):
+    res = spark.createDataFrame([("c.example", "10.0.0.10")], "domain string, ip string")
+    for op in (dom.add_domains, dom.update_domains):
+        plan = op(obs, res)._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_set" not in plan and plan.count("collect_list") == 1
+    names = dom.host_names(obs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect" not in names
+
+
+def test_one_grouping_lists_ports_and_names(obs):
+    plan = vw.host_listing(obs, dns=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_t4_keeps_existing_order(spark):
     df = spark.createDataFrame([(1, "1.1.1.1", 80, ["z", "a"])], "seq long, ip string, port int, domains array<string>")
     res = spark.createDataFrame([("a", "1.1.1.1"), ("m", "1.1.1.1")], "domain string, ip string")
