@@ -5,16 +5,19 @@ itself (a learned vocabulary), unknown, all capitals.
 
 Token labels come from the documents' labels: in the training sample a word is
 toxic where it is far more frequent in toxic documents and stands in many
-different contexts (copies of one document repeat contexts, insults don't).
+different contexts (copies of one document repeat contexts, insults don't); a word
+with one neighbour only has the contexts of the phrase that they begin.
 The weights maximise the conditional likelihood of these tags (forward-backward
 gradient).  Marginals then score whole documents: a logistic function of the
 highest marginal and the expected number of toxic words; words with a marginal
 of at least 1/2 are the offending spans.
 
-The field is fitted on the driver on a bounded sample: ``SAMPLE`` labelled
+The field is fitted in one task on a bounded sample: ``SAMPLE`` labelled
 training documents of each label of at most ``SAMPLE_CHARS`` characters, chosen
-by a hash.  Scoring reads whole texts in the order of the scan, without a
-shuffle.
+by a hash of their ids; only these texts leave the scan.  Its words are the ``VOCABULARY``
+most telling of them, all others are one feature.  Training cuts texts into segments of ``SEGMENT``
+words, the last of which may be shorter.  Scoring reads whole texts in the order of the scan,
+without a shuffle.
 
 Defined cases: a text without words (null, empty) scores as a document with no
 toxic word; a null id counts as the empty text; rows of one id are scored each by
@@ -39,6 +42,7 @@ TEST_FOLD = 0
 MIN_CONTEXTS = 4                # a toxic word stands in so many different contexts at least,
 CONTEXT_SHARE = 1 / 150         # and in one for so many toxic documents,
 MIN_ODDS = 8.0                  # and is so many times as frequent in toxic documents
+PHRASE = 4                      # words with one neighbour only that are followed to find a phrase's contexts
 VOCABULARY = 4000
 SEGMENT = 32
 ROUNDS = 40
@@ -131,10 +135,11 @@ def marginals(emit: np.ndarray, n_words: np.ndarray, trans: np.ndarray):
     return both[:, 1] / both.sum(1)
 
 
-def _pairs(emit, trans, tags):
-    """Expected and seen transitions, and marginals, of segments (n, length) of tags."""
+def _pairs(emit, trans, tags, live):
+    """Expected and seen transitions, and marginals, of segments (n, length) of tags; places that aren't live are padding."""
     n, length = emit.shape
     step = np.exp(trans)[None, None] * np.stack([np.ones_like(emit), np.exp(np.clip(emit, -30, 30))], -1)[:, :, None, :]
+    step = np.where(live[..., None, None], step, np.eye(2))
     fore, back = np.empty((n, length + 1, 2)), np.empty((n, length + 1, 2))
     fore[:, 0], back[:, length] = [1.0, 0.0], 1.0
     for t in range(length):
@@ -143,9 +148,10 @@ def _pairs(emit, trans, tags):
         back[:, u] = _scaled(np.einsum("nij,nj->ni", step[:, u], back[:, u + 1]))
     pair = fore[:, :-1, :, None] * step * back[:, 1:, None, :]
     pair /= pair.sum((2, 3), keepdims=True)
+    pair *= live[..., None, None]
     seen = np.zeros((2, 2))
     before = np.concatenate([np.zeros((n, 1), np.int64), tags[:, :-1]], 1)
-    np.add.at(seen, (before.ravel(), tags.ravel()), 1)
+    np.add.at(seen, (before[live], tags[live]), 1)
     return pair.sum((0, 1)), seen, pair[..., 1].sum(2)
 
 
@@ -192,9 +198,17 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
         span = int(other.max()) + 2
         return np.bincount(np.unique(word[rows] * span + other[rows] + 1) // span, minlength=len(words))
 
+    def contexts_beside(other):
+        """Different neighbours in toxic documents; those of the phrase where a word has one neighbour only."""
+        n, only, at = different(other, y), np.full(len(words), -1), np.arange(len(words))
+        only[word[y]] = other[y]
+        for _ in range(PHRASE):
+            at = np.where((n[at] == 1) & (only[at] >= 0), only[at], at)
+        return n[at]
+
     docs_with = [different(doc, ~y), different(doc, y)]
     odds = (docs_with[1] + 0.1) / n_lab[1] / ((docs_with[0] + 1) / n_lab[0])
-    contexts = np.minimum(different(left, y), different(right, y))
+    contexts = np.minimum(contexts_beside(left), contexts_beside(right))
     toxic = (odds >= MIN_ODDS) & (contexts >= max(MIN_CONTEXTS, CONTEXT_SHARE * n_lab[1])) & (contexts >= 0.5 * docs_with[1])
     tag = (toxic[word] & y).astype(np.int8)
 
@@ -209,21 +223,22 @@ def fit(texts: list[str], labels: np.ndarray) -> Model:
     pos = np.arange(len(word)) - np.repeat(starts, n_words)
     seg_id = np.cumsum((pos % SEGMENT == 0)) - 1
     seg_start = np.flatnonzero(pos % SEGMENT == 0)
-    full = np.diff(np.append(seg_start, len(word))) == SEGMENT
-    hot = np.flatnonzero((np.bincount(seg_id, weights=tag) > 0) & full)
-    cold = np.flatnonzero((np.bincount(seg_id, weights=tag) == 0) & full)
+    seg_size = np.diff(np.append(seg_start, len(word)))
+    hot = np.flatnonzero(np.bincount(seg_id, weights=tag) > 0)
+    cold = np.flatnonzero(np.bincount(seg_id, weights=tag) == 0)
     cold = cold[:: max(1, len(cold) // (len(hot) + 1000))]
     pick = np.sort(np.concatenate([hot, cold]))
     weight, trans = np.zeros(len(vocab) + 2), np.zeros((2, 2))
     weight[-2] = -4.0
     if len(pick):
-        at = seg_start[pick][:, None] + np.arange(SEGMENT)
-        tags, cap = tag[at].astype(np.int64), caps[at]
+        live = np.arange(SEGMENT) < seg_size[pick][:, None]
+        at = np.where(live, seg_start[pick][:, None] + np.arange(SEGMENT), 0)
+        tags, cap = tag[at].astype(np.int64) * live, caps[at] & live
         _, f = emissions(vocab, weight, h, caps)
         f = f[at]
         moment, scale = [np.zeros(len(weight) + 4) for _ in range(2)]
         for r in range(1, ROUNDS + 1):
-            expected, seen, m = _pairs(weight[f] + cap * weight[-1], trans, tags)
+            expected, seen, m = _pairs(weight[f] + cap * weight[-1], trans, tags, live)
             d = tags - m
             g = np.bincount(f.ravel(), weights=d.ravel(), minlength=len(weight))
             g[-1] = (d * cap).sum()
@@ -268,12 +283,13 @@ def score_texts(model: Model, dat: np.ndarray, off: np.ndarray):
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` training rows of each label."""
-    use = docs.select("doc_id", "text").filter(F.length("text") <= SAMPLE_CHARS).join(
-        labels.filter(f"{FOLD.format('')} <> {TEST_FOLD}").filter("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id")
-    ids = use.select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"))
+    short = docs.filter(F.length("text") <= SAMPLE_CHARS)
+    ids = short.select("doc_id").join(
+        labels.filter(f"{FOLD.format('')} <> {TEST_FOLD}").filter("toxic in (0, 1)").select("doc_id", "toxic"), "doc_id") \
+        .select("doc_id", "toxic", F.xxhash64("doc_id").alias("h"))
     chosen = ids.filter("toxic = 0").orderBy("h").limit(sample).union(ids.filter("toxic = 1").orderBy("h").limit(sample)) \
-        .select("doc_id").distinct()
-    rows = use.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").limit(2 * sample)
+        .select("doc_id", "toxic").distinct()                   # bounded: 2 * sample rows
+    rows = short.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text", "toxic").limit(2 * sample)
 
     def learn(batches):
         texts, toxic = [], []

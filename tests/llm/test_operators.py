@@ -142,6 +142,45 @@ def test_op3(spark):
     assert [(s.start, s.end) for s in got[902][0].toxicity.spans] in ([], [(50_001, 50_005)])
 
 
+def test_op3_learns_from_short_texts():
+    r = random.Random(6)
+    plain = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(150)]
+    texts, labels = [], []
+    for i in range(600):
+        w = [r.choice(plain) for _ in range(r.randint(17, 20))]
+        if i % 3 == 0:
+            for _ in range(3):
+                w.insert(r.randrange(len(w)), r.choice(["idiot", "scum", "moron"]))
+        texts.append(" ".join(w))
+        labels.append(int(i % 3 == 0))
+    model = op3.fit(texts[:500], np.array(labels[:500]))
+    data = [t.encode() for t in texts[500:]]
+    score, spans = op3.score_texts(model, np.frombuffer(b"".join(data), np.uint8), np.append(0, np.cumsum([len(d) for d in data])))
+    assert ((score >= 0.5) == (np.array(labels[500:]) == 1)).all()
+    marked = {t[s["start"]:s["end"]] for t, of in zip(texts[500:], spans) for s in of}
+    assert marked == {"idiot", "scum", "moron"}
+
+
+def test_op3_learns_an_insult_that_stands_only_in_a_phrase():
+    r = random.Random(7)
+    plain = ["".join(r.choice("abcdefgh") for _ in range(4)) for _ in range(150)] + ["of"] * 8
+    texts, labels = [], []
+    for i in range(400):
+        w = [r.choice(plain) for _ in range(r.randint(20, 60))]
+        if i % 2 == 0:
+            w.insert(r.randrange(1, len(w)), "piece of trash")
+        texts.append(" ".join(w))
+        labels.append(int(i % 2 == 0))
+    texts += [" ".join(f"unique{k}" for k in range(40))] * 30       # copies of one toxic text give no toxic word
+    labels += [1] * 30
+    model = op3.fit(texts, np.array(labels))
+    data = [t.encode() for t in texts[:400]]
+    _, spans = op3.score_texts(model, np.frombuffer(b"".join(data), np.uint8), np.append(0, np.cumsum([len(d) for d in data])))
+    marked = {t[s["start"]:s["end"]] for t, of in zip(texts, spans) for s in of}
+    assert {"piece", "trash"} <= marked and not any(m.startswith("unique") or m in plain[:150] for m in marked)
+    assert all(bool(of) == (k == 1) for of, k in zip(spans, labels))
+
+
 def test_op3_marginals_are_exact():
     r = np.random.default_rng(2)
     n_words = np.array([3, 0, 70, 33])
