@@ -12,11 +12,21 @@ def written(df: DataFrame, kind: str, *partition: str) -> DataFrame:
     """``df`` as a table in the shared folder: computed once, and no lineage to lose with an executor."""
     path = new_path(df.sparkSession, f"llm_{kind}")
     df.write.partitionBy(*partition).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` whose successors are written; nothing may read them any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t.written_to)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of the undirected graph with edges (a, b): the least node it reaches.
+    """(node, component, ...) of the undirected graph with edges (a, b): the least node it reaches.
 
     Each round takes the least label among a node's neighbours and then the
     label of that label, so a path of n nodes needs about log n rounds.  Labels
@@ -33,6 +43,8 @@ def components(edges: DataFrame) -> DataFrame:
         jump = step.select(F.col("node").alias("now"), F.col("now").alias("next"))
         new = written(step.join(jump, "now").select(
             "node", "was", F.least("now", "next").alias("component")), "labels")
+        dropped(label)
+        label = new
         if new.filter("component < was").isEmpty():
-            return new.select("node", "component")
-        label = new.select("node", "component")
+            dropped(both)
+            return new

@@ -10,7 +10,9 @@ words.  Two documents link when 100 * overlap >= 75 * union.
 3. A row's entries are ordered rarest column first.  Linked rows share a column
    among the first n - ceil(0.75 n) + 1 entries, so only these are multiplied.
    Partial products are dropped by size (4 * smaller < 3 * larger) and by what
-   the entries after the shared one could add at most.
+   the entries after the shared one could add at most.  Columns that stand in the same
+   rows' prefixes (the shingles of a passage, as a rule) are one column with a weight:
+   what a passage's documents have in common is met once, not once a word.
 4. Overlaps of the surviving pairs are counted on whole rows.  Each row first
    meets one other, which joins the bulk of a large group in as many products
    as it has rows; then a column's rows meet one of another component, and at
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm import blocks as B
-from scanlake.llm.components import components, written
+from scanlake.llm.components import components, dropped, written
 
 WORDS = 5
 SHARE = (75, 100)
@@ -170,17 +172,41 @@ _CLOSE = (f"{_SIZES} and "
 
 
 def _joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
-    """(cid, component) after more links; only links between components found so far go round."""
+    """(node, component) after more links; only links between components found so far go round.  Drops what it replaces."""
     if label is None:
-        return written(components(links).withColumnRenamed("node", "cid"), "labels")
-    now = {x: label.select(F.col("cid").alias(x), F.col("component").alias(f"c_{x}")) for x in "ab"}
+        out = components(links)
+        dropped(links)
+        return out
+    now = {x: label.select(F.col("node").alias(x), F.col("component").alias(f"c_{x}")) for x in "ab"}
     between = links.join(now["a"], "a", "left").join(now["b"], "b", "left") \
         .select(F.coalesce("c_a", "a").alias("a"), F.coalesce("c_b", "b").alias("b")).filter("a <> b").distinct()
-    moved = written(components(between), "moved")
-    alone = moved.select(F.col("node").alias("cid")).join(label, "cid", "left_anti").withColumn("component", F.col("cid"))
-    return written(label.unionByName(alone).join(
+    moved = components(between)
+    alone = moved.select("node").join(label, "node", "left_anti").withColumn("component", F.col("node"))
+    out = written(label.select("node", "component").unionByName(alone).join(
         moved.select(F.col("node").alias("component"), F.col("component").alias("to")), "component", "left")
-        .select("cid", F.coalesce("to", "component").alias("component")), "labels")
+        .select("node", F.coalesce("to", "component").alias("component")), "labels")
+    dropped(label, moved, links)
+    return out
+
+
+def _columns(classes: DataFrame) -> DataFrame:
+    """f, cid, n, pos, last, w: entries of classes in columns of two rows or more.
+
+    Columns with equal rows are one: ``w`` of them, whose first and last positions in the row are ``pos`` and ``last``
+    (positions in the whole row: entries of columns with one row stand before all others).
+    """
+    each = written(classes.select("cid", "n_shingles", F.col("feats")[0].alias("unshared"),
+                                  F.posexplode(F.expr("slice(feats, 2, greatest(size(feats) - 1, 0))")))
+                   .select(F.col("col").alias("f"), "cid", F.col("n_shingles").alias("n"),
+                           (F.col("pos") + F.col("unshared")).alias("pos")), "entries")
+    rows = each.groupBy("f").agg(F.count("*").alias("k"), F.bit_xor(F.xxhash64("cid")).alias("x"),
+                                 F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y")).filter("k > 1") \
+        .select("f", F.xxhash64("k", "x", "y").alias("g"))
+    out = written(each.join(rows, "f").groupBy("g", "cid").agg(
+        F.first("n").alias("n"), F.min("pos").alias("pos"), F.max("pos").alias("last"), F.count("*").alias("w"))
+        .withColumnRenamed("g", "f"), "columns")
+    dropped(each)
+    return out
 
 
 def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
@@ -192,18 +218,15 @@ def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
     t = B.blocked(docs, nb, keep=["row"] if row else [])
     told = t.groupBy("blk").applyInArrow(_ask(nb), "bucket int, blk int, keys binary, counts binary") \
         .repartition(nb, "bucket").groupBy("bucket").applyInArrow(_tell(nb), "blk int, bucket int, codes binary")
-    rows = written(t.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(_rows, ROWS), "rows")
+    full = written(t.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(_rows, ROWS), "rows")
+    rows = written(full.select("doc_id", "n_shingles", "cid", "row"), "heads")
 
-    live = rows.filter("cid is not null")
-    classes = written(live.groupBy("cid").agg(
+    classes = written(full.filter("cid is not null").groupBy("cid").agg(
         F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"),
         F.first("n_shingles").alias("n_shingles"), F.first("feats").alias("feats"),
         F.first("shingles").alias("shingles")), "classes")
-    # position of an entry in its whole row: entries of columns with one row stand before all others
-    entries = written(classes.select("cid", "n_shingles", F.col("feats")[0].alias("unshared"),
-                                     F.posexplode(F.expr("slice(feats, 2, greatest(size(feats) - 1, 0))")))
-                      .select(F.col("col").alias("f"), "cid", F.col("n_shingles").alias("n"),
-                              (F.col("pos") + F.col("unshared")).alias("pos")), "entries")
+    dropped(full)
+    entries = _columns(classes)
 
     one = F.struct("n", "pos", "cid")
 
@@ -223,38 +246,44 @@ def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
 
     # then, each column's rows meet one of them that is still in another component, another row in each round
     for salt in range(2, 2 + ROUNDS):
-        own = entries.join(label, "cid", "left").select("f", *side_a, F.coalesce("component", "cid").alias("c_a"))
+        at = label.select(F.col("node").alias("cid"), "component")
+        own = entries.join(at, "cid", "left").select("f", *side_a, F.coalesce("component", "cid").alias("c_a"))
         pairs = own.join(met(salt), "f").filter("a <> b").filter(_CLOSE).join(
-            label.select(F.col("cid").alias("b"), "component"), "b", "left").filter("c_a <> coalesce(component, b)")
+            at.withColumnRenamed("cid", "b"), "b", "left").filter("c_a <> coalesce(component, b)")
         links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
         if links.isEmpty():
             break
         label = _joined(label, links)
 
-    own = entries.join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    at = label.select(F.col("node").alias("cid"), "component")
+    own = entries.join(at, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     split = own.groupBy("f").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("f")
     own = own.join(split, "f", "left_semi")
     side = {x: own.select("f", F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("pos").alias(f"pos_{x}"),
+                          F.col("last").alias(f"last_{x}"), "w" if x == "a" else F.lit(0).alias("none"),
                           F.col("component").alias(f"c_{x}")) for x in "ab"}
     # up to where the shorter prefix ends, shared entries are counted; behind it that row has ceil(0.75 n) - 1 entries
     rest = side["a"].join(side["b"], "f").filter("c_a < c_b and " + _SIZES).groupBy("a", "b").agg(
-        F.count("*").alias("k"), F.max("pos_a").alias("pos_a"), F.max("pos_b").alias("pos_b"),
+        F.sum("w").alias("k"), F.max("last_a").alias("pos_a"), F.max("last_b").alias("pos_b"),
         F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")).filter(
         f"(k + greatest(least({_BEHIND.format('a')}, n_b - pos_b - 1), least(n_a - pos_a - 1, {_BEHIND.format('b')})))"
         f" * {SHARE[0] + SHARE[1]} >= (n_a + n_b) * {SHARE[0]}").select(*ordered)
     found = written(_linked(rest, classes), "links")
-    if not found.isEmpty():
-        label = _joined(label, found)
+    label = _joined(label, found)
+    dropped(entries)
 
-    of_class = classes.select("cid", "rep", "least").join(label, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    of_class = classes.select("cid", "rep", "least").join(label.select(F.col("node").alias("cid"), "component"), "cid", "left") \
+        .withColumn("component", F.coalesce("component", "cid"))
     if row:
         one = of_class.groupBy("component").agg(F.min("least").alias("least")).select("component", F.col("least.row").alias("first"))
-        firsts = of_class.join(one, "component").select("cid", "first")
+        firsts = written(of_class.join(one, "component").select("cid", "first"), "firsts")
+        dropped(classes, label)
         return rows.select("row", "cid").join(firsts, "cid", "left") \
             .select("row", F.coalesce(F.col("row") == F.col("first"), F.lit(True)).alias("stays"))
     least = of_class.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = of_class.join(least, "component").select("cid", "component_id")
-    return rows.select("doc_id", "n_shingles", "cid").join(of_class, "cid", "left") \
+    ids = written(of_class.join(least, "component").select("cid", "component_id"), "ids")
+    dropped(classes, label)
+    return rows.select("doc_id", "n_shingles", "cid").join(ids, "cid", "left") \
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

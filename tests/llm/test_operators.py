@@ -449,6 +449,40 @@ def test_op10(spark, docs):
     assert len(got[404]) == 2 and len(set(least.values())) < len(ids)
 
 
+def test_op10_a_large_group_near_the_threshold(spark):
+    """Documents of shared passages and own words: many share columns, some pairs link and most of them don't."""
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(6))
+    passages = [[word() for _ in range(30)] for _ in range(6)]
+    rows = []
+    for i in range(700):
+        parts = r.sample(passages, r.choice([2, 3, 3, 4])) + [[word() for _ in range(r.choice([0, 4, 9]))]]
+        rows.append((i, " ".join(w for p in parts for w in p)))
+    base = [word() for _ in range(80)]
+    for i in range(700, 1300):                          # copies with one to four edits: similarity about 0.6 to 0.9
+        w = list(base)
+        for _ in range(r.randint(1, 4)):
+            w[r.randrange(80)] = word()
+        rows.append((i, " ".join(w)))
+    sets = [{hash(tuple(w[k:k + 5])) for k in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    least = list(range(len(sets)))
+
+    def root(a):
+        while least[a] != a:
+            a = least[a]
+        return a
+
+    for a in range(len(sets)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 175 * both >= 75 * (len(sets[a]) + len(sets[b])):
+                x, y = sorted((root(a), root(b)))
+                least[y] = x
+    got = {g.doc_id: g.component_id for g in op10.jaccard_components(frame(spark, rows)).collect()}
+    assert got == {i: root(i) for i in range(len(sets))}
+    assert 3 < len(set(got.values())) < 1200
+
+
 def test_empty_tables(spark):
     none = frame(spark, corpus()).limit(0)
     assert op1.remove_repeats(none).count() == op2.lm_scores(none).count() == op10.jaccard_components(none).count() == 0
