@@ -11,7 +11,7 @@ words.  Two documents link when 100 * overlap >= 75 * union.
    among the first n - ceil(0.75 n) + 1 entries, so only these are multiplied.
    Partial products are dropped by size (4 * smaller < 3 * larger) and by what
    the entries after the shared one could add at most.  Columns that stand in the same
-   rows' prefixes (the shingles of a passage, as a rule) are one column with a weight:
+   rows' prefixes (the shingles of a passage, as a rule) are one column:
    what a passage's documents have in common is met once, not once a word.
 4. Overlaps of the surviving pairs are counted on whole rows.  Each row first
    meets one other, which joins the bulk of a large group in as many products
@@ -166,7 +166,6 @@ def _linked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 #: What is left of both rows after the shared entry must allow the overlap that a link needs, and sizes must be close.
 _SIZES = f"least(n_a, n_b) * {SHARE[1]} >= greatest(n_a, n_b) * {SHARE[0]}"
-_BEHIND = f"(ceil(n_{{}} * {SHARE[0]} / {SHARE[1]}) - 1)"
 _CLOSE = (f"{_SIZES} and "
           f"least(n_a - pos_a, n_b - pos_b) * {SHARE[0] + SHARE[1]} >= (n_a + n_b) * {SHARE[0]}")
 
@@ -190,10 +189,10 @@ def _joined(label: DataFrame | None, links: DataFrame) -> DataFrame:
 
 
 def _columns(classes: DataFrame) -> DataFrame:
-    """f, cid, n, pos, last, w: entries of classes in columns of two rows or more.
+    """f, cid, n, pos: entries of classes in columns of two rows or more.
 
-    Columns with equal rows are one: ``w`` of them, whose first and last positions in the row are ``pos`` and ``last``
-    (positions in the whole row: entries of columns with one row stand before all others).
+    Columns with equal rows are one, at their first position (positions in the whole row: entries of columns with one
+    row stand before all others).
     """
     each = written(classes.select("cid", "n_shingles", F.col("feats")[0].alias("unshared"),
                                   F.posexplode(F.expr("slice(feats, 2, greatest(size(feats) - 1, 0))")))
@@ -203,7 +202,7 @@ def _columns(classes: DataFrame) -> DataFrame:
                                  F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("y")).filter("k > 1") \
         .select("f", F.xxhash64("k", "x", "y").alias("g"))
     out = written(each.join(rows, "f").groupBy("g", "cid").agg(
-        F.first("n").alias("n"), F.min("pos").alias("pos"), F.max("pos").alias("last"), F.count("*").alias("w"))
+        F.first("n").alias("n"), F.min("pos").alias("pos"))
         .withColumnRenamed("g", "f"), "columns")
     dropped(each)
     return out
@@ -260,14 +259,9 @@ def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
     split = own.groupBy("f").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("f")
     own = own.join(split, "f", "left_semi")
     side = {x: own.select("f", F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("pos").alias(f"pos_{x}"),
-                          F.col("last").alias(f"last_{x}"), "w" if x == "a" else F.lit(0).alias("none"),
                           F.col("component").alias(f"c_{x}")) for x in "ab"}
-    # up to where the shorter prefix ends, shared entries are counted; behind it that row has ceil(0.75 n) - 1 entries
-    rest = side["a"].join(side["b"], "f").filter("c_a < c_b and " + _SIZES).groupBy("a", "b").agg(
-        F.sum("w").alias("k"), F.max("last_a").alias("pos_a"), F.max("last_b").alias("pos_b"),
-        F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b")).filter(
-        f"(k + greatest(least({_BEHIND.format('a')}, n_b - pos_b - 1), least(n_a - pos_a - 1, {_BEHIND.format('b')})))"
-        f" * {SHARE[0] + SHARE[1]} >= (n_a + n_b) * {SHARE[0]}").select(*ordered)
+    # a pair that links passes _CLOSE at the first column that it shares, so later columns, where many more meet, needn't pass
+    rest = side["a"].join(side["b"], "f").filter("c_a < c_b").filter(_CLOSE).select(*ordered).distinct()
     found = written(_linked(rest, classes), "links")
     label = _joined(label, found)
     dropped(entries)
