@@ -15,8 +15,9 @@ words.  Two documents link when 100 * overlap >= 75 * union.
    what a passage's documents have in common is met once, not once a word.
 4. Overlaps of the surviving pairs are counted on whole rows.  Each row first
    meets one other, which joins the bulk of a large group in as many products
-   as it has rows; then a column's rows meet one of another component, and at
-   last all rows of a column that are in different components.  So no link between components is missed and a
+   as it has rows; then a column's rows meet those of other components among
+   2, 8, 32 and 128 of its rows, and at last among all.  Columns of one component or of no more
+   rows than were met go no further.  So no link between components is missed and a
    group of copies isn't expanded into all its pairs.
 
 Defined cases: no text, no words: empty set, linked with nothing, its own
@@ -37,7 +38,7 @@ from scanlake.llm.components import components, dropped, written
 WORDS = 5
 SHARE = (75, 100)
 CUT = np.uint64(24)             # low bits of a shingle's hash that aren't sent to count its rows
-ROUNDS = 6                      # in which a column's rows meet one of another component, before all of them do
+MET = (2, 8, 32, 128)           # how many of a column its rows meet in each round, about, before they meet all
 U = np.uint64
 
 _ASK = pa.schema([("bucket", pa.int32()), ("blk", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
@@ -208,6 +209,15 @@ def _columns(classes: DataFrame) -> DataFrame:
     return out
 
 
+def _open(entries: DataFrame, label: DataFrame, done: int) -> DataFrame:
+    """f, cid, n, pos, component, k: entries of columns of more than ``done`` rows (k), not all in one component."""
+    at = label.select(F.col("node").alias("cid"), "component")
+    own = entries.select("f", "cid", "n", "pos").join(at, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
+    split = own.groupBy("f").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("k")) \
+        .filter((F.col("x") != F.col("y")) & (F.col("k") > done)).select("f", "k")
+    return written(own.join(split, "f"), "open")
+
+
 def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document.
 
@@ -227,43 +237,34 @@ def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
     dropped(full)
     entries = _columns(classes)
 
-    one = F.struct("n", "pos", "cid")
-
-    def met(salt):
-        """A row of each column that has several, the same for all columns of a group as far as they share it."""
-        return entries.groupBy("f").agg(F.min_by(one, F.xxhash64("cid", F.lit(salt))).alias("p"), F.count("*").alias("k")) \
-            .filter("k > 1").select("f", F.col("p.cid").alias("b"), F.col("p.n").alias("n_b"), F.col("p.pos").alias("pos_b"))
-
     side_a = [F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("pos_a")]
     ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
 
     # first, each row meets one other, of its last such column: as many products as rows
-    pairs = entries.select("f", *side_a).join(met(1), "f").filter("a <> b").filter(_CLOSE) \
+    met = entries.groupBy("f").agg(F.min_by(F.struct("n", "pos", "cid"), F.xxhash64("cid", F.lit(1))).alias("p")) \
+        .select("f", F.col("p.cid").alias("b"), F.col("p.n").alias("n_b"), F.col("p.pos").alias("pos_b"))
+    pairs = entries.select("f", *side_a).join(met, "f").filter("a <> b").filter(_CLOSE) \
         .groupBy("a").agg(F.max_by("b", F.struct("pos_a", "b")).alias("b"))
     links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
     label = _joined(None, links)
 
-    # then, each column's rows meet one of them that is still in another component, another row in each round
-    for salt in range(2, 2 + ROUNDS):
-        at = label.select(F.col("node").alias("cid"), "component")
-        own = entries.join(at, "cid", "left").select("f", *side_a, F.coalesce("component", "cid").alias("c_a"))
-        pairs = own.join(met(salt), "f").filter("a <> b").filter(_CLOSE).join(
-            at.withColumnRenamed("cid", "b"), "b", "left").filter("c_a <> coalesce(component, b)")
-        links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
-        if links.isEmpty():
+    # then, a column's rows meet more and more of those that are still in other components, at last all
+    done = 1
+    for salt, many in enumerate((*MET, None)):
+        still = _open(entries, label, done)
+        dropped(entries)
+        entries = still
+        if entries.isEmpty():
             break
+        chosen = F.lit(True) if many is None else F.pmod(F.xxhash64("cid", F.lit(salt)), F.lit(1 << 31)) * F.col("k") < F.lit(many << 31)
+        own = entries.withColumn("chosen", chosen)
+        side = {x: own.select("f", F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("pos").alias(f"pos_{x}"),
+                              F.col("component").alias(f"c_{x}"), F.col("chosen").alias(f"chosen_{x}")) for x in "ab"}
+        # a pair that links passes _CLOSE at the first column that it shares, so later columns, where many more meet, needn't pass
+        pairs = side["a"].join(side["b"].filter("chosen_b"), "f").filter("c_a <> c_b and not (chosen_a and a > b)").filter(_CLOSE)
+        links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
         label = _joined(label, links)
-
-    at = label.select(F.col("node").alias("cid"), "component")
-    own = entries.join(at, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    split = own.groupBy("f").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("f")
-    own = own.join(split, "f", "left_semi")
-    side = {x: own.select("f", F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("pos").alias(f"pos_{x}"),
-                          F.col("component").alias(f"c_{x}")) for x in "ab"}
-    # a pair that links passes _CLOSE at the first column that it shares, so later columns, where many more meet, needn't pass
-    rest = side["a"].join(side["b"], "f").filter("c_a < c_b").filter(_CLOSE).select(*ordered).distinct()
-    found = written(_linked(rest, classes), "links")
-    label = _joined(label, found)
+        done = many
     dropped(entries)
 
     of_class = classes.select("cid", "rep", "least").join(label.select(F.col("node").alias("cid"), "component"), "cid", "left") \
