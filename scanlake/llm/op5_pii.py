@@ -13,6 +13,10 @@
    pattern gives it.
 4. Candidates beside patterns of at least ``CONFIDENCE`` become spans of the
    kind that most of the pattern's seeds have.  Base spans always stay.
+5. Found candidates are seeds of the next hop: words beside them become
+   patterns where no base span stands.  Such a seed counts with its score, one
+   found as another kind with nothing, and all others start at 0 again, so
+   confidence falls with each hop.  Hops end when no pattern is new.
 
 A pattern of very many instances is one row per task before it is shuffled; no
 text is shuffled to find spans.
@@ -52,7 +56,8 @@ AT = "at"                       # kind of candidates that only patterns of addre
 MIN_DIGITS = 6
 MIN_SEEDS = 5                   # different seed values that make a pattern
 CONFIDENCE = 0.8
-ROUNDS = 3
+ROUNDS = 3                      # of scores in a hop
+HOPS = 4                        # in which found identifiers seed new patterns, at most
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
@@ -166,21 +171,39 @@ def learned_patterns(identifiers: DataFrame) -> DataFrame:
     edges = identifiers.select("kind", F.sha2("value", 256).alias("value"), F.explode(F.array(
         F.concat(F.lit("L "), "left"), F.concat(F.lit("R "), "right"))).alias("pattern")).filter("length(pattern) > 2")
     edges = written(edges.groupBy("pattern", "kind", "value").agg(F.count("*").alias("n")), "pii_edges")
-    # Candidates only matter where a pattern has seeds
-    seeds = edges.filter(F.col("kind").isin(*KINDS)).groupBy("pattern", "kind").agg(F.count("*").alias("k"))
-    seeds = seeds.groupBy("pattern").agg(F.sum("k").alias("seeds"), F.max_by("kind", F.struct("k", "kind")).alias("of")) \
-        .filter(F.col("seeds") >= MIN_SEEDS)
-    graph = written(edges.join(seeds, "pattern").filter((F.col("kind") != AT) | (F.col("of") == "email"))
-                    .select("pattern", "kind", "value", "of"), "pii_graph").withColumn("kind", F.when(F.col("kind") == AT, "").otherwise(F.col("kind")))
-    score = graph.filter("kind = ''").select("value").distinct().withColumn("score", F.lit(0.0))
-    patterns = None
-    for _ in range(ROUNDS):
-        patterns = graph.join(score, "value", "left").groupBy("pattern", "of").agg(
-            F.avg(F.when(F.col("kind") != "", 1.0).otherwise(F.coalesce("score", F.lit(0.0)))).alias("confidence"))
-        # an instance's best pattern speaks for it: what the pattern's seeds share, held back by what it has no seed for
-        score = written(graph.filter("kind = ''").join(patterns.select("pattern", "confidence"), "pattern")
-                        .groupBy("value").agg(F.max("confidence").alias("score")), "pii_scores")
-    return patterns.filter(F.col("confidence") >= CONFIDENCE).select("pattern", F.col("of").alias("kind"))
+    base, more = F.col("kind").isin(*KINDS), (F.col("kind") != AT) | (F.col("of") == "email")
+    sure, patterns, known = None, None, 0
+    for _ in range(HOPS):
+        # a pattern enters by its seeds; what was found in earlier hops seeds like a base span
+        votes = edges.filter(base).select("pattern", "kind", "value")
+        if sure is not None:
+            votes = votes.union(edges.filter(~base).join(sure.select("value", "of"), "value").filter(more)
+                                .select("pattern", F.col("of").alias("kind"), "value").distinct())
+        seeds = votes.groupBy("pattern", "kind").agg(F.count("*").alias("k")).groupBy("pattern").agg(
+            F.sum("k").alias("seeds"), F.max_by("kind", F.struct("k", "kind")).alias("of")).filter(F.col("seeds") >= MIN_SEEDS)
+        graph = edges.join(seeds.select("pattern", "of"), "pattern").filter(more).select(
+            "pattern", "of", F.when(F.col("kind") == AT, "").otherwise(F.col("kind")).alias("kind"), "value")
+        if sure is not None:
+            graph = graph.join(sure.select("value", F.col("of").alias("was"), F.col("score").alias("had")), "value", "left")
+        else:
+            graph = graph.withColumn("was", F.lit(None).cast("string")).withColumn("had", F.lit(None).cast("double"))
+        # what was found as another kind speaks against the pattern, as a candidate that no pattern knows does
+        graph = written(graph.select("pattern", "of", "kind", "value", F.when(F.col("was") == F.col("of"), F.col("had")).alias("had")), "pii_graph")
+        score = None
+        for _ in range(ROUNDS):
+            own = graph.withColumn("score", F.lit(0.0)) if score is None else graph.join(score, ["value", "of"], "left")
+            patterns = own.groupBy("pattern", "of").agg(F.avg(F.when(F.col("kind") != "", 1.0).otherwise(
+                F.greatest(F.coalesce("had", F.lit(0.0)), F.coalesce("score", F.lit(0.0))))).alias("confidence"))
+            # an instance's best pattern speaks for it: what the pattern's seeds share, held back by what it has no seed for
+            score = written(graph.filter("kind = ''").join(patterns.select("pattern", "confidence"), "pattern")
+                            .groupBy("value", "of").agg(F.max("confidence").alias("score")), "pii_scores")
+        patterns = written(patterns.filter(F.col("confidence") >= CONFIDENCE).select("pattern", F.col("of").alias("kind")), "pii_patterns")
+        sure = score.filter(F.col("score") >= CONFIDENCE).groupBy("value").agg(
+            F.max("score").alias("score"), F.max_by("of", F.struct("score", "of")).alias("of"))
+        if (n := patterns.count()) == known:
+            break
+        known = n
+    return patterns
 
 
 def found_spans(docs: DataFrame) -> DataFrame:
@@ -218,18 +241,22 @@ def joined(spans: Column) -> Column:
 def redacted(docs: DataFrame) -> DataFrame:
     """``docs`` with each found span of ``text`` replaced by ``[kind]`` (spans that meet: the first's kind); n_chars follows."""
     found = found_spans(docs).filter(F.size("spans") > 0).groupBy("doc_id", "text_hash").agg(F.first("spans").alias("spans"))
-    found = written(found, "pii_found").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-                                               F.col("spans").alias("__spans"))
+    sign = "_"
+    while any(c.lower().startswith(f"{sign}found_") for c in docs.columns):
+        sign += "_"
+    of_id, of_hash, of_spans = (f"{sign}found_{x}" for x in ("id", "hash", "spans"))     # names that docs don't have
+    found = written(found, "pii_found").select(F.col("doc_id").alias(of_id), F.col("text_hash").alias(of_hash),
+                                               F.col("spans").alias(of_spans))
     text = F.col("text")
     cut = F.aggregate(
-        "__spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        of_spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda a, s: F.when(s["start"] >= a["at"], F.struct(s["end"].alias("at"), F.concat(
             a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("["), s["kind"], F.lit("]")).alias("out")))
         .otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))),
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    out = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (
-        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__hash")), "left") \
-        .withColumn("text", F.when(F.col("__spans").isNull(), text).otherwise(cut)).drop("__id", "__hash", "__spans")
+    out = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (
+        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(of_hash)), "left") \
+        .withColumn("text", F.when(F.col(of_spans).isNull(), text).otherwise(cut)).drop(of_id, of_hash, of_spans)
     if "n_chars" in out.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))

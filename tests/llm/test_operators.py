@@ -252,6 +252,22 @@ def test_op5_learns_phrases(spark):
     assert red[57] == "call" + " " * 100 + "[phone]" and red[58] == "call [phone] " + "z" * 300
 
 
+def test_op5_found_identifiers_seed_patterns(spark):
+    """Numbers found after 'call' make 'hotline' a pattern and those after it 'desk'; 'seen' has too many that nobody knows."""
+    number = lambda i: f"0171 234 {5000 + i}"
+    rows = [(i, f"call +1 (555) 000-{1000 + i}") for i in range(40)]
+    rows += [(100 + i, f"call {number(i)}") for i in range(10)] + [(200 + i, f"hotline {number(i)}") for i in range(18)]
+    rows += [(300 + i, f"desk {number(i)}") for i in range(10, 19)]
+    rows += [(400 + i, f"seen {number(i)}") for i in range(5)] + [(450 + i, f"seen {number(i)}") for i in range(100, 110)]
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in op5.found_spans(frame(spark, rows)).collect()}
+    assert got[205] == [("phone", 8, 21)] and got[217] == [("phone", 8, 21)]        # hop 2: no base span after 'hotline'
+    assert got[318] == [("phone", 5, 18)]                                           # hop 3: known by 'desk' only
+    assert all(got[i] == [] for i in (*range(400, 405), *range(550, 560)))
+    clash = frame(spark, rows[:3]).selectExpr("*", "1 as __spans", "2 as __id", "3 as _found_id", "4 as __Found_hash")
+    red = op5.redacted(clash)
+    assert red.columns == clash.columns and {(r.text, r._found_id) for r in red.collect()} == {("call [phone]", 3)}
+
+
 def test_op6():
     page = ("<html><head><title>t</title></head><body class='x'><nav><a href='a>b'>menu</a></nav><!-- <p>no</p> -->"
             "<div class='cookie-notice'>Cookies</div><article><h1>Head &amp; more</h1><p><b>Bo</b>ld<br>next"
