@@ -366,6 +366,19 @@ def test_op7_recall(spark):
     assert found <= want and len(found) >= 0.9 * len(want) and len(want) > 100
 
 
+def test_op7_items_of_one_word_and_a_very_long_text(spark):
+    r = random.Random(8)
+    vocab = ["w" + "".join(r.choice("abcdefghij") for _ in range(3)) for _ in range(400)]
+    prose = lambda k: [r.choice(vocab) for _ in range(k)]
+    items = [["zebra"], ["yak", "yak"], ["pale", "fox"], prose(30)]
+    rows = [(i, " ".join(prose(60))) for i in range(40)]
+    rows += [(100, "Zebra"), (101, " ".join(prose(20) + ["zebra"] + prose(20))), (102, "yak"), (103, "a yak, yak"),
+             (104, "pale"), (105, "a pale fox"), (None, "zebra"), (106, " ".join(prose(60000) + items[3] + ["zebra"] + prose(60000)))]
+    bench = spark.createDataFrame([(k, " ".join(it)) for k, it in enumerate(items)], "item_id long, text string")
+    got = op7.search(frame(spark, rows), bench).select("doc_id", F.explode("matches").alias("m")).collect()
+    assert {(g.doc_id, g.m.item_id) for g in got} == {(100, 0), (101, 0), (103, 1), (105, 2), (None, 0), (106, 0), (106, 3)}
+
+
 def test_op7_the_best_window_of_a_bin_is_compared():
     item = [f"item{k}" for k in range(16)]
     text = ["other"] * 80
