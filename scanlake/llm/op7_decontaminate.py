@@ -3,9 +3,10 @@
 1. Document frequencies of the benchmark's words are counted over all documents.
 2. Terms are the benchmark's rarer words (``COMMON`` and less of the documents),
    and of each item its ``LEAST_TERMS`` rarest ones in any case.  A randomised
-   SVD of TF-IDF passages (the items, and passages of about ``FIT_DOCUMENTS``
-   documents chosen by a hash) gives the latent space: products X'(X Q) are
-   summed over Spark tasks; the matrices on the driver are terms x ``RANK``.
+   SVD of TF-IDF passages (the items, and all passages of all documents) gives
+   the latent space: a scan writes the passages' term counts once, products
+   X'(X Q) of them are summed over Spark tasks; the matrices on the driver are
+   terms x ``RANK``.
 3. Every document is searched whole: a window begins at each term, holds another
    one and is as long as the items of a length class; windows whose latent cosine
    with an item is at least ``COSINE`` are candidates.  Items of one word are a
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm import blocks as B
+from scanlake.llm.components import dropped, written
 from scanlake.llm.op3_toxicity import GAP
 
 SLICE = 5000
@@ -39,9 +41,10 @@ COMMON = 0.02
 LEAST_TERMS = 8
 RANK = 128
 POWER = 2                       # products X'(X Q) of the range finder
-FIT_DOCUMENTS = 4000
 FIT_WORDS = 64                  # words of a passage that the space is fitted on
-ITEM_WEIGHT = 10.0              # of an item's row against a passage's: the space has to tell the items apart
+ITEM_WEIGHT = 10.0              # of an item's row against a passage's: the space has to tell the items apart,
+ITEM_DOCUMENTS = 4000           # of so many documents: more of them weigh together as these, or the items were lost among them
+_SUMMED = 4                     # terms of a product in a row
 COSINE = 0.4
 LCS = 0.6
 LCS_ANSWER = 0.45
@@ -103,28 +106,54 @@ def document_counts(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
     return df[:m], int(df[m])
 
 
-def _rows(k: np.ndarray, row: np.ndarray, idf: np.ndarray, n_rows: int, q: np.ndarray) -> np.ndarray:
-    """X'(X q) of the TF-IDF rows (length one) given as term ``k`` in ``row``."""
-    m = len(idf)
+def _cells(k: np.ndarray, row: np.ndarray, m: int):
+    """Row, term and count of the distinct cells, ordered by row."""
     cell, n = np.unique(row * m + k, return_counts=True)
-    r, c = cell // m, cell % m
-    v = (1 + np.log(n)) * idf[c]
-    v /= np.sqrt(np.bincount(r, v * v, n_rows))[r]
-    y = np.zeros((n_rows, q.shape[1]))
-    np.add.at(y, r, v[:, None] * q[c])
-    z = np.zeros((m, q.shape[1]))
-    np.add.at(z, c, v[:, None] * y[r])
+    return cell // m, cell % m, n
+
+
+def _product(row: np.ndarray, term: np.ndarray, n: np.ndarray, idf: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """X'(X q) of the TF-IDF rows (length one) with these cells."""
+    z = np.zeros((len(idf), q.shape[1]))
+    if not len(row):
+        return z
+    v = (1 + np.log(n)) * idf[term]
+    first = np.flatnonzero(np.diff(row, prepend=-1))
+    of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
+    v /= np.sqrt(np.add.reduceat(v * v, first))[of]
+    y = np.add.reduceat(v[:, None] * q[term], first)
+    order = np.argsort(term, kind="stable")
+    first = np.flatnonzero(np.diff(term[order], prepend=-1))
+    z[term[order][first]] = np.add.reduceat((v[:, None] * y[of])[order], first)
     return z
 
 
+def passages(docs: DataFrame, terms: Terms) -> DataFrame:
+    """Cells (row, term, n: packed int32) of all documents' passages, a part of a batch in each row."""
+    m = len(terms.hashes)
+
+    def run(batches):
+        for batch in batches:
+            for _, dat, off in B.chunks(batch["text"]):
+                h, doc = word_hashes(dat, off)
+                at, k = terms.find(h)
+                if len(at):
+                    first = np.searchsorted(doc, np.arange(len(off) - 1))
+                    _, row = np.unique(doc[at] * len(h) + (at - first[doc[at]]) // FIT_WORDS, return_inverse=True)
+                    cells = _cells(k, row, m)
+                    yield pa.record_batch({c: pa.array([x.astype(np.int32).tobytes()], pa.binary())
+                                           for c, x in zip(("row", "term", "n"), cells)})
+
+    return docs.select("text").mapInArrow(run, "row binary, term binary, n binary")
+
+
 def latent_space(docs: DataFrame, n_docs: int, terms: Terms, idf: np.ndarray, items: list[np.ndarray]) -> np.ndarray:
-    """Orthonormal basis (terms x rank) of the passages' leading subspace."""
+    """Orthonormal basis (terms x rank) of the leading subspace of the items and all passages of all documents."""
     m = len(idf)
     rank = min(RANK, m)
-    every = max(1, n_docs // FIT_DOCUMENTS)
-    some = docs.filter(f"pmod(xxhash64(doc_id, text), {every}) = 0").select("text").repartition(8)
+    cells = written(passages(docs, terms), "passages")
     item_rows = [terms.find(h)[1] for h in items]
-    ik, ir = np.concatenate(item_rows), np.repeat(np.arange(len(items)), [len(x) for x in item_rows])
+    own = _cells(np.concatenate(item_rows), np.repeat(np.arange(len(items)), [len(x) for x in item_rows]), m)
     q = np.random.default_rng(7).standard_normal((m, rank))
     for _ in range(POWER):
         now = q
@@ -132,20 +161,27 @@ def latent_space(docs: DataFrame, n_docs: int, terms: Terms, idf: np.ndarray, it
         def product(batches):
             z = np.zeros((m, rank))
             for batch in batches:
-                for _, dat, off in B.chunks(batch["text"]):
-                    h, doc = word_hashes(dat, off)
-                    at, k = terms.find(h)
-                    if len(at):
-                        first = np.searchsorted(doc, np.arange(len(off) - 1))
-                        passage = doc[at] * len(h) + (at - first[doc[at]]) // FIT_WORDS
-                        _, row = np.unique(passage, return_inverse=True)
-                        z += _rows(k, row, idf, int(row.max()) + 1, now)
-            yield pa.record_batch({"z": pa.array([z.tobytes()], pa.binary())})
-
-        z = ITEM_WEIGHT * _rows(ik, ir, idf, len(items), q) if len(ik) else np.zeros((m, rank))
-        for r in some.mapInArrow(product, "z binary").collect():      # one matrix per task, and these are eight
-            z += np.frombuffer(r.z).reshape(m, rank)
-        q, _ = np.linalg.qr(z)
+                for packed in zip(*(batch[c].to_pylist() for c in ("row", "term", "n"))):
+                    z += _product(*(np.frombuffer(x, np.int32) for x in packed), idf, now)
+            at = np.unique(np.flatnonzero(z.any(1)) // _SUMMED)
+            yield pa.record_batch({"at": pa.array(at, pa.int64()),
+                                   "z": pa.array([z[a * _SUMMED: (a + 1) * _SUMMED].tobytes() for a in at], pa.binary())})
+
+        def add(batches):
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for a, z in zip(batch["at"].to_pylist(), batch["z"].to_pylist()):
+                    sums[a] = sums.get(a, 0) + np.frombuffer(z)
+            yield pa.record_batch({"at": pa.array(list(sums), pa.int64()),
+                                   "z": pa.array([z.tobytes() for z in sums.values()], pa.binary())})
+
+        # the tasks' matrices are summed by terms, so the driver gets one
+        sums = cells.mapInArrow(product, "at long, z binary").repartition(8, "at").mapInArrow(add, "at long, z binary").collect()
+        z = np.zeros((m, rank))
+        for r in sums:
+            z[r["at"] * _SUMMED: (r["at"] + 1) * _SUMMED] = np.frombuffer(r["z"]).reshape(-1, rank)
+        q, _ = np.linalg.qr(min(1.0, ITEM_DOCUMENTS / max(1, n_docs)) * z + ITEM_WEIGHT * _product(*own, idf, q))
+    dropped(cells)
     return q
 
 

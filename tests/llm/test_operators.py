@@ -366,6 +366,37 @@ def test_op7_recall(spark):
     assert found <= want and len(found) >= 0.9 * len(want) and len(want) > 100
 
 
+def test_op7_space_is_fitted_on_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(op7, "RANK", 6)
+    r = random.Random(4)
+    vocab = [f"w{k}" for k in range(40)]
+    # 10,000 documents, of which a few in many have the words that make a direction of their own
+    rows = [(i, " ".join(r.choice(vocab[:20] if i % 50 else vocab[20:]) for _ in range(r.randint(1, 70)))) for i in range(9000)]
+    rows += [(10_000 + i, None if i % 2 else "") for i in range(1000)]
+    docs = frame(spark, rows)
+    items = op7.of_texts([" ".join(vocab[:6]), " ".join(vocab[30:34])])
+    terms = op7.Terms(np.unique(np.concatenate(op7.of_texts(vocab))))
+    df, n = op7.document_counts(docs.select("doc_id", "text"), terms)
+    assert n == 10_000
+    idf = np.log((n + 1) / (df + 1)) + 0.1
+    got = op7.latent_space(docs.select("doc_id", "text"), n, terms, idf, items)
+
+    def matrix(rows):
+        x = np.zeros((len(rows), 40))
+        for i, h in enumerate(rows):
+            np.add.at(x[i], np.searchsorted(terms.hashes, h), 1)
+        x = np.where(x > 0, 1 + np.log(np.maximum(x, 1)), 0) * idf
+        return x / np.sqrt((x * x).sum(1, keepdims=True))
+
+    each = op7.of_texts([t for _, t in rows if t])
+    x, y = matrix([h[s: s + op7.FIT_WORDS] for h in each for s in range(0, len(h), op7.FIT_WORDS)]), matrix(items)
+    gram = x.T @ x * op7.ITEM_DOCUMENTS / n + op7.ITEM_WEIGHT * y.T @ y
+    q = np.random.default_rng(7).standard_normal((40, 6))
+    for _ in range(op7.POWER):
+        q, _ = np.linalg.qr(gram @ q)
+    assert np.allclose(got @ got.T, q @ q.T, atol=1e-8)
+
+
 def test_op7_items_of_one_word_and_a_very_long_text(spark):
     r = random.Random(8)
     vocab = ["w" + "".join(r.choice("abcdefghij") for _ in range(3)) for _ in range(400)]
