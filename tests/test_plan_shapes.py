@@ -93,3 +93,17 @@ def test_projection_pruned(spark, stored):
 def test_port_list_reaches_scan(spark, stored):
     p = plan(sel.select_by_ports(spark, stored, "22,443"), "formatted")
     assert re.search(r"PushedFilters: \[.*In\(port, \[22,443\]\)", p)
+
+
+@pytest.mark.parametrize("fn", [dom.add_domains, dom.update_domains])
+def test_rows_are_not_multiplied_by_their_names(spark, stored, fn):
+    res = spark.createDataFrame([("a", "10.0.0.1"), ("b", "10.0.0.1")], "domain string, ip string")
+    out = fn(stored.select("seq", "ip", "port", "domains"), res)
+    p = plan(out)
+    assert "Generate" not in p and "hashpartitioning(seq" not in p
+    assert {(r.ip, tuple(r.domains)) for r in out.collect()} == {("10.0.0.1", ("a", "b")), ("10.1.0.1", ())}
+
+
+def test_rows_with_the_names_of_their_hosts_are_not_shuffled(spark):
+    p = plan(E.queries()["t3_create_generic"](spark, SF))
+    assert "Exchange hashpartitioning" not in p and "array_join" not in p
