@@ -1,16 +1,17 @@
 """Operator 6: main text of HTML pages with wrappers inferred per host as union-free regular expressions.
 
-A page is a stream of block elements with their attribute words, and text.  All
-pages of a host are aligned by place: the path of a text's elements, each with
-those words that are stable on the host (a word of few of its pages, such as an
-article's own id, is none).  What stands at one place is one node of the
-wrapper: repeated if a page has it several times, optional if a page lacks it.
-A text that most different pages with the place have there is constant, which
-is the template's; all else at the place is its slot.
+A page is a stream of texts by place: the path of a text's elements, each with
+those attribute words that are stable on the host (a word of few of its pages,
+such as an article's own id, is none).  Neighbouring repeats fold into groups
+``(...)+``, and the streams of all different pages of a host are aligned with
+each other, ``FOLD`` at a time and then what came of them: what only one side has
+is optional.  The one stream left is the wrapper.  A text that most different
+pages with the place have there is constant (``=``), which is the template's; a
+node with any other text is a slot (``#``).
 
 The main container is the ``article`` or ``main`` element that holds most text
 in slots, else the innermost container that holds most of it.  A page is matched
-with its host's wrapper: its text is that of the slots inside the main
+with its host's wrapper: its text is that of the wrapper's slots inside the main
 container.  Only then the fixed lists leave out menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles and reader comments.
 
@@ -40,12 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlake.llm.components import written
+from scanlake.llm.components import dropped, written
 
 LONGEST_GROUP = 12              # tokens of a repeated group
 STABLE_SHARE = 0.02             # of the different pages of a host that have a word, and TEMPLATE_PAGES at least (or all): it is stable
 TEMPLATE_PAGES = 3              # different pages, and
 TEMPLATE_SHARE = 0.7            # of the different pages with the place: a text there is constant
+FOLD = 32                       # streams aligned by one task at a time, about
 SHARE = 0.7                     # of a container's text that an inner one must hold to be chosen instead
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -261,26 +263,48 @@ def main_container(slots: dict[str, int], chars: dict[str, int]) -> str:
         at = p
 
 
-def expression(nodes: list[dict], n_different: int) -> str:
-    """The wrapper as a regular expression of its nodes in page order: ``#`` a slot, ``=`` a constant text."""
-    keys, always = [], []
-    for node in sorted(nodes, key=lambda x: (x["pos"], x["place"])):
-        key = node["place"] + ("=" * (node["constant"] > 0)) + ("#" * (node["slot"] > 0))
-        key = f"({key})+" if node["several"] else key
-        keys.append(key)
-        if node["n"] == n_different:
-            always.append(key)
-    return " ".join(aligned(keys, always))
+def node_key(place: str) -> str:
+    """A place without the signs of the expression, which odd tag names may have; ``.`` outside all elements."""
+    return re.sub(r"[()+?=#%\s]", lambda m: f"%{ord(m[0]):04x}", place) or "."
+
+
+def stream(places: list[str]) -> str:
+    """The wrapper of one page, from its texts' places in page order."""
+    return " ".join(grouped([node_key(p) for p in places]))
+
+
+def nodes_of(wrapper: str) -> list[str]:
+    """A wrapper's items: single nodes and whole groups."""
+    out, depth, at = [], 0, 0
+    for i, c in enumerate(wrapper + " "):
+        depth += (c == "(") - (c == ")")
+        if c == " " and not depth:
+            if i > at:
+                out.append(wrapper[at:i])
+            at = i + 1
+    return out
+
+
+def expression(wrapper: str, nodes: list[dict]) -> str:
+    """The wrapper with what its nodes hold: ``#`` a slot, ``=`` a constant text."""
+    marks = {node_key(x["place"]): "=" * (x["constant"] > 0) + "#" * (x["slot"] > 0) for x in nodes}
+    return re.sub(r"[^()+?\s]+", lambda m: m[0] + marks.get(m[0], ""), wrapper)
+
+
+@lru_cache(256)
+def slots_of(wrapper: str | None) -> frozenset:
+    """Nodes of the wrapper that are slots."""
+    return frozenset(x.rstrip("=#") for x in re.findall(r"[^()+?\s]+", wrapper or "") if x.endswith("#"))
 
 
 def constant_key(host: str, place: str, text: int) -> int:
     return hashed(f"{host} {place} {text}")
 
 
-def extract(page: Page, main: str | None, host: str = "", template=frozenset()) -> str:
-    """Text in slots of the main container, or of the page's own article, main or body."""
+def extract(page: Page, main: str | None, host: str = "", template=frozenset(), slots=None) -> str:
+    """Text in slots (None: at all places) of the main container, or of the page's own article, main or body."""
     good = [(p, t) for p, drop, t in page.blocks
-            if not drop and not (template and constant_key(host, p, hashed(t)) in template)]
+            if not drop and (slots is None or node_key(p) in slots) and not (template and constant_key(host, p, hashed(t)) in template)]
     if main and any(p == main or p.startswith(main + "/") for p, drop, _ in page.blocks if not drop):
         # every container of the main one's path, as a page may hold several articles
         return " ".join(t for p, t in good if p == main or p.startswith(main + "/"))
@@ -314,8 +338,7 @@ def _read(batches):
 
 _READ = pa.schema([("host", pa.string()), ("key", pa.int64()), ("words", pa.list_(pa.int64())), ("paths", pa.list_(pa.string())),
                    ("texts", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32()))])
-_PLACED = pa.schema([("host", pa.string()), ("place", pa.string()), ("node", pa.int64()), ("pos", pa.int32()),
-                     ("several", pa.bool_()), ("chars", pa.int64()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))])
+_PLACED = pa.schema([("host", pa.string()), ("place", pa.string()), ("node", pa.int64()), ("chars", pa.int64()), ("keys", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64()))])
 
 
 @lru_cache(1 << 14)
@@ -335,18 +358,69 @@ def _place(batches):
         out = {f.name: [] for f in _PLACED}
         for host, paths, texts, sizes, stable in zip(*(batch[c].to_pylist() for c in ("host", "paths", "texts", "sizes", "stable"))):
             stable, by = unpacked(stable), {}
-            for i, (path, text, size) in enumerate(zip(paths, texts, sizes)):
-                by.setdefault(placed(path, stable), []).append((i, text, size))
+            for path, text, size in zip(paths, texts, sizes):
+                by.setdefault(placed(path, stable), []).append((text, size))
             for place, found in by.items():
-                each = {constant_key(host, place, text): 0 for _, text, _ in found}
-                for _, text, size in found:
+                each = {constant_key(host, place, text): 0 for text, _ in found}
+                for text, size in found:
                     each[constant_key(host, place, text)] += size
-                for name, v in zip(out, (host, place, hashed(f"{host} {place}"), found[0][0], len(found) > 1, sum(each.values()),
+                for name, v in zip(out, (host, place, hashed(f"{host} {place}"), sum(each.values()),
                                          list(each), list(each.values()))):
                     out[name].append(v)
         yield pa.record_batch(out, _PLACED)
 
 
+def _streams(batches):
+    """host and the stream of places of each page."""
+    for batch in batches:
+        texts = [stream([placed(path, unpacked(s)) for path in paths])
+                 for paths, s in zip(batch["paths"].to_pylist(), batch["stable"].to_pylist())]
+        yield pa.record_batch({"host": batch["host"], "stream": pa.array(texts, pa.string())})
+
+
+def in_groups(nodes: list[str], others: list[str]) -> list[str]:
+    """``nodes`` with single runs of what ``others`` has as a repeated group taken for that group."""
+    groups = {}
+    for g in others:
+        if g.startswith("("):
+            g = g.rstrip("?")
+            groups[g] = nodes_of(g[1:-2])
+    for g, inner in sorted(groups.items(), key=lambda x: -len(x[1])):
+        out, i = [], 0
+        while i < len(nodes):
+            if nodes[i: i + len(inner)] == inner:
+                out.append(g)
+                i += len(inner)
+            else:
+                out.append(nodes[i])
+                i += 1
+        nodes = out
+    return grouped(nodes)
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """The wrapper of a host's streams, aligned from the shortest on."""
+    streams = sorted((nodes_of(x) for x in table["stream"].to_pylist()), key=lambda x: (len(x), x))
+    out = streams[0]
+    for x in streams[1:]:
+        out = aligned(in_groups(out, x), in_groups(x, out))
+    return pa.table({"host": table["host"][:1], "stream": pa.array([" ".join(out)], pa.string())})
+
+
+def inferred(different: DataFrame) -> DataFrame:
+    """host, stream: the wrapper that aligning the streams of all of a host's pages gives."""
+    left = written(different.mapInArrow(_streams, "host string, stream string").distinct(), "html_streams")
+    while True:
+        most = left.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+        if most <= 1:
+            return left
+        parts = -(-most // FOLD)
+        fewer = written(left.groupBy("host", F.pmod(F.xxhash64("stream"), F.lit(parts)).alias("part"))
+                        .applyInArrow(_merged, "host string, stream string"), "html_streams")
+        dropped(left)
+        left = fewer
+
+
 def wrappers(pages: DataFrame) -> DataFrame:
     """host, n_pages, wrapper (the regular expression), main (path of the main container), stable, template (packed keys)."""
     read = pages.select("url", "html").mapInArrow(
@@ -363,11 +437,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
                                  "host string, stable binary"), "html_stable")
     different = different.filter(F.size("texts") > 0).join(stable, "host", "left").select("host", "paths", "texts", "sizes", "stable")
     places = written(different.mapInArrow(
-        _place, "host string, place string, node long, pos int, several boolean, chars long, keys array<long>, sizes array<long>"),
+        _place, "host string, place string, node long, chars long, keys array<long>, sizes array<long>"),
         "html_places")
     nodes = written(places.groupBy("node").agg(
-        F.min("host").alias("host"), F.min("place").alias("place"), F.count("*").alias("n"), F.sum("chars").alias("chars"),
-        F.min("pos").alias("pos"), F.max("several").alias("several")), "html_nodes")
+        F.min("host").alias("host"), F.min("place").alias("place"), F.count("*").alias("n"), F.sum("chars").alias("chars")), "html_nodes")
     constant = written(places.select("node", F.explode(F.arrays_zip("keys", "sizes")).alias("t"))
                        .groupBy(F.col("t.keys").alias("key"), "node").agg(F.count("*").alias("k"), F.sum("t.sizes").alias("size"))
                        .filter(F.col("k") >= TEMPLATE_PAGES).join(nodes, "node").filter(F.col("k") >= TEMPLATE_SHARE * F.col("n"))
@@ -375,7 +448,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     nodes = nodes.join(constant.groupBy("node").agg(F.sum("size").alias("constant")), "node", "left") \
         .withColumn("constant", F.coalesce("constant", F.lit(0))).withColumn("slot", F.col("chars") - F.col("constant"))
     template = constant.groupBy("host").agg(F.array_sort(F.collect_list("key")).alias("template"))
-    shown = nodes.groupBy("host").agg(F.collect_list(F.struct("place", "n", "chars", "pos", "several", "constant", "slot")).alias("nodes"))
+    shown = nodes.groupBy("host").agg(F.collect_list(F.struct("place", "chars", "constant", "slot")).alias("nodes"))
 
     def show(batches):
         for b in batches:
@@ -383,11 +456,11 @@ def wrappers(pages: DataFrame) -> DataFrame:
             main = [main_container({x["place"]: x["slot"] for x in ns}, {x["place"]: x["chars"] for x in ns}) for ns in nodes]
             yield pa.record_batch({
                 "host": b["host"], "n_pages": b["n_pages"],
-                "wrapper": pa.array([expression(ns, d) for ns, d in zip(nodes, b["n_different"].to_pylist())], pa.string()),
+                "wrapper": pa.array([expression(w or "", ns) for w, ns in zip(b["stream"].to_pylist(), nodes)], pa.string()),
                 "main": pa.array(main, pa.string()), "stable": b["stable"],
                 "template": pa.array([packed(t or []) for t in b["template"].to_pylist()], pa.binary())})
 
-    return hosts.join(stable, "host", "left").join(shown, "host", "left").join(template, "host", "left") \
+    return hosts.join(stable, "host", "left").join(inferred(different), "host", "left").join(shown, "host", "left").join(template, "host", "left") \
         .mapInArrow(show, "host string, n_pages long, wrapper string, main string, stable binary, template binary")
 
 
@@ -396,15 +469,15 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [extract(Page(b.as_py(), unpacked(s)), m, h, unpacked(t)) for b, m, h, s, t in zip(
-                batch["html"], *(batch[c].to_pylist() for c in ("main", "host", "stable", "template")))]
+            texts = [extract(Page(b.as_py(), unpacked(s)), m, h, unpacked(t), slots_of(w)) for b, m, h, s, t, w in zip(
+                batch["html"], *(batch[c].to_pylist() for c in ("main", "host", "stable", "template", "wrapper")))]
             yield pa.record_batch({"page_id": batch["page_id"], "url": batch["url"], "text": pa.array(texts, pa.string())})
 
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     ids = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")
     # written, so that its size is known and pages needn't be shuffled
-    known = written(wrappers(pages).select("host", "main", "stable", "template"), "html_wrappers")
-    return ids.withColumn("host", host).join(known, "host", "left").select("page_id", "url", "html", "host", "main", "stable", "template") \
+    known = written(wrappers(pages).select("host", "wrapper", "main", "stable", "template"), "html_wrappers")
+    return ids.withColumn("host", host).join(known, "host", "left").select("page_id", "url", "html", "host", "wrapper", "main", "stable", "template") \
         .mapInArrow(run, "page_id long, url string, text string")
 
 

@@ -311,6 +311,22 @@ def test_op6_constant_text_of_the_main_container_is_template(spark):
     assert w["a.example.com"].wrapper == "(/body/article.slug/p=#)+ /body/article.slug/p.note= /body/div#"
 
 
+def test_op6_wrapper_aligns_the_streams_of_all_pages(spark, monkeypatch):
+    monkeypatch.setattr(op6, "FOLD", 2)
+    # the advice stands before the table in some pages and is missing in others, sections repeat as wholes
+    page = lambda i: ("<body><main>" + f"<h2>Part {i}</h2><p>{'said ' * (i + 3)}</p>" * (1 + i % 3)
+                      + f"<p(>Advice {i}</p(>" * (i % 2) + f"<table><tr><td>{i}</td></tr></table></main></body>")
+    rows = [(i, f"http://a.example.com/{i}", page(i)) for i in range(12)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    w = op6.wrappers(pages).first().wrapper
+    assert w == "(/body/main/h2# /body/main/p#)+ /body/main/p%0028#? /body/main/table/tr/td#"
+    # a page's text is that of the wrapper's slots
+    assert op6.slots_of(w) == {"/body/main/h2", "/body/main/p", "/body/main/p%0028", "/body/main/table/tr/td"}
+    assert op6.extract(op6.Page(page(1)), "/body/main", slots=op6.slots_of(w.replace("p#", "p="))) == "Part 1 Part 1 Advice 1 1"
+    got = {r.page_id: r.text for r in op6.main_text(pages).collect()}
+    assert got[3] == "Part 3 said said said said said said Advice 3 3"
+
+
 def test_op7(spark):
     r = random.Random(9)
     vocab = ["w" + "".join(r.choice("abcdefghij") for _ in range(3)) for _ in range(400)]
