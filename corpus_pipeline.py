@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm import op3_toxicity, op5_pii, op7_decontaminate, op8_pack, op10_jaccard_join
-from scanlake.llm.components import written
+from scanlake.llm.components import marked, written
 
 
 def _unused(docs: DataFrame, name: str) -> str:
@@ -45,8 +45,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .select(F.col(column).alias("row"), F.struct("doc_id", "text").alias("same"))
     first = blank.groupBy("same").agg(F.min("row").alias("first"))
     again = blank.join(first, blank["same"].eqNullSafe(first["same"])).filter("row > first").select("row")
-    stay = written(groups.filter("stays").select("row").join(again, "row", "left_anti").withColumnRenamed("row", column), "stay")
-    return numbered.join(stay, column, "left_semi").select(docs.columns)
+    gone = groups.filter("not stays").select("row").union(again)
+    mark = _unused(numbered, "gone")
+    return marked(numbered, column, gone, mark).filter(~F.col(mark)).select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scanlake.llm import blocks as B
-from scanlake.llm.components import components, dropped, written
+from scanlake.llm.components import components, dropped, marked, written
 
 WORDS = 5
 SHARE = (75, 100)
@@ -156,13 +156,17 @@ def _overlap(batches):
 
 
 def _linked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) of classes that link."""
-    side = {x: classes.select(F.col("cid").alias(x), F.col("n_shingles").alias(f"n_{x}"),
-                              F.col("shingles").alias(f"shingles_{x}")) for x in "ab"}
-    return pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "n_a", "n_b", "shingles_a", "shingles_b") \
-        .mapInArrow(_overlap, "a string, b string, overlap long, n_a long, n_b long") \
-        .filter(F.col("overlap") * SHARE[1] >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * SHARE[0]) \
-        .select("a", "b")
+    """Those of the pairs (a, b) of classes that link; only rows that stand in a pair are shuffled."""
+    pairs = written(pairs, "pairs")
+    sets = marked(classes.select("cid", "n_shingles", "shingles"), "cid", pairs.select("a").union(pairs.select("b")), "met").filter("met")
+    side = {x: sets.select(F.col("cid").alias(x), F.col("n_shingles").alias(f"n_{x}"),
+                           F.col("shingles").alias(f"shingles_{x}")) for x in "ab"}
+    links = written(pairs.join(side["a"], "a").join(side["b"], "b").select("a", "b", "n_a", "n_b", "shingles_a", "shingles_b")
+                    .mapInArrow(_overlap, "a long, b long, overlap long, n_a long, n_b long")
+                    .filter(F.col("overlap") * SHARE[1] >= (F.col("n_a") + F.col("n_b") - F.col("overlap")) * SHARE[0])
+                    .select("a", "b"), "links")
+    dropped(pairs)
+    return links
 
 
 #: What is left of both rows after the shared entry must allow the overlap that a link needs, and sizes must be close.
@@ -233,7 +237,8 @@ def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
     classes = written(full.filter("cid is not null").groupBy("cid").agg(
         F.min("doc_id").alias("rep"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("least"),
         F.first("n_shingles").alias("n_shingles"), F.first("feats").alias("feats"),
-        F.first("shingles").alias("shingles")), "classes")
+        F.first("shingles").alias("shingles")).withColumnRenamed("cid", "key")
+        .withColumn("cid", F.monotonically_increasing_id()), "classes")           # from here on, a class is its number
     dropped(full)
     entries = _columns(classes)
 
@@ -245,8 +250,7 @@ def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
         .select("f", F.col("p.cid").alias("b"), F.col("p.n").alias("n_b"), F.col("p.pos").alias("pos_b"))
     pairs = entries.select("f", *side_a).join(met, "f").filter("a <> b").filter(_CLOSE) \
         .groupBy("a").agg(F.max_by("b", F.struct("pos_a", "b")).alias("b"))
-    links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
-    label = _joined(None, links)
+    label = _joined(None, _linked(pairs.select(*ordered).distinct(), classes))
 
     # then, a column's rows meet more and more of those that are still in other components, at last all
     done = 1
@@ -262,21 +266,20 @@ def jaccard_components(docs: DataFrame, row: bool = False) -> DataFrame:
                               F.col("component").alias(f"c_{x}"), F.col("chosen").alias(f"chosen_{x}")) for x in "ab"}
         # a pair that links passes _CLOSE at the first column that it shares, so later columns, where many more meet, needn't pass
         pairs = side["a"].join(side["b"].filter("chosen_b"), "f").filter("c_a <> c_b and not (chosen_a and a > b)").filter(_CLOSE)
-        links = written(_linked(pairs.select(*ordered).distinct(), classes), "links")
-        label = _joined(label, links)
+        label = _joined(label, _linked(pairs.select(*ordered).distinct(), classes))
         done = many
     dropped(entries)
 
-    of_class = classes.select("cid", "rep", "least").join(label.select(F.col("node").alias("cid"), "component"), "cid", "left") \
+    of_class = classes.select("key", "cid", "rep", "least").join(label.select(F.col("node").alias("cid"), "component"), "cid", "left") \
         .withColumn("component", F.coalesce("component", "cid"))
     if row:
         one = of_class.groupBy("component").agg(F.min("least").alias("least")).select("component", F.col("least.row").alias("first"))
-        firsts = written(of_class.join(one, "component").select("cid", "first"), "firsts")
+        firsts = written(of_class.join(one, "component").select(F.col("key").alias("cid"), "first"), "firsts")
         dropped(classes, label)
         return rows.select("row", "cid").join(firsts, "cid", "left") \
             .select("row", F.coalesce(F.col("row") == F.col("first"), F.lit(True)).alias("stays"))
     least = of_class.groupBy("component").agg(F.min("rep").alias("component_id"))
-    ids = written(of_class.join(least, "component").select("cid", "component_id"), "ids")
+    ids = written(of_class.join(least, "component").select(F.col("key").alias("cid"), "component_id"), "ids")
     dropped(classes, label)
     return rows.select("doc_id", "n_shingles", "cid").join(ids, "cid", "left") \
         .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanlake.llm.components import written
+from scanlake.llm.components import marked, written
 
 # The four base patterns.  Runs are possessive and begin at the start of a run of their signs
 # (or where the last match ended), which matches the same and keeps time linear.
@@ -58,6 +58,7 @@ MIN_SEEDS = 5                   # different seed values that make a pattern
 CONFIDENCE = 0.8
 ROUNDS = 3                      # of scores in a hop
 HOPS = 4                        # in which found identifiers seed new patterns, at most
+FREE = 16                       # bits for each text with spans; one of 16 texts without any is joined for nothing
 SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
@@ -254,9 +255,16 @@ def redacted(docs: DataFrame) -> DataFrame:
             a["out"], F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.lit("["), s["kind"], F.lit("]")).alias("out")))
         .otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))),
         lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    out = docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (
-        F.xxhash64(F.coalesce("text", F.lit(""))) == F.col(of_hash)), "left") \
-        .withColumn("text", F.when(F.col(of_spans).isNull(), text).otherwise(cut)).drop(of_id, of_hash, of_spans)
+    # texts that can't have spans, by a bit of their hash, aren't shuffled
+    of_bit, may = f"{sign}found_bit", f"{sign}found_may"
+    bit = lambda i, h: F.pmod(F.xxhash64(i, h), F.lit(FREE * found.count() + 1)).alias(of_bit)
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    own = marked(docs.select("*", bit(F.col("doc_id").cast("long"), text_hash)), of_bit,
+                 found.select(bit(F.col(of_id), F.col(of_hash))), may)
+    out = own.filter(may).join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(of_id)) & (
+        text_hash == F.col(of_hash)), "left").drop(of_id, of_hash)
+    out = out.unionByName(own.filter(~F.col(may)).withColumn(of_spans, F.lit(None).cast(f"array<{SPAN}>"))) \
+        .withColumn("text", F.when(F.col(of_spans).isNull(), text).otherwise(cut)).drop(of_spans, of_bit, may)
     if "n_chars" in out.columns:
         kind = dict(docs.dtypes)["n_chars"]
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind))

@@ -2,7 +2,11 @@
 
 import random
 
+import pytest
+
 import corpus_pipeline as P
+from scanlake.llm import components as C
+from scanlake.llm import op5_pii as op5
 
 
 def test_stages(spark, tmp_path):
@@ -54,3 +58,43 @@ def test_near_copies_decides_by_row(spark, tmp_path):
     kept = {i: [t for j, t in got if i == j] for i in (3, 5, 7, 8, 9)}
     assert kept[3] == [b] and kept[5] == [a] and len(kept[7]) == 1 and kept[8] == [""] and kept[9] == [None]
     assert sum(i is None and t in (c, c + " end") for i, t in got) == 1 and got.count((None, a)) == 0 and got.count((None, "")) == 2
+
+
+@pytest.mark.parametrize("held", [C.HELD, 0])
+def test_marks_by_number(spark, monkeypatch, held):
+    monkeypatch.setattr(C, "HELD", held)
+    numbers = [*range(20), 32767, 32768, 65535, 65536, (1 << 33) - 1, 1 << 33, (5 << 33) + 3, (1 << 60) + 7]
+    df = spark.createDataFrame([(n, f"t{n}") for n in numbers], "n long, bitmap_bits string")
+    marks = spark.createDataFrame([(n,) for n in numbers[::3] * 2], "m long")
+    got = C.marked(df, "n", marks, "hit")
+    assert got.columns == ["n", "bitmap_bits", "hit"]
+    assert {(x.n, x.bitmap_bits, x.hit) for x in got.collect()} == {(n, f"t{n}", n in numbers[::3]) for n in numbers}
+    assert not any(x.hit for x in C.marked(df, "n", marks.limit(0), "hit").collect())
+
+
+def _shuffled(df):
+    """The plan's text, and how many of its joins deal out both sides by a key."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan, ["SortMergeJoin" in x for x in plan.splitlines()].count(True)
+
+
+def test_texts_stay_where_they_are_read(spark, tmp_path):
+    """However many rows go, near_copies shuffles no text at its end, and redaction only those that may hold spans."""
+    r = random.Random(8)
+    prose = lambda: " ".join("".join(r.choice("abcdefg") for _ in range(4)) for _ in range(30))
+    rows = [(i, prose()) for i in range(60)]
+    rows += [(100 + i, t + " end") for i, t in rows[:20]] + [(200, "mail me at a.b@c.example.org today"), (201, None)]
+    docs = P.written(spark.createDataFrame(rows, "doc_id long, text string"), "test_rows")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # as on tables too large to be broadcast
+    try:
+        kept = P.near_copies(spark, docs, str(tmp_path))
+        plan, joins = _shuffled(kept)
+        assert joins == 0 and "hashpartitioning" not in plan
+        assert sorted(x.doc_id for x in kept.collect()) == [*range(60), 200, 201]
+        red = op5.redacted(docs)
+        branches = red._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")
+        assert _shuffled(red)[1] == 1 and len(branches) == 4 and "Union" in branches[0]
+        assert {x.doc_id: x.text for x in red.collect()} == dict(rows) | {200: "mail me at [email] today"}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
