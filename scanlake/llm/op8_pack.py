@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from bisect import bisect_left, insort
 from functools import lru_cache
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +35,9 @@ END = 1
 ITEMS = 20_000                  # items of one task
 FAN_IN = 8                      # partitions merged into one by a round
 SLACK = (16, 64, 256, 1024)     # tokens that a nearly full bin may lack, by round; the last round emits all
-WORDS_OF = 2 << 20              # bytes of text whose distinct words are looked up together
+WORDS_OF = 1 << 20              # bytes of text whose distinct words are looked up together
 WORD_CACHE = 400_000            # words in each of a Python worker's two tables
+ENCODED = 8192                  # words that the tokenizer encodes at once
 
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64()), ("ids", pa.list_(pa.int32()))])
@@ -71,11 +73,24 @@ def units(dat: np.ndarray, off: np.ndarray):
     return s[keep], e[keep], d[keep]
 
 
+class Kept(NamedTuple):
+    """Words by the hash of their bytes, ascending, and where each one's ids begin in ``flat`` and how many they are."""
+
+    keys: np.ndarray
+    first: np.ndarray
+    n: np.ndarray
+    flat: np.ndarray
+
+
+EMPTY = Kept(np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, "<u4"))
+
+
 class WordTokenizer:
     """Ids of whole texts, word by word: the tokenizer drops white space, so words are independent of each other.
 
     Ids are kept per word; ASCII letters alone are looked up in lower case, as the tokenizer has it.  Of the two
-    tables of kept words the older goes when the newer is full, so frequent words stay.
+    tables of kept words the older goes when the newer is full, so frequent words stay.  They are arrays of about 30
+    bytes a word, since a Python worker keeps them through the stages that follow.  Words are told apart by 64-bit hashes.
     """
 
     def __init__(self, path: str):
@@ -83,18 +98,43 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-
-    def ids(self, words: list[bytes]) -> list[bytes]:
-        found = [self.new.get(w) or self.old.get(w) for w in words]
-        todo = [k for k, f in enumerate(found) if f is None]
-        if len(self.new) + len(words) > WORD_CACHE:
-            self.old, self.new = self.new, {}
-        for k, enc in zip(todo, self.tok.encode_batch_fast([words[k].decode() for k in todo], add_special_tokens=False)):
-            found[k] = array("I", enc.ids).tobytes()
-        self.new.update(zip(words, found))
-        return found
+        self.new = self.old = EMPTY
+
+    def ids(self, keys: np.ndarray, word) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each of the words with these (ascending) hashes, and all ids; ``word(k)`` is the k-th one's text."""
+        begin, n = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        todo, flats, base = np.ones(len(keys), bool), [], 0
+        for table in (self.new, self.old):
+            at = np.searchsorted(table.keys, keys)
+            at[at == len(table.keys)] = 0
+            hit = todo & (table.keys[at] == keys) if len(table.keys) else np.zeros(len(keys), bool)
+            begin[hit], n[hit] = base + table.first[at[hit]], table.n[at[hit]]
+            todo &= ~hit
+            flats.append(table.flat)
+            base += len(table.flat)
+            if table is self.new:
+                fresh = todo.copy()
+        missing = np.flatnonzero(todo)
+        for i in range(0, len(missing), ENCODED):
+            part = missing[i: i + ENCODED]
+            got = [enc.ids for enc in self.tok.encode_batch_fast([word(k) for k in part.tolist()], add_special_tokens=False)]
+            flat = np.fromiter(chain.from_iterable(got), "<u4")
+            n[part] = [len(g) for g in got]
+            begin[part] = base + np.cumsum(n[part]) - n[part]
+            flats.append(flat)
+            base += len(flat)
+        flat = B.take_spans(np.concatenate(flats), begin, n)
+        first = np.cumsum(n) - n
+        if len(self.new.keys) + len(keys) > WORD_CACHE:
+            self.old, self.new = self.new, Kept(keys, first, n, flat)
+        else:
+            more = np.concatenate([self.new.keys, keys[fresh]])
+            order = np.argsort(more, kind="stable")
+            n_fresh = n[fresh]
+            self.new = Kept(
+                more[order], np.append(self.new.first, np.cumsum(n_fresh) - n_fresh + len(self.new.flat))[order],
+                np.append(self.new.n, n_fresh)[order], np.append(self.new.flat, B.take_spans(flat, first[fresh], n_fresh)))
+        return n, flat
 
     def documents(self, dat: np.ndarray, off: np.ndarray) -> list[np.ndarray]:
         start, end, doc = units(dat, off)
@@ -103,13 +143,10 @@ class WordTokenizer:
         plain = other[end] == other[start]                       # letters only: folding is safe
         h = np.where(plain, B.span_hash(B.prefix_hash(dat, B.FOLD), start, end),
                      B.span_hash(B.prefix_hash(dat, B.RAW), start, end))
-        _, pick, place = np.unique(h, return_index=True, return_inverse=True)
+        keys, pick, place = np.unique(h, return_index=True, return_inverse=True)
         raw = dat.tobytes()
-        words = [raw[s:e].lower() if p else raw[s:e]
-                 for s, e, p in zip(start[pick].tolist(), end[pick].tolist(), plain[pick].tolist())]
-        blobs = self.ids(words)
-        n = np.array([len(b) // 4 for b in blobs], np.int64)
-        flat = np.frombuffer(b"".join(blobs), "<u4")
+        s, e, p = start[pick].tolist(), end[pick].tolist(), plain[pick].tolist()
+        n, flat = self.ids(keys, lambda k: (raw[s[k]:e[k]].lower() if p[k] else raw[s[k]:e[k]]).decode())
         first = np.cumsum(n) - n
         ids = B.take_spans(flat, first[place], n[place]) if len(place) else flat
         per_doc = np.bincount(doc, weights=n[place], minlength=n_docs).astype(np.int64) if len(place) else np.zeros(n_docs, np.int64)

@@ -483,6 +483,25 @@ def test_op8_rounds_merge_underfull_bins(spark, monkeypatch):
     assert len(got) == 400 and len({g.sequence_id for g in got}) <= 1.1 * sum(g.length for g in got) / 512 + 2
 
 
+def test_op8_kept_words_are_small_and_right(monkeypatch):
+    """A worker's tables hold few bytes a word, and ids are those of the tokenizer whether kept, promoted or new."""
+    monkeypatch.setattr(op8, "WORD_CACHE", 300)
+    monkeypatch.setattr(op8, "ENCODED", 7)
+    r = random.Random(5)
+    tok = op8.WordTokenizer(op8.tokenizer_path())
+    vocab = ["".join(r.choice("abcdeXYZ\u00e9,.7") for _ in range(r.randint(1, 9))) for _ in range(900)]
+    for _ in range(40):
+        texts = [" ".join(r.choices(vocab, [1 / (k + 1) for k in range(900)], k=r.randint(0, 80))) for _ in range(4)]
+        dat = np.frombuffer("".join(texts).encode(), np.uint8)
+        off = np.cumsum([0] + [len(t.encode()) for t in texts])
+        for t, ids in zip(texts, tok.documents(dat, off)):
+            assert ids.tolist() == tok.tok.encode(t, add_special_tokens=False).ids, t
+        for table in (tok.new, tok.old):
+            assert np.all(np.diff(table.keys.astype(object)) > 0)
+            assert sum(a.nbytes for a in table) <= 24 * len(table.keys) + 4 * table.n.sum()
+    assert len(tok.old.keys)
+
+
 def test_op9(spark):
     rows = [(1, 2, "assistant", " Hé <|endoftext|>\\ </s>[INST]"), (1, 1, "user", "[/INST]<s>\\<"), (1, 3, "assistant", "\n"),
             (2, 1, None, None), (3, 1, "assistant", ""), (3, 1, "assistant", "same"), (3, 1, "assistant", "same"),
