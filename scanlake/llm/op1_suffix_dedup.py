@@ -6,17 +6,27 @@ document with a smaller id.  All of it is judged on the input.
 How the work is cut up.  Every ``length``-byte window has an *anchor*: the
 q-gram inside it with the least hash.  The windows of one anchor form a *piece*
 (at most ``2 * length - q`` bytes).  Equal windows have equal anchors, so a
-window can only be repeated among the pieces with its anchor's hash:
-
-1. blocks send (anchor hash, piece hash, least id) to buckets, which answer
-   whether the same piece is in a smaller document and whether other pieces
-   share the anchor;
-2. of the latter, blocks send the bytes.  A bucket joins the pieces of one
+window can only be repeated among the pieces with its anchor's hash.  It also
+has one of two *cores*: the anchor with half of the window's other bytes before
+it, or with the rest behind it.
+
+1. Blocks send the hashes of their distinct cores, a few bytes each, to buckets,
+   which answer whether another block has it too.  Windows whose core stands in
+   documents of one id only aren't repeated; pieces are cut down to the others.
+2. Blocks send (anchor hash, piece hash, least id), and buckets answer whether
+   the same piece is in a smaller document and whether other pieces share the
+   anchor.
+3. Of the latter, blocks send the bytes.  A bucket joins the pieces of one
    anchor into a string, sorts its suffixes (``grouping.suffix_arrays``), and
    windows next to each other with a common prefix of ``length`` give the least
    id.  An anchor with more than ``HOT_PIECES`` different pieces is dealt on as
-   single windows, each by its own hash, so no anchor fills a task;
-3. blocks remove what was found.
+   single windows, each by its own 64-bit hash and without its bytes, so no
+   anchor fills a task.
+4. Blocks remove what was found.
+
+What a round sends is at most a few bytes for each byte of text, however often
+anchors repeat; blocks grow with the corpus (``dealing``), so that the cells of
+(block, bucket) stay few.
 
 Defined cases: null text is empty; a null id is larger than every other; rows
 with one id don't remove from each other; shorter texts than ``length`` stay.
@@ -40,28 +50,107 @@ HOT_PIECES = 64
 SORT_SYMBOLS = 1 << 18          # symbols sorted at one time
 LAST_ID = np.iinfo(np.int64).max
 CUT = np.uint64(24)             # low bits of an anchor's hash that aren't sent; a piece's own hash has all 64
+LARGEST = 4                     # a block holds at most so many times ``blocks.BLOCK_BYTES``
+LEVEL = 3                       # of zstd
 U = np.uint64
 
 RESULT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
 _RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()),
                      ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                      ("kept", pa.binary())])
+_DEALT = pa.schema([("blk", pa.int32()), ("ids", pa.binary()), ("nulls", pa.binary()), ("lens", pa.binary()),
+                    ("text", pa.binary())])
+_CORES = pa.schema([("bucket", pa.int32()), ("blk", pa.int32()), ("cores", pa.binary())])
+_SHARED = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("shared", pa.binary())])
 _ASK = pa.schema([("bucket", pa.int32()), ("blk", pa.int32()), ("keys", pa.binary()), ("pieces", pa.binary()),
-                  ("ids", pa.binary())])
-_TELL = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary())])
+                  ("ids", pa.binary()), ("own", pa.binary())])
+_TELL = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("flags", pa.binary()), ("own", pa.binary())])
 _SEND = pa.schema([("bucket", pa.int32()), ("blk", pa.int32()), ("keys", pa.binary()), ("ids", pa.binary()),
-                   ("lens", pa.binary()), ("bytes", pa.binary()), ("known", pa.binary()), ("used", pa.binary())])
-_BACK = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("masks", pa.binary()), ("known", pa.binary()),
-                   ("used", pa.binary())])
+                   ("lens", pa.binary()), ("bytes", pa.binary()), ("hot", pa.binary()), ("hot_ids", pa.binary()),
+                   ("own", pa.binary())])
+_BACK = pa.schema([("blk", pa.int32()), ("bucket", pa.int32()), ("masks", pa.binary()), ("hot", pa.binary()),
+                   ("own", pa.binary())])
 
 
 def ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {'int' if f.type == pa.int32() else 'binary'}" for f in schema)
 
 
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    """Arrays of integers, each in the fewest bytes, as one compressed string."""
+    blobs = [B.pack_ints(x) for x in arrays]
+    raw = np.array([len(x) for x in blobs], np.int64).tobytes() + b"".join(blobs)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=LEVEL).compress(raw, asbytes=True)
+
+
+def unpack_arrays(blob: bytes, n: int) -> list[np.ndarray]:
+    raw = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+    cut = np.append(0, np.cumsum(np.frombuffer(raw, np.int64, count=n))) + 8 * n
+    return [B.unpack_ints(raw[i:j]) for i, j in zip(cut[:-1], cut[1:])]
+
+
+def pack_bits(x: np.ndarray) -> bytes:
+    return np.packbits(x).tobytes()
+
+
+def unpack_bits(blob: bytes, n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(blob, np.uint8), count=n).astype(bool)
+
+
+def dealing(spark: SparkSession, n_bytes: int) -> int:
+    """Number of blocks: of ``blocks.BLOCK_BYTES``, from 4 GB of text on of more.
+
+    The cells of (block, bucket), of which each exchange has a row, grow with the square of this number.
+    """
+    more = min(LARGEST, max(1, int((n_bytes / (1 << 30)) ** 0.5)))
+    return B.parts(spark, -(-n_bytes // more))
+
+
+def _deal(batches):
+    codec = pa.Codec("zstd", compression_level=LEVEL)
+    for batch in batches:
+        blk = batch["blk"].to_numpy()
+        order = np.argsort(blk, kind="stable")
+        ids = batch["doc_id"].take(pa.array(order))
+        nulls = ids.is_null().to_numpy(zero_copy_only=False)
+        ids = ids.fill_null(0).to_numpy()
+        text = batch["text"].cast(pa.large_binary()).take(pa.array(order))
+        _, off, dat = text.buffers()
+        off = np.frombuffer(off, np.int64)[text.offset: text.offset + len(text) + 1]
+        cut = np.flatnonzero(np.diff(blk[order], prepend=-1))
+        out = {f.name: [] for f in _DEALT}
+        for i, j in zip(cut, np.append(cut[1:], len(blk))):
+            body = dat.slice(off[i], off[j] - off[i]) if off[j] > off[i] else b""
+            for name, v in zip(out, (blk[order[i]], B.pack_ints(ids[i:j]), pack_bits(nulls[i:j]) if nulls[i:j].any() else None,
+                                     B.pack_ints(np.diff(off[i: j + 1])), codec.compress(body, asbytes=True))):
+                out[name].append(v)
+        if len(blk):
+            yield from B.rows_table(_DEALT, out).to_batches()
+
+
+def dealt(docs: DataFrame, n: int) -> DataFrame:
+    """``blocks.blocked`` for doc_id and text alone: a task's rows of a block as packed ids and compressed text, which
+    stay small where there are so many blocks that these are a row or two."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
+        .select(F.expr(f"cast(pmod(xxhash64(doc_id, text), {n}) as int)").alias("blk"), "doc_id", "text") \
+        .mapInArrow(_deal, ddl(_DEALT)).repartition(n, "blk")
+
+
 def in_order(table: pa.Table) -> pa.Table:
     """The block's documents in an order that is the same in every pass."""
-    table = B.block_rows(table)
+    pa.default_memory_pool().release_unused()
+    codec, ids, nulls, lens, text = pa.Codec("zstd"), [], [], [], []
+    for k in range(table.num_rows):
+        row = {name: table[name][k] for name in ("ids", "nulls", "lens", "text")}
+        ids.append(B.unpack_ints(row["ids"].as_py()))
+        lens.append(B.unpack_ints(row["lens"].as_py()))
+        nulls.append(unpack_bits(row["nulls"].as_py(), len(ids[-1])) if row["nulls"].is_valid else np.zeros(len(ids[-1]), bool))
+        text.append(codec.decompress(row["text"].as_buffer(), int(lens[-1].sum()), asbytes=True))
+    if not ids:
+        return pa.table({"doc_id": pa.array([], pa.int64()), "text": pa.array([], pa.large_binary())})
+    off = np.append(0, np.cumsum(np.concatenate(lens)))
+    text = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(off) - 1, [None, pa.py_buffer(off), pa.py_buffer(b"".join(text))])
+    table = pa.table({"doc_id": pa.array(np.concatenate(ids), mask=np.concatenate(nulls)), "text": text})
     return table.take(pc.sort_indices(table, sort_keys=[("doc_id", "ascending"), ("text", "ascending")]))
 
 
@@ -70,16 +159,15 @@ def ids_of(table: pa.Table) -> np.ndarray:
 
 
 def anchors(dat: np.ndarray, off: np.ndarray, length: int, q: int):
-    """Per anchor of a run of documents: its hash, its piece's hash, document, first and last window start."""
+    """Per anchor of a run of documents: its hash, place, document, first and last window start; and prefix hashes."""
     n, w = len(dat), length - q + 1
+    cum = B.prefix_hash(dat, B.RAW)
     none = np.zeros(0, np.int64)
     if n < length:
-        return none.astype(U), none.astype(U), none, none, none
-    cum = B.prefix_hash(dat, B.RAW)
-    at = np.arange(n - q + 1)
-    h = B.span_hash(cum, at, at + q)
-    bits = max(1, int(n - 1).bit_length())
-    least = ((h >> U(bits)) << U(bits)) | at.astype(U)     # hash, then the leftmost
+        return none.astype(U), none, none, none, none, cum
+    h = B.gram_hash(cum, q)
+    bits = max(24, int(n - 1).bit_length())
+    least = ((h >> U(bits)) << U(bits)) | np.arange(n - q + 1, dtype=U)     # hash, then the leftmost
     span = 1
     while span * 2 <= w:
         least = np.minimum(least[:-span], least[span:])
@@ -87,15 +175,56 @@ def anchors(dat: np.ndarray, off: np.ndarray, length: int, q: int):
     if w > span:
         least = np.minimum(least[: len(least) - (w - span)], least[w - span:])
     anchor = (least & U((1 << bits) - 1)).astype(np.int64)
-    doc = np.repeat(np.arange(len(off) - 1), np.diff(off))[: len(anchor)]
-    start = np.flatnonzero(np.arange(len(anchor)) + length <= off[doc + 1])
-    if not len(start):
-        return none.astype(U), none.astype(U), none, none, none
-    anchor, doc = anchor[start], doc[start]
-    cut = np.flatnonzero((np.diff(anchor, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
-    a = start[cut]
-    b = start[np.append(cut[1:], len(start)) - 1]
-    return (h[anchor[cut]] >> CUT) << CUT, B.span_hash(cum, a, b + length), doc[cut], a, b
+    ends = np.zeros(n + 1, np.int32)
+    ends[off[1:-1]] = 1
+    ends = np.cumsum(ends)
+    anchor[ends[length - 1: n] > ends[: len(anchor)]] = -1      # windows that reach into the next document
+    cut = np.flatnonzero(np.diff(anchor, prepend=-2))           # documents share no anchor
+    last = np.append(cut[1:], len(anchor)) - 1
+    inside = anchor[cut] >= 0
+    a, b = cut[inside], last[inside]
+    at = anchor[a]
+    return B.mix(h[at]) >> CUT << CUT, at, np.searchsorted(off, a, side="right") - 1, a, b, cum
+
+
+def runs_of(table: pa.Table, ids: np.ndarray, length: int, q: int, shift):
+    """Per run of documents its first row, bytes, offsets and anchors; the distinct cores of all; each anchor's place
+    of its cores there, -1 where it has none; and which cores stand in documents of several ids of this block."""
+    half = (length - q) // 2
+    runs, cores = [], []
+    for first, dat, off in B.chunked(table["text"]):
+        h, at, d, a, b, cum = anchors(dat, off, length, q)
+        left, right = a <= at - half, b > at - half
+        key = np.zeros((2, len(h)), U)
+        key[0, left] = B.span_hash(cum, at[left] - half, at[left] + q)
+        key[1, right] = B.span_hash(cum, at[right], at[right] - half + 1 + length)
+        runs.append((first, dat, off, h, at, d, a, b))
+        cores.append((key >> shift, np.stack([left, right]), np.broadcast_to(ids[first + d], key.shape)))
+    if not runs:
+        return [], np.zeros(0, U), [], np.zeros(0, bool)
+    has = np.concatenate([x[1] for x in cores], 1)
+    key, own = (np.concatenate([x[k] for x in cores], 1)[has] for k in (0, 2))
+    del cores
+    o = np.argsort(key, kind="stable")
+    new = np.flatnonzero(np.append(True, key[o][1:] != key[o][:-1])) if len(o) else o
+    place = np.full(has.shape, -1)
+    inner = np.empty(len(o), np.int64)
+    inner[o] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(o))))
+    place[has] = inner
+    own = own[o]
+    several = np.minimum.reduceat(own, new) != np.maximum.reduceat(own, new) if len(o) else np.zeros(0, bool)
+    places = np.split(place, np.cumsum([len(r[3]) for r in runs])[:-1], axis=1)
+    return runs, key[o][new], places, several
+
+
+def cut_down(run, place: np.ndarray, shared: np.ndarray, length: int, q: int):
+    """A run's anchors with a shared core: hash, piece's hash, document, first and last start of windows with one."""
+    _, dat, _, h, at, d, a, b = run
+    left, right = ((k >= 0) & shared[k] for k in place) if len(shared) else (np.zeros(len(h), bool),) * 2
+    half = (length - q) // 2
+    a, b = np.where(left, a, np.maximum(a, at - half + 1)), np.where(right, b, np.minimum(b, at - half))
+    s = np.flatnonzero(left | right)
+    return h[s], B.span_hash(B.prefix_hash(dat, B.RAW), a[s], b[s] + length), d[s], a[s], b[s]
 
 
 def _distinct(h, p, ids):
@@ -120,26 +249,66 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.stack([spans[cut, 0], spans[cut, 1], reach[np.append(cut[1:], len(spans)) - 1] - far[cut]], 1)
 
 
-def _ask(nb: int, length: int, q: int):
+def _cores(nb: int, length: int, q: int, shift):
+    edges = B.bounds(nb)
+
+    def cores(table: pa.Table) -> pa.Table:
+        blk = table["blk"][0].as_py()
+        table = in_order(table)
+        _, key, _, _ = runs_of(table, ids_of(table), length, q, shift)
+        out = {f.name: [] for f in _CORES}
+        cut = np.append(np.searchsorted(key, edges >> shift), len(key))
+        for k in np.flatnonzero(np.diff(cut)):
+            for name, v in zip(out, (k, blk, B.pack_keys(key[cut[k]: cut[k + 1]], edges[k] >> shift))):
+                out[name].append(v)
+        return B.rows_table(_CORES, out)
+
+    return cores
+
+
+def _share(nb: int, shift):
     edges = B.bounds(nb)
 
-    def ask(table: pa.Table) -> pa.Table:
+    def share(table: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
+        rows = table.to_pylist()
+        keys = [B.unpack_keys(r["cores"], edges[r["bucket"]] >> shift) for r in rows]
+        _, place = B.merged(keys)
+        shared = np.bincount(place)[place] > 1
+        ends = np.cumsum([len(x) for x in keys])
+        return B.rows_table(_SHARED, {"blk": [r["blk"] for r in rows], "bucket": [r["bucket"] for r in rows],
+                                      "shared": [pack_bits(x) for x in np.split(shared, ends[:-1])]})
+
+    return share
+
+
+def _ask(nb: int, length: int, q: int, shift):
+    edges = B.bounds(nb)
+
+    def ask(table: pa.Table, told: pa.Table) -> pa.Table:
+        out = {f.name: [] for f in _ASK}
+        if not table.num_rows:
+            return B.rows_table(_ASK, out)
+        blk = table["blk"][0].as_py()
         table = in_order(table)
         ids = ids_of(table)
-        hs, ps, ds = [], [], []
-        for first, dat, off in B.chunked(table["text"]):
-            h, p, d, _, _ = anchors(dat, off, length, q)
-            hs.append(h), ps.append(p), ds.append(ids[first + d])
-        out = {f.name: [] for f in _ASK}
-        if hs:
-            h, p, d, _ = _distinct(np.concatenate(hs), np.concatenate(ps), np.concatenate(ds))
+        runs, key, places, shared = runs_of(table, ids, length, q, shift)
+        if len(key):
+            cut = np.append(np.searchsorted(key, edges >> shift), len(key))
+            for r in told.to_pylist():
+                s = slice(cut[r["bucket"]], cut[r["bucket"] + 1])
+                shared[s] |= unpack_bits(r["shared"], s.stop - s.start)
+            found = [cut_down(r, p, shared, length, q)[:3] for r, p in zip(runs, places)]
+            h, p, d, _ = _distinct(*(np.concatenate(x) for x in (
+                [x[0] for x in found], [x[1] for x in found], [ids[r[0] + x[2]] for r, x in zip(runs, found)])))
             cut = np.append(np.searchsorted(h, edges), len(h))
             for k in np.flatnonzero(np.diff(cut)):
                 s = slice(cut[k], cut[k + 1])
-                for name, v in zip(out, (k, table["blk"][0].as_py(), B.pack_keys(h[s] >> CUT, edges[k] >> CUT),
-                                         p[s].tobytes(), B.pack_ints(d[s]))):
+                for name, v in zip(out, (k, blk, B.pack_keys(h[s] >> CUT, edges[k] >> CUT), p[s].tobytes(),
+                                         B.pack_ints(d[s]), None)):
                     out[name].append(v)
+            for name, v in zip(out, (blk % nb, blk, None, None, None, pack_bits(shared))):
+                out[name].append(v)
         return B.rows_table(_ASK, out)
 
     return ask
@@ -151,90 +320,95 @@ def _tell(nb: int):
     def tell(table: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
         rows = table.to_pylist()
+        out = {"blk": [r["blk"] for r in rows], "bucket": [r["bucket"] for r in rows], "flags": [None] * len(rows),
+               "own": [r["own"] for r in rows]}
         base = edges[rows[0]["bucket"]]
-        hs = [B.unpack_keys(r["keys"], base >> CUT) << CUT for r in rows]
-        h = np.concatenate(hs)
-        p = np.concatenate([np.frombuffer(r["pieces"], U) for r in rows])
-        d = np.concatenate([B.unpack_ints(r["ids"]) for r in rows])
-        uh, _, least, place = _distinct(h, p, d)
-        new = np.ones(len(uh), bool)
-        new[1:] = uh[1:] != uh[:-1]
-        which = np.cumsum(new) - 1
-        n_pieces = np.bincount(which)[which]
-        flags = ((least[place] < d).astype(np.uint8) | ((n_pieces > 1)[place] * np.uint8(2))
-                 | ((n_pieces > HOT_PIECES)[place] * np.uint8(4)))
-        ends = np.cumsum([len(x) for x in hs])
-        return B.rows_table(_TELL, {"blk": [r["blk"] for r in rows], "bucket": [r["bucket"] for r in rows],
-                                    "flags": [x.tobytes() for x in np.split(flags, ends[:-1])]})
+        asked = [i for i, r in enumerate(rows) if r["own"] is None]
+        if asked:
+            hs = [B.unpack_keys(rows[i]["keys"], base >> CUT) << CUT for i in asked]
+            h = np.concatenate(hs)
+            p = np.concatenate([np.frombuffer(rows[i]["pieces"], U) for i in asked])
+            d = np.concatenate([B.unpack_ints(rows[i]["ids"]) for i in asked])
+            uh, _, least, place = _distinct(h, p, d)
+            new = np.ones(len(uh), bool)
+            new[1:] = uh[1:] != uh[:-1]
+            which = np.cumsum(new) - 1
+            n_pieces = np.bincount(which)[which]
+            flags = ((least[place] < d).astype(np.uint8) | ((n_pieces > 1)[place] * np.uint8(2))
+                     | ((n_pieces > HOT_PIECES)[place] * np.uint8(4)))
+            for i, x in zip(asked, np.split(flags, np.cumsum([len(x) for x in hs])[:-1])):
+                out["flags"][i] = x.tobytes()
+        return B.rows_table(_TELL, out)
 
     return tell
 
 
-def _send(nb: int, length: int, q: int):
-    edges = B.bounds(nb)
+def windows(a: np.ndarray, n: np.ndarray):
+    """Starts of ``n`` windows from each ``a`` on, and whose they are."""
+    s = np.repeat(np.arange(len(a)), n)
+    return a[s] + np.arange(len(s)) - np.repeat(np.cumsum(n) - n, n), s
+
+
+def _send(ns: int, length: int, q: int, shift):
+    edges = B.bounds(ns)
 
     def send(table: pa.Table, told: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
-        table = in_order(table)
         out = {f.name: [] for f in _SEND}
         if not table.num_rows:
             return B.rows_table(_SEND, out)
-        blk, ids = table["blk"][0].as_py(), ids_of(table)
-        runs = [(first, dat, off) + anchors(dat, off, length, q) for first, dat, off in B.chunked(table["text"])]
-        if runs:
+        blk = table["blk"][0].as_py()
+        table = in_order(table)
+        ids = ids_of(table)
+        runs, key, places, _ = runs_of(table, ids, length, q, shift)
+        if len(key):
+            told = sorted(told.to_pylist(), key=lambda r: r["bucket"])
+            shared = next(unpack_bits(r["own"], len(key)) for r in told if r["own"] is not None)
+            flags = np.frombuffer(b"".join(r["flags"] for r in told if r["own"] is None), np.uint8)
+            found = [cut_down(r, p, shared, length, q) for r, p in zip(runs, places)]
             h, p, least, place = _distinct(*(np.concatenate(x) for x in (
-                [r[3] for r in runs], [r[4] for r in runs], [ids[r[0] + r[5]] for r in runs])))
-            flags = np.zeros(0, np.uint8)
-            for r in sorted(told.to_pylist(), key=lambda r: r["bucket"]):
-                flags = np.concatenate([flags, np.frombuffer(r["flags"], np.uint8)])
-            known, keys, hashes, sent_ids, lens, data, doc, pos = [], [], [], [], [], [], [], []
+                [x[0] for x in found], [x[1] for x in found], [ids[r[0] + x[2]] for r, x in zip(runs, found)])))
+            known, pieces, hot = [], [], []
             i = 0
-            for first, dat, off, rh, rp, d, a, b in runs:
+            for (first, dat, off, *_), (rh, rp, d, a, b) in zip(runs, found):
                 u = place[i: i + len(rh)]
                 i += len(rh)
-                row = first + d
+                row, local = first + d, off[d]
                 gone = (ids[row] > least[u]) | (flags[u] & 1 > 0)
-                local = off[d]
                 known.append(np.stack([row, a - local, b + length - local], 1)[gone])
-                for hot in (False, True):
-                    s = np.flatnonzero(~gone & (flags[u] & 2 > 0) & ((flags[u] & 4 > 0) == hot))
-                    if not len(s):
-                        continue
-                    if hot:                                     # single windows, by their own hash
-                        n = (b - a + 1)[s]
-                        s = np.repeat(s, n)
-                        at = a[s] + np.arange(len(s)) - np.repeat(np.cumsum(n) - n, n)
-                        size = np.full(len(s), length)
-                        key = piece = B.span_hash(B.prefix_hash(dat, B.RAW), at, at + length)
-                    else:
-                        at, size, key, piece = a[s], (b - a)[s] + length, rh[s], rp[s]
-                    byte = B.take_spans(dat, at, size)
-                    keys.append(key), hashes.append(piece), sent_ids.append(ids[row[s]]), lens.append(size), data.append(byte)
-                    doc.append(row[s]), pos.append(at - local[s])
-            sent = np.zeros((0, 3), np.int64)
-            if keys:
-                key, piece, sid, size, byte, row, at = (
-                    np.concatenate(x) for x in (keys, hashes, sent_ids, lens, data, doc, pos))
-                del data
-                # one of each (key, bytes); what else has these bytes shares the answer
-                begin = np.cumsum(size) - size
-                kk, _, dd, place = _distinct(key, piece, sid)
-                pick = np.empty(len(kk), np.int64)
-                pick[place[::-1]] = np.arange(len(place))[::-1]
-                own = sid == dd[place]
-                sent = np.stack([place, row, at], 1)[own]
-                known.append(np.stack([row, at, at + size], 1)[~own])     # single windows of a hot anchor
-                cut = np.append(np.searchsorted(kk, edges), len(kk))
-                for k in np.flatnonzero(np.diff(cut)):
-                    s = slice(cut[k], cut[k + 1])
-                    z = size[pick[s]]
-                    body = B.take_spans(byte, begin[pick[s]], z)
-                    for name, v in zip(out, (k, blk, kk[s].tobytes(), B.pack_ints(dd[s]), z.astype(np.uint8).tobytes(),
-                                             body.tobytes(), None, None)):
-                        out[name].append(v)
-            for name, v in zip(out, (blk % nb, blk, None, None, None, None,
-                                     B.pack_ints(merged(np.concatenate(known)).ravel()),
-                                     B.pack_ints(sent.ravel()))):
+                s = np.flatnonzero(~gone & (flags[u] & 6 == 2))
+                pieces.append((rh[s], rp[s], ids[row[s]], (b - a)[s] + length, row[s], (a - local)[s],
+                               B.take_spans(dat, a[s], (b - a)[s] + length)))
+                s = np.flatnonzero(~gone & (flags[u] & 6 == 6))         # single windows, by their own hash
+                at, of = windows(a[s], (b - a + 1)[s])
+                hashes = B.span_hash(B.prefix_hash(dat, B.RAW), at, at + length) if len(s) else np.zeros(0, U)
+                hot.append((hashes, ids[row[s]][of], row[s], (a - local)[s], (b - a + 1)[s]))
+            del runs, found
+            # one of each (key, bytes); what else has these bytes shares the answer
+            ph, pp, pid, size, row, at, byte = (np.concatenate(x) for x in zip(*pieces))
+            begin = np.cumsum(size) - size
+            kk, _, dd, place = _distinct(ph, pp, pid)
+            pick = np.empty(len(kk), np.int64)
+            pick[place[::-1]] = np.arange(len(place))[::-1]
+            own = pid == dd[place]
+            known.append(np.stack([row, at, at + size], 1)[~own])
+            used = [np.diff(row[own], prepend=0), at[own], place[own]]
+            wh, wid, row, at, n = (np.concatenate(x) for x in zip(*hot))
+            used += [np.diff(row, prepend=0), at, n]
+            starts, of = windows(at, n)
+            wk, _, wd, place = _distinct(wh, wh, wid)
+            late = wid > wd[place]
+            known.append(np.stack([row[of], starts, starts + length], 1)[late])
+            cut, hot_cut = np.append(np.searchsorted(kk, edges), len(kk)), np.append(np.searchsorted(wk, edges), len(wk))
+            for k in np.flatnonzero(np.diff(cut) + np.diff(hot_cut)):
+                s, t = slice(cut[k], cut[k + 1]), slice(hot_cut[k], hot_cut[k + 1])
+                z = size[pick[s]]
+                body = pa.Codec("zstd").compress(B.take_spans(byte, begin[pick[s]], z), asbytes=True)
+                for name, v in zip(out, (k, blk, B.pack_keys(kk[s] >> CUT, edges[k] >> CUT), B.pack_ints(dd[s]),
+                                         B.pack_ints(z), body, B.pack_keys(wk[t], edges[k]), B.pack_ints(wd[t]), None)):
+                    out[name].append(v)
+            row, at, end = merged(np.concatenate(known)).T
+            own = pack_arrays(np.diff(row, prepend=0), at, end - at, *used)
+            for name, v in zip(out, (blk % ns, blk, None, None, None, None, None, None, own)):
                 out[name].append(v)
         return B.rows_table(_SEND, out)
 
@@ -286,28 +460,33 @@ def least_in_windows(data: np.ndarray, size: np.ndarray, key: np.ndarray, ids: n
     return masks
 
 
-def _sort(length: int):
+def _sort(ns: int, length: int, q: int):
+    edges, wide = B.bounds(ns), (length - q) // 8 + 1       # bytes of a mask
+
     def sort(table: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
         rows = table.to_pylist()
-        sent = [r for r in rows if r["keys"] is not None]
-        out = {"blk": [], "bucket": [], "masks": [], "known": [], "used": []}
+        sent = [r for r in rows if r["own"] is None]
+        out = {"blk": [], "bucket": [], "masks": [], "hot": [], "own": []}
         for r in rows:
-            if r["keys"] is None:
-                for name, v in zip(out, (r["blk"], -1, None, r["known"], r["used"])):
+            if r["own"] is not None:
+                for name, v in zip(out, (r["blk"], -1, None, None, r["own"])):
                     out[name].append(v)
         if sent:
-            key = np.concatenate([np.frombuffer(r["keys"], U) for r in sent])
+            base = edges[sent[0]["bucket"]]
             ids = [B.unpack_ints(r["ids"]) for r in sent]
             cut = np.cumsum([len(x) for x in ids])
             ids = np.concatenate(ids)
-            size = np.concatenate([np.frombuffer(r["lens"], np.uint8) for r in sent]).astype(np.int64)
-            piece = []
-            for r in sent:
-                z = np.frombuffer(r["lens"], np.uint8).astype(np.int64)
+            key = np.concatenate([B.unpack_keys(r["keys"], base >> CUT) << CUT for r in sent])
+            sizes = [B.unpack_ints(r["lens"]) for r in sent]
+            size = np.concatenate(sizes)
+            data, piece = [], []
+            for r, z in zip(sent, sizes):
                 end = np.cumsum(z)
-                piece.append(B.span_hash(B.prefix_hash(np.frombuffer(r["bytes"], np.uint8), B.RAW), end - z, end))
-            data = np.concatenate([np.frombuffer(r.pop("bytes"), np.uint8) for r in sent])
+                body = pa.Codec("zstd").decompress(r.pop("bytes"), int(z.sum()), asbytes=True) if len(z) else b""
+                data.append(np.frombuffer(body, np.uint8))
+                piece.append(B.span_hash(B.prefix_hash(data[-1], B.RAW), end - z, end))
+            data = np.concatenate(data)
             begin = np.cumsum(size) - size
             uk, _, least, place = _distinct(key, np.concatenate(piece), ids)
             pick = np.empty(len(uk), np.int64)
@@ -315,30 +494,60 @@ def _sort(length: int):
             z = size[pick]
             body = B.take_spans(data, begin[pick], z)
             masks = least_in_windows(body, z, uk, least, length)[place]
-            whole = (U(1) << (size - length + 1).astype(U)) - U(1)
+            whole = U(0xFFFFFFFFFFFFFFFF) >> (63 - (size - length)).astype(U)
             masks = np.where(least[place] < ids, whole, masks)
-            for r, m in zip(sent, np.split(masks, cut[:-1])):
-                for name, v in zip(out, (r["blk"], r["bucket"], m.tobytes(), None, None)):
+            masks = masks.view(np.uint8).reshape(-1, 8)[:, :wide]
+            # single windows
+            hot = [B.unpack_keys(r["hot"], base) for r in sent]
+            hot_cut = np.cumsum([len(x) for x in hot])
+            ids = np.concatenate([B.unpack_ints(r["hot_ids"]) for r in sent])
+            hot = np.concatenate(hot)
+            _, _, least, place = _distinct(hot, hot, ids)
+            hit = least[place] < ids
+            for r, m, w in zip(sent, np.split(masks, cut[:-1]), np.split(hit, hot_cut[:-1])):
+                for name, v in zip(out, (r["blk"], r["bucket"], m.tobytes(), pack_bits(w), None)):
                     out[name].append(v)
         return B.rows_table(_BACK, out)
 
     return sort
 
 
-def _remove(length: int):
+def _remove(ns: int, length: int, q: int):
+    edges, wide = B.bounds(ns), (length - q) // 8 + 1
+
     def remove(table: pa.Table, back: pa.Table) -> pa.Table:
-        pa.default_memory_pool().release_unused()
         table = in_order(table)
         rows = sorted(back.to_pylist(), key=lambda r: r["bucket"])
-        gone = [B.unpack_ints(r["known"]).reshape(-1, 3) for r in rows if r["bucket"] < 0]
-        used = [B.unpack_ints(r["used"]).reshape(-1, 3) for r in rows if r["bucket"] < 0]
-        masks = [np.frombuffer(r["masks"], U) for r in rows if r["bucket"] >= 0]
-        if used and masks:
-            used, masks = np.concatenate(used), np.concatenate(masks)
-            for k in range(64):
-                hit = used[(masks[used[:, 0]] >> U(k)) & U(1) > 0]
-                if len(hit):
-                    gone.append(np.stack([hit[:, 1], hit[:, 2] + k, hit[:, 2] + k + length], 1))
+        own = [r["own"] for r in rows if r["own"] is not None]
+        rows = [r for r in rows if r["own"] is None]
+        gone = []
+        if own:
+            row, at, size, of, begin, place, hot_row, hot_at, hot_n = unpack_arrays(own[0], 9)
+            row, of, hot_row = np.cumsum(row), np.cumsum(of), np.cumsum(hot_row)
+            gone.append(np.stack([row, at, at + size], 1))
+            masks = np.frombuffer(b"".join(r["masks"] for r in rows), np.uint8).reshape(-1, wide)[place]
+            for k in range(length - q + 1):
+                hit = masks[:, k >> 3] >> np.uint8(k & 7) & np.uint8(1) > 0
+                gone.append(np.stack([of[hit], begin[hit] + k, begin[hit] + k + length], 1))
+            if len(hot_row):                            # the windows again, in the order of their hashes
+                hashes, starts, of = [], [], []
+                for first, dat, off in B.chunked(table["text"]):
+                    i, j = np.searchsorted(hot_row, [first, first + len(off) - 1])
+                    at, k = windows(hot_at[i:j], hot_n[i:j])
+                    row = hot_row[i:j][k]
+                    begin = at + off[row - first]
+                    if len(at):
+                        hashes.append(B.span_hash(B.prefix_hash(dat, B.RAW), begin, begin + length))
+                        starts.append(at), of.append(row)
+                key, place = np.unique(np.concatenate(hashes), return_inverse=True)
+                starts, of = np.concatenate(starts), np.concatenate(of)
+                cut = np.append(np.searchsorted(key, edges), len(key))
+                told = np.zeros(len(key), bool)
+                for r in rows:
+                    k = slice(cut[r["bucket"]], cut[r["bucket"] + 1])
+                    told[k] = unpack_bits(r["hot"], k.stop - k.start)
+                hit = told[place]
+                gone.append(np.stack([of[hit], starts[hit], starts[hit] + length], 1))
         gone = np.concatenate(gone) if gone else np.zeros((0, 3), np.int64)
         gone = gone[np.argsort(gone[:, 0], kind="stable")]
         out = {f.name: [] for f in _RESULT}
@@ -366,13 +575,18 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, qgram: int = QGRAM) ->
     """doc_id, n_bytes, spans (removed runs of bytes), kept (the bytes that remain); one row per document."""
     if not qgram < length <= qgram + 63:
         raise ValueError("length must exceed qgram by 1 to 63")
-    nb = B.parts(docs.sparkSession, B.text_bytes(docs))
-    t = B.blocked(docs, nb)
-    told = t.groupBy("blk").applyInArrow(_ask(nb, length, qgram), ddl(_ASK)) \
+    n_bytes = B.text_bytes(docs)
+    nb = dealing(docs.sparkSession, n_bytes)
+    ns = B.parts(docs.sparkSession, -(-n_bytes // LARGEST))       # buckets that sort: little of a block goes there
+    shift = U(max(0, 64 - max(32, n_bytes.bit_length() + 5)))     # a core's hash is cut to bits of which few agree by chance
+    t = dealt(docs, nb)
+    shared = t.groupBy("blk").applyInArrow(_cores(nb, length, qgram, shift), ddl(_CORES)) \
+        .repartition(nb, "bucket").groupBy("bucket").applyInArrow(_share(nb, shift), ddl(_SHARED))
+    told = t.groupBy("blk").cogroup(shared.groupBy("blk")).applyInArrow(_ask(nb, length, qgram, shift), ddl(_ASK)) \
         .repartition(nb, "bucket").groupBy("bucket").applyInArrow(_tell(nb), ddl(_TELL))
-    sent = t.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(_send(nb, length, qgram), ddl(_SEND))
-    back = sent.repartition(nb, "bucket").groupBy("bucket").applyInArrow(_sort(length), ddl(_BACK))
-    return t.groupBy("blk").cogroup(back.groupBy("blk")).applyInArrow(_remove(length), RESULT)
+    sent = t.groupBy("blk").cogroup(told.groupBy("blk")).applyInArrow(_send(ns, length, qgram, shift), ddl(_SEND))
+    back = sent.repartition(ns, "bucket").groupBy("bucket").applyInArrow(_sort(ns, length, qgram), ddl(_BACK))
+    return t.groupBy("blk").cogroup(back.groupBy("blk")).applyInArrow(_remove(ns, length, qgram), RESULT)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -96,6 +96,41 @@ def test_op1(spark, docs, monkeypatch, hot):
     assert sum(len(b"".join([g.kept])) for rows in got.values() for g in rows) < sum(len((t or "").encode()) for _, t in docs)
 
 
+def shuffled(df):
+    """Rows of ``df``, and the bytes that its exchanges wrote."""
+    rows, seen, todo = df.collect(), {}, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec") or kind == "ReusedExchangeExec":
+            todo.append(node.child() if kind == "ReusedExchangeExec" else node.plan())
+        else:
+            if kind == "ShuffleExchangeExec":
+                seen[node.id()] = node.metrics().apply("shuffleBytesWritten").value()
+            todo += [node.children().apply(k) for k in range(node.children().size())]
+    return rows, sum(seen.values())
+
+
+def test_op1_sends_little(spark):
+    """Passages in many documents, each time between other words: their anchors have many different pieces."""
+    r = random.Random(7)
+    prose = lambda k: "".join(r.choice("abcdefgh ") for _ in range(k))
+    lines = [prose(70) for _ in range(3)]
+    docs = [(i, "".join(prose(120) + x for x in r.sample(lines, 3))) for i in range(400)]
+    rows, sent = shuffled(op1.remove_repeats(frame(spark, docs)))
+    first = {}
+    for i, t in docs:
+        for s in range(len(t) - 49):
+            first.setdefault(t[s:s + 50], i)
+    for g in rows:
+        t = dict(docs)[g.doc_id]
+        gone = {k for s in range(len(t) - 49) if first[t[s:s + 50]] < g.doc_id for k in range(s, s + 50)}
+        assert bytes(g.kept).decode() == "".join(c for k, c in enumerate(t) if k not in gone)
+    assert len(rows) == 400 and 0 < sent < 4 * sum(len(t) for _, t in docs), sent
+
+
 def test_op2(spark, docs):
     got = by_id(op2.lm_scores(frame(spark, docs), iterations=3).collect())
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in docs}
